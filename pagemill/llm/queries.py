@@ -5,11 +5,13 @@ from __future__ import annotations
 from .decontaminate import op2_decontaminate
 from .packing import op1_best_fit_packing
 from .ring import op6_ring_shards
+from .simhash import op4_simhash
 from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
+    "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_ring_shards": op6_ring_shards,
 }
