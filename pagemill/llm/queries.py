@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op2_decontaminate
+from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
 from .ring import op6_ring_shards
 from .simhash import op4_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_ring_shards": op6_ring_shards,
+    "op7_multiset_hash": op7_multiset_hash,
 }
 
 ORACLE = {"op5_warc": OP5_SQL}

@@ -1,0 +1,82 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pagemill.llm.multiset import added, as_string, fingerprint_edits, likeness, op7_multiset_hash, removed, vector
+
+from .fixtures import AWKWARD, docs
+
+
+def prints(spark, texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r[0] for r in rows.select("i", as_string(vector(F.col("t"))).alias("p")).orderBy("i").select("p").collect()]
+
+
+def brute_exact(text):
+    lanes = [0] * 16
+    for p in (text or "").replace("\r", "\n").split("\n"):
+        if p := p.strip(" \t"):
+            digest = hashlib.sha512(p.encode()).hexdigest()
+            lanes = [(a + int(digest[8 * k : 8 * k + 8], 16)) % 2**32 for k, a in enumerate(lanes)]
+    return "".join(f"{x:08x}" for x in lanes)
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    texts = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    got = {r["doc_id"]: r for r in op7_multiset_hash(spark, sf_dir).collect()}
+    assert len(got) == len(texts)
+    by = {r["doc_id"]: r["fingerprint"] for r in got.values()}
+    better = 0
+    for at, (doc_id, text) in enumerate(texts):
+        after_id, after = texts[(at + 1) % len(texts)]
+        k, r = len(text) // 4, got[doc_id]
+        edited = text[: len(text) - k] + after[:k]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"][:128] == brute_exact(text) and r["edited_fingerprint"][:128] == brute_exact(edited)
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        assert (r["near_next"] == 1) == (by[doc_id] == by[after_id])
+        better += r["near_edited"] > r["near_next"]
+    assert better > 0.9 * len(texts)
+
+
+PARAGRAPHS = ["First one. With two phrases, or three", "second", "third: ünïcode 😀", "second", "x" * 500]
+
+
+def test_order_and_increments(spark):
+    one, two, other = prints(spark, ["\n".join(PARAGRAPHS), "\r\n\n".join(reversed(PARAGRAPHS)), "\n".join(PARAGRAPHS[:-2] + PARAGRAPHS[-1:])])
+    assert one == two and one != other
+    row = spark.createDataFrame([("\n".join(PARAGRAPHS), "\n".join(PARAGRAPHS[:2]), "\n".join(PARAGRAPHS[2:]))], "whole string, a string, b string")
+    v = row.select(*(vector(F.col(c)).alias(c) for c in row.columns))
+    r = v.select(as_string(F.col("whole")), as_string(added(F.col("a"), F.col("b"))), as_string(removed(F.col("whole"), F.col("a"))), as_string(F.col("b")), as_string(removed(F.col("a"), F.col("a")))).first()
+    assert r[0] == r[1] and r[2] == r[3] and set(r[4]) == {"0"}
+
+
+def test_likeness_bounds(spark):
+    row = spark.createDataFrame([("", None, "a. b. c. d. e. f. g. h", "a. b. c. d. e. f. g. z")], "e string, n string, a string, b string")
+    v = row.select(*(vector(F.col(c)).alias(c) for c in row.columns))
+    r = v.select(likeness(F.col("e"), F.col("n")), likeness(F.col("e"), F.col("a")), likeness(F.col("a"), F.col("b")), likeness(F.col("a"), F.col("a"))).first()
+    assert r[0] == 1 and r[1] == 0 and 0.6 < r[2] < 1 and r[3] == 1
+
+
+def test_awkward_rows(spark):
+    rows = [*AWKWARD, (9, "ends"), (6, "another text of a repeated id")]
+    got = fingerprint_edits(docs(spark, rows)).select("doc_id", "text", "edited", "n_chars").collect()
+    assert len(got) == len(rows)
+    one = fingerprint_edits(docs(spark, [(5, "abcdefgh")])).first()
+    assert one["edited"] == "abcdefab"
+    none = next(r for r in got if r["doc_id"] is None)
+    assert none["edited"] == none["text"][: 21 - 5]
+    assert next(r for r in got if r["doc_id"] == 5)["edited"] == "same text here for all another"[: len("same text here for all of us") - 7] + "another"
+    assert fingerprint_edits(docs(spark, [])).collect() == []
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.text(alphabet="ab .\n", max_size=30), min_size=2, max_size=20))
+def test_equal_multisets_only(spark, texts):
+    got = prints(spark, texts)
+    bags = [tuple(sorted(p.strip(" \t") for p in t.split("\n") if p.strip(" \t"))) for t in texts]
+    for a, x in zip(got, bags, strict=True):
+        for b, y in zip(got, bags, strict=True):
+            assert (a == b) == (x == y)
