@@ -6,6 +6,7 @@ from .decontaminate import op2_decontaminate
 from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
 from .ring import op6_ring_shards
+from .secrets import op10_secrets
 from .simhash import op4_simhash
 from .warc import OP5_SQL, op5_warc
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_ring_shards": op6_ring_shards,
     "op7_multiset_hash": op7_multiset_hash,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {"op5_warc": OP5_SQL}
