@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op2_decontaminate
 from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
+from .quality import op9_quality
 from .ring import op6_ring_shards
 from .secrets import op10_secrets
 from .simhash import op4_simhash
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_ring_shards": op6_ring_shards,
     "op7_multiset_hash": op7_multiset_hash,
+    "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
 }
 
