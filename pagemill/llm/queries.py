@@ -5,19 +5,23 @@ from __future__ import annotations
 from .decontaminate import op2_decontaminate
 from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
+from .pseudonyms import op3_pii
 from .quality import op9_quality
 from .ring import op6_ring_shards
 from .secrets import op10_secrets
 from .simhash import op4_simhash
+from .tokencount import op8_token_counts
 from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontaminate": op2_decontaminate,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_warc": op5_warc,
     "op6_ring_shards": op6_ring_shards,
     "op7_multiset_hash": op7_multiset_hash,
+    "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
 }
