@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from pagemill.llm.components import connected_components
-from pagemill.llm.simhash import fingerprint, linked, near_duplicate_components, near_links, op4_simhash
+from pagemill.llm.simhash import drop_near_duplicates, fingerprint, linked, near_duplicate_components, near_links, op4_simhash
 
 from .fixtures import AWKWARD, docs
 
@@ -63,8 +63,8 @@ def test_long_runs_are_linked_whole():
     rng = np.random.default_rng(1)
     base = np.uint64(rng.integers(0, 1 << 63))
     fps = base ^ (np.uint64(1) << rng.integers(40, 64, 500).astype(np.uint64))
-    root = linked(np.zeros(500, np.int64), np.zeros(500, np.int64), 3, fps.reshape(-1, 1), 2)
-    assert len(set(root)) == 1
+    links = linked(np.zeros(500, np.int64), np.zeros(500, np.int64), 3, fps.reshape(-1, 1), (2,))
+    assert len(set(links.root)) == 1 and len(links.pairs) == 499
 
 
 def test_components_of_a_chain(spark):
@@ -88,3 +88,37 @@ def test_lanes_are_majorities():
     text = " ".join(f"w{i}" for i in range(2000))
     wide = fingerprint(text, 5, 4)
     assert wide[0] == brute_print(text, 5) and len(set(wide.tolist())) == 4
+
+
+def _jaccard(a, b, k=5):
+    x, y = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8)))
+    rows, groups = [], []
+    for _ in range(25):
+        words = [word() for _ in range(rng.randrange(40, 400))]
+        group = [len(rows)]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(rng.randrange(0, 6)):
+            copy = list(words)
+            for i in rng.sample(range(len(copy)), max(1, len(copy) // 100)):
+                copy[i] = word()
+            if _jaccard(" ".join(copy), rows[group[0]][1]) >= 0.8:
+                group.append(len(rows))
+                rows.append((len(rows), " ".join(copy)))
+        half = words[: len(words) // 2] + [word() for _ in range(len(words) // 2)]
+        groups += [group, [len(rows)]]
+        rows.append((len(rows), " ".join(half)))
+    kept = sorted(r["doc_id"] for r in drop_near_duplicates(docs(spark, rows)).collect())
+    assert kept == sorted(g[0] for g in groups)
+
+
+def test_dropping_awkward_rows(spark):
+    rows = [*AWKWARD, (6, "another text under a known id"), (None, "same text here for all of us")]
+    got = drop_near_duplicates(docs(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([AWKWARD[0], AWKWARD[2], AWKWARD[3], AWKWARD[4], AWKWARD[7], AWKWARD[8], rows[-1]], key=str)
+    assert drop_near_duplicates(docs(spark, [])).collect() == []
