@@ -1,0 +1,111 @@
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from pagemill.llm.common import materialise
+from pagemill.llm.quality import fit_quality, statistics, training_labels
+
+from .fixtures import AWKWARD, docs
+from .test_decontaminate import brute as brute_leaks
+from .test_packing import check_packing
+from .test_secrets import brute as brute_secrets
+
+NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf_dir):
+    folder = sf_dir.replace("0.001", "0.01")
+    out = [spark.read.parquet(f"{folder}/documents.parquet")]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(materialise(stage(spark, out[-1], folder)))
+    return folder, out
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
+
+
+def test_order_and_columns(steps):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "packing"]
+    assert all(df.columns == NAMES for df in steps[1][:-1])
+
+
+def test_quality_stage(spark, steps):
+    folder, (before, after, *_) = steps
+    trees = fit_quality(before, training_labels(spark, folder))
+    rows = before.collect()
+    scores = trees.score(np.array([statistics(r["text"]) for r in rows]))
+    assert texts(after) == {r["doc_id"]: r["text"] for r, s in zip(rows, scores, strict=True) if s >= 0.3}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    kept = texts(after).keys()
+    good, junk = ([i in kept for i, q in labels.items() if q == k] for k in (1, 0))
+    assert sum(good) >= 0.98 * len(good) and sum(junk) <= 0.1 * len(junk)
+
+
+def shingles(text):
+    w = text.encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_near_duplicate_stage(steps):
+    before, after = (texts(steps[1][k]) for k in (1, 2))
+    sets, where = {i: shingles(t) for i, t in before.items()}, {}
+    for i, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(i)
+    parent = {i: i for i in before}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i in sorted(before):
+        for j in {j for x in sets[i] for j in where[x] if j < i}:
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and (a := find(i)) != (b := find(j)):
+                parent[max(a, b)] = min(a, b)
+    assert sorted(after) == sorted({find(i) for i in before})
+    assert all(after[i] == before[i] for i in after)
+
+
+def test_decontamination_stage(spark, steps):
+    folder, out = steps
+    before, after = texts(out[2]), texts(out[3])
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    leaks = {r[0]: r for r in brute_leaks(before.items(), items)}
+    assert not any(r[5] for r in brute_leaks(after.items(), items))
+    assert after.keys() == {i for i, r in leaks.items() if not (r[2] and r[2] >= 0.5 * r[1])}
+    assert all(after[i] == before[i] for i in after if not leaks[i][5])
+    assert all(r["n_chars"] == len(r["text"]) for r in out[3].collect())
+
+
+def test_secret_stage(steps):
+    before, after = (texts(steps[1][k]) for k in (3, 4))
+    assert before.keys() == after.keys()
+    hit = 0
+    for i, text in before.items():
+        spans = brute_secrets(text)
+        hit += bool(spans)
+        assert not any(text[a:b] in after[i] for a, _, b in spans)
+        assert spans or after[i] == text or "[SECRET]" in after[i]
+    assert hit and sum(after[i] != before[i] for i in before) < hit + 0.01 * len(before)
+
+
+def test_packing_stage(steps):
+    check_packing(steps[1][5].collect(), list(texts(steps[1][4]).items()))
+
+
+def test_awkward_rows(spark, sf_dir):
+    table = docs(spark, [*AWKWARD, (50, "password = hunter2hunter2 in a text")])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        table = materialise(stage(spark, table.withColumn("_score_", table["text"]).drop("_score_"), sf_dir))
+        assert table.columns == NAMES, name
+    got = corpus_pipeline.STAGES[-1][1](spark, table, sf_dir)
+    assert got.count() >= table.count()
+    empty = docs(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0
+    assert not re.search("hunter2", " ".join(t or "" for t in texts(table).values()))
