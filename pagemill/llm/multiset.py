@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import materialise, read_table, text_or_empty
 
 EXACT_LANES = 16
 NEAR_WORDS = 32  # longs of two lanes each
@@ -104,19 +104,20 @@ def following(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, next) of every distinct key: the next larger one, after the largest the smallest.
 
     Keys are dealt into ranges and followed within each; only the first key of each range
-    crosses to another, so what meets in one task is one row a range.  Null is the smallest.
+    crosses to another, so what meets in one task is one row a range.  Null keys are left out.
     """
     from pyspark.sql import Window
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = docs.select(F.col(key).alias("k")).distinct().select("k", F.coalesce("k", F.lit(-(1 << 63))).alias("o"))
-    ranged = keys.repartitionByRange(parts, "o").withColumn("r", F.spark_partition_id())
-    ranged = ranged.withColumn("next", F.lead(F.struct("k")).over(Window.partitionBy("r").orderBy("o")))
-    firsts = ranged.groupBy("r").agg(F.min_by(F.struct("k"), "o").alias("f"))
+    keys = docs.select(F.col(key).alias("k")).where("k is not null").distinct()
+    # written, since the bounds of ranges are sampled and both uses below must see the same
+    ranged = materialise(keys.repartitionByRange(parts, "k").withColumn("r", F.spark_partition_id()))
+    ranged = ranged.withColumn("next", F.lead("k").over(Window.partitionBy("r").orderBy("k")))
+    firsts = ranged.groupBy("r").agg(F.min("k").alias("f"))
     whole = Window.orderBy("r")
     # one row a range
     heads = firsts.select("r", F.coalesce(F.lead("f").over(whole), F.first("f").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("f"))
-    return ranged.join(heads, "r").select(F.col("k").alias(key), F.coalesce("next", "f")["k"].alias("next"))
+    return ranged.join(heads, "r").select(F.col("k").alias(key), F.coalesce("next", "f").alias("next"))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -127,19 +128,20 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     id has several texts the least counts.  A null doc_id comes first, null texts are empty, and a
     single document follows itself.  Columns other than doc_id and text are not read.
     """
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
-    rows = rows.withColumn("v", vector(F.col("text")))
-    links = following(docs)
+    order = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    light = docs.select("doc_id", order.alias("k"), F.char_length(text_or_empty()).alias("n"))
+    quarter = light.groupBy("k").agg(F.max(F.floor(F.col("n") / 4)).cast("int").alias("most"))
+    links = following(light, "k").withColumnRenamed("k", "o").join(quarter.withColumnRenamed("k", "q"), F.col("o") == F.col("q")).select("o", "next", "most")
+    # dealt out once by key: both joins below read the same exchange, and only heads of texts move again
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(order.alias("k"), text_or_empty().alias("text")).withColumn("v", vector(F.col("text"))).repartition(parts, "k")
     heads = rows
-    if not rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        heads = rows.groupBy("doc_id").agg(F.min(F.struct("text", "v")).alias("m")).select("doc_id", "m.text", "m.v")
-    # both joins below deal the texts out by doc_id: Spark does it once and reads the result twice
-    after = links.join(heads.select(F.col("doc_id").alias("h"), "text", F.col("v").alias("next_v")), F.col("next").eqNullSafe(F.col("h")))
-    sizes = docs.groupBy("doc_id").agg(F.max(F.floor(F.char_length(text_or_empty()) / 4)).alias("most"))
-    after = after.join(sizes.withColumnRenamed("doc_id", "s"), F.col("doc_id").eqNullSafe(F.col("s"))).select(F.col("doc_id").alias("a"), F.expr("left(text, cast(most as int))").alias("head"), "next_v")
+    if not light.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        heads = rows.groupBy("k").agg(F.min(F.struct("text", "v")).alias("m")).select("k", "m.text", "m.v")
+    after = links.join(heads, F.col("next") == F.col("k")).select("o", F.expr("left(text, most)").alias("head"), F.col("v").alias("next_v"))
     n = F.char_length("text")
-    k = F.floor(n / 4).cast("int")
-    out = rows.join(after, F.col("doc_id").eqNullSafe(F.col("a"))).select("doc_id", "text", "v", "next_v", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - k), F.substring("head", F.lit(1), k)).alias("edited"))
+    cut = F.floor(n / 4).cast("int")
+    out = rows.join(after, F.col("k") == F.col("o")).select(F.nullif("k", F.lit(-(1 << 63))).alias("doc_id"), "text", "v", "next_v", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - cut), F.substring("head", F.lit(1), cut)).alias("edited"))
     return out.withColumn("edited_v", vector(F.col("edited")))
 
 
