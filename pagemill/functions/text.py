@@ -22,16 +22,19 @@ def collapse(c: Column) -> Column:
 
 
 def first_match(text: Column, pattern: str, groups: int = 0) -> Column:
-    """struct<start, end, value> of the leftmost match, or null.
+    """struct<start, end, value> of the leftmost match, or null; a pattern must not match nothing.
 
-    ``value`` is the first of ``groups`` groups that took part, else the whole match.  The text
-    before the match is taken by a lazy group, so its length is the place in code points.
+    ``value`` is the first of ``groups`` groups that took part, else the whole match.  Splitting
+    once at the pattern gives the text before the match, and so its place in code points.
     """
-    lead = rf"{FLAGS}\A([\s\S]*?)({pattern})"
-    start = F.char_length(F.regexp_extract(text, lead, 1))
-    whole = F.regexp_extract(text, lead, 2)
-    value = F.coalesce(*(F.nullif(F.regexp_extract(text, lead, g + 2), F.lit("")) for g in range(1, groups + 1)), whole)
-    return F.when(text.rlike(FLAGS + pattern), F.struct(start.alias("start"), (start + F.char_length(whole)).alias("end"), strip(value).alias("value")))
+    pattern = FLAGS + pattern
+
+    def placed(whole: Column) -> Column:
+        start = F.char_length(F.split(text, pattern, 2)[0])
+        value = F.coalesce(*(F.nullif(F.regexp_extract(text, pattern, g), F.lit("")) for g in range(1, groups + 1)), whole)
+        return F.when(whole != "", F.struct(start.alias("start"), (start + F.char_length(whole)).alias("end"), strip(value).alias("value")))
+
+    return F.transform(F.array(F.regexp_extract(text, pattern, 0)), placed)[0]
 
 
 def join_lines(lines: Column) -> Column:

@@ -37,24 +37,30 @@ def _errors(df: DataFrame, bad: Column, message: str) -> DataFrame:
     return df.where(F.coalesce(bad, F.lit(True))).select("document_id", F.lit(message).alias("error"))
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _list(df: DataFrame, schema: str, path: str) -> DataFrame:
     return df.withColumn("j", F.from_json("raw_output", schema)).select("document_id", F.posexplode(path).alias("pos", "b"))
 
 
-def from_textract(docs: DataFrame) -> Parts:
+def from_textract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     """LINE blocks in engine order, on the page they name or on that whose CHILD they are."""
     block = "BlockType:string,Id:string,Page:variant,Text:variant,Confidence:variant,Geometry:struct<BoundingBox:struct<Left:variant,Top:variant,Width:variant,Height:variant>>,Relationships:array<struct<Type:string,Ids:array<string>>>"
-    blocks = _list(docs, f"Blocks array<struct<{block}>>", "j.Blocks").select("document_id", "pos", "b.*")
+    blocks = _list(docs, f"Blocks array<struct<{block}>>", "j.Blocks").select("document_id", "pos", "b.*").where("BlockType in ('PAGE', 'LINE')")
     whole = F.schema_of_variant("Page") == "BIGINT"
     blocks = blocks.withColumn("own", F.when(whole, F.try_variant_get("Page", "$", "int"))).withColumn("odd", F.col("Page").isNotNull() & ~(F.coalesce(whole & (F.col("own") >= 1), F.lit(False))))
+    box = lambda k: finite_number(F.col(f"Geometry.BoundingBox.{k}"))
+    blocks = keep(blocks.select("document_id", "pos", "BlockType", "Id", "own", "odd", "Relationships", plain_text(F.col("Text")).alias("text"), *(box(k).alias(k[0].lower()) for k in ("Left", "Top", "Width", "Height")), (finite_number(F.col("Confidence")) / 100).alias("confidence")))
     page_order = Window.partitionBy("document_id").orderBy("pos")
     heads = blocks.where("BlockType = 'PAGE'").withColumn("page_number", F.coalesce("own", F.row_number().over(page_order)))
     children = heads.select("document_id", "page_number", "pos", F.explode("Relationships").alias("r")).where("r.Type = 'CHILD'").select("document_id", "page_number", "pos", F.explode("r.Ids").alias("Id"))
     parent = children.groupBy("document_id", "Id").agg(F.max_by("page_number", "pos").alias("parent"))
-    box = lambda k: finite_number(F.col(f"Geometry.BoundingBox.{k}"))
-    lines = blocks.where("BlockType = 'LINE'").join(parent, ["document_id", "Id"], "left").select(
-        "document_id", "pos", "odd", F.coalesce("own", "parent").alias("page_number"), plain_text(F.col("Text")).alias("text"), *(box(k).alias(k[0].lower()) for k in ("Left", "Top", "Width", "Height")), (finite_number(F.col("Confidence")) / 100).alias("confidence"),
-    )
+    lines = blocks.where("BlockType = 'LINE'").join(parent, ["document_id", "Id"], "left").select("document_id", "pos", F.coalesce("own", "parent").alias("page_number"), "text", "l", "t", "w", "h", "confidence")
     order = Window.partitionBy("document_id", "page_number").orderBy("pos")
     shaped = lines.select("document_id", "page_number", (F.row_number().over(order) - 1).alias("line_index"), "text", F.col("l").alias("x0"), F.col("t").alias("y0"), (F.col("l") + F.col("w")).alias("x1"), (F.col("t") + F.col("h")).alias("y1"), "confidence", F.lit("engine_line").alias("confidence_source"))
     numbers = heads.select("document_id", "page_number").unionByName(lines.select("document_id", "page_number")).distinct()
@@ -62,7 +68,7 @@ def from_textract(docs: DataFrame) -> Parts:
     pages = numbers.select("document_id", "page_number", none("double").alias("width"), none("double").alias("height"), none("string").alias("size_unit"), F.lit(NO_SIZE).alias("size_reason"))
     twice = heads.groupBy("document_id", "page_number").agg(F.count("*").alias("n"))
     errors = [
-        _errors(blocks.where("BlockType in ('PAGE', 'LINE')"), F.col("odd"), "aws-textract block Page must be an int >= 1"),
+        _errors(blocks, F.col("odd"), "aws-textract block Page must be an int >= 1"),
         _errors(twice, F.col("n") > 1, "aws-textract PAGE blocks have duplicate page numbers"),
         _errors(lines, F.col("page_number").isNull(), "aws-textract LINE block has no Page and is not a CHILD of any PAGE block"),
         _errors(lines, F.col("text").isNull() | (F.col("l") + F.col("t") + F.col("w") + F.col("h") + F.col("confidence")).isNull(), "aws-textract raw_output is malformed: text, box or confidence"),
@@ -70,7 +76,7 @@ def from_textract(docs: DataFrame) -> Parts:
     return Parts(pages, shaped, reduce(DataFrame.unionByName, errors))
 
 
-def from_tesseract(docs: DataFrame) -> Parts:
+def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     """Parallel arrays turned to rows; words of one (page, block, paragraph, line) are a line."""
     keys = ("page_num", "block_num", "par_num", "line_num")
     columns = ("level", "text", "conf", "left", "top", "width", "height", *keys)
@@ -79,7 +85,7 @@ def from_tesseract(docs: DataFrame) -> Parts:
     rows = parsed.where(~uneven).select("document_id", F.posexplode(F.arrays_zip(*columns)).alias("pos", "r")).select("document_id", "pos", "r.*")
     number = lambda c: finite_number(F.col(c))
     conf = F.coalesce(number("conf"), F.when(plain_text(F.col("conf")).rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), F.trim(plain_text(F.col("conf"))).try_cast("double")))
-    rows = rows.select("document_id", "pos", number("level").alias("level"), plain_text(F.col("text")).alias("text"), conf.alias("conf"), *(number(c).alias(c) for c in ("left", "top", "width", "height")), *(number(c).cast("long").alias(c) for c in keys))
+    rows = keep(rows.select("document_id", "pos", number("level").alias("level"), plain_text(F.col("text")).alias("text"), conf.alias("conf"), *(number(c).alias(c) for c in ("left", "top", "width", "height")), *(number(c).cast("long").alias(c) for c in keys)).where("level in (1, 5)"))
     sizes = rows.where("level = 1").groupBy("document_id", "page_num").agg(F.max_by(F.struct("width", "height"), "pos").alias("s")).select("document_id", F.col("page_num").cast("int").alias("page_number"), "s.width", "s.height")
     words = rows.where(F.col("level") == 5).withColumn("text", strip(F.col("text"))).where("text <> ''")
     grouped = words.groupBy("document_id", *keys).agg(
@@ -98,7 +104,7 @@ def from_tesseract(docs: DataFrame) -> Parts:
     return Parts(sizes.select("*", F.lit("px").alias("size_unit"), F.lit(None).cast("string").alias("size_reason")), lines, reduce(DataFrame.unionByName, errors))
 
 
-def from_azure(docs: DataFrame) -> Parts:
+def from_azure(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     """Lines with polygons; a line's confidence is the mean of the words that begin inside its first span."""
     span = "struct<offset:variant,length:variant>"
     page = f"struct<pageNumber:variant,width:variant,height:variant,unit:variant,lines:array<struct<content:variant,polygon:array<variant>,spans:array<{span}>>>,words:array<struct<confidence:variant,span:{span}>>>"
@@ -106,12 +112,12 @@ def from_azure(docs: DataFrame) -> Parts:
     unit = F.element_at(F.create_map(*(F.lit(x) for kv in AZURE_UNITS.items() for x in kv)), plain_text(F.col("unit")))
     number = F.when(F.schema_of_variant("pageNumber") == "BIGINT", F.try_variant_get("pageNumber", "$", "int"))
     words = F.transform("words", lambda w: F.struct(finite_number(w["span"]["offset"]).alias("at"), finite_number(w["confidence"]).alias("conf")))
-    pages = pages.select("document_id", "pos", number.alias("page_number"), finite_number(F.col("width")).alias("width"), finite_number(F.col("height")).alias("height"), unit.alias("size_unit"), F.coalesce("lines", F.array()).alias("lines"), F.coalesce(words, F.array()).alias("words"))
+    pages = keep(pages.select("document_id", "pos", number.alias("page_number"), finite_number(F.col("width")).alias("width"), finite_number(F.col("height")).alias("height"), unit.alias("size_unit"), F.coalesce("lines", F.array()).alias("lines"), F.coalesce(words, F.array()).alias("words")))
     lines = pages.select("document_id", "page_number", "width", "height", "words", F.posexplode("lines").alias("line_index", "l"))
     first = F.get("l.spans", F.lit(0))
     lines = lines.select("*", finite_number(first["offset"]).alias("begin"), finite_number(first["length"]).alias("size"), plain_text(F.col("l.content")).alias("text"), F.transform("l.polygon", finite_number).alias("polygon"))
     inside = F.filter("words", lambda w: (w["at"] >= F.col("begin")) & (w["at"] < F.col("begin") + F.col("size")))
-    lines = lines.withColumn("inside", inside)
+    lines = keep(lines.withColumn("inside", inside))
     mean = F.aggregate("inside", F.lit(0.0), lambda a, w: a + w["conf"]) / F.nullif(F.size("inside"), F.lit(0))
     axis = lambda odd: F.filter("polygon", lambda v, i: i % 2 == odd)
     shaped = lines.select("document_id", "page_number", "line_index", "text", *((f(axis(odd)) / F.nullif(F.col(s), F.lit(0.0))).alias(c) for c, f, odd, s in (("x0", F.array_min, 0, "width"), ("y0", F.array_min, 1, "height"), ("x1", F.array_max, 0, "width"), ("y1", F.array_max, 1, "height"))), mean.alias("confidence"), F.lit("mean_of_words").alias("confidence_source"))
@@ -128,7 +134,7 @@ def from_azure(docs: DataFrame) -> Parts:
 
 
 #: Engine name -> normaliser; a new engine is one entry.
-ENGINES: dict[str, Callable[[DataFrame], Parts]] = {TEXTRACT: from_textract, TESSERACT: from_tesseract, AZURE: from_azure}
+ENGINES: dict[str, Callable[[DataFrame, Keep], Parts]] = {TEXTRACT: from_textract, TESSERACT: from_tesseract, AZURE: from_azure}
 
 
 def clamp(lines: DataFrame) -> DataFrame:
@@ -139,15 +145,18 @@ def clamp(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"bbox_clamped": changed} | inside)
 
 
-def normalise(docs: DataFrame, engines: dict[str, Callable[[DataFrame], Parts]] = ENGINES) -> tuple[DataFrame, DataFrame]:
+def normalise(docs: DataFrame, engines: dict[str, Callable[[DataFrame, Keep], Parts]] = ENGINES, keep: Keep = _as_is) -> tuple[DataFrame, DataFrame]:
     """(pages, errors) of documents (document_id, ocr_engine, raw_output).
 
+    Several results come from one parsed table of each engine, and from its lines; ``keep`` may
+    write these (or cache them) so that JSON is parsed once.
+
     Pages hold their lines as an array in reading order, and mean_confidence (null if no line has
     one), line_count and clamped_count.  A document with an error has no pages.
     """
-    parts = [f(docs.where(F.col("ocr_engine") == name)) for name, f in engines.items()]
+    parts = [f(docs.where(F.col("ocr_engine") == name), keep) for name, f in engines.items()]
     pages, lines, errors = (reduce(DataFrame.unionByName, (getattr(p, k) for p in parts)) for k in ("pages", "lines", "errors"))
-    lines = clamp(lines)
+    lines = keep(clamp(lines))
     errors = errors.unionByName(_errors(lines, (F.col("x0") > F.col("x1")) | (F.col("y0") > F.col("y1")), "bbox must satisfy x0<=x1 and y0<=y1"))
     errors = errors.unionByName(_errors(lines, F.coalesce(~F.col("confidence").between(0, 1), F.lit(False)), "confidence must be in [0, 1]"))
     errors = errors.unionByName(_errors(pages, (F.col("page_number") < 1) | F.coalesce((F.col("width") <= 0) | (F.col("height") <= 0), F.lit(False)), "page number and size must be positive"))

@@ -75,7 +75,10 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     parsed = keep(parse_exports(sized, country).withColumn("country_code", resolve_country(F.lit(country), F.col("envelope_country"))))
     stages = [_stage(parsed, "receive", F.col("error_message"), lap())]
 
-    pages, broken = normalise(parsed.where("error_code is null").select("document_id", "ocr_engine", "raw_output"), pack.engines)
+    accepted = parsed.where("error_code is null").select("document_id", "ocr_engine", "raw_output")
+    seen = {r[0] for r in accepted.select("ocr_engine").distinct().collect()}  # a few names
+    engines = {k: f for k, f in pack.engines.items() if k in seen} or dict([next(iter(pack.engines.items()))])
+    pages, broken = normalise(accepted, engines, keep)
     pages, broken = keep(pages), keep(broken)
     good = parsed.where("error_code is null")
     normal = good.join(broken, "document_id", "left")

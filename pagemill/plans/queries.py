@@ -20,7 +20,7 @@ from ..operators.chunk import CHUNKING_VERSION, chunk_pages, union_box, without_
 from ..operators.classify import classify
 from ..operators.embed import HASHING, Model, activate, activate_if_none, embed, hashing_embedder, missing_embeddings, upsert_model
 from ..operators.extract import Rule, extract_fields
-from ..operators.normalise import clamp, normalise
+from ..operators.normalise import ENGINES, clamp, normalise
 from ..operators.quality import deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
 from ..operators.search import nearest, nearest_each
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, content_hash, normalise_country, parse_exports, receive_checks, resolve_country, safe_path
@@ -178,15 +178,16 @@ def bbox_union(spark, sf_dir):
 
 
 def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as documents, ship modes of lines as pages: mean of a made-up confidence, and clamped boxes."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "A", 1 - F.col("l_tax") * 4).alias("c"), (F.col("l_discount") > 0.08).alias("k"))
+    """Orders as documents, their lines dealt over three pages: mean of a made-up confidence that cannot
+    lie on the threshold itself, where the order of a sum would decide, and clamped boxes."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") != "A", 0.997 - F.col("l_tax") * 4).alias("c"), (F.col("l_discount") > 0.08).alias("k"))
     pages = lines.groupBy(F.col("l_orderkey").alias("document_id"), (F.col("l_linenumber") % 3 + 1).cast("int").alias("page_number"))
     return pages.agg(F.avg("c").alias("mean_confidence"), F.count_if("k").cast("int").alias("clamped_count"))
 
 
 _PAGES_SQL = """
 WITH p AS (
-  SELECT l_orderkey AS document_id, (l_linenumber % 3 + 1)::INTEGER AS page_number, avg(CASE WHEN l_returnflag <> 'A' THEN 1 - l_tax * 4 END) AS mean_confidence, count(*) FILTER (l_discount > 0.08) AS clamped_count
+  SELECT l_orderkey AS document_id, (l_linenumber % 3 + 1)::INTEGER AS page_number, avg(CASE WHEN l_returnflag <> 'A' THEN 0.997 - l_tax * 4 END) AS mean_confidence, count(*) FILTER (l_discount > 0.08) AS clamped_count
   FROM lineitem GROUP BY ALL
 ), q AS (SELECT *, coalesce(mean_confidence >= 0.8, false) AS sure FROM p)
 """
@@ -505,7 +506,7 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _normalised(docs: DataFrame, engine: str) -> DataFrame:
-    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)))
+    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)), {engine: ENGINES[engine]}, DataFrame.persist)
     lines = pages.select("document_id", "page_number", "mean_confidence", F.explode("lines").alias("l")).select("document_id", "page_number", "l.line_index", "l.text", *(F.round(f"l.{c}", 6).alias(c) for c in ("x0", "y0", "x1", "y1", "confidence")), F.col("l.bbox_clamped").alias("bbox_clamped"), F.round("mean_confidence", 6).alias("mean_confidence"))
     wrong = errors.select("document_id", *(F.lit(None).cast(t).alias(c) for c, t in lines.dtypes[1:]))
     return lines.unionByName(wrong)
