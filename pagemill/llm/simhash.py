@@ -245,8 +245,7 @@ def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segment
     if similarity is None:
         edges = near_links(nodes, lanes, segments, max_bits)
     else:
-        closer = tuple(max_bits * k // 4 for k in (1, 2, 3))
-        edges = verified(materialise(near_links(nodes, lanes, segments, max_bits, closer=closer)), docs, shingle, similarity, text)
+        edges = verified(materialise(near_links(nodes, lanes, segments, max_bits, closer=(3 * max_bits // 4,))), docs, shingle, similarity, text)
     # a doc_id with several texts links their fingerprints
     several = prints.join(nodes, "fp").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     repeated = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
