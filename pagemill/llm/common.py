@@ -37,6 +37,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, longer by underscores where the table has such columns already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The table without columns of these names, which its operator is about to add."""
+    gone = {n.lower() for n in names}
+    return df.select(*(f"`{c}`" for c in df.columns if c.lower() not in gone))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Columns named by their place: what maps over Arrow batches takes no names with dots."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table, utf8_buffer
+from .common import materialise, numbered, read_table, unused, utf8_buffer, without
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -145,9 +145,9 @@ def _cleaned(text: str, ngrams: NgramSet) -> str:
         text = _remove(raw, words, hit, 0, len(raw))
 
 
-def _scan_block(docs: DataFrame, ngrams: NgramSet, text: str, clean: bool) -> DataFrame:
+def _scan_block(docs: DataFrame, ngrams: NgramSet, text: str, clean: bool, out: tuple[str, str, str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ngrams)
-    names = docs.columns
+    names, (n_words_name, hit_name, items_name) = docs.columns, out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams = shared.value
@@ -166,41 +166,49 @@ def _scan_block(docs: DataFrame, ngrams: NgramSet, text: str, clean: bool) -> Da
                 kept = [_cleaned(t, ngrams) if found else t for t, found in zip(column.to_pylist(), items, strict=True)]
             out = [pa.array(n_words, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
             arrays = [pa.array(kept, pa.string()) if clean and c == text else batch.column(i) for i, c in enumerate(names)]
-            yield pa.RecordBatch.from_arrays(arrays + out, [*names, "_d_words", "_d_hit", "_d_items"])
+            yield pa.RecordBatch.from_arrays(arrays + out, [*names, n_words_name, hit_name, items_name])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, _d_words long, _d_hit array<int>, _d_items array<string>")
+    return numbered(docs).mapInArrow(run, f"{types}, `{n_words_name}` long, `{hit_name}` array<int>, `{items_name}` array<string>")
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", clean: bool = False, block_windows: int = 500_000) -> DataFrame:
-    """Add n_words, n_hit and items (array of item ids as sorted strings) to the documents.
+def _column(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", clean: bool = False, block_windows: int = 500_000, names: tuple[str, str, str] = ("n_words", "n_hit", "items")) -> DataFrame:
+    """Add ``names``: n_words, n_hit and items (array of item ids as sorted strings) to the documents.
 
     ``n_hit`` counts words inside any occurring window.  Items of fewer than n words are one
     window; null and empty items have none, and a null item_id is reported as an empty string.
     With ``clean`` the spans of hit words are taken out of ``text``, again until none is left;
-    null texts stay null.  Columns named _d_* are reserved, all others pass through.
+    null texts stay null.  Columns of the input that are named like the added ones are replaced,
+    others pass through.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     blocks = max(1, -(-max((size["b"] or 0) // 2, size["n"]) // block_windows))  # a word takes two bytes at least
+    docs = without(docs, *names)
     ids, out = docs.columns, docs
+    words, hit, found, hit0, found0 = unused(docs, "_words", "_hit", "_items", "_hit0", "_items0")
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         ngrams = NgramSet.build(((r["item_id"], r["text"]) for r in mine.toLocalIterator()), n)
         if k == 0:
-            out = _scan_block(docs, ngrams, text, clean and blocks == 1)
+            out = _scan_block(docs, ngrams, text, clean and blocks == 1, (words, hit, found))
         else:
-            state = materialise(out.withColumnsRenamed({"_d_words": "_d_words0", "_d_hit": "_d_hit0", "_d_items": "_d_items0"}))
-            out = _scan_block(state, ngrams, text, False).select(*ids, "_d_words", F.array_union("_d_hit0", "_d_hit").alias("_d_hit"), F.array_sort(F.array_union("_d_items0", "_d_items")).alias("_d_items"))
-    out = out.select(*ids, F.col("_d_words").alias("n_words"), F.size("_d_hit").cast("long").alias("n_hit"), F.col("_d_items").alias("items"))
+            state = materialise(out.select(*(_column(c) for c in ids), F.col(hit).alias(hit0), F.col(found).alias(found0)))
+            out = _scan_block(state, ngrams, text, False, (words, hit, found)).select(*(_column(c) for c in ids), words, F.array_union(hit0, hit).alias(hit), F.array_sort(F.array_union(found0, found)).alias(found))
+    out = out.select(*(_column(c) for c in ids), F.col(words).alias(names[0]), F.size(hit).cast("long").alias(names[1]), F.col(found).alias(names[2]))
     clear = 0 if clean and blocks > 1 else blocks
     k = 0
     while clear < blocks:  # a span taken out for one block can bring words of another's window together
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         ngrams = NgramSet.build(((r["item_id"], r["text"]) for r in mine.toLocalIterator()), n)
-        state = materialise(_scan_block(out, ngrams, text, True))
-        clear = clear + 1 if state.where(F.size("_d_hit") > 0).isEmpty() else 0
-        out, k = state.select(*out.columns), (k + 1) % blocks
+        more = unused(out, "_words", "_hit", "_items")
+        state = materialise(_scan_block(out, ngrams, text, True, tuple(more)))
+        clear = clear + 1 if state.where(F.size(more[1]) > 0).isEmpty() else 0
+        out, k = state.select(*(_column(c) for c in out.columns)), (k + 1) % blocks
     return out
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import numbered, read_table, without
 
 ROUNDS = 10
 
@@ -222,8 +222,9 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """Replace ``text`` and add ``pseudonyms``, a map of kind to count.
 
     Null texts stay null with an empty map, texts without values are unchanged, equal rows get
-    equal results; other columns pass through.  Values that fail validation are left alone.
+    equal results; a column named ``pseudonyms`` is replaced, others pass through.  Values that fail validation are left alone.
     """
+    docs = without(docs, "pseudonyms")
     names = docs.columns
     at = names.index(text)
 
@@ -234,7 +235,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*arrays, pa.array([list(c.items()) for _, c in found], pa.map_(pa.string(), pa.int32()))], [*names, "pseudonyms"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, pseudonyms map<string,int>")
+    return numbered(docs).mapInArrow(run, f"{types}, pseudonyms map<string,int>")
 
 
 #: For the query alone; a real run passes a secret of its own.

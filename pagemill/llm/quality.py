@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import numbered, read_table, without
 
 FEATURES = (
     "log_bytes", "log_words", "word_bytes", "upper", "digits", "exclamation", "pipes", "symbols", "brackets", "stops", "white", "beyond_ascii", "byte_entropy", "distinct_words", "commonest_word",
@@ -138,7 +138,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
 
 
 def score_quality(docs: DataFrame, trees: Trees, score: str = "score") -> DataFrame:
-    """Add ``score`` to every row: the probability of label 1 from the text alone (null: empty)."""
+    """Add ``score`` to every row: the probability of label 1 from the text alone (null: empty).
+
+    A column of that name is replaced, others pass through.
+    """
+    docs = without(docs, score)
     shared, names = docs.sparkSession.sparkContext.broadcast(trees), docs.columns
     at = names.index("text")
 
@@ -148,7 +152,7 @@ def score_quality(docs: DataFrame, trees: Trees, score: str = "score") -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(x), pa.float64())], [*names, score])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, `{score}` double")
+    return numbered(docs).mapInArrow(run, f"{types}, `{score}` double")
 
 
 def _held_out():

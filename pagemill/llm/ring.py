@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import read_table, text_or_empty, unused, without
+
 _MASK = (1 << 63) - 1
 
 
@@ -84,11 +86,10 @@ def assign_shards(df: DataFrame, key: str = "doc_id", n_shards: int = 40, virtua
 
     ``order`` names further columns that rank rows of one key.  Null keys hash like any other
     value, repeated keys share an arc and take separate slots, an empty table stays empty.
-    Columns of the input named like the added ones, or like the ring's own, are an error only
-    if they are ``shard`` or ``slot``.
+    Columns of the input that are named like the added ones are replaced, others pass through.
     """
-    if clash := {"shard", "slot"} & set(df.columns):
-        raise ValueError(f"columns already present: {sorted(clash)}")
+    df = without(df, "shard", "slot")
+    k_at, k_arc, k_rank, r_arc, r_lo, r_hi, r_slot = unused(df, "_k_at", "_k_arc", "_k_rank", "_r_arc", "_r_lo", "_r_hi", "_r_slot")
     spark, ring = df.sparkSession, Ring.build(n_shards, virtual_nodes)
     points = ring.points
 
@@ -99,18 +100,16 @@ def assign_shards(df: DataFrame, key: str = "doc_id", n_shards: int = 40, virtua
     at = F.xxhash64(F.col(key)).bitwiseAND(F.lit(_MASK))
     counts = {r["arc"]: r["n"] for r in df.select(arc_of(at).alias("arc")).groupBy("arc").agg(F.count("*").alias("n")).collect()}
     runs = place(counts, ring, capacities(sum(counts.values()), n_shards, load_factor))
-    table = spark.createDataFrame(pd.DataFrame(runs, columns=["_r_arc", "_r_lo", "_r_hi", "shard", "_r_slot"]).astype({"_r_arc": "int32", "shard": "int32"}), "_r_arc int, _r_lo long, _r_hi long, shard int, _r_slot long")
-    rank = F.row_number().over(Window.partitionBy("_k_arc").orderBy("_k_at", *(F.col(c) for c in (key, *order)))) - 1
-    ranked = df.withColumn("_k_at", at).withColumn("_k_arc", arc_of("_k_at")).withColumn("_k_rank", rank)
+    table = spark.createDataFrame(pd.DataFrame(runs, columns=[r_arc, r_lo, r_hi, "shard", r_slot]).astype({r_arc: "int32", "shard": "int32"}), f"{r_arc} int, {r_lo} long, {r_hi} long, shard int, {r_slot} long")
+    rank = F.row_number().over(Window.partitionBy(k_arc).orderBy(k_at, *(key, *order))) - 1
+    ranked = df.withColumn(k_at, at).withColumn(k_arc, arc_of(k_at)).withColumn(k_rank, rank)
     # at most two runs an arc and one a shard, whatever the data: small enough to broadcast
-    hit = (F.col("_k_arc") == F.col("_r_arc")) & (F.col("_k_rank") >= F.col("_r_lo")) & (F.col("_k_rank") < F.col("_r_hi"))
-    return ranked.join(F.broadcast(table), hit).select(*(df[c] for c in df.columns), "shard", (F.col("_r_slot") + F.col("_k_rank") - F.col("_r_lo")).alias("slot"))
+    hit = (F.col(k_arc) == F.col(r_arc)) & (F.col(k_rank) >= F.col(r_lo)) & (F.col(k_rank) < F.col(r_hi))
+    return ranked.join(F.broadcast(table), hit).select(*(f"`{c}`" for c in df.columns), "shard", (F.col(r_slot) + F.col(k_rank) - F.col(r_lo)).alias("slot"))
 
 
 def op6_ring_shards(spark, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of the ring; counts at most one apart."""
-    from .common import read_table, text_or_empty
-
     docs = read_table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text_or_empty()) + 16).cast("long").alias("size"), F.crc32(text_or_empty().cast("binary")).alias("text_crc32"))
     placed = assign_shards(docs, "doc_id", n_shards=40, order=("text_crc32", "size"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, text_or_empty
+from .common import read_table, text_or_empty, without
 
 # fixed values: the base rules; a run of at least n characters is what is left of the
 # shorter pattern after its short matches are dropped
@@ -135,15 +135,15 @@ def entropy_spans(text: Column, base: Column, window: int = 20) -> Column:
     return F.transform(F.filter(_located(text, CANDIDATE), random_enough), lambda m: _span("entropy", m))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", window: int = 20) -> DataFrame:
-    """Add ``base_spans`` and ``spans`` (base and entropy), arrays of start, kind number and end.
+def find_secrets(docs: DataFrame, text: str = "text", window: int = 20, names: tuple[str, str] = ("base_spans", "spans")) -> DataFrame:
+    """Add ``names``: base_spans and spans (base and entropy), arrays of start, kind number and end.
 
     Offsets are code points, ends exclusive.  Null and empty texts have no spans; equal rows get
-    equal spans; other columns pass through.
+    equal spans; columns of the added names are replaced, others pass through.
     """
-    value = F.coalesce(F.col(text), F.lit(""))
-    docs = docs.withColumn("base_spans", base_spans(value))
-    return docs.withColumn("spans", F.array_sort(F.concat("base_spans", entropy_spans(value, F.col("base_spans"), window))))
+    value, (base, spans) = F.coalesce(F.col(text), F.lit("")), names
+    docs = without(docs, *names).withColumn(base, base_spans(value))
+    return docs.withColumn(spans, F.array_sort(F.concat(base, entropy_spans(value, F.col(base), window))))
 
 
 def as_string(spans: Column) -> Column:

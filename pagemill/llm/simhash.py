@@ -265,12 +265,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     """
     found = near_duplicate_components(docs, shingle, lanes, segments, max_bits, similarity)
     copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(copies, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
     if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         return kept
-    named = kept.where("doc_id is not null").withColumn("_r", F.struct("text", *(c for c in docs.columns if c != "text")))
-    one = named.groupBy("doc_id").agg(F.min("_r").alias("_r"))
-    return one.select(*(F.col(f"_r.`{c}`").alias(c) for c in docs.columns)).unionByName(kept.where("doc_id is null"))
+    row = F.struct("text", *(f"`{c}`" for c in docs.columns if c != "text"))
+    one = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min(row).alias("row"))
+    return one.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)).unionByName(kept.where("doc_id is null"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

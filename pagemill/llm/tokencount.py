@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import numbered, read_table, without
 
 
 def zipf_scores(path: str) -> dict[bytes, float]:
@@ -86,8 +86,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, text: str = "te
     """Add n_pre_tokens and n_tokens to every row; null and empty texts have none.
 
     ``vocabulary`` is a file of piece ranks that every executor has, ``pattern`` the rule that
-    splits texts into pre-tokens.  Other columns pass through.
+    splits texts into pre-tokens.  Columns of the added names are replaced, others pass through.
     """
+    docs = without(docs, "n_pre_tokens", "n_tokens")
     names = docs.columns
     at = names.index(text)
 
@@ -102,7 +103,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, text: str = "te
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64()), pa.array(tokens, pa.int64())], [*names, "n_pre_tokens", "n_tokens"])
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{types}, n_pre_tokens long, n_tokens long")
+    return numbered(docs).mapInArrow(run, f"{types}, n_pre_tokens long, n_tokens long")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
