@@ -125,7 +125,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     result = every.select("filename", "content_hash", "document_id", (F.col("first").isNull() & F.col("content_hash").isNotNull()).alias("duplicate"), F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")).alias("error_code"))
     result = keep(result.withColumn("outcome", outcome(F.col("error_code"), F.col("duplicate"))))
     n = {r["outcome"]: r["count"] for r in result.groupBy("outcome").count().collect()}
-    store.commit(run_id, run_type, n.get("processed", 0), n.get("duplicate", 0), n.get("failed", 0))
+    store.commit(run_id, run_type, n.get("processed", 0), n.get("duplicate", 0), n.get("failed", 0), (model.name, model.version))
     out = result.drop("error_code").join(describe(store).drop("content_hash"), "document_id", "left").withColumn("error_code", F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")))
     return keep(out)
 
@@ -176,5 +176,5 @@ def reembed(store: Store, model: Model) -> bool:
     store.append("embeddings", vectors.where("embed_error is null").select(*CHUNK_KEY, "embedding", "dimension", "model_name", "model_version"), run_id)
     models = upsert_model(store.read("models"), model)
     store.append("models", models if failed else activate(models, model.name), run_id)
-    store.commit(run_id, "reembed", documents.count() - failed, 0, failed)
+    store.commit(run_id, "reembed", documents.count() - failed, 0, failed, (model.name, model.version))
     return not failed

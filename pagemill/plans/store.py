@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.normalise import NORMALISER_VERSION
+from ..version import code_version
+
 RUN_TYPES = ("ingest", "reembed", "renormalise")
 SCHEMAS = {
     "documents": "document_id string, content_hash string, upload_filename string, size_bytes long, country_code string, status string, error_code string, error_message string, document_type string, source_sha256 string, source_filename string, source_mime_type string, ocr_engine string, ocr_engine_version string, ocr_processed_at string, raw_uri string, normalised_uri string, ingested_at timestamp",
@@ -25,7 +28,7 @@ SCHEMAS = {
     "embeddings": "document_id string, chunking_version string, chunk_index int, embedding array<float>, dimension int, model_name string, model_version string",
     "models": "model_name string, model_version string, dimension int, is_active boolean",
     "stages": "document_id string, stage string, status string, error string, finished_at timestamp, duration_ms long",
-    "runs": "run_id string, run_type string, status string, processed long, duplicate long, failed long, finished_at timestamp",
+    "runs": "run_id string, run_type string, status string, processed long, duplicate long, failed long, normaliser_version string, code_version string, embedding_model string, embedding_model_version string, finished_at timestamp",
 }
 #: Rows of later runs replace those of earlier ones with the same key.
 KEYS = {"documents": ["document_id"], "models": ["model_name"], "stages": ["document_id", "stage"], "runs": ["run_id"]}
@@ -108,11 +111,15 @@ class Store:
             rows = latest(rows, KEYS[table], F.col("_at").desc(), F.col("_run").desc())
         return rows.select(*empty.columns)
 
-    def commit(self, run_id: str, run_type: str, processed: int, duplicate: int, failed: int) -> None:
+    def commit(self, run_id: str, run_type: str, processed: int, duplicate: int, failed: int, model: tuple[str, str] | None = None) -> None:
+        """The run's row, written last: from now on its rows count."""
         if run_type not in RUN_TYPES:
             raise ValueError(f"run_type must be one of {RUN_TYPES}")
         n = self.spark.createDataFrame([(run_id, run_type, processed, duplicate, failed)], "run_id string, run_type string, processed long, duplicate long, failed long")
-        self.append("runs", n.select("*", run_status(F.col("processed"), F.col("duplicate"), F.col("failed")).alias("status"), F.current_timestamp().alias("finished_at")), run_id)
+        name, version = model or (None, None)
+        made = {"normaliser_version": NORMALISER_VERSION, "code_version": code_version(), "embedding_model": name, "embedding_model_version": version}
+        n = n.select("*", run_status(F.col("processed"), F.col("duplicate"), F.col("failed")).alias("status"), *(F.lit(v).cast("string").alias(k) for k, v in made.items()), F.current_timestamp().alias("finished_at"))
+        self.append("runs", n, run_id)
 
 
 def delete_model_vectors(embeddings: DataFrame, name: str, version: str) -> DataFrame:

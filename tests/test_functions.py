@@ -94,3 +94,20 @@ def test_offsets_and_overlaps_against_plain_python(spark):
         if m:
             assert (r["m"]["start"], r["m"]["end"], r["m"]["value"]) == (m.start(), m.end(), m[0].strip())
             assert r["o"] == [k for k, (s, e) in enumerate(spans) if s < m.end() and e > m.start()]
+
+
+def test_code_version(tmp_path, monkeypatch):
+    from pagemill.version import code_version
+
+    monkeypatch.delenv("PAGEMILL_VERSION", raising=False)
+    assert code_version(tmp_path) == "unknown"
+    (tmp_path / ".git").mkdir()
+    (tmp_path / ".git/HEAD").write_text("ref: refs/heads/main\n")
+    (tmp_path / ".git/packed-refs").write_text("# pack\nabc refs/heads/main\n")
+    assert code_version(tmp_path) == "abc"
+    (tmp_path / ".git/HEAD").write_text("def\n")
+    assert code_version(tmp_path) == "def"
+    (tmp_path / "VERSION").write_text("1.2\n")
+    assert code_version(tmp_path) == "1.2"
+    monkeypatch.setenv("PAGEMILL_VERSION", "9")
+    assert code_version(tmp_path) == "9"
