@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,11 +60,21 @@ def nearest(vectors: DataFrame, query: list[float], k: int, key: list[str], embe
     return scored.orderBy(F.col("score").desc(), *key).limit(k)
 
 
-def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, embedding: str = "embedding") -> DataFrame:
-    """The same for every row of ``queries`` (query_key, q), a set of stated size; k rows a query and task are shuffled."""
-    scored = vectors.crossJoin(F.broadcast(queries)).withColumn("score", cosine(F.col(embedding), F.col("q")))
+def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, embedding: str = "embedding", block: int = 4096) -> DataFrame:
+    """The same for every row of ``queries`` (query_key, q), against all rows.
+
+    Queries are taken in blocks of about ``block``, so that what is broadcast does not grow with
+    their number; k rows a query and task are shuffled.
+    """
+    blocks = max(1, -(-queries.count() // block))
     rank = F.row_number().over(Window.partitionBy(query_key).orderBy(F.col("score").desc(), key))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    def best(part: DataFrame) -> DataFrame:
+        scored = vectors.crossJoin(F.broadcast(part)).withColumn("score", cosine(F.col(embedding), F.col("q")))
+        return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+    number = F.pmod(F.xxhash64(query_key), F.lit(blocks))
+    return reduce(DataFrame.unionByName, (best(queries.where(number == i) if blocks > 1 else queries) for i in range(blocks)))
 
 
 def search(request: Request, documents: DataFrame, chunks: DataFrame, embeddings: DataFrame, models: DataFrame) -> DataFrame:

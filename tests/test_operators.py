@@ -156,3 +156,20 @@ def test_envelopes(spark):
     assert {k: (r["error_code"], r["failed_check"]) for k, r in got.items()} == {k: v[1:] for k, v in cases.items()}
     assert got["other"]["ocr_engine"] == "other" and got["good"]["envelope_country"] == "SG" and json.loads(got["nan"]["raw_output"])["Blocks"][1]["Confidence"] == "nan"
     assert parse_exports(files(spark, {"c": cases["country"][0]}), "SG").first()["country_warning"]
+
+
+def test_search_in_blocks(spark):
+    from pagemill.operators.search import cosine, nearest, nearest_each
+
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<double>")
+    queries = vectors.where("id % 10 = 0").selectExpr("id AS query", "embedding AS q")
+    key = lambda df: sorted((r["query"], r["rank"], r["id"]) for r in df.collect())
+    whole = key(nearest_each(vectors, queries, 3, "id", "query"))
+    assert whole == key(nearest_each(vectors, queries, 3, "id", "query", block=5)) and len(whole) == 36
+    size = lambda v: sum(x * x for x in v) ** 0.5
+    score = {i: sum(a * b for a, b in zip(v, rows[0][1], strict=True)) / size(v) / size(rows[0][1]) for i, v in rows}
+    want = sorted(score, key=lambda i: (-score[i], i))[:3]
+    assert [i for q, _, i in whole if q == 0] == want == [r["id"] for r in nearest(vectors, rows[0][1], 3, ["id"]).collect()]
+    assert vectors.select(cosine(F.col("embedding"), F.col("embedding")).alias("c")).where("abs(c - 1) > 1e-9").isEmpty()
