@@ -118,13 +118,14 @@ def grow(x: np.ndarray, y: np.ndarray, n_trees: int = 100, depth: int = 4, rate:
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 20_000, **growth) -> Trees:
     """Fit on labelled documents (labels: doc_id and ``label`` 0 or 1), at most ``max_rows`` of them.
 
-    Which rows count is decided by a hash of doc_id, so the sample is the same at every run.  Null
-    labels and ids, and labels without a document, are left out; with none left, or one class
-    only, the score is constant.
+    Which rows count is decided by a hash of doc_id, so the sample is the same at every run.  Of
+    repeated ids the least label and text count.  Null labels and ids, and labels without a
+    document, are left out; with none left, or one class only, the score is constant.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("y", "text")  # max_rows ids
+    sample = marked.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # max_rows ids
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("r")).select("r.y", "r.text")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

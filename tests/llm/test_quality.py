@@ -61,3 +61,9 @@ def test_awkward_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert score_quality(docs(spark, []), fit_quality(table, none)).collect() == []
     assert all(len(statistics(t)) == len(FEATURES) and np.isfinite(statistics(t)).all() for _, t in AWKWARD)
+
+
+def test_repeated_ids_are_one_row(spark):
+    copies = docs(spark, [(7, "the same text again")] * 300 + [(8, "ok fine")])
+    labels = spark.createDataFrame([(7, 1)] * 50 + [(7, 0), (8, 1)], "doc_id long, quality int")
+    assert abs(fit_quality(copies, labels, n_trees=1).bias) < 1e-9
