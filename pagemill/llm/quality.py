@@ -125,7 +125,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
     sample = marked.groupBy("doc_id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")  # max_rows ids
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("r")).select("r.y", "r.text")
+    if not rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "y")).alias("r")).select("r.y", "r.text")
+    rows = rows.select("y", "text")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
