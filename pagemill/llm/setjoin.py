@@ -1,0 +1,258 @@
+"""Exact near-duplicate search: all pairs of texts whose word-shingle sets have a Jaccard similarity.
+
+Shingles are put into one order for all texts, those known to be frequent last.  Two sets of
+similarity t share a shingle among the first n - ceil(t * n) + 1 of either, so texts are dealt out
+by these and meet where they share one; the sizes of the sets and the places of the shared shingle
+bound the similarity from above and spare most pairs.  What is left is checked on the texts.
+
+Pairs are checked in two rounds.  The first takes neighbours in each group, which connects copies
+of one text; the second takes every pair that could be similar and still lies in two components.
+After it no unchecked pair can connect anything, so the components are those of all pairs.
+
+Texts of one shingle set are one node, named by 64 bits of a 128-bit hash of the set; that these
+bits stand for one set is checked against the others.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialise
+from .components import connected_components
+
+#: Texts that are counted for frequent shingles, and the most such shingles that are sent out.
+SAMPLE, FREQUENT = 20_000, 200_000
+#: Pairs that are tested at once, and members of a group that meet in one task.
+_PAIRS, CROWD = 1 << 20, 20_000
+_EPS = 1e-9
+
+
+def shingle_set(text: str | None, k: int) -> set[bytes]:
+    """Distinct shingles of k words; A-Z are lower-cased, words end at ASCII white space.
+
+    A text of fewer words than a shingle is one shingle.
+    """
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def _hashes(text: str | None, k: int) -> np.ndarray:
+    return np.unique(np.array([xxhash.xxh64_intdigest(s) for s in shingle_set(text, k)], np.uint64))
+
+
+def _typed(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
+def frequent_shingles(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) of the most frequent shingles of a sample, and ranks that grow with their counts."""
+    part = min(1.0, SAMPLE / max(1, texts.count()))
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < math.ceil(part * (1 << 20))).select("text").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(_hashes(t.as_py(), k).view(np.int64))], ["h"])
+
+    top = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
+    hashes, counts = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
+    order = np.argsort(hashes)
+    return hashes[order], np.minimum(255, 8 * np.log2(np.maximum(counts, 1)))[order].astype(np.uint64)
+
+
+def with_prefixes(texts: DataFrame, k: int, similarity: float, seed: int) -> DataFrame:
+    """doc_id, text, id, check (128 bits of the set's hash), n (its size) and its first shingles in order."""
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts, k))
+    names = ["doc_id", "text", "id", "check", "n", "first"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rank = frequent.value
+        for batch in batches:
+            ids, checks, sizes, first = [], [], [], []
+            for t in batch.column(1):
+                h = _hashes(t.as_py(), k)
+                whole = xxhash.xxh3_128_intdigest(h.tobytes(), seed)
+                ids.append(whole >> 65)  # not negative
+                checks.append(whole & (1 << 63) - 1)
+                sizes.append(n := len(h))
+                p = min(n, n - math.ceil(similarity * n - _EPS) + 1)
+                order = h >> np.uint64(8)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    order |= np.where(known[at] == h, rank[at], np.uint64(0)) << np.uint64(56)
+                first.append(np.sort(np.partition(order, p - 1)[:p]).view(np.int64))
+            ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
+            flat = np.concatenate(first) if first else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names)
+
+    return texts.mapInArrow(run, "doc_id long, text string, id long, check long, n int, first array<long>")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], rows: int = 1 << 17) -> Iterator[pa.Table]:
+    """Tables that end where a group does, of batches sorted by ``keys``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        if sum(map(len, held)) < rows:
+            continue
+        t = pa.Table.from_batches(held)
+        other = np.zeros(len(t), bool)
+        for c in keys:
+            column = t.column(c).to_numpy()
+            other |= column != column[-1]
+        last = np.flatnonzero(other)
+        if len(last):
+            cut = last[-1] + 1
+            yield t.slice(0, cut)
+            held = t.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _could(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray, t: float) -> np.ndarray:
+    """If sets of sizes n and m, whose first common shingle has places at and to, can have similarity t."""
+    left = np.minimum(n - at, m - to)
+    return (left >= t / (1 + t) * (n + m) - _EPS) & (np.minimum(n, m) >= t * np.maximum(n, m) - _EPS)
+
+
+def shared_first(prefixes: DataFrame, similarity: float) -> DataFrame:
+    """Members (key, id, n, at) of every group of sets that could have a similar one in it.
+
+    ``before`` is the member's neighbour in the group, if the two could be similar.
+    """
+    dealt = prefixes.select("id", "n", F.posexplode("first").alias("at", "key")).select("key", "id", "n", "at")
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "n", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches, ("key",)):
+            key, id_, n, at = (t.column(c).to_numpy() for c in ("key", "id", "n", "at"))
+            once = _starts(key, id_)  # rows of one set
+            key, id_, n, at = key[once], id_[once], n[once].astype(np.int64), at[once].astype(np.int64)
+            new = _starts(key)
+            begin = np.flatnonzero(new)
+            size = np.diff(np.append(begin, len(key)))
+            least = np.repeat(n[begin], size)  # sorted by n
+            good = (np.repeat(size, size) > 1) & (n - at >= similarity / (1 + similarity) * (n + np.maximum(least, similarity * n)) - _EPS)
+            key, id_, n, at = key[good], id_[good], n[good], at[good]
+            if not len(key):
+                continue
+            before = np.concatenate(([-1], id_[:-1]))
+            near = ~_starts(key)
+            near[1:] &= _could(n[1:], at[1:], n[:-1], at[:-1], similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(id_), pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(before, mask=~near)], ["key", "id", "n", "at", "before"])
+
+    return dealt.mapInArrow(run, "key long, id long, n int, at int, before long")
+
+
+def _pairs_apart(group: np.ndarray, comp: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group and different components, of rows sorted by both.
+
+    Where a group has rows of both sides, 0 and 1, only pairs of two sides count.
+    """
+    begin = np.flatnonzero(_starts(group))
+    end = np.repeat(np.append(begin[1:], len(group)), np.diff(np.append(begin, len(group))))
+    runs = np.flatnonzero(_starts(group, comp))
+    after = np.repeat(np.append(runs[1:], len(group)), np.diff(np.append(runs, len(group))))
+    two = np.repeat(np.minimum.reduceat(side, begin) != np.maximum.reduceat(side, begin), np.diff(np.append(begin, len(group))))
+    todo = np.flatnonzero(end > after)
+    total = np.cumsum(end[todo] - after[todo])
+    a = 0
+    while a < len(todo):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + _PAIRS, side="right")))
+        rows = todo[a:b]
+        many = end[rows] - after[rows]
+        i = np.repeat(rows, many)
+        j = np.repeat(after[rows] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        met = ~two[i] | (side[i] != side[j])
+        yield i[met], j[met]
+        a = b
+
+
+def pairs_apart(members: DataFrame, found: DataFrame, similarity: float, crowd: int = CROWD) -> DataFrame:
+    """Pairs (u, v) that could be similar and lie in two components of ``found`` (node, component).
+
+    Groups of over ``crowd`` members are cut into chunks, and every pair of chunks meets in a task.
+    """
+    placed = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "n", "at", F.coalesce("component", "id").alias("comp"))
+    # at most one in crowd members names such a group
+    big = members.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > crowd).select("key", F.ceil(F.col("c") / crowd).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"), (own > j).cast("int").alias("side")))
+    dealt = placed.join(F.broadcast(big), "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("m", F.explode(meets)).select("key", "m.lo", "m.hi", "m.side", "comp", "id", "n", "at")
+    dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "comp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches, ("key", "lo", "hi")):
+            key, lo, hi, side, comp, id_ = (t.column(c).to_numpy() for c in ("key", "lo", "hi", "side", "comp", "id"))
+            n, at = (t.column(c).to_numpy().astype(np.int64) for c in ("n", "at"))
+            group = np.cumsum(_starts(key, lo, hi))
+            for i, j in _pairs_apart(group, comp, side):
+                good = _could(n[i], at[i], n[j], at[j], similarity)
+                u, v = id_[i[good]], id_[j[good]]
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+
+    return dealt.mapInArrow(run, "u long, v long").distinct()
+
+
+def verified(pairs: DataFrame, prefixes: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Pairs whose texts share at least ``similarity`` of their shingles."""
+    named = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    texts = prefixes.select("id", "text").join(named, "id", "left_semi").dropDuplicates(["id"])
+    both = pairs.join(texts.withColumnsRenamed({"id": "u", "text": "a"}), "u").join(texts.withColumnsRenamed({"id": "v", "text": "b"}), "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
+                x, y = shingle_set(a.as_py(), shingle), shingle_set(b.as_py(), shingle)
+                common = len(x & y)
+                good.append(common >= similarity * (len(x) + len(y) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def similar_components(docs: DataFrame, shingle: int, similarity: float, text: str = "text") -> DataFrame:
+    """(doc_id, component_id) of every row; component_id is the smallest doc_id reachable.
+
+    Rows are linked if their sets of shingles have the similarity, exactly.  Null and empty texts
+    have the empty shingle and are linked like any other.  Rows of one doc_id are one document.
+    Rows with a null doc_id link like others but name no component: theirs is the smallest id they
+    reach, or null if there is none.
+    """
+    texts, seed = _typed(docs, text), 0
+    while True:
+        prefixes = materialise(with_prefixes(texts, shingle, similarity, seed))
+        nodes = prefixes.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+        if nodes.where("lo <> hi").isEmpty():  # else two sets have one id: take others
+            break
+        seed += 1
+    rows = prefixes.select("doc_id", "id")
+    members = materialise(shared_first(prefixes, similarity))
+    first = materialise(members.where("before is not null").select(F.greatest("id", "before").alias("u"), F.least("id", "before").alias("v")).distinct())
+    links = materialise(verified(first, prefixes, shingle, similarity))
+    # a doc_id with several texts links them
+    lead = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("id").alias("v"), F.max("id").alias("most")).where("v <> most")
+    several = rows.join(lead, "doc_id").where("id <> v").select(F.col("id").alias("u"), "v")
+    near = materialise(connected_components(links))
+    second = materialise(pairs_apart(members, near, similarity).join(first, ["u", "v"], "left_anti"))
+    links = links.unionByName(verified(second, prefixes, shingle, similarity)).unionByName(several)
+    found = nodes.join(connected_components(links).withColumnRenamed("node", "id"), "id", "left").select("id", "least", F.coalesce("component", "id").alias("c"))
+    least = found.groupBy("c").agg(F.min("least").alias("component_id"))
+    return rows.join(found.select("id", "c").join(least, "c"), "id").select("doc_id", "component_id")

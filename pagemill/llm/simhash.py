@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, read_table
 from .components import connected_components
+from .setjoin import similar_components
 
 _SURROGATE = 1 << 62
 _ROWS = 1 << 16
@@ -149,13 +150,12 @@ def _link_within(links: Links, group: np.ndarray, other: np.ndarray, width: int,
                 at = at[np.repeat(mixed, np.diff(np.append(begin, len(key))))[at]]
 
 
-def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd: int = 1024, closer: tuple[int, ...] = ()) -> DataFrame:
+def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd: int = 1024) -> DataFrame:
     """Edges (u, v) that connect all of ``nodes`` (node, fp) within ``max_bits`` of each other.
 
     All links are found if ``max_bits`` is less than twice the number of segments; beyond that
     a pair is found if some segment differs by one bit at most.  Edges lead to the smallest node
-    of a group; with ``closer`` distances they are pairs that do lie within ``max_bits``, the
-    closest that connect the group.
+    of a group.
     """
     halves = _halves(lanes, segments)
     widest = max(h[4] for h in halves)
@@ -176,10 +176,7 @@ def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd
         new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
         fps = t.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, lanes)
         node = t.column("node").to_numpy()
-        links = linked(np.cumsum(new), t.column("other").to_numpy(), widest, fps, (*closer, max_bits))
-        if closer:
-            u, v = node[np.array(links.pairs, np.int64).reshape(-1, 2)].T
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+        links = linked(np.cumsum(new), t.column("other").to_numpy(), widest, fps, (max_bits,))
         root = links.root
         least = np.full(len(node), np.iinfo(np.int64).max)
         np.minimum.at(least, root, node)
@@ -207,34 +204,9 @@ def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
-def _shingles(text: str | None, k: int) -> set[bytes]:
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
-
-
-def verified(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float, text: str = "text") -> DataFrame:
-    """Edges whose documents share at least ``similarity`` of their word shingles (Jaccard)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    pairs = edges.join(texts.withColumnsRenamed({"id": "u", "t": "a"}), "u").join(texts.withColumnsRenamed({"id": "v", "t": "b"}), "v")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = _shingles(a.as_py(), shingle), _shingles(b.as_py(), shingle)
-                both = len(x & y)
-                good.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long").distinct()
-
-
-def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segments: int, max_bits: int, similarity: float | None = None, text: str = "text") -> DataFrame:
+def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segments: int, max_bits: int, text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable.
 
-    With ``similarity``, links between different fingerprints are checked on the texts: the
-    closest pairs that connect each group count if their shingles are that similar.
-
     Null and empty texts have the fingerprint zero and are linked like any other.  Rows of one
     doc_id are one document.  Rows with a null doc_id link like others but name no component:
     theirs is the smallest id they reach, or null if there is none.  Other columns are not read.
@@ -242,10 +214,7 @@ def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segment
     prints = materialise(with_fingerprints(docs, shingle, lanes, text=text))
     stand_in = F.lit(_SURROGATE) + F.xxhash64("fp").bitwiseAND(F.lit(_SURROGATE - 1))  # above any real id
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", F.coalesce("node", stand_in).alias("node")))
-    if similarity is None:
-        edges = near_links(nodes, lanes, segments, max_bits)
-    else:
-        edges = verified(materialise(near_links(nodes, lanes, segments, max_bits, closer=(3 * max_bits // 4,))), docs, shingle, similarity, text)
+    edges = near_links(nodes, lanes, segments, max_bits)
     # a doc_id with several texts links their fingerprints
     several = prints.join(nodes, "fp").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     repeated = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
@@ -255,15 +224,14 @@ def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segment
     return prints.join(of_print, "fp").select("doc_id", "fp", F.when(F.col("c") < _SURROGATE, F.col("c")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes: int = 4, segments: int = 4, max_bits: int = 52) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest doc_id.
 
-    256 bits in 16 segments find practically all pairs of a Jaccard similarity of 0.8: the
-    distance of such a pair is about 39 bits, and one of 16 segments differs by a bit at most
-    with a probability over 0.99.  Rows without a doc_id cannot be named as copies and stay; of
-    rows with one doc_id the least text stays.
+    Groups are the components of all pairs whose sets of shingles have the Jaccard similarity;
+    the search is exact (see ``setjoin``).  Rows without a doc_id cannot be named as copies and
+    stay; of rows with one doc_id the least text stays.
     """
-    found = near_duplicate_components(docs, shingle, lanes, segments, max_bits, similarity)
+    found = similar_components(docs, shingle, similarity)
     copies = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(copies, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
     if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():

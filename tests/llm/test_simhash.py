@@ -122,3 +122,26 @@ def test_dropping_awkward_rows(spark):
     got = drop_near_duplicates(docs(spark, rows)).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([AWKWARD[0], AWKWARD[2], AWKWARD[3], AWKWARD[4], AWKWARD[7], AWKWARD[8], rows[-1]], key=str)
     assert drop_near_duplicates(docs(spark, [])).collect() == []
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+
+
+def _kept(spark, texts):
+    return sorted(r["doc_id"] for r in drop_near_duplicates(docs(spark, list(enumerate(texts)))).collect())
+
+
+def test_copies_in_a_crowd_of_one_template(spark):
+    rng = random.Random(12)
+    template, pages, copies = _words(rng, 240), [], []
+    for _ in range(600):
+        pages.append(template + _words(rng, 44))
+    for page in pages[::6]:
+        copy = list(page)
+        for i in rng.sample(range(len(copy)), 6):
+            copy[i] = _words(rng, 1)[0]
+        copies.append(copy)
+    texts = [" ".join(p) for p in pages + copies]
+    assert all(_jaccard(texts[600 + k], texts[6 * k]) >= 0.8 for k in range(100)) and _jaccard(texts[0], texts[1]) < 0.8
+    assert _kept(spark, texts) == list(range(600))
