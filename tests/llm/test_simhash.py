@@ -145,3 +145,12 @@ def test_copies_in_a_crowd_of_one_template(spark):
     texts = [" ".join(p) for p in pages + copies]
     assert all(_jaccard(texts[600 + k], texts[6 * k]) >= 0.8 for k in range(100)) and _jaccard(texts[0], texts[1]) < 0.8
     assert _kept(spark, texts) == list(range(600))
+
+
+def test_unlike_texts_of_one_repeated_line_stay(spark):
+    rng = random.Random(13)
+    line, texts = _words(rng, 11) * 100, []
+    for _ in range(40):
+        texts.append(" ".join(line + _words(rng, 300)))
+    assert len({fingerprint(t, 5, 4).tobytes() for t in texts}) == 1 and _jaccard(texts[0], texts[1]) < 0.1
+    assert _kept(spark, texts) == list(range(40))
