@@ -154,3 +154,26 @@ def test_unlike_texts_of_one_repeated_line_stay(spark):
         texts.append(" ".join(line + _words(rng, 300)))
     assert len({fingerprint(t, 5, 4).tobytes() for t in texts}) == 1 and _jaccard(texts[0], texts[1]) < 0.1
     assert _kept(spark, texts) == list(range(40))
+
+
+def test_copies_of_another_number_of_repeats(spark):
+    rng, texts = random.Random(14), []
+    for _ in range(20):
+        line, own = _words(rng, 11), _words(rng, 100)
+        texts += [" ".join(line * 20 + own), " ".join(line * 2 + own)]
+    assert all(_jaccard(*texts[k : k + 2]) == 1 for k in range(0, 40, 2))
+    assert _kept(spark, texts) == list(range(0, 40, 2))
+
+
+@pytest.mark.parametrize("words", [8, 20, 60])
+def test_every_copy_at_the_least_similarity(spark, words):
+    rng, texts = random.Random(words), []
+    for _ in range(150):
+        page = _words(rng, words)
+        n = words - 4
+        texts += [" ".join(page), " ".join(page + _words(rng, n // 4)), " ".join(page + _words(rng, n // 4 + 1))]
+    assert _jaccard(texts[0], texts[1]) == 0.8 and _jaccard(texts[0], texts[2]) < 0.8
+    pairs = [t for k in range(0, 450, 3) for t in texts[k : k + 2]]
+    assert _kept(spark, pairs) == list(range(0, 300, 2))
+    pairs = [t for k in range(0, 450, 3) for t in texts[k : k + 3 : 2]]
+    assert _kept(spark, pairs) == list(range(300))
