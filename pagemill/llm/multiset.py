@@ -6,9 +6,9 @@ depend on order and paragraphs can be added to or taken from it without the rest
 
 The vector has two parts.  ``exact`` has 16 lanes modulo 2 ** 32 cut from the paragraph's
 SHA-512: equal multisets have equal sums, and unequal ones differ.  ``near`` has 64 lanes modulo
-2 ** 32, packed two to a long, that count the hash bits of the paragraph's phrases; the counts
-give a random projection of the phrase multiset, and the angle between two projections says how
-alike two documents are.  Both parts add up, so edits are incremental in either.
+2 ** 32, packed two to a long, that count the hash bits of the paragraph's overlapping word
+n-grams; the counts give a random projection of the n-gram multiset, and the angle between two
+projections says how alike two documents are.  Both parts add up, so edits are incremental in either.
 
 Everything here is an SQL expression; nothing runs outside the JVM.
 """
@@ -23,9 +23,12 @@ from .common import materialise, read_table, text_or_empty
 EXACT_LANES = 16
 NEAR_WORDS = 32  # longs of two lanes each
 _LOW = 0xFFFFFFFF
-_PAIR = 0x100000001
-#: A phrase ends with its line or after closing punctuation.
-PHRASE = r"(?<=[.!?;:,|])\s+|[\r\n]+"
+_BYTES = 0x0101010101010101
+_BYTE_PAIR = 0xFF000000FF
+_BLOCK = 127  # bits that are counted in a byte; more would reach the sign
+GRAM = 3
+#: Words end at white space; ideographs, kana and Thai letters are words, as are the characters of a run after its first 16.
+WORD = r"\s+|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])|(?<=\S{16})"
 PARAGRAPH = r"[\r\n]+"
 
 
@@ -38,6 +41,13 @@ def _parts(text: Column, pattern: str) -> Column:
     return F.filter(F.transform(F.split(text, pattern), lambda p: F.btrim(p, F.lit(" \t"))), lambda p: p != "")
 
 
+def _grams(paragraph: Column) -> Column:
+    """Hashes of the n-grams of a paragraph; one of fewer words is one n-gram."""
+    words = F.filter(F.split(paragraph, WORD), lambda w: w != "")
+    hashes = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, *(F.get(ws, i + k) for k in range(1, GRAM))))
+    return _let(words, lambda ws: F.slice(hashes(ws), 1, F.greatest(F.lit(1), F.size(ws) - (GRAM - 1))))
+
+
 def _add(a: Column, b: Column) -> Column:
     """Lane-wise sum of two 2-lane longs modulo 2 ** 32; no carry passes from one lane to the other."""
     low = (a.bitwiseAND(F.lit(_LOW)) + b.bitwiseAND(F.lit(_LOW))).bitwiseAND(F.lit(_LOW))
@@ -46,15 +56,21 @@ def _add(a: Column, b: Column) -> Column:
 
 
 def vector(text: Column) -> Column:
-    """struct(exact, near, phrases) of a text; null counts as empty, and empty texts give zeros."""
+    """struct(exact, near, grams) of a text; null counts as empty, and empty texts give zeros."""
     text = F.coalesce(text, F.lit(""))
     digests = F.transform(_parts(text, PARAGRAPH), lambda p: F.sha2(p, 512))
-    hashes = F.transform(_parts(text, PHRASE), lambda p: F.xxhash64(p))
+    hashes = F.flatten(F.transform(_parts(text, PARAGRAPH), _grams))
+
+    def widened(i: int):
+        return lambda a, x: a + F.shiftrightunsigned(x[i % 8], i // 8 * 8).bitwiseAND(F.lit(_BYTE_PAIR))
 
     def lanes(s: Column) -> Column:
         exact = F.transform(F.sequence(F.lit(0), F.lit(EXACT_LANES - 1)), lambda i: F.aggregate(s["d"], F.lit(0).cast("long"), lambda a, d: (a + F.conv(F.substring(d, i * 8 + 1, F.lit(8)), 16, 10).cast("long")).bitwiseAND(F.lit(_LOW))))
-        near = F.transform(F.sequence(F.lit(0), F.lit(NEAR_WORDS - 1)), lambda i: F.aggregate(s["h"], F.lit(0).cast("long"), lambda a, h: a + F.call_function("shiftrightunsigned", h, i).bitwiseAND(F.lit(_PAIR))))
-        return F.struct(exact.alias("exact"), near.alias("near"), F.size(s["h"]).cast("long").alias("phrases"))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(s["h"]) / _BLOCK).cast("int")), lambda b: F.slice(s["h"], b * _BLOCK + 1, _BLOCK))
+        # eight lanes a long while a byte holds them, then two a long
+        counts = F.transform(blocks, lambda h: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a + F.call_function("shiftrightunsigned", x, i).bitwiseAND(F.lit(_BYTES)))))
+        near = _let(counts, lambda c: F.array(*(F.aggregate(c, F.lit(0).cast("long"), widened(i)) for i in range(NEAR_WORDS))))
+        return F.struct(exact.alias("exact"), near.alias("near"), F.size(s["h"]).cast("long").alias("grams"))
 
     return _let(F.struct(digests.alias("d"), hashes.alias("h")), lanes)
 
@@ -63,7 +79,7 @@ def added(a: Column, b: Column) -> Column:
     """Vector of the union of two multisets: insert ``b``'s paragraphs into ``a``."""
     return F.struct(
         F.zip_with(a["exact"], b["exact"], lambda x, y: (x + y).bitwiseAND(F.lit(_LOW))).alias("exact"),
-        F.zip_with(a["near"], b["near"], _add).alias("near"), (a["phrases"] + b["phrases"]).alias("phrases"),
+        F.zip_with(a["near"], b["near"], _add).alias("near"), (a["grams"] + b["grams"]).alias("grams"),
     )
 
 
@@ -72,7 +88,7 @@ def removed(a: Column, b: Column) -> Column:
     negative = F.transform(b["near"], lambda x: F.shiftleft((F.lit(1 << 32) - F.shiftrightunsigned(x, 32)).bitwiseAND(F.lit(_LOW)), 32).bitwiseOR((F.lit(1 << 32) - x.bitwiseAND(F.lit(_LOW))).bitwiseAND(F.lit(_LOW))))
     return F.struct(
         F.zip_with(a["exact"], b["exact"], lambda x, y: (x - y).bitwiseAND(F.lit(_LOW))).alias("exact"),
-        F.zip_with(a["near"], negative, _add).alias("near"), (a["phrases"] - b["phrases"]).alias("phrases"),
+        F.zip_with(a["near"], negative, _add).alias("near"), (a["grams"] - b["grams"]).alias("grams"),
     )
 
 
@@ -86,7 +102,7 @@ def likeness(a: Column, b: Column) -> Column:
     """Cosine of the two projections, at least 0; 1 for equal vectors, 0 if just one is empty."""
 
     def signs(v: Column) -> Column:
-        n = v["phrases"]
+        n = v["grams"]
         return F.concat(F.transform(v["near"], lambda x: (x.bitwiseAND(F.lit(_LOW)) * 2 - n).cast("double")), F.transform(v["near"], lambda x: (F.shiftrightunsigned(x, 32) * 2 - n).cast("double")))
 
     def dot(x: Column, y: Column) -> Column:
@@ -97,7 +113,7 @@ def likeness(a: Column, b: Column) -> Column:
         return F.when(size > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), dot(s["x"], s["y"]) / size))).otherwise(0.0)
 
     value = _let(F.struct(signs(a).alias("x"), signs(b).alias("y")), cosine)
-    return F.when((a["exact"] == b["exact"]) & (a["phrases"] == b["phrases"]), 1.0).otherwise(value)
+    return F.when((a["exact"] == b["exact"]) & (a["grams"] == b["grams"]), 1.0).otherwise(value)
 
 
 def following(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,3 +81,21 @@ def test_equal_multisets_only(spark, texts):
     for a, x in zip(got, bags, strict=True):
         for b, y in zip(got, bags, strict=True):
             assert (a == b) == (x == y)
+
+
+def test_edits_of_texts_without_punctuation(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    texts = []
+    for k in range(20):
+        texts += ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400)), "".join(rng.choice("0123456789abcdefxyz+/") for _ in range(2000)), " ".join(word() for _ in range(300)), " ".join(word() for _ in range(16))]
+    by = [t[: len(t) - len(t) // 4] + texts[(i + 4) % len(texts)][: len(t) // 4] for i, t in enumerate(texts)]
+    rows = spark.createDataFrame([(i, t, e, texts[(i + 4) % len(texts)]) for i, (t, e) in enumerate(zip(texts, by, strict=True))], "i int, t string, e string, o string")
+    v = rows.select("i", *(vector(F.col(c)).alias(c) for c in "teo"))
+    got = v.select("i", likeness(F.col("t"), F.col("e")).alias("edited"), likeness(F.col("t"), F.col("o")).alias("other")).collect()
+    assert all(r["edited"] >= 0.3 and r["edited"] > r["other"] for r in got)
+
+
+def test_lanes_of_many_grams_are_counts(spark):
+    r = spark.createDataFrame([("\n".join(["one more line"] * 700), "one more line")], "t string, o string").select(vector(F.col("t")).alias("t"), vector(F.col("o")).alias("o")).first()
+    assert r["t"]["grams"] == 700 and r["t"]["near"] == [700 * x for x in r["o"]["near"]]
