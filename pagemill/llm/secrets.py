@@ -26,14 +26,17 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# repeated groups are possessive: Java would go one frame deeper for each turn of a greedy one
 ALLOWED = (
-    r"[A-Za-z]+([-_/+=]+[A-Za-z]+)*[-_/+=]*",  # words
-    r"[0-9]+([-_/+=]+[0-9]+)*",  # numbers
+    r"[A-Za-z]+(?:[-_/+=]+[A-Za-z]+)*+[-_/+=]*",  # words
+    r"[0-9]+(?:[-_/+=]+[0-9]+)*+",  # numbers
     r"[-_/+=]+",  # rulers
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
-    r"([a-z]+[0-9]{0,4}[-_/])+[a-z]*[0-9]{0,4}",  # paths and slugs
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
+    r"(?:[a-z]+[0-9]{0,4}[-_/])++[a-z]*[0-9]{0,4}",  # paths and slugs
 )
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Values that a running fold appends to one array, and code points of a piece of text.
+_RUN, _PIECE = 256, 1024
 
 
 @dataclass(frozen=True)
@@ -51,6 +54,25 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _running(values: Column, op, zero: int = 0) -> Column:
+    """array<int> of ``op`` over all values up to each place; in runs, since every append copies its array."""
+
+    def fold(xs: Column) -> Column:
+        start = F.struct(F.lit(zero).alias("last"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, x: _let(op(acc["last"], x), lambda y: F.struct(y.alias("last"), F.array_append(acc["out"], y).alias("out")))
+        return F.aggregate(xs, start, step, lambda acc: acc["out"])
+
+    def joined(runs: Column) -> Column:
+        before = F.concat(F.array(F.lit(zero)), fold(F.transform(runs, lambda r: F.element_at(r, -1))))
+        return F.flatten(F.zip_with(runs, F.slice(before, 1, F.size(runs)), lambda r, b: F.transform(r, lambda x: op(x, b))))
+
+    def runs(xs: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.floor(F.size(xs) / _RUN).cast("int")), lambda r: r * _RUN < F.size(xs))
+        return _let(F.transform(starts, lambda r: fold(F.slice(xs, r * _RUN + 1, _RUN))), joined)
+
+    return _let(values, runs)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """array<struct<start, end, match>> of the matches, in code points.
 
@@ -59,13 +81,9 @@ def _located(text: Column, pattern: str) -> Column:
     """
 
     def walk(p: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.char_length(p["parts"][i])
-            end = start + F.char_length(p["found"][i])
-            return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), p["found"][i].alias("match"))).alias("out"))
-
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(p["found"]) - 1), zero, step, lambda acc: acc["out"])
+        sizes = F.zip_with(F.slice(p["parts"], 1, F.size(p["found"])), p["found"], lambda a, b: F.char_length(a) + F.char_length(b))
+        ends = _running(sizes, lambda a, b: a + b)
+        return F.zip_with(ends, p["found"], lambda end, m: F.struct((end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("match")))
 
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -89,50 +107,50 @@ def base_spans(text: Column) -> Column:
 def window_entropy(s: Column, window: int) -> Column:
     """Largest Shannon entropy (bits a character) of a window of ``window`` characters of ``s``.
 
-    A shorter string is one window.  ``sum`` of c * log2(c) over the counts changes by two terms
-    for each character that enters and two for each that leaves.
+    A shorter string is one window.  The counts of the characters lie side by side in a few longs;
+    one character in and one out change them by a long each, and ``sum`` of c * log2(c) by two
+    terms each.
     """
-    n = F.least(F.lit(window), F.char_length(s))
     gain = F.array(*(F.lit((c + 1) * math.log2(c + 1) - (c * math.log2(c) if c else 0.0)) for c in range(window + 1)))
+    width = window.bit_length()
+    per = 63 // width
+    longs = -(-len(_ALPHABET) // per)
+    # what one character adds to the longs; the last row, of no character, adds nothing
+    ones = F.array(*(F.array(*(F.lit(1 << c % per * width if c // per == k else 0).cast("long") for k in range(longs))) for c in range(len(_ALPHABET) + 1)))
 
-    def code(i: Column) -> Column:
-        return F.instr(F.lit(_ALPHABET), F.substring(s, i, F.lit(1)))
+    def count(counts: Column, c: Column) -> Column:
+        return F.call_function("shiftrightunsigned", F.get(counts, F.floor(c / per).cast("int")), c % per * width).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
-    def entropy(total: Column) -> Column:
-        return F.log2(n.cast("double")) - total / n
+    def step(acc: Column, x: Column, n: Column) -> Column:
+        def moved(y: Column) -> Column:
+            total = acc["sum"] - F.when(x["out"] < len(_ALPHABET), F.get(gain, count(acc["counts"], x["out"]) - 1)).otherwise(0.0) + F.get(gain, count(y, x["in"]))
+            return _let(total, lambda t: F.struct(F.zip_with(y, F.get(ones, x["in"]), lambda a, b: a + b).alias("counts"), t.alias("sum"), F.when(acc["at"] >= n, F.least(acc["least"], t)).otherwise(acc["least"]).alias("least"), (acc["at"] + 1).alias("at")))
 
-    def step(acc: Column, i: Column) -> Column:
-        def moved(x: Column) -> Column:
-            leaves = i > n
-            counts = F.when(leaves, F.transform(acc["counts"], lambda c, k: c - (k == x["out"]).cast("int"))).otherwise(acc["counts"])
-            total = acc["sum"] - F.when(leaves, gain[acc["counts"][x["out"]] - 1]).otherwise(0.0)
-            return _let(F.struct(counts.alias("c"), total.alias("t")), lambda y: entered(y, x))
+        return _let(F.zip_with(acc["counts"], F.get(ones, x["out"]), lambda a, b: a - b), moved)
 
-        def entered(y: Column, x: Column) -> Column:
-            total = y["t"] + gain[y["c"][x["in"]]]
-            counts = F.transform(y["c"], lambda c, k: c + (k == x["in"]).cast("int"))
-            best = F.when(i >= n, F.greatest(acc["best"], entropy(total))).otherwise(acc["best"])
-            return F.struct(counts.alias("counts"), total.alias("sum"), best.alias("best"))
+    def slid(p: Column) -> Column:
+        codes, n = p["codes"], p["n"]
+        leaving = F.concat(F.array_repeat(F.lit(len(_ALPHABET)), n), codes)
+        moves = F.zip_with(codes, F.slice(leaving, 1, F.size(codes)), lambda c, o: F.struct(c.alias("in"), o.alias("out")))
+        zero = F.struct(F.array_repeat(F.lit(0).cast("long"), longs).alias("counts"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"), F.lit(1).alias("at"))
+        return F.aggregate(moves, zero, lambda acc, x: step(acc, x, n), lambda acc: F.log2(n.cast("double")) - acc["least"] / n)
 
-        return _let(F.struct(code(i).alias("in"), F.when(i > n, code(i - n)).otherwise(1).alias("out")), moved)
-
-    zero = F.struct(F.array_repeat(F.lit(0), len(_ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    slid = F.aggregate(F.sequence(F.lit(1), F.char_length(s)), zero, step, lambda acc: acc["best"])
-    return F.when(F.char_length(s) > 0, slid).otherwise(0.0)
+    codes = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
+    whole = F.struct(codes.alias("codes"), F.least(F.lit(window), F.char_length(s)).alias("n"))
+    return F.when(F.char_length(s) > 0, _let(whole, slid)).otherwise(0.0)
 
 
 def entropy_spans(text: Column, base: Column, window: int = 20) -> Column:
-    """Spans of candidates beside the base spans whose fullest window is random enough."""
+    """Spans of candidates in what the base spans leave whose fullest window is random enough."""
 
     def random_enough(m: Column) -> Column:
         s, limit = m["match"], None
         for c in reversed(CLASSES):
             limit = F.lit(c.bits) if limit is None else F.when(s.rlike(f"^(?:{c.pattern})$"), c.bits).otherwise(limit)
-        allowed = s.rlike("^(?:" + "|".join(ALLOWED) + ")$")
-        covered = F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
-        return F.when(allowed | covered, False).otherwise(window_entropy(s, window) >= limit)
+        return F.when(s.rlike("^(?:" + "|".join(ALLOWED) + ")$"), False).otherwise(window_entropy(s, window) >= limit)
 
-    return F.transform(F.filter(_located(text, CANDIDATE), random_enough), lambda m: _span("entropy", m))
+    rest = _replaced(text, base, lambda n, apart: F.repeat(F.lit(" "), n))
+    return _let(rest, lambda t: F.transform(F.filter(_located(t, CANDIDATE), random_enough), lambda m: _span("entropy", m)))
 
 
 def find_secrets(docs: DataFrame, text: str = "text", window: int = 20, names: tuple[str, str] = ("base_spans", "spans")) -> DataFrame:
@@ -151,17 +169,35 @@ def as_string(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
 
 
-def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with the union of the spans replaced; spans are in order of their start."""
+def _replaced(text: Column, spans: Column, by) -> Column:
+    """The text with spans, in order of their start, replaced by ``by(characters that no span before covers, if the span is apart from those)``."""
+
+    def cut(pieces: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / _PIECE).cast("int"), F.floor(end / _PIECE).cast("int")
+        piece = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
+        within = F.substring(piece(first), start % _PIECE + 1, end - start)
+        across = F.concat(F.substring(piece(first), start % _PIECE + 1, F.lit(_PIECE)), F.array_join(F.slice(pieces, first + 2, F.greatest(F.lit(0), last - first - 1)), ""), F.substring(piece(last), F.lit(1), end % _PIECE))
+        return F.when(first == last, within).otherwise(across)
+
+    def built(p: Column) -> Column:
+        at = F.zip_with(spans, F.slice(p["ends"], 1, F.size(spans)), lambda s, e: F.struct(e.alias("from"), s["start"].alias("to"), s["end"].alias("end")))
+
+        def part(x: Column) -> Column:
+            apart = x["to"] >= x["from"]
+            before = F.when(apart, cut(p["pieces"], x["from"], x["to"])).otherwise("")
+            return F.concat(before, by(F.greatest(F.lit(0), x["end"] - F.greatest(x["from"], x["to"])), apart))
 
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, more).otherwise(acc["out"]).alias("out"))
+        rest = cut(p["pieces"], F.element_at(p["ends"], -1), F.char_length(text))
+        return F.concat(F.array_join(F.transform(at, part), ""), rest)
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    built = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    return F.when(F.size(spans) > 0, built).otherwise(text)
+    ends = F.concat(F.array(F.lit(0)), _running(F.transform(spans, lambda s: s["end"]), F.greatest))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(F.struct(pieces.alias("pieces"), ends.alias("ends")), built)).otherwise(text)
+
+
+def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
+    """The text with the union of the spans replaced; spans are in order of their start."""
+    return _replaced(text, spans, lambda n, apart: F.when(apart, mask).otherwise(""))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

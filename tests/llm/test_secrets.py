@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -74,6 +75,32 @@ def test_window_entropy(spark):
         assert abs(r["e"] - (entropy(r["t"], 20) if r["t"] else 0)) < 1e-9
 
 
+def test_long_candidates_and_many_matches(spark):
+    """A million characters of each form; Java's regular expressions go no deeper, and time grows with the length."""
+    rng, n = random.Random(6), 1_000_000
+    base64 = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+    forms = ["ab-" * (n // 3), "1-" * (n // 2), "a1-" * (n // 3), "-=" * (n // 2), base64, "secret" + " " * n, "a" * n, "token=" + "x" * n, ("deadbeef" * 4 + " ") * (n // 33)]
+    for text in [*forms, ("0123456789abcdef" * 2 + "\u00e9") * 100_000]:
+        start = time.monotonic()
+        found = find_secrets(docs(spark, [(1, text)])).withColumn("clean", redact(F.col("text"), F.col("spans")))
+        spans, clean = found.selectExpr("transform(spans, s -> array(s.start, s.kind, s.end))", "clean").first()
+        assert time.monotonic() - start < 10, text[:40]
+        assert [tuple(s) for s in spans if s[1] < 3] == brute(text), text[:40]
+        if text is base64:
+            assert spans == [[0, 3, n]] and clean == "[SECRET]"
+        elif "secret" not in text and not brute(text):
+            assert not spans and clean == text
+
+
+def test_rest_of_a_candidate(spark):
+    """What base spans leave of a candidate is looked at by itself."""
+    random_part = "Zx81kQp0vR7sLm2NwB4tYc9H"
+    texts = [f"key_{'0123456789abcdef' * 2}_{random_part} end", f"token={random_part}", f"{random_part}/{'ab12' * 8}/{random_part}"]
+    for r in find_secrets(docs(spark, list(enumerate(texts)))).collect():
+        got = [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == 3]
+        assert got == [["_" + random_part], [], [random_part + "/", "/" + random_part]][r["doc_id"]]
+
+
 def test_redaction(spark):
     table = docs(spark, [*AWKWARD, *((100 + i, t) for i, t in enumerate(CASES))])
     found = find_secrets(table).withColumn("clean", redact(F.col("text"), F.col("spans")))
