@@ -10,6 +10,7 @@ rank pieces of equal length and look their bin up in the resulting table of rank
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -108,34 +109,45 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> tuple[list[tup
     return runs, bins
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that a ``tokenizers`` file matches in the text before anything else, and their ids."""
+    with open(path, "rb") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError("an added token takes in what stands around it")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 @lru_cache(maxsize=4)
-def _encoder(name: str, pattern: str):
+def _encoder(name: str, pattern: str, added: tuple[tuple[str, int], ...]):
     import tiktoken
 
     with open(name, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
-def tokenised_pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = 2048, end_id: int = 0, added: dict[str, int] | None = None) -> DataFrame:
     """Pieces of every document: pid, doc_id, piece, start, length, ids_crc32, rank.
 
-    ``vocabulary`` is a file of byte-pair ranks and ``pattern`` its pre-token rule.  Every
+    ``vocabulary`` is a file of byte-pair ranks and ``pattern`` its pre-token rule.  Strings of
+    ``added`` have the id given there wherever they stand in a text.  Every
     document gets ``end_id`` at its end, so null and empty texts are one piece of length 1.
     Documents of more than ``capacity`` ids are cut so that only the first piece may be shorter.
     ``rank`` counts pieces of equal length within the task ``pid``.
     """
     schema = "pid int, doc_id long, piece int, start long, length long, ids_crc32 long, rank long"
     names = [f.split()[0] for f in schema.split(", ")]
+    extra = tuple(sorted((added or {}).items()))
     types = [pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, pid = _encoder(vocabulary, pattern).encode_ordinary, TaskContext.get().partitionId()
+        encoder, pid = _encoder(vocabulary, pattern, extra), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "")
+                ids = encoder.encode(text.as_py() or "", allowed_special="all", disallowed_special=())
                 ids.append(end_id)
                 n, raw = len(ids), np.array(ids, "<u4").tobytes()
                 first = n % capacity or capacity
@@ -181,7 +193,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 def pack_documents(docs: DataFrame, capacity: int = 2048) -> DataFrame:
     import public_tokenizers
 
-    return pack(tokenised_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, capacity), capacity)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(tokenised_pieces(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, capacity, added=added), capacity)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

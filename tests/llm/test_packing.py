@@ -69,7 +69,6 @@ def test_tree_finds_the_tightest(open_, at):
 
 def check_packing(rows, texts, capacity=2048):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = {}
     for r in rows:
         got.setdefault(r["doc_id"], []).append(r)
@@ -108,6 +107,6 @@ def test_awkward_rows(spark):
     assert pack_documents(docs(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("text", ["<|endoftext|> is text", "a" * 5000, "日本語 текст ��", "  \n\n\t x"])
+@pytest.mark.parametrize("text", ["<|endoftext|> is text", "a <|endoftext|> b<|endoftext|><|endoftext|>", "<|endoftext|", "  <|endoftext|>  x", "a" * 5000, "日本語 текст ��", "  \n\n\t x"])
 def test_ids_equal_the_tokenizer(spark, text):
     check_packing(pack_documents(docs(spark, [(1, text)])).collect(), [(1, text)])
