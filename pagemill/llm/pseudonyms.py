@@ -3,8 +3,9 @@
 A value is found by its form, validated (Luhn, mod 97, octet and number ranges, the calendar),
 turned into a number of its format's domain and permuted there by a keyed Feistel network with
 cycle walking, then written in the same form with its check digits made anew.  The permutation
-depends on nothing but key and kind, so equal values get equal pseudonyms in every document and
-different values different ones.
+depends on nothing but key, kind and what the form must keep, so equal values get equal pseudonyms
+in every document and in every form (a date in any order, a number with or without its country
+code, spaces, dashes or capitals), and different values different ones.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import datetime
 import hashlib
 import math
 import re
+from bisect import bisect
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,8 +41,10 @@ class Feistel:
         return a, -(-self.size // a)
 
     def _round(self, i: int, value: int) -> int:
-        digest = hashlib.blake2b(f"{self.tweak}/{self.size}/{i}/{value}".encode(), key=self.key[:64], digest_size=32).digest()
-        return int.from_bytes(digest, "big")
+        number = lambda x: x.to_bytes(x.bit_length() // 8 + 1, "big")
+        fields = (self.tweak.encode(), number(self.size), number(i), number(value))
+        message = b"".join(len(f).to_bytes(4, "big") + f for f in fields)
+        return int.from_bytes(hashlib.blake2b(message, key=self.key[:64], digest_size=32).digest(), "big")
 
     def _once(self, x: int, back: bool) -> int:
         a, b = self._halves()
@@ -131,48 +135,94 @@ def _ip(form: str, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
-_FIRST, _DAYS = datetime.date(1800, 1, 1).toordinal(), (datetime.date(2200, 1, 1) - datetime.date(1800, 1, 1)).days
+_YEARS = range(1800, 2200)
+#: A pseudonym stays in its date's class, so that it fits every form of the date and reads in the same order.
+_DAY_CLASSES, _MONTH_CLASSES = (range(1, 10), range(10, 13), range(13, 32)), (range(1, 10), range(10, 13))
+
+
+def _moved_date(year: int, month: int, day: int, key: bytes, back: bool) -> tuple[int, int, int]:
+    """Another date of the same class: month and day keep their number of digits, days above 12 stay above."""
+    months, days = (next(c for c in classes if x in c) for classes, x in ((_MONTH_CLASSES, month), (_DAY_CLASSES, day)))
+    feistel = Feistel(key, f"date/{months[0]}/{days[0]}", len(_YEARS) * len(months) * len(days))
+    at = ((year - _YEARS[0]) * len(months) + month - months[0]) * len(days) + day - days[0]
+    while True:
+        at = feistel.permute(at, back)
+        rest, d = divmod(at, len(days))
+        y, m = divmod(rest, len(months))
+        try:
+            datetime.date(_YEARS[y], months[m], days[d])
+        except ValueError:  # no such day in that month
+            continue
+        return _YEARS[y], months[m], days[d]
 
 
 def _date(form: str, key: bytes, back: bool) -> str | None:
     """Years 1800 to 2199.  Year first, or day first; month first only where day first is no date."""
-    a, b, c = (int(x) for x in re.findall(r"\d+", form))
+    fields = [int(x) for x in re.findall("[0-9]+", form)]
     year_first = form[:4].isdigit()
-    for order in (("y", "m", "d"),) if year_first else (("d", "m", "y"), ("m", "d", "y")):
-        parts = dict(zip(order, (a, b, c), strict=True))
+    for order in ("ymd",) if year_first else ("dmy", "mdy"):
+        parts = dict(zip(order, fields, strict=True))
         try:
-            at = datetime.date(parts["y"], parts["m"], parts["d"]).toordinal() - _FIRST
+            datetime.date(parts["y"], parts["m"], parts["d"])
         except ValueError:
             continue
-        if not 0 <= at < _DAYS:
+        if parts["y"] not in _YEARS:
             return None
-        feistel = Feistel(key, "date" if order[0] != "m" else "date/month-first", _DAYS)
-        while True:
-            at = feistel.permute(at, back)
-            day = datetime.date.fromordinal(at + _FIRST)
-            if order[0] != "m" or day.day > 12:  # stays readable in the same order
-                break
-        new = {"y": day.year, "m": day.month, "d": day.day}
+        new = dict(zip("ymd", _moved_date(parts["y"], parts["m"], parts["d"], key, back), strict=True))
         it = iter(order)
-        return re.sub(r"\d+", lambda m: str(new[k := next(it)]).zfill(4 if k == "y" else 2 if len(m[0]) == 2 else 1), form)
+        return re.sub("[0-9]+", lambda m: str(new[next(it)]).zfill(len(m[0])), form)
     return None
 
 
+# fixed values: country calling codes of one and two digits; all others have three
+_SHORT_CODES = (
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98"
+).split()
+
+
+def _phone(form: str, key: bytes, back: bool) -> str | None:
+    """The part after the country code moves; a number without one counts as one of country code 1."""
+    digits = _digits(form)
+    if not 8 <= len(digits) <= 15:
+        return None
+    code = next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3]) if form[0] == "+" else ""
+    body = digits[len(code) :]
+    if len(body) < 4:
+        return None
+    moved = Feistel(key, f"phone/{code or 1}", 10 ** len(body)).permute(int(body), back)
+    return _refill(form, code + str(moved).zfill(len(body)))
+
+
+_LETTERS, _BLOCK = "abcdefghijklmnopqrstuvwxyz", 32
+
+
 def _email(form: str, key: bytes, back: bool) -> str | None:
-    """Letters and digits of the local part move within their class; the domain stays."""
+    """Letters and digits of the local part move within their class, capitals stay in place; the domain stays.
+
+    Characters move in blocks of 32, each under the plain blocks before it.
+    """
     local, _, domain = form.rpartition("@")
-    out = local
-    for name, letters in (("lower", "abcdefghijklmnopqrstuvwxyz"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digit", "0123456789")):
-        places = [i for i, c in enumerate(local) if c in letters]
-        if places:
+    out = list(local)
+    for name, alphabet in (("letter", _LETTERS), ("digit", "0123456789")):
+        places = [i for i, c in enumerate(local) if c.lower() in alphabet]
+        before = hashlib.blake2b(f"{name}/{len(places)}/{domain.lower()}".encode(), digest_size=16)
+        for a in range(0, len(places), _BLOCK):
+            block = places[a : a + _BLOCK]
+            old = [alphabet.index(local[i].lower()) for i in block]
             value = 0
-            for i in places:
-                value = value * len(letters) + letters.index(local[i])
-            value = Feistel(key, f"email/{name}/{domain.lower()}", len(letters) ** len(places)).permute(value, back)
-            for i in reversed(places):
-                value, c = divmod(value, len(letters))
-                out = out[:i] + letters[c] + out[i + 1 :]
-    return f"{out}@{domain}"
+            for x in old:
+                value = value * len(alphabet) + x
+            value = Feistel(key, f"email/{before.hexdigest()}", len(alphabet) ** len(block)).permute(value, back)
+            new = []
+            for _ in block:
+                value, x = divmod(value, len(alphabet))
+                new.append(x)
+            new.reverse()
+            before.update(bytes(new if back else old))
+            for i, x in zip(block, new, strict=True):
+                out[i] = alphabet[x].upper() if local[i].isupper() else alphabet[x]
+    return f"{''.join(out)}@{domain}"
 
 
 def _valid_ssn(d: str) -> bool:
@@ -187,8 +237,8 @@ KINDS: dict[str, tuple[str, Coder]] = {
     "date": (rf"{_NO_WORD_BEFORE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}|[0-9]{{1,2}}([/.-])[0-9]{{1,2}}\1[0-9]{{4}}){_NO_WORD_AFTER}", _date),
     "ip": (rf"{_NO_WORD_BEFORE}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{_NO_WORD_AFTER}", _ip),
     "ssn": (rf"{_NO_WORD_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_NO_WORD_AFTER}", _numbers("ssn", _valid_ssn)),
-    "phone": (r"(?<![\w.-])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])", _numbers("phone", lambda d: 10 <= len(d) <= 13)),
-    "intl_phone": (r"(?<![\w.-])\+[0-9]{1,3}(?:[\x20.-]?[0-9]{2,4}){2,5}(?![\w-])", _numbers("intl_phone", lambda d: 8 <= len(d) <= 15, 1)),
+    "phone": (r"(?<![\w.-])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![\w-])", _phone),
+    "intl_phone": (r"(?<![\w.-])\+[0-9]{1,3}(?:[\x20.-]?[0-9]{2,4}){2,5}(?![\w-])", _phone),
     "card": (rf"{_NO_WORD_BEFORE}[0-9](?:[\x20-]?[0-9]){{12,18}}{_NO_WORD_AFTER}", _card),
 }
 _FORMS = {kind: re.compile(form, re.ASCII) for kind, (form, _) in KINDS.items()}
@@ -205,14 +255,19 @@ def pseudonymise_text(text: str, key: bytes, back: bool = False) -> tuple[str, d
     counts: dict[str, int] = {}
     if not _ANY.search(text):
         return text, counts
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order; matches of one kind do not overlap
     for kind, form in _FORMS.items():
+        found = []
         for m in form.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b, _ in taken) and (new := _coded(kind, m[0], key, back)) is not None:
-                taken.append((m.start(), m.end(), new))
-                counts[kind] = counts.get(kind, 0) + 1
+            i = bisect(taken, m.start(), key=lambda t: t[0])
+            free = (not i or taken[i - 1][1] <= m.start()) and (i == len(taken) or taken[i][0] >= m.end())
+            if free and (new := _coded(kind, m[0], key, back)) is not None:
+                found.append((m.start(), m.end(), new))
+        if found:
+            counts[kind] = len(found)
+            taken = sorted(taken + found)
     out, at = [], 0
-    for a, b, new in sorted(taken):
+    for a, b, new in taken:
         out += [text[at:a], new]
         at = b
     return "".join([*out, text[at:]]), counts
@@ -222,7 +277,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """Replace ``text`` and add ``pseudonyms``, a map of kind to count.
 
     Null texts stay null with an empty map, texts without values are unchanged, equal rows get
-    equal results; a column named ``pseudonyms`` is replaced, others pass through.  Values that fail validation are left alone.
+    equal results, values may be of any length; a column named ``pseudonyms`` is replaced, others pass through.  Values that fail validation are left alone.
     """
     docs = without(docs, "pseudonyms")
     names = docs.columns
