@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .common import read_table, shared_dir
 
 CRLF = "\r\n"
+#: Holds the UTF-8 of a URL with control characters, blanks or line separators in Base64.
+EXACT_URL = "X-Exact-Target-URI"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -25,6 +27,16 @@ def _field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value)
 
 
+#: Characters that stand percent-encoded in a header line; the exact URL is kept beside it.
+_UNSAFE = r"[\x00-\x20\x7F-\xA0\u2028\u2029\uFEFF]"
+
+
+def _header_url(url: Column) -> Column:
+    encoded = lambda c: F.regexp_replace(F.hex(F.encode(c, "utf-8")), "(..)", "%$1")
+    spelt = F.array_join(F.transform(F.split(url, ""), lambda c: F.when(c.rlike(_UNSAFE), encoded(c)).otherwise(c)), "")
+    return F.when(url.rlike(_UNSAFE), spelt).otherwise(url)
+
+
 def _record_id(page: Column, copy: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), copy.cast("string"), F.lit(">"))
 
@@ -32,7 +44,8 @@ def _record_id(page: Column, copy: Column) -> Column:
 def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 1000, date: str = "1970-01-01T00:00:00Z") -> None:
     """Write ``path/headers`` and ``path/payloads`` for pages (page_id, url, html).
 
-    Null html is an empty payload, a null url leaves out its header line.  Of equal payloads of
+    Null html is an empty payload, a null url leaves out its header line, and a url of any
+    characters is read back as it was.  Of equal payloads of
     at least ``min_revisit_bytes`` the largest page_id (null counts as smallest; of repeated
     rows the first url, then the first copy) is the response and the others revisit it.  Other
     columns of the input are not read.
@@ -55,7 +68,8 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 1000, da
     block = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("n_bytes"))
     warc = _lines(
         F.lit("WARC/1.1"), _field("WARC-Type", F.when(revisit, "revisit").otherwise("response")), _field("WARC-Record-ID", own), _field("WARC-Date", F.lit(date)),
-        _field("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]+", "%0A")), _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        _field("WARC-Target-URI", _header_url(F.col("url"))), F.when(F.col("url").rlike(_UNSAFE), _field(EXACT_URL, F.translate(F.base64(F.encode("url", "utf-8")), CRLF, ""))),
+        _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, _field("WARC-Refers-To", of)), F.when(revisit, F.lit(f"WARC-Profile: {REVISIT_PROFILE}")),
         F.lit("Content-Type: application/http;msgtype=response"), _field("Content-Length", block.cast("string")),
     )
@@ -71,10 +85,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(f"{path}/payloads")
     checked = F.when(F.sha2("payload", 256) == F.col("sha256"), F.sha1("payload")).otherwise(F.raise_error(F.concat(F.lit("payload does not match its digest "), F.col("sha256"))))
     stored = stored.select("sha256", checked.alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload")
-    text = F.decode("header", "utf-8")
-    said = lambda name: F.nullif(F.regexp_extract(text, rf"(?m)^{name}: ([^\r\n]*)", 1), F.lit(""))
-    page = lambda name: F.nullif(F.regexp_extract(text, rf"(?m)^{name}: <urn:page:([^:]*):", 1), F.lit("")).try_cast("long")
-    headers = spark.read.parquet(f"{path}/headers").select("header", "sha256", page("WARC-Record-ID").alias("page_id"), said("WARC-Target-URI").alias("url"), said("WARC-Type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"), said("WARC-Payload-Digest").alias("_said"))
+    lines = F.split(F.substring_index(F.decode("header", "utf-8"), CRLF + CRLF, 1), CRLF)
+
+    def said(name: str) -> Column:
+        """The rest of the header's line of this name, null if it has none."""
+        return F.substring(F.get(F.filter("_lines", lambda line: line.startswith(f"{name}: ")), F.lit(0)), len(name) + 3, 1 << 30)
+
+    page = lambda name: F.regexp_extract(said(name), "^<urn:page:([^:]*):", 1).try_cast("long")
+    url = F.coalesce(F.decode(F.unbase64(said(EXACT_URL)), "utf-8"), said("WARC-Target-URI"))
+    headers = spark.read.parquet(f"{path}/headers").withColumn("_lines", lines)
+    headers = headers.select("header", "sha256", page("WARC-Record-ID").alias("page_id"), url.alias("url"), said("WARC-Type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"), said("WARC-Payload-Digest").alias("_said"))
     joined = headers.join(stored, "sha256")
     agreed = F.when(F.concat(F.lit("sha1:"), F.col("payload_digest")) == F.col("_said"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record's header and its payload differ")))
     block = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))

@@ -45,6 +45,20 @@ def test_round_trip(spark):
     assert sum(r["record_type"] == "revisit" for r in rows if r["page_id"] == 7) == 1
 
 
+def test_any_url_comes_back(spark):
+    """Control characters and line separators neither forge fields nor get lost."""
+    forged = ["\u0085WARC-Payload-Digest: sha1:00", "\u2028WARC-Refers-To: <urn:page:999:x>", "\r\nWARC-Refers-To: <urn:page:999:x>\r\n\r\nbody", "http://x/\r\n\r\n"]
+    urls = [None, "", " ", "http://é/%0A?a=b%20c", "http://a/ b", "x" * 100_000, *forged, *(f"http://a/{chr(c)}b{chr(c)}" for c in [*range(1, 33), 0, 127, *range(128, 161), 0x2028, 0x2029, 0xFEFF, 0x3000])]
+    pages = [(i, u, BIG if i % 2 else "small") for i, u in enumerate(urls)]
+    rows = archive(spark, pages).collect()
+    assert {r["page_id"]: r["url"] for r in rows} == dict(enumerate(urls)) and len(rows) == len(urls)
+    last = max(i for i, _, _ in pages if i % 2)
+    for r in rows:
+        fields, _ = parse(bytes(r["record"]))
+        assert fields[b"WARC-Record-ID"].startswith(b"<urn:page:%d:" % r["page_id"])
+        assert r["refers_to"] == (last if r["page_id"] % 2 and r["page_id"] != last else None)
+
+
 def test_payloads_are_stored_once(spark):
     path = shared_dir(spark)
     write_archive(spark.createDataFrame(PAGES, "page_id long, url string, html string"), path)
