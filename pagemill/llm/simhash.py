@@ -1,52 +1,47 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-A fingerprint is one or more lanes of 64 bits; each lane is cut into so few segments that two
-fingerprints within the distance asked for differ by at most one bit in some segment.  Such a
-segment is equal after one bit of it is struck out of both.  The bit struck out lies in one half
-of the segment, so the other half is equal as it stands: fingerprints are dealt out by (segment,
-exact half), two rows a segment instead of one for every bit, and within a group the
-one-wildcard variants of the other half are indexed by sorting and joined on equality.  Every
-candidate is verified on the whole fingerprint.
-
-Groups emit one edge a member (to the smallest member it is linked with), never their pairs.
-There are a bounded number of (segment, half) keys; their exact counts decide into how many
-chunks a crowded one is split, and every pair of its chunks meets in a task of its own.
+A fingerprint is cut into so few segments that two fingerprints within the distance asked for
+differ by at most one bit in some segment.  Such a segment is equal after one bit of it is struck
+out of both.  The bit struck out lies in one half of the segment, so the other half is equal as it
+stands: fingerprints are dealt out by (segment, exact half), two rows a segment instead of one for
+every bit, and within a group the one-wildcard variants of the other half are indexed and joined
+on equality (``variants``).  Every candidate is verified, on the whole fingerprint or on the texts.
+
+Near-duplicate texts by the similarity of their shingle sets are found the same way.  A set has a
+fingerprint of as many bits as the number of texts and the similarity ask for: segments grow with
+the logarithm of the texts, so that a text meets about as many strangers in any corpus, and there
+are so many segments that a pair of just the similarity differs by more than one bit in all of
+them with a probability below ``missed``.  Fingerprints of few shingles are coarse; sets of at
+most ``FEW`` are met exactly, by their smallest hashes.
+
+Candidates are verified on the texts, in three rounds.  First the nearest candidate of every text,
+which connects most copies; then the other edges of the candidates' forests that still cross two
+components and that the parity of the sets' hashes does not rule out.  Where a forest edge was refused, other pairs of its components may still be similar:
+in the third round all of them meet again and are verified the same way.  After it no candidate that crosses two components is unverified.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, read_table
 from .components import connected_components
-from .setjoin import similar_components
+from .variants import CROWD, Near, across, deal, forest, majority
 
 _SURROGATE = 1 << 62
-_ROWS = 1 << 16
-
-
-def _majority(shingles: list[bytes], lanes: int, seed: int) -> np.ndarray:
-    """Bit i of a lane is set if over half of the hashes have it."""
-    first = np.array([xxhash.xxh64_intdigest(s, seed) for s in shingles], np.uint64)
-    hashes = np.empty((len(first), lanes), np.uint64)
-    hashes[:, 0] = first
-    for lane in range(1, lanes):  # further lanes are mixed from the first
-        z = first + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        hashes[:, lane] = z ^ (z >> np.uint64(31))
-    total = np.zeros(64 * lanes, np.int64)
-    for a in range(0, len(hashes), 255 * 64):  # sums of 255 rows fit a byte
-        bits = np.unpackbits(hashes[a : a + 255 * 64].view(np.uint8), axis=1, bitorder="little")
-        for b in range(0, len(bits), 255):
-            total += np.add.reduce(bits[b : b + 255], axis=0, dtype=np.uint8)
-    return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
+#: Sets of at most so many shingles are met exactly.
+FEW = 64
+#: Lanes of the fingerprint by which candidates are checked, and bits of the parity of a set's hashes.
+_LANES, _PARITY = 2, 1024
+_EPS = 1e-9
 
 
 def fingerprint(text: str | None, shingle: int, lanes: int = 1, seed: int = 42) -> np.ndarray:
@@ -60,7 +55,8 @@ def fingerprint(text: str | None, shingle: int, lanes: int = 1, seed: int = 42)
         return np.zeros(lanes, np.uint64)
     space = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     start, end = [0, *(space + 1).tolist()], [*space.tolist(), len(joined)]
-    return _majority([joined[s:e] for s, e in zip(start, end[shingle - 1 :], strict=False)] or [joined], lanes, seed)
+    shingles = [joined[s:e] for s, e in zip(start, end[shingle - 1 :], strict=False)] or [joined]
+    return majority(np.array([xxhash.xxh64_intdigest(x, seed) for x in shingles], np.uint64), lanes)
 
 
 def with_fingerprints(docs: DataFrame, shingle: int, lanes: int = 1, seed: int = 42, text: str = "text") -> DataFrame:
@@ -76,132 +72,16 @@ def with_fingerprints(docs: DataFrame, shingle: int, lanes: int = 1, seed: int =
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp array<long>")
 
 
-def _halves(lanes: int, segments: int) -> list[tuple[int, int, int, int, int]]:
-    """(lane, first bit and width of the exact half, first bit and width of the other half)."""
-    out = []
-    for lane in range(lanes):
-        cuts = [64 * k // segments for k in range(segments + 1)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            mid = (a + b) // 2
-            out += [(lane, a, mid - a, mid, b - mid), (lane, mid, b - mid, a, mid - a)]
-    return out
-
-
-def _bits(fp: Column, lane: int, at: int, width: int) -> Column:
-    return F.shiftrightunsigned(fp[lane], at).bitwiseAND(F.lit((1 << width) - 1))
-
-
-class Links:
-    """Union of linked rows of one batch of groups, and the pairs that made it (a spanning forest)."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-        self.root = np.arange(n)
-        self.pairs: list[tuple[int, int]] = []
-
-    def find(self, a: int) -> int:
-        while self.parent[a] != a:
-            self.parent[a] = self.parent[self.parent[a]]
-            a = self.parent[a]
-        return a
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        apart = self.root[a] != self.root[b]
-        for i, j in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
-            if (x := self.find(i)) != (y := self.find(j)):
-                self.parent[max(x, y)] = min(x, y)
-                self.pairs.append((i, j))
-        if apart.any():
-            up = np.array(self.parent)
-            while (up[up] != up).any():
-                up = up[up]
-            self.root = up
-
-
-def linked(group: np.ndarray, other: np.ndarray, width: int, fps: np.ndarray, bands: tuple[int, ...]) -> Links:
-    """Rows of a group are linked where their variants meet and their fingerprints verify.
-
-    With several ``bands`` (ascending distances) closer rows are linked first, so that the
-    forest is made of near pairs; the links are those of the last band either way.
-    """
-    links = Links(len(group))
-    for band in bands:
-        _link_within(links, group, other, width, fps, band)
-    return links
-
-
-def _link_within(links: Links, group: np.ndarray, other: np.ndarray, width: int, fps: np.ndarray, max_bits: int) -> None:
-    for bit in range(width):
-        key = (group << 32) | (other & ~(1 << bit))
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        at, step = np.flatnonzero(key[:-1] == key[1:]), 1
-        while len(at):
-            a, b = order[at], order[at + step]
-            near = np.bitwise_count(fps[a] ^ fps[b]).sum(1) <= max_bits
-            links.join(a[near], b[near])
-            step += 1
-            at = at[at + step < len(key)]
-            at = at[key[at] == key[at + step]]
-            if step & 15 == 0 and len(at):  # runs that are one component already need no more
-                begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                root = links.root[order]
-                mixed = np.minimum.reduceat(root, begin) != np.maximum.reduceat(root, begin)
-                at = at[np.repeat(mixed, np.diff(np.append(begin, len(key))))[at]]
-
-
-def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd: int = 1024) -> DataFrame:
+def near_links(nodes: DataFrame, lanes: int, segments: int, max_bits: int, crowd: int = CROWD) -> DataFrame:
     """Edges (u, v) that connect all of ``nodes`` (node, fp) within ``max_bits`` of each other.
 
-    All links are found if ``max_bits`` is less than twice the number of segments; beyond that
-    a pair is found if some segment differs by one bit at most.  Edges lead to the smallest node
-    of a group.
+    Each lane is cut into ``segments``.  All links are found if ``max_bits`` is less than twice the
+    number of segments; beyond that a pair is found if some segment differs by one bit at most.
     """
-    halves = _halves(lanes, segments)
-    widest = max(h[4] for h in halves)
-    keys = F.array(*(F.struct((_bits(F.col("fp"), lane, a, w) + F.lit(k << 32)).alias("key"), _bits(F.col("fp"), lane, b, v).alias("other")) for k, (lane, a, w, b, v) in enumerate(halves)))
-    dealt = nodes.select("node", "fp", F.explode(keys).alias("k")).select("node", "fp", "k.key", "k.other")
-    counts = {r["key"]: r["n"] for r in dealt.groupBy("key").agg(F.count("*").alias("n")).collect()}  # at most 2 ** width keys a half
-    cap = max(crowd, 2 * sum(counts.values()) // max(1, len(counts)))
-    crowded = [(k, -(-n // cap)) for k, n in counts.items() if n > cap]
-    table = nodes.sparkSession.createDataFrame(crowded, "key long, chunks int")
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi")))
-    dealt = dealt.join(F.broadcast(table), "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("m", F.explode(meets)).select("node", "fp", "other", "key", "m.lo", "m.hi")
-    dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-
-    def unit(t: pa.Table) -> pa.RecordBatch:
-        key, lo, hi = (t.column(c).to_numpy() for c in ("key", "lo", "hi"))
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        fps = t.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, lanes)
-        node = t.column("node").to_numpy()
-        links = linked(np.cumsum(new), t.column("other").to_numpy(), widest, fps, (max_bits,))
-        root = links.root
-        least = np.full(len(node), np.iinfo(np.int64).max)
-        np.minimum.at(least, root, node)
-        far = node != least[root]
-        return pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(least[root][far])], ["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            held.append(batch)
-            if sum(map(len, held)) < _ROWS:
-                continue
-            t = pa.Table.from_batches(held)
-            key, lo, hi = (t.column(c).to_numpy() for c in ("key", "lo", "hi"))
-            last = np.flatnonzero((key != key[-1]) | (lo != lo[-1]) | (hi != hi[-1]))
-            if len(last):  # the group that the batch ends in stays for the next
-                cut = last[-1] + 1
-                yield unit(t.slice(0, cut))
-                held = t.slice(cut).to_batches()
-        if held:
-            yield unit(pa.Table.from_batches(held))
-
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    cuts = [(lane, 64 * k // segments, 64 * (k + 1) // segments) for lane in range(lanes) for k in range(segments)]
+    segs = F.array(*(F.shiftrightunsigned(F.col("fp")[lane], a).bitwiseAND(F.lit((1 << b - a) - 1)).cast("int") for lane, a, b in cuts))
+    width = max(b - a for _, a, b in cuts)
+    return forest(deal(nodes.select("node", F.lit(1).alias("n"), F.col("fp").alias("sketch"), segs.alias("segs")), width, crowd), width, Near(lanes, max_bits)).select("u", "v")
 
 
 def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segments: int, max_bits: int, text: str = "text") -> DataFrame:
@@ -224,12 +104,169 @@ def near_duplicate_components(docs: DataFrame, shingle: int, lanes: int, segment
     return prints.join(of_print, "fp").select("doc_id", "fp", F.when(F.col("c") < _SURROGATE, F.col("c")).alias("component_id"))
 
 
+@lru_cache(maxsize=32)
+def shingle_set(text: str | None, k: int) -> frozenset[bytes]:
+    """Distinct shingles of k words; A-Z are lower-cased, words end at ASCII white space.
+
+    A text of fewer words than a shingle is one shingle.
+    """
+    words = (text or "").encode().lower().split()
+    return frozenset(b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
+
+
+def differing_share(similarity: float) -> float:
+    """Share of bits that differ in fingerprints of two large sets; equal sizes differ most."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def segment_plan(rows: int, similarity: float, missed: float = 1e-4) -> tuple[int, int]:
+    """Width and number of segments for a table of so many rows."""
+    width, p = min(24, max(12, max(1, rows - 1).bit_length() - 3)), differing_share(similarity)
+    within_one = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    return width, math.ceil(math.log(missed) / math.log1p(-within_one))
+
+
+def candidate_bits(similarity: float) -> int:
+    """Bits of the checked lanes that a pair of the similarity exceeds with a probability of about 3e-7."""
+    p, n = differing_share(similarity), 64 * _LANES
+    return math.ceil(p * n + 5 * math.sqrt(p * (1 - p) * n))
+
+
+def described(texts: DataFrame, k: int, similarity: float, width: int, segments: int, seed: int) -> DataFrame:
+    """Every row with its set's name (id, check: 126 bits of its hash), size, sketch, segments and smallest hashes."""
+    lanes = _LANES + -(-segments * width // 64)
+    names = ["doc_id", "t1", "t2", "id", "check", "n", "sketch", "segs", "least"]
+    weights = 1 << np.arange(width, dtype=np.int64)
+
+    def lists(arrays: list[np.ndarray], kind: type) -> pa.ListArray:
+        ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).astype(kind) if arrays else np.zeros(0, kind)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, checks, sizes, sketches, segs, least = [], [], [], [], [], []
+            for t in batch.column(3):
+                h = np.unique(np.array([xxhash.xxh64_intdigest(s) for s in shingle_set(t.as_py(), k)], np.uint64))
+                whole, n = xxhash.xxh3_128_intdigest(h.tobytes(), seed), len(h)
+                ids.append(whole >> 65)  # not negative
+                checks.append(whole & (1 << 63) - 1)
+                sizes.append(n)
+                fp = majority(h, lanes)
+                odd = np.packbits(np.bincount((h >> np.uint64(54)).astype(np.int64), minlength=_PARITY) & 1, bitorder="little").view(np.int64)
+                sketches.append(np.concatenate((fp[:_LANES].view(np.int64), odd)))
+                bits = np.unpackbits(fp[_LANES:].view(np.uint8), bitorder="little")[: segments * width]
+                segs.append(bits.reshape(segments, width) @ weights if n > FEW else np.zeros(0, np.int64))
+                least.append(h[: n - math.ceil(similarity * n - _EPS) + 1].view(np.int64) if similarity * n <= FEW else np.zeros(0, np.int64))
+            arrays = [pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), pa.array(sizes, pa.int32()), lists(sketches, np.int64), lists(segs, np.int32), lists(least, np.int64)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names)
+
+    return texts.mapInArrow(run, "doc_id long, t1 long, t2 long, id long, check long, n int, sketch array<long>, segs array<int>, least array<long>")
+
+
+def _sent(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """Broadcast if the table has at most so many rows, otherwise left to the optimiser."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Pairs (u, v) whose ``texts`` (id, text) share at least ``similarity`` of their shingles."""
+    both = pairs.select("u", "v").join(texts.withColumnsRenamed({"id": "v", "text": "b"}), "v").join(texts.withColumnsRenamed({"id": "u", "text": "a"}), "u")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
+                x, y = shingle_set(a.as_py(), k), shingle_set(b.as_py(), k)
+                common = len(x & y)
+                good.append(common >= similarity * (len(x) + len(y) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that sizes and parities do not rule out (see ``Near``)."""
+    both = pairs.select("u", "v")
+    for end in ("u", "v"):
+        both = both.join(nodes.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.slice("sketch", _LANES + 1, _PARITY // 64).alias(f"p{end}")), end)
+    apart = F.aggregate(F.zip_with("pu", "pv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
+    sizes = F.least("nu", "nv") >= similarity * F.greatest("nu", "nv") - _EPS
+    return both.where(sizes & (apart <= (1 - similarity) / (1 + similarity) * (F.col("nu") + F.col("nv")) + _EPS)).select("u", "v")
+
+
+def _crossing(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges whose ends lie in two components of ``found`` (node, component), with these, cu and cv."""
+    found = _sent(found)
+    for end in ("u", "v"):
+        edges = edges.join(found.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    return edges.where("cu <> cv")
+
+
+def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, text: str = "text", missed: float = 1e-4) -> DataFrame:
+    """(doc_id, component_id) of every row; component_id is the smallest doc_id reachable.
+
+    Rows are linked if their sets of shingles have the similarity; no pair below it links, one of
+    just the similarity is not seen with a probability of ``missed``, closer ones far less often.
+    Null and empty texts have the empty shingle and are linked like any other.  Rows of one doc_id
+    are one document.  Rows with a null doc_id link like others but name no component: theirs is
+    the smallest id they reach, or null if there is none.
+    """
+    typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    typed = typed.select("doc_id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+    (width, segments), seed = segment_plan(docs.count(), similarity, missed), 0
+    while True:
+        rows = materialise(described(typed, shingle, similarity, width, segments, seed))
+        facts = [F.any_value(c).alias(c) for c in ("n", "sketch", "segs", "least")]
+        nodes = rows.groupBy(F.col("id").alias("node")).agg(F.min("doc_id").alias("first"), F.min("check").alias("lo"), F.max("check").alias("hi"), F.min(F.struct("t1", "t2")).alias("t"), *facts)
+        nodes = materialise(nodes)
+        if nodes.where("lo <> hi").isEmpty():  # else two sets have one name: take others
+            break
+        seed += 1
+
+    few, many = Near(0, 0, similarity), Near(_LANES, candidate_bits(similarity), similarity)
+    coarse = F.slice("sketch", 1, _LANES).alias("sketch")
+    parity = F.slice("sketch", _LANES + 1, _PARITY // 64).alias("sketch")
+    by_least = lambda df, *more: df.where(F.size("least") > 0).select("node", "n", parity, F.col("least").alias("segs"), *more)
+    by_segment = lambda df, sketch, *more: df.where(F.size("segs") > 0).select("node", "n", sketch, "segs", *more)
+    edges = materialise(forest(deal(by_segment(nodes, coarse), width), width, many).unionByName(forest(deal(by_least(nodes), 0), 0, few)).groupBy("u", "v").agg(F.min("d").alias("d")))
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = materialise(nodes.select("node", "t.t1", "t.t2").join(ends, "node", "left_semi"))
+    texts = typed.join(_sent(wanted), ["t1", "t2"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
+    texts = materialise(texts)
+
+    check = lambda pairs: materialise(verified(pairs, texts, shingle, similarity))
+    closest = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.struct("d", "u", "v").alias("e")), F.struct(F.col("v").alias("node"), F.struct("d", "u", "v").alias("e")))).alias("x"))
+    closest = closest.groupBy("x.node").agg(F.min("x.e").alias("e")).select("e.u", "e.v").distinct()
+    links = [check(closest)]
+    found = materialise(connected_components(links[0]))
+    links.append(check(_possible(_crossing(edges, found).join(closest, ["u", "v"], "left_anti"), nodes, similarity)))
+    if not links[1].isEmpty():
+        found = materialise(connected_components(links[0].unionByName(links[1])))
+
+    refused = materialise(_crossing(edges, found))
+    open_ = refused.select(F.explode(F.array("cu", "cv")).alias("comp")).distinct()
+    placed = nodes.join(_sent(found).withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = materialise(placed.join(_sent(open_), "comp", "left_semi").select("node", "n", "sketch", "segs", "least", "comp"))
+    pairs = across(deal(by_segment(placed, F.col("sketch"), "comp"), width), width, many).unionByName(across(deal(by_least(placed, "comp"), 0), 0, few)).distinct()
+    links.append(check(pairs.join(refused.select("u", "v"), ["u", "v"], "left_anti")))
+
+    # a doc_id with several texts links them
+    named = rows.select("doc_id", "id").where("doc_id is not null")
+    lead = named.groupBy("doc_id").agg(F.min("id").alias("v"), F.max("id").alias("most")).where("v <> most")
+    links.append(named.join(lead, "doc_id").where("id <> v").select(F.col("id").alias("u"), "v"))
+    if not (links[2].isEmpty() and links[3].isEmpty()):
+        found = materialise(connected_components(links[0].unionByName(links[1]).unionByName(links[2]).unionByName(links[3])))
+    names = nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("c"))
+    least = names.groupBy("c").agg(F.min("first").alias("component_id"))
+    return rows.select("doc_id", F.col("id").alias("node")).join(names.select("node", "c").join(least, "c"), "node").select("doc_id", "component_id")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest doc_id.
 
-    Groups are the components of all pairs whose sets of shingles have the Jaccard similarity;
-    the search is exact (see ``setjoin``).  Rows without a doc_id cannot be named as copies and
-    stay; of rows with one doc_id the least text stays.
+    Groups are the components of all pairs whose sets of shingles have the Jaccard similarity (see
+    ``similar_components``).  Rows without a doc_id cannot be named as copies and stay; of rows
+    with one doc_id the least text stays.
     """
     found = similar_components(docs, shingle, similarity)
     copies = found.where("doc_id <> component_id").select("doc_id").distinct()

@@ -6,7 +6,8 @@ import pytest
 import xxhash
 
 from pagemill.llm.components import connected_components
-from pagemill.llm.simhash import drop_near_duplicates, fingerprint, linked, near_duplicate_components, near_links, op4_simhash
+from pagemill.llm.simhash import drop_near_duplicates, fingerprint, near_duplicate_components, near_links, op4_simhash
+from pagemill.llm.variants import Near, linked
 
 from .fixtures import AWKWARD, docs
 
@@ -63,7 +64,7 @@ def test_long_runs_are_linked_whole():
     rng = np.random.default_rng(1)
     base = np.uint64(rng.integers(0, 1 << 63))
     fps = base ^ (np.uint64(1) << rng.integers(40, 64, 500).astype(np.uint64))
-    links = linked(np.zeros(500, np.int64), np.zeros(500, np.int64), 3, fps.reshape(-1, 1), (2,))
+    links = linked(np.zeros(500, np.int64), np.zeros(500, np.int64), 3, fps.reshape(-1, 1), np.ones(500, np.int64), Near(1, 2))
     assert len(set(links.root)) == 1 and len(links.pairs) == 499
 
 
