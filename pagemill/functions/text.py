@@ -6,12 +6,24 @@ only; ``FLAGS`` sets the JVM's engine to that.  Positions are code points.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 FLAGS = "(?imdU)"
 
 
+#: Decimal digits of all scripts but ASCII's own, by Unicode's own property.
+_DIGITS = [chr(i) for i in range(128, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd"]
+
+
+def ascii_digits(c: Column) -> Column:
+    """Decimal digits of other scripts as those of ASCII."""
+    return F.translate(c, "".join(_DIGITS), "".join(str(unicodedata.decimal(d)) for d in _DIGITS))
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")

@@ -20,6 +20,25 @@ NORMALISER_VERSION = "1.1.0"
 # fixed values
 NO_SIZE = "aws-textract reports only ratio coordinates, no absolute page size"
 AZURE_UNITS = {"inch": "inch", "pixel": "px"}
+# fixed values: what is said of outputs that do not fit
+MESSAGES = {
+    "textract page": "aws-textract block Page must be an int >= 1",
+    "textract twice": "aws-textract PAGE blocks have duplicate page numbers",
+    "textract orphan": "aws-textract LINE block has no Page and is not a CHILD of any PAGE block",
+    "textract line": "aws-textract raw_output is malformed: text, box or confidence",
+    "tesseract lengths": "tesseract raw_output arrays differ in length",
+    "tesseract word": "tesseract raw_output is malformed: box or conf of a word",
+    "tesseract page": "tesseract words on a page without a level-1 page row",
+    "tesseract size": "tesseract page width and height must be finite numbers",
+    "azure unit": "azure page unit is not one of ['inch', 'pixel']",
+    "azure page": "azure raw_output is malformed: page number or size",
+    "azure twice": "azure page numbers are not unique",
+    "azure line": "azure raw_output is malformed: text, polygon or span of a line",
+    "azure word": "azure raw_output is malformed: offset or confidence of a word",
+    "box": "bbox must satisfy x0<=x1 and y0<=y1",
+    "confidence": "confidence must be in [0, 1]",
+    "size": "page number and size must be positive",
+}
 
 
 @dataclass(frozen=True)
@@ -32,9 +51,10 @@ class Parts:
     errors: DataFrame
 
 
-def _errors(df: DataFrame, bad: Column, message: str) -> DataFrame:
-    """A condition that is null is bad too."""
-    return df.where(F.coalesce(bad, F.lit(True))).select("document_id", F.lit(message).alias("error"))
+def _errors(df: DataFrame, cases: dict[str, Column]) -> DataFrame:
+    """The least message a row of the ``cases`` that hold; a condition that is null holds too."""
+    said = [F.when(F.coalesce(bad, F.lit(True)), MESSAGES[name]) for name, bad in cases.items()]
+    return df.select("document_id", F.array_min(F.array(*said)).alias("error")).where("error is not null")
 
 
 Keep = Callable[[DataFrame], DataFrame]
@@ -68,10 +88,9 @@ def from_textract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     pages = numbers.select("document_id", "page_number", none("double").alias("width"), none("double").alias("height"), none("string").alias("size_unit"), F.lit(NO_SIZE).alias("size_reason"))
     twice = heads.groupBy("document_id", "page_number").agg(F.count("*").alias("n"))
     errors = [
-        _errors(blocks, F.col("odd"), "aws-textract block Page must be an int >= 1"),
-        _errors(twice, F.col("n") > 1, "aws-textract PAGE blocks have duplicate page numbers"),
-        _errors(lines, F.col("page_number").isNull(), "aws-textract LINE block has no Page and is not a CHILD of any PAGE block"),
-        _errors(lines, F.col("text").isNull() | (F.col("l") + F.col("t") + F.col("w") + F.col("h") + F.col("confidence")).isNull(), "aws-textract raw_output is malformed: text, box or confidence"),
+        _errors(blocks, {"textract page": F.col("odd")}),
+        _errors(twice, {"textract twice": F.col("n") > 1}),
+        _errors(lines, {"textract orphan": F.col("page_number").isNull(), "textract line": F.col("text").isNull() | (F.col("l") + F.col("t") + F.col("w") + F.col("h") + F.col("confidence")).isNull()}),
     ]
     return Parts(pages, shaped, reduce(DataFrame.unionByName, errors))
 
@@ -86,7 +105,7 @@ def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     number = lambda c: finite_number(F.col(c))
     conf = F.coalesce(number("conf"), F.when(plain_text(F.col("conf")).rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), F.trim(plain_text(F.col("conf"))).try_cast("double")))
     rows = keep(rows.select("document_id", "pos", number("level").alias("level"), plain_text(F.col("text")).alias("text"), conf.alias("conf"), *(number(c).alias(c) for c in ("left", "top", "width", "height")), *(number(c).cast("long").alias(c) for c in keys)).where("level in (1, 5)"))
-    sizes = rows.where("level = 1").groupBy("document_id", "page_num").agg(F.max_by(F.struct("width", "height"), "pos").alias("s")).select("document_id", F.col("page_num").cast("int").alias("page_number"), "s.width", "s.height")
+    sizes = rows.where("level = 1").groupBy("document_id", "page_num").agg(F.max_by(F.struct("width", "height"), "pos").alias("s")).select("document_id", F.col("page_num").cast("int").alias("page_number"), "s.width", "s.height", F.lit(True).alias("sized"))
     words = rows.where(F.col("level") == 5).withColumn("text", strip(F.col("text"))).where("text <> ''")
     grouped = words.groupBy("document_id", *keys).agg(
         F.min("pos").alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda w: w["text"]), " ").alias("text"),
@@ -96,12 +115,12 @@ def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     placed = grouped.withColumn("page_number", F.col("page_num").cast("int")).join(sizes, ["document_id", "page_number"], "left")
     lines = placed.select("document_id", "page_number", (F.row_number().over(order) - 1).alias("line_index"), "text", *((F.col(c) / F.nullif(F.col(s), F.lit(0.0))).alias(c) for c, s in (("x0", "width"), ("y0", "height"), ("x1", "width"), ("y1", "height"))), "confidence", F.lit("mean_of_words").alias("confidence_source"))
     errors = [
-        _errors(parsed, uneven, "tesseract raw_output arrays differ in length"),
-        _errors(words, (F.col("left") + F.col("top") + F.col("width") + F.col("height") + F.col("conf")).isNull(), "tesseract raw_output is malformed: box or conf of a word"),
-        _errors(words.join(sizes.withColumnRenamed("page_number", "page_num"), ["document_id", "page_num"], "left_anti"), F.lit(True), "tesseract words on a page without a level-1 page row"),
-        _errors(sizes, (F.col("width") + F.col("height")).isNull(), "tesseract page width and height must be finite numbers"),
+        _errors(parsed, {"tesseract lengths": uneven}),
+        _errors(words, {"tesseract word": (F.col("left") + F.col("top") + F.col("width") + F.col("height") + F.col("conf")).isNull()}),
+        _errors(placed, {"tesseract page": F.col("sized").isNull()}),
+        _errors(sizes, {"tesseract size": (F.col("width") + F.col("height")).isNull()}),
     ]
-    return Parts(sizes.select("*", F.lit("px").alias("size_unit"), F.lit(None).cast("string").alias("size_reason")), lines, reduce(DataFrame.unionByName, errors))
+    return Parts(sizes.drop("sized").select("*", F.lit("px").alias("size_unit"), F.lit(None).cast("string").alias("size_reason")), lines, reduce(DataFrame.unionByName, errors))
 
 
 def from_azure(docs: DataFrame, keep: Keep = _as_is) -> Parts:
@@ -124,11 +143,9 @@ def from_azure(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     good = (F.size("polygon") >= 8) & (F.size("polygon") % 2 == 0) & ~F.exists("polygon", lambda v: v.isNull()) & F.col("text").isNotNull() & (F.col("begin") + F.col("size")).isNotNull()
     twice = pages.groupBy("document_id", "page_number").agg(F.count("*").alias("n"))
     errors = [
-        _errors(pages, F.col("size_unit").isNull(), f"azure page unit is not one of {list(AZURE_UNITS)}"),
-        _errors(pages, F.col("page_number").isNull() | (F.col("width") + F.col("height")).isNull(), "azure raw_output is malformed: page number or size"),
-        _errors(twice, F.col("n") > 1, "azure page numbers are not unique"),
-        _errors(lines, ~good, "azure raw_output is malformed: text, polygon or span of a line"),
-        _errors(lines, F.exists("words", lambda w: w["at"].isNull()) | F.exists("inside", lambda w: w["conf"].isNull()), "azure raw_output is malformed: offset or confidence of a word"),
+        _errors(pages, {"azure unit": F.col("size_unit").isNull(), "azure page": F.col("page_number").isNull() | (F.col("width") + F.col("height")).isNull()}),
+        _errors(twice, {"azure twice": F.col("n") > 1}),
+        _errors(lines, {"azure line": ~good, "azure word": F.exists("words", lambda w: w["at"].isNull()) | F.exists("inside", lambda w: w["conf"].isNull())}),
     ]
     return Parts(pages.select("document_id", "page_number", "width", "height", "size_unit", F.lit(None).cast("string").alias("size_reason")), shaped, reduce(DataFrame.unionByName, errors))
 
@@ -157,9 +174,8 @@ def normalise(docs: DataFrame, engines: dict[str, Callable[[DataFrame, Keep], Pa
     parts = [f(docs.where(F.col("ocr_engine") == name), keep) for name, f in engines.items()]
     pages, lines, errors = (reduce(DataFrame.unionByName, (getattr(p, k) for p in parts)) for k in ("pages", "lines", "errors"))
     lines = keep(clamp(lines))
-    errors = errors.unionByName(_errors(lines, (F.col("x0") > F.col("x1")) | (F.col("y0") > F.col("y1")), "bbox must satisfy x0<=x1 and y0<=y1"))
-    errors = errors.unionByName(_errors(lines, F.coalesce(~F.col("confidence").between(0, 1), F.lit(False)), "confidence must be in [0, 1]"))
-    errors = errors.unionByName(_errors(pages, (F.col("page_number") < 1) | F.coalesce((F.col("width") <= 0) | (F.col("height") <= 0), F.lit(False)), "page number and size must be positive"))
+    errors = errors.unionByName(_errors(lines, {"box": (F.col("x0") > F.col("x1")) | (F.col("y0") > F.col("y1")), "confidence": F.coalesce(~F.col("confidence").between(0, 1), F.lit(False))}))
+    errors = errors.unionByName(_errors(pages, {"size": (F.col("page_number") < 1) | F.coalesce((F.col("width") <= 0) | (F.col("height") <= 0), F.lit(False))}))
     errors = errors.groupBy("document_id").agg(F.min("error").alias("error"))
     fields = ("line_index", "text", "x0", "y0", "x1", "y1", "confidence", "confidence_source", "bbox_clamped")
     grouped = lines.groupBy("document_id", "page_number").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("lines"), F.avg("confidence").alias("mean_confidence"), F.count("*").cast("int").alias("line_count"), F.count_if("bbox_clamped").cast("int").alias("clamped_count"))
