@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,14 +37,18 @@ class Rule:
         return re.compile(self.pattern).groups
 
 
+# fixed values: what stands before and after a label
+BEFORE_LABEL, AFTER_LABEL = r"^[ \t]*", r"[ \t]*(?::[ \t]*(?:\n[ \t]*)?|\n[ \t]*)"
+_BLANK = re.compile(r"(?P<literal>\[[^\]]*\])|(?P<blank> )")
+
+
 def labelled(labels: str, value: str) -> str:
     """A label at the start of a line, then a colon or the line's end, then the value there or on the next line.
 
     A space between label words stands for blanks of any length; those in brackets are literal.
     """
-    parts = re.split(r"(\[[^\]]*\])", labels)
-    spaced = "".join(p if i % 2 else p.replace(" ", r"[ \t]+") for i, p in enumerate(parts))
-    return rf"^[ \t]*(?:{spaced})[ \t]*(?::[ \t]*(?:\n[ \t]*)?|\n[ \t]*)({value})"
+    spaced = _BLANK.sub(lambda m: m["literal"] or r"[ \t]+", labels)
+    return f"{BEFORE_LABEL}(?:{spaced}){AFTER_LABEL}({value})"
 
 
 # --- fixed values: labels and rules by document type -------------------------------------------
@@ -123,23 +126,25 @@ def extract_fields(pages: DataFrame, types: DataFrame, rules: dict[str, tuple[Ru
     value_type, raw_value, page_number and line_indexes of the source, validation_status,
     normalised_value and validation_message.
     """
-    typed = pages.where(F.size("lines") > 0).join(types.select("document_id", "document_type"), "document_id")
-    out = []
+    typed = pages.where(F.size("lines") > 0).join(types.select("document_id", "document_type"), "document_id").where(F.col("document_type").isin(*rules))
+    matches = None
+    for name, pack in rules.items():
+        found = page_matches(F.col("lines"), pack)
+        matches = F.when(F.col("document_type") == name, found) if matches is None else matches.when(F.col("document_type") == name, found)
+    per_page = typed.select("document_id", "document_type", "page_number", matches.alias("hits"), F.get(_letterhead(F.col("lines")), F.lit(0)).alias("head"))
+    # the first page with a match counts: one struct a field, combined before the shuffle
+    names = list(dict.fromkeys(rule.field for pack in rules.values() for rule in pack))
+    hit = lambda field: F.get(F.filter("hits", lambda h: h["field_name"] == field), F.lit(0))
+    first = lambda h: F.struct("page_number", h["value"].alias("value"), h["line_indexes"].alias("line_indexes"))
+    best = per_page.groupBy("document_id", "document_type").agg(
+        F.min_by(F.when(F.col("head").isNotNull(), first(F.col("head"))), "page_number").alias("head"),
+        *(F.min_by(first(hit(field)), F.when(hit(field).isNotNull(), F.col("page_number"))).alias(f"hit_{field}") for field in names),
+    )
+    rows = None
     for name, pack in rules.items():
-        mine = typed.where(F.col("document_type") == name)
-        hits = mine.select("document_id", "page_number", F.explode(page_matches(F.col("lines"), pack)).alias("h"))
-        best = hits.groupBy("document_id", "h.field_name").agg(F.min_by(F.struct("page_number", "h.value", "h.line_indexes"), "page_number").alias("hit"))
-        best = best.groupBy("document_id").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "hit"))).alias("hits"))
-        first = mine.groupBy("document_id").agg(F.min_by(F.struct("page_number", _letterhead(F.col("lines")).alias("l")), "page_number").alias("first"))
-        dense = first.join(best, "document_id", "left")
-        rows = []
-        for rule in pack:
-            hit = F.col("hits")[rule.field]
-            if rule.field == LETTERHEAD_FIELD:
-                head = F.get(F.col("first.l"), F.lit(0))
-                hit = F.coalesce(hit, F.when(head.isNotNull(), F.struct(F.col("first.page_number").alias("page_number"), head["value"].alias("value"), head["line_indexes"].alias("line_indexes"))))
-            rows.append(F.struct(F.lit(rule.field).alias("field_name"), F.lit(rule.value_type).alias("value_type"), hit.alias("hit")))
-        long = dense.select("document_id", F.explode(F.array(*rows)).alias("r")).select("document_id", "r.field_name", "r.value_type", F.col("r.hit.value").alias("raw_value"), F.col("r.hit.page_number").alias("page_number"), F.coalesce("r.hit.line_indexes", F.array().cast("array<int>")).alias("line_indexes"))
-        out.append(long)
-    found = reduce(DataFrame.unionByName, out)
+        found = (F.coalesce(f"hit_{r.field}", "head") if r.field == LETTERHEAD_FIELD else F.col(f"hit_{r.field}") for r in pack)
+        each = F.array(*(F.struct(F.lit(r.field).alias("field_name"), F.lit(r.value_type).alias("value_type"), h.alias("hit")) for r, h in zip(pack, found, strict=True)))
+        rows = F.when(F.col("document_type") == name, each) if rows is None else rows.when(F.col("document_type") == name, each)
+    long = best.select("document_id", F.explode(rows).alias("r"))
+    found = long.select("document_id", "r.field_name", "r.value_type", F.col("r.hit.value").alias("raw_value"), F.col("r.hit.page_number").alias("page_number"), F.coalesce("r.hit.line_indexes", F.array().cast("array<int>")).alias("line_indexes"))
     return found.withColumn("_v", validate_field(F.col("field_name"), F.col("value_type"), F.col("raw_value"))).select(*found.columns, "_v.*")
