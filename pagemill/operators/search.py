@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,21 +64,74 @@ def nearest(vectors: DataFrame, query: list[float], k: int, key: list[str], embe
     return scored.orderBy(F.col("score").desc(), *key).limit(k)
 
 
+def _best(which: np.ndarray, score: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k rows of each query with the largest score; ties go by key."""
+    order = np.lexsort((key, -score, which))
+    which = which[order]
+    begin = np.flatnonzero(np.concatenate(([True], which[1:] != which[:-1]))) if len(which) else np.zeros(0, np.int64)
+    rank = np.arange(len(which)) - np.repeat(begin, np.diff(np.append(begin, len(which))))
+    return order[rank < k]
+
+
 def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, embedding: str = "embedding", block: int = 4096) -> DataFrame:
-    """The same for every row of ``queries`` (query_key, q), against all rows.
+    """The same for every row of ``queries`` (query_key, q), against all rows; keys are longs.
 
-    Queries are taken in blocks of about ``block``, so that what is broadcast does not grow with
-    their number; k rows a query and task are shuffled.
+    Queries are taken in blocks of about ``block``, so that what is sent out does not grow with
+    their number.  A task scores its rows by matrix products and keeps k a query: these alone are
+    shuffled.  Which rows are the best is settled by sums in a fixed order, so equal vectors tie.
     """
     blocks = max(1, -(-queries.count() // block))
-    rank = F.row_number().over(Window.partitionBy(query_key).orderBy(F.col("score").desc(), key))
 
-    def best(part: DataFrame) -> DataFrame:
-        scored = vectors.crossJoin(F.broadcast(part)).withColumn("score", cosine(F.col(embedding), F.col("q")))
-        return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    def scored(part: DataFrame) -> DataFrame:
+        rows = part.select(query_key, "q").where("q is not null").collect()  # a block
+        names, q = np.array([r[0] for r in rows], np.int64), [np.array(r[1], np.float64) for r in rows]
+        q = np.array([x / n if (n := np.linalg.norm(x)) else x * np.nan for x in q])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+            for batch in batches:
+                for a in range(0, len(batch), 2048):
+                    part = batch.slice(a, 2048)
+                    part = part.filter(pa.compute.is_valid(part.column(1)))
+                    if not len(part) or not len(names):
+                        continue
+                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), -1)
+                    size = np.sqrt((x * x).sum(1))
+                    x = x / np.where(size > 0, size, np.nan)[:, None]
+                    rough = np.nan_to_num(x @ q.T, nan=-np.inf)
+                    least = np.partition(rough, max(0, len(x) - k), axis=0)[max(0, len(x) - k)] - 1e-9
+                    row, which = np.nonzero((rough >= least) & np.isfinite(rough))
+                    score = np.concatenate([(x[row[i : i + 65536]] * q[which[i : i + 65536]]).sum(1) for i in range(0, len(row), 65536)] or [np.zeros(0)])
+                    ids = part.column(0).to_numpy(zero_copy_only=False)[row]
+                    held = [np.concatenate(z) for z in zip(held, (which, score, ids), strict=True)]
+                    best = _best(*held, k)
+                    held = [z[best] for z in held]
+            if len(held[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(names[held[0]]), pa.array(held[2].astype(np.int64)), pa.array(held[1])], [query_key, key, "score"])
+
+        return vectors.select(F.col(key).cast("long").alias(key), embedding).mapInArrow(run, f"{query_key} long, {key} long, score double")
 
     number = F.pmod(F.xxhash64(query_key), F.lit(blocks))
-    return reduce(DataFrame.unionByName, (best(queries.where(number == i) if blocks > 1 else queries) for i in range(blocks)))
+    found = reduce(DataFrame.unionByName, (scored(queries.where(number == i) if blocks > 1 else queries) for i in range(blocks)))
+    rank = F.row_number().over(Window.partitionBy(query_key).orderBy(F.col("score").desc(), key))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+class UnknownModel(LookupError):
+    """The active model is not among those registered here."""
+
+
+def search_vectors(query: list[float], k: int, documents: DataFrame, chunks: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """The k best chunks of ``documents``: document columns, chunk columns and score.
+
+    Scores are taken where the vectors lie; what is joined with the documents' ids is the key and
+    the score, and only the k rows found meet their texts.
+    """
+    q = F.array(*(F.lit(float(x)) for x in query))
+    scored = embeddings.select(*CHUNK_KEY, cosine(F.col("embedding"), q).alias("score")).where("score is not null")
+    fit = scored.join(documents.select("document_id"), "document_id", "left_semi")
+    best = F.broadcast(fit.orderBy(F.col("score").desc(), *CHUNK_KEY).limit(k))  # k rows
+    return chunks.join(best, CHUNK_KEY).join(documents, "document_id").orderBy(F.col("score").desc(), *CHUNK_KEY)
 
 
 def search(request: Request, documents: DataFrame, chunks: DataFrame, embeddings: DataFrame, models: DataFrame) -> DataFrame:
@@ -85,14 +142,15 @@ def search(request: Request, documents: DataFrame, chunks: DataFrame, embeddings
     """
     found = active_model(models)
     name, version = found or ("", "")
+    if found and name not in MODELS:
+        raise UnknownModel(f"the active model {name!r} is not registered")
     fit = documents.where(F.col("status") == "embedded")
     if request.document_type:
         fit = fit.where(F.col("document_type") == request.document_type)
     if request.country_code:
         fit = fit.where(F.col("country_code") == request.country_code)
-    vectors = embeddings.where((F.col("model_name") == name) & (F.col("model_version") == version)).select(*CHUNK_KEY, "embedding", "model_name")
-    current = chunks.where(F.col("chunking_version") == CHUNKING_VERSION)
-    joined = vectors.join(current, CHUNK_KEY).join(fit.select("document_id", "document_type"), "document_id")
+    current = F.col("chunking_version") == CHUNKING_VERSION
+    vectors = embeddings.where((F.col("model_name") == name) & (F.col("model_version") == version) & current)
     query = encode([request.query], MODELS[name])[0] if found else [0.0]
-    best = nearest(joined if found else joined.limit(0), query, request.top_k, CHUNK_KEY)
-    return best.select("document_id", "chunk_index", "document_type", F.col("page_number").alias("page"), "score", "text", "x0", "y0", "x1", "y1", F.col("model_name").alias("embedding_model"))
+    best = search_vectors(query, request.top_k, fit.select("document_id", "document_type"), chunks.where(current), vectors if found else vectors.limit(0))
+    return best.select("document_id", "chunk_index", "document_type", F.col("page_number").alias("page"), "score", "text", "x0", "y0", "x1", "y1", F.lit(name).alias("embedding_model"))

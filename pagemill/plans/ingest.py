@@ -16,7 +16,7 @@ from ..operators.extract import RULES, extract_fields
 from ..operators.normalise import ENGINES, NORMALISER_VERSION, normalise
 from ..operators.quality import PAGE_CONFIDENCE, deidentified, failed_checks, field_checks, page_checks, quarantine, type_checks
 from ..sources.exports import content_hash, normalise_country, parse_exports, receive_checks, resolve_country
-from .store import Store, insert_if_absent, latest_durations, outcome
+from .store import DEPENDENT, Store, insert_if_absent, latest_durations, outcome
 
 
 class InvalidCountry(ValueError):
@@ -51,13 +51,15 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     """Take in files (filename, content); returns one row a file, as ``describe`` gives it.
 
     Bytes that are known already, in the store or from an earlier file by name, are duplicates
-    and write nothing.  A file that cannot be used becomes a failed document; it never fails the
+    and write nothing; so are those that another run took in meanwhile, whose rows count and not
+    this one's.  What is read of the store is what concerns these files.  A file that cannot be used becomes a failed document; it never fails the
     run.  Every stage is one table-wide step; its result is written and read back by the stages after
     it, which keeps plans short and lost executors harmless.
     """
     pack, run_id = pack or Rulepack(), uuid.uuid4().hex
     country = _country(store, country_code)
     keep = store.scratch(run_id)
+    store.begin(run_id, run_type)
 
     clock = time.monotonic()
 
@@ -67,7 +69,8 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
         return round((clock - before) * 1000)
 
     named = files.select("filename", "content", F.when(F.length("content") > 0, content_hash(F.col("content"))).alias("content_hash"))
-    known = store.read("documents")
+    ids = keep(named.where("content_hash is not null").select(F.sha2("content_hash", 256).alias("document_id")).distinct())
+    known = keep(store.read("documents", ids).select("content_hash", "document_id", "error_code"))
     fresh = insert_if_absent(named.where("content_hash is not null"), known, "content_hash", F.col("filename").asc_nulls_first())
     fresh = keep(fresh.withColumn("document_id", F.sha2("content_hash", 256)))
     store.append("raw", fresh.select("document_id", "content"), run_id)
@@ -91,7 +94,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     stages.append(_stage(types, "extract", F.when(F.col("document_type").isNull(), "no keyword found in the document text"), lap()))
     typed = types.where("document_type is not null").select("document_id")
     mine = pages.join(typed, "document_id", "left_semi")
-    checks = receive_checks(parsed).unionByName(type_checks(types)).unionByName(page_checks(mine, pack.threshold)).unionByName(field_checks(fields))
+    checks = keep(receive_checks(parsed).unionByName(type_checks(types)).unionByName(page_checks(mine, pack.threshold)).unionByName(field_checks(fields)))
     stages.append(_stage(typed, "quality", F.lit(None).cast("string"), lap()))
 
     chunks = keep(chunk_pages(mine))
@@ -113,7 +116,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
         F.when(F.coalesce("loaded", F.lit(False)), F.concat(F.lit("file://data/normalised/"), digest, F.lit(f".v{NORMALISER_VERSION}.json"))).alias("normalised_uri"), F.current_timestamp().alias("ingested_at"),
     )
     documents = keep(documents)
-    for table, rows in (("pages", pages), ("fields", fields), ("checks", checks), ("chunks", chunks), ("embeddings", vectors.where("embed_error is null").select(*CHUNK_KEY, "embedding", "dimension", "model_name", "model_version"))):
+    for table, rows in (("pages", pages), ("fields", fields), ("checks", checks), ("chunks", chunks), ("embeddings", whole_vectors(vectors, failed))):
         store.append(table, rows, run_id)
     for rows in stages:
         store.append("stages", rows, run_id)
@@ -121,22 +124,36 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     if not vectors.isEmpty():
         store.append("models", activate_if_none(upsert_model(models, model), model.name), run_id)
     first = fresh.select("filename", F.lit(True).alias("first"))
-    every = keep(named.select("filename", "content_hash").join(first, "filename", "left").join(known.unionByName(documents).select("content_hash", "document_id", "error_code"), "content_hash", "left"))
-    result = every.select("filename", "content_hash", "document_id", (F.col("first").isNull() & F.col("content_hash").isNotNull()).alias("duplicate"), F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")).alias("error_code"))
-    result = keep(result.withColumn("outcome", outcome(F.col("error_code"), F.col("duplicate"))))
-    n = {r["outcome"]: r["count"] for r in result.groupBy("outcome").count().collect()}
-    store.commit(run_id, run_type, n.get("processed", 0), n.get("duplicate", 0), n.get("failed", 0), (model.name, model.version))
-    out = result.drop("error_code").join(describe(store).drop("content_hash"), "document_id", "left").withColumn("error_code", F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")))
-    return keep(out)
-
-
-def describe(store: Store) -> DataFrame:
-    """One row a document: status, counts of pages and chunks, names of failed checks, stage timings."""
-    documents = store.read("documents").select("document_id", "content_hash", "upload_filename", "document_type", "country_code", "status", "error_code")
-    count = lambda table, name: store.read(table).groupBy("document_id").agg(F.count("*").alias(name))
-    chunks = store.read("chunks").where(F.col("chunking_version") == CHUNKING_VERSION).groupBy("document_id").agg(F.count("*").alias("chunks"))
-    flags = failed_checks(store.read("checks")).groupBy("document_id").agg(F.array_sort(F.collect_list("check_name")).alias("quality_flags"))
-    times = latest_durations(store.read("stages")).groupBy("document_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("stage", "duration_ms")))).alias("timings_ms"))
+    with store.turn() as seq:
+        lost = keep(store.read("documents", fresh).select("document_id"))  # taken in by others since
+        if not lost.isEmpty():
+            store.void(run_id, lost, DEPENDENT, seq, seq)
+        mine = documents.select("content_hash", "document_id", "error_code").join(lost.withColumn("lost", F.lit(True)), "document_id", "left")
+        every = named.select("filename", "content_hash").join(first, "filename", "left").join(known.withColumn("lost", F.lit(True)).unionByName(mine), "content_hash", "left")
+        own = F.col("first").isNotNull() & F.col("lost").isNull()
+        result = every.select("filename", "content_hash", "document_id", (~own & F.col("content_hash").isNotNull()).alias("duplicate"), F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")).alias("error_code"))
+        result = keep(result.withColumn("outcome", outcome(F.col("error_code"), F.col("duplicate"))))
+        n = {r["outcome"]: r["count"] for r in result.groupBy("outcome").count().collect()}
+        store.commit(run_id, run_type, n.get("processed", 0), n.get("duplicate", 0), n.get("failed", 0), (model.name, model.version), seq)
+    out = result.drop("error_code").join(describe(store, ids).drop("content_hash"), "document_id", "left").withColumn("error_code", F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")))
+    out = keep(out)
+    keep.clear()
+    return out
+
+
+def whole_vectors(vectors: DataFrame, failed: DataFrame) -> DataFrame:
+    """Rows for ``embeddings`` of documents all of whose texts the model took."""
+    good = vectors.join(failed.select("document_id"), "document_id", "left_anti")
+    return good.select(*CHUNK_KEY, "embedding", "dimension", "model_name", "model_version")
+
+
+def describe(store: Store, ids: DataFrame | None = None) -> DataFrame:
+    """One row a document (of ``ids``): status, counts of pages and chunks, names of failed checks, stage timings."""
+    documents = store.read("documents", ids).select("document_id", "content_hash", "upload_filename", "document_type", "country_code", "status", "error_code")
+    count = lambda table, name: store.read(table, ids).groupBy("document_id").agg(F.count("*").alias(name))
+    chunks = store.read("chunks", ids).where(F.col("chunking_version") == CHUNKING_VERSION).groupBy("document_id").agg(F.count("*").alias("chunks"))
+    flags = failed_checks(store.read("checks", ids)).groupBy("document_id").agg(F.array_sort(F.collect_list("check_name")).alias("quality_flags"))
+    times = latest_durations(store.read("stages", ids)).groupBy("document_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("stage", "duration_ms")))).alias("timings_ms"))
     out = documents
     for part in (count("pages", "pages"), chunks, flags, times):
         out = out.join(part, "document_id", "left")
@@ -145,7 +162,8 @@ def describe(store: Store) -> DataFrame:
 
 def document(store: Store, document_id: str) -> DataFrame:
     """One row: the document with its stages, checks, fields and pages, each in its order."""
-    one = lambda table: store.read(table).where(F.col("document_id") == document_id)
+    ids = store.spark.createDataFrame([(document_id,)], "document_id string")
+    one = lambda table: store.read(table, ids)
     nested = lambda df, name, *order: df.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct(*order, *(c for c in df.columns if c not in order and c != "document_id")))).alias(name))
     out = one("documents")
     for name, df, *order in (("stages", one("stages"), "finished_at", "stage"), ("quality_checks", one("checks"), "check_name", "page_number"), ("fields", one("fields"), "field_name"), ("page_list", one("pages").drop("lines"), "page_number")):
@@ -164,17 +182,21 @@ def deidentified_view(store: Store) -> DataFrame:
 def reembed(store: Store, model: Model) -> bool:
     """Vectors of ``model`` for all embedded documents; the model becomes active only if none failed."""
     run_id = uuid.uuid4().hex
+    store.begin(run_id, "reembed")
+    keep = store.scratch(run_id)
     documents = store.read("documents").where("status = 'embedded'").select("document_id")
     chunks = store.read("chunks")
     fresh = without_chunks(documents, chunks)
     more = chunk_pages(store.read("pages").join(fresh, "document_id", "left_semi"))
     current = chunks.where(F.col("chunking_version") == CHUNKING_VERSION).join(documents, "document_id", "left_semi").unionByName(more)
     missing = missing_embeddings(current, store.read("embeddings"), model.name, model.version)
-    vectors = store.scratch(run_id)(embed(missing, model))
-    failed = vectors.where("embed_error is not null").select("document_id").distinct().count()
+    vectors = keep(embed(missing, model))
+    bad = keep(vectors.where("embed_error is not null").select("document_id").distinct())
+    failed = bad.count()
     store.append("chunks", more, run_id)
-    store.append("embeddings", vectors.where("embed_error is null").select(*CHUNK_KEY, "embedding", "dimension", "model_name", "model_version"), run_id)
+    store.append("embeddings", whole_vectors(vectors, bad), run_id)
     models = upsert_model(store.read("models"), model)
     store.append("models", models if failed else activate(models, model.name), run_id)
     store.commit(run_id, "reembed", documents.count() - failed, 0, failed, (model.name, model.version))
+    keep.clear()
     return not failed

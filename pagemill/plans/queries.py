@@ -21,10 +21,10 @@ from ..operators.classify import classify
 from ..operators.embed import HASHING, Model, activate, activate_if_none, embed, hashing_embedder, missing_embeddings, upsert_model
 from ..operators.extract import Rule, extract_fields
 from ..operators.normalise import ENGINES, clamp, normalise
-from ..operators.quality import deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
-from ..operators.search import nearest, nearest_each
+from ..operators.quality import OWNED, deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
+from ..operators.search import nearest, nearest_each, search_vectors
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, content_hash, normalise_country, parse_exports, receive_checks, resolve_country, safe_path
-from .store import insert_if_absent, latest_durations, outcome, run_status
+from .store import insert_if_absent, latest_durations, outcome, run_status, unvoided
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -265,6 +265,90 @@ def q_extract_fields(spark, sf_dir):
     return extract_fields(pages, types, FIELD_PACK).select("document_id", "field_name", "value_type", "raw_value", "validation_status", "normalised_value")
 
 
+_TWO = "lpad(concat('', {}), 2, '0')"
+_DMY = f"concat({_TWO.format('day(o_orderdate)')}, '/', {_TWO.format('month(o_orderdate)')}, '/', year(o_orderdate))"
+_YMD = f"concat(year(o_orderdate), '-', {_TWO.format('month(o_orderdate)')}, '-', {_TWO.format('day(o_orderdate)')})"
+_CENTS = "(o_orderkey * 7 + 105)"
+_MONEY = f"concat(CAST(floor({_CENTS} / 100) AS BIGINT), '.', {_TWO.format(f'{_CENTS} % 100')})"
+_CLINIC = "concat('Clinic ', o_custkey)"
+
+
+def _field(name: str, kind: str, line: str, raw: str, plain: str | None = None, given: str = "true") -> tuple:
+    """A field with the line of text that gives it where ``given`` holds; SQL that both engines read."""
+    return name, kind, line, raw, raw if plain is None else plain, given
+
+
+_NAMED = [
+    _field("claimant_name", "text", "concat('Patient Name: Person ', o_custkey)", "concat('Person ', o_custkey)"),
+    _field("claimant_address", "text", "concat('  Home   Address :', o_custkey, ' Example Road')", "concat(o_custkey, ' Example Road')"),
+    _field("claimant_date_of_birth", "date", f"concat('D.O.B.: ', {_YMD})", _YMD, _DMY),
+]
+#: The first line names the network and is no letterhead; the second is one where no provider is named.
+PACK_LINES = {
+    "referral_letter": [
+        _NAMED[0],
+        _field("provider_name", "text", f"concat('Referring Clinic', chr(10), {_CLINIC})", f"CASE WHEN o_orderkey % 4 > 0 THEN {_CLINIC} ELSE concat('Letterhead ', o_custkey) END", given="o_orderkey % 4 > 0"),
+        _field("signature_presence", "bool", "'[signed]'", "'[signed]'", "'true'", "o_orderkey % 2 = 0"),
+        _field("total_amount_paid", "amount", f"concat('Total Paid: SGD ', {_MONEY})", f"concat('SGD ', {_MONEY})", f"concat('', {_CENTS})"),
+        _field("total_approved_amount", "amount", f"concat('Amount Approved', chr(10), {_MONEY})", _MONEY, f"concat('', {_CENTS})", "o_orderkey % 5 > 0"),
+        _field("total_requested_amount", "amount", f"concat('requested amount: ', {_MONEY}, ' RM')", f"concat({_MONEY}, ' RM')", f"concat('', {_CENTS})"),
+    ],
+    "medical_certificate": [
+        *_NAMED,
+        _field("diagnosis_name", "text", "concat('Final Diagnosis: ', o_orderpriority)", "o_orderpriority"),
+        _field("discharge_date_time", "datetime", f"concat('Discharge Date / Time: ', {_DMY}, ' 3:05 pm')", f"concat({_DMY}, ' 3:05 pm')", f"concat({_DMY}, ' 15:05')"),
+        _field("icd_code", "text", "concat('ICD-10 Code: A0', o_orderkey % 10)", "concat('A0', o_orderkey % 10)"),
+        _field("provider_name", "text", f"concat('Issued by: ', {_CLINIC})", f"CASE WHEN o_orderkey % 4 > 0 THEN {_CLINIC} ELSE concat('Letterhead ', o_custkey) END", given="o_orderkey % 4 > 0"),
+        _field("submission_date_time", "datetime", f"concat('Submitted on: ', {_YMD}, 'T09:30')", f"concat({_YMD}, 'T09:30')", f"concat({_DMY}, ' 09:30')", "o_orderkey % 5 > 0"),
+        _field("date_of_mc", "date", f"concat('MC Date:', chr(10), {_DMY})", _DMY),
+        _field("mc_days", "int", "concat('for a period of ', o_custkey % 30, ' days')", "concat('', o_custkey % 30)"),
+    ],
+    "receipt": [
+        *_NAMED,
+        _field("provider_name", "text", f"concat('Clinic Name: ', {_CLINIC})", f"CASE WHEN o_orderkey % 4 > 0 THEN {_CLINIC} ELSE concat('Letterhead ', o_custkey) END", given="o_orderkey % 4 > 0"),
+        _field("tax_amount", "amount", f"concat('GST @ 9%: S$', {_MONEY})", f"concat('S$', {_MONEY})", f"concat('', {_CENTS})", "o_orderkey % 5 > 0"),
+        _field("total_amount", "amount", f"concat('Grand Total (incl. GST): $', {_MONEY})", f"concat('$', {_MONEY})", f"concat('', {_CENTS})"),
+    ],
+}
+
+
+def _pack_sql() -> str:
+    types = list(PACK_LINES)
+    parts = []
+    for k, fields in enumerate(PACK_LINES.values()):
+        for name, kind, _, raw, plain, given in fields:
+            there = "true" if name == "provider_name" else given
+            norm = plain if plain != raw else f"({raw})"
+            parts.append(f"SELECT o_orderkey AS document_id, '{types[k]}' AS document_type, '{name}' AS field_name, '{kind}' AS value_type, CASE WHEN {there} THEN {raw} END AS raw_value, CASE WHEN {there} THEN 'valid' ELSE 'missing' END AS validation_status, CASE WHEN {there} THEN {norm} END AS normalised_value FROM orders WHERE o_orderkey % 3 = {k}")
+    return "\nUNION ALL ".join(parts)
+
+
+@query(_pack_sql())
+def rule_pack_fields(spark, sf_dir):
+    """All rules of all packs on forms made of orders, of two pages; labels in several spellings, values missing from some."""
+    orders = table(spark, sf_dir, "orders").withColumn("document_type", F.element_at(F.array(*map(F.lit, PACK_LINES)), (F.col("o_orderkey") % 3 + 1).cast("int")))
+    texts = None
+    for name, fields in PACK_LINES.items():
+        each = F.array(F.lit("Fullerton  Health group"), F.expr("concat('Letterhead ', o_custkey)"), *(F.expr(f"CASE WHEN {given} THEN {line} END") for _, _, line, _, _, given in fields))
+        texts = F.when(F.col("document_type") == name, each) if texts is None else texts.when(F.col("document_type") == name, each)
+    forms = orders.select(F.col("o_orderkey").alias("document_id"), "document_type", F.filter(texts, lambda t: t.isNotNull()).alias("t"))
+    page = lambda a, n: _lines(F.array_join(F.slice("t", a, n), "\n"))
+    pages = forms.select("document_id", F.posexplode(F.array(page(1, 5), page(6, 20))).alias("p", "lines")).select("document_id", (F.col("p") + 1).alias("page_number"), "lines")
+    found = extract_fields(pages, forms.select("document_id", "document_type"))
+    return found.join(forms.select("document_id", "document_type"), "document_id").select("document_id", "document_type", "field_name", "value_type", "raw_value", "validation_status", "normalised_value")
+
+
+@query(r"""
+WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Date of Birth: ' || o_orderdate::DATE || ', seen' WHEN 1 THEN 'claimant_name="' || o_orderpriority || '" ok' WHEN 2 THEN 'dob ' || o_custkey || ' x S1234567D' ELSE 'call ' || (900000000 + o_orderkey) || ' now' END AS text FROM orders)
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Date of Birth: [REDACTED], seen' WHEN 1 THEN 'claimant_name=[REDACTED] ok' WHEN 2 THEN 'dob [REDACTED] x [REDACTED]' ELSE 'call [REDACTED] now' END AS masked FROM t""")
+def mask_labelled(spark, sf_dir):
+    """The rules for labelled values, and identity and telephone numbers beside them."""
+    key = F.col("o_orderkey")
+    text = F.when(key % 4 == 0, F.concat(F.lit("Date of Birth: "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(", seen"))).when(key % 4 == 1, F.concat(F.lit('claimant_name="'), "o_orderpriority", F.lit('" ok')))
+    text = text.when(key % 4 == 2, F.concat(F.lit("dob "), F.col("o_custkey").cast("string"), F.lit(" x S1234567D"))).otherwise(F.concat(F.lit("call "), (key + 900_000_000).cast("string"), F.lit(" now")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", mask(text).alias("masked"))
+
+
 # --- parsers -------------------------------------------------------------------------------------
 
 
@@ -370,13 +454,14 @@ def validate_dispatch(spark, sf_dir):
 
 @query("""
 WITH c AS (SELECT c_custkey, c_custkey % 4 AS k, substr(n_name, 1, 2) AS two FROM customer JOIN nation ON n_nationkey = c_nationkey)
-SELECT c_custkey, CASE k WHEN 0 THEN upper(two) WHEN 1 THEN upper(two) ELSE 'SG' END AS country, k = 3 AS invalid FROM c""")
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'MY' WHEN k < 2 THEN upper(two) ELSE 'SG' END AS country, k = 3 AS invalid FROM c""")
 def country_resolution(spark, sf_dir):
     two = F.substring("n_name", 1, 2)
     joined = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey")).withColumn("k", F.col("c_custkey") % 4)
     given = _choose(F.col("k"), F.lower(two), F.concat(F.lit(" "), two, F.lit("\t")), F.lit("  "), F.concat(two, F.lit("X")))
     found = joined.withColumn("n", normalise_country(given))
-    return found.select("c_custkey", resolve_country(F.lit(None).cast("string"), F.col("n.code")).alias("country"), "n.invalid")
+    form = normalise_country(F.when(F.col("c_custkey") % 3 == 0, " my "))
+    return found.select("c_custkey", resolve_country(form["code"], F.col("n.code")).alias("country"), "n.invalid")
 
 
 @query("""
@@ -468,6 +553,20 @@ def replace_checks(spark, sf_dir):
     return replace_owned(old, new, ("page\\_confidence", "field\\_%")).select("document_id", "check_name", "passed")
 
 
+@query(r"""
+WITH q AS (SELECT user_id AS document_id, event_id % 4 AS seq, CASE WHEN event_id % 5 = 0 THEN 'fieldset' ELSE 'field_' || event_type END AS check_name, event_id FROM events)
+SELECT event_id, document_id, seq, check_name FROM q
+WHERE NOT (document_id % 3 = 0 AND seq <= 1) AND NOT (document_id % 2 = 0 AND seq <= 2 AND check_name LIKE 'field\_%' ESCAPE '\') AND NOT (document_id % 7 = 0 AND seq = 3)""")
+def reprocess_replace(spark, sf_dir):
+    """Checks of four runs: the third replaced all of some documents, the fourth the owned ones of others, and withdrew from some."""
+    name = F.when(F.col("event_id") % 5 == 0, "fieldset").otherwise(F.concat(F.lit("field_"), F.col("event_type")))
+    rows = _events(spark, sf_dir).select("event_id", "document_id", (F.col("event_id") % 4).alias("seq"), name.alias("check_name"))
+    ids = rows.select("document_id").distinct()
+    void = lambda k, lo, hi, *owned: ids.where(F.col("document_id") % k == 0).select("document_id", (F.array(*map(F.lit, owned)) if owned else F.lit(None).cast("array<string>")).alias("patterns"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+    voids = reduce(DataFrame.unionByName, (void(3, 0, 1), void(2, 0, 2, *OWNED["quality"]), void(7, 3, 3)))
+    return unvoided(rows, voids, F.col("check_name"))
+
+
 @query("""
 SELECT doc_id AS document_id, 'field_quality' AS check_name, quality = 1 AS passed, CASE WHEN quality = 1 THEN 'warning' WHEN toxic = 1 THEN 'info' ELSE 'warning' END AS severity FROM labels
 UNION ALL SELECT doc_id, 'document_type_supported', lang <> 'es', 'error' FROM documents""")
@@ -506,7 +605,7 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _normalised(docs: DataFrame, engine: str) -> DataFrame:
-    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)), {engine: ENGINES[engine]}, DataFrame.persist)
+    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)), {engine: ENGINES[engine]}, lambda df: df)
     lines = pages.select("document_id", "page_number", "mean_confidence", F.explode("lines").alias("l")).select("document_id", "page_number", "l.line_index", "l.text", *(F.round(f"l.{c}", 6).alias(c) for c in ("x0", "y0", "x1", "y1", "confidence")), F.col("l.bbox_clamped").alias("bbox_clamped"), F.round("mean_confidence", 6).alias("mean_confidence"))
     wrong = errors.select("document_id", *(F.lit(None).cast(t).alias(c) for c, t in lines.dtypes[1:]))
     return lines.unionByName(wrong)
@@ -594,6 +693,20 @@ def search_filtered(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings").where("label = 3"), _Q, _K, ["vec_id"]).select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
+@query(_CHUNK_SQL + f""", f AS (
+  SELECT vec_id AS doc_id, list_cosine_similarity(embedding::DOUBLE[], {_Q}::DOUBLE[]) AS score FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents WHERE lang = 'en') AND label <> 3
+), b AS (SELECT * FROM f ORDER BY score DESC, doc_id LIMIT {_K}),
+k AS (SELECT doc_id, text, (row_number() OVER (PARTITION BY doc_id ORDER BY lo, hi) - 1)::INTEGER AS chunk_index FROM c)
+SELECT b.doc_id AS document_id, d.source AS document_type, k.chunk_index, sha256(k.text) AS text_sha256, round(b.score, 6) AS score
+FROM b JOIN documents d ON d.doc_id = b.doc_id JOIN k ON k.doc_id = b.doc_id AND k.chunk_index = 0""")
+def search_joined(spark, sf_dir):
+    """Vectors, chunks and documents: the filters hold before the best are taken, texts join the best alone."""
+    documents = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("document_id"), F.col("source").alias("document_type"))
+    vectors = table(spark, sf_dir, "embeddings").where("label <> 3").select(F.col("vec_id").alias("document_id"), F.lit(CHUNKING_VERSION).alias("chunking_version"), F.lit(0).alias("chunk_index"), "embedding")
+    found = search_vectors(_Q, _K, documents, chunk_pages(document_pages(spark, sf_dir)), vectors)
+    return found.select("document_id", "document_type", "chunk_index", F.sha2("text", 256).alias("text_sha256"), F.round("score", 6).alias("score"))
+
+
 @query(f"""
 WITH s AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
@@ -617,6 +730,15 @@ def embed_chunks(spark, sf_dir):
     return embed(chunk_pages(document_pages(spark, sf_dir))).select("document_id", "chunk_index", "embedding", "embed_error", "model_name", "model_version")
 
 
+@query(_CHUNK_SQL + """
+SELECT doc_id AS document_id, count(*) AS chunks, count(*) AS vectors, 384 AS dimension, count(*) AS of_length_one, 'hashing-384' AS model_name, 0 AS errors FROM c GROUP BY doc_id""")
+def embed_digest(spark, sf_dir):
+    """What all vectors have in common, a document: one a chunk, of the model's dimension, of length one."""
+    vectors = embed(chunk_pages(document_pages(spark, sf_dir)))
+    size = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    return vectors.groupBy("document_id").agg(F.count("*").alias("chunks"), F.count("embedding").alias("vectors"), F.max(F.size("embedding")).alias("dimension"), F.count_if(F.abs(size - 1) < 1e-5).alias("of_length_one"), F.max("model_name").alias("model_name"), F.count("embed_error").cast("int").alias("errors"))
+
+
 # --- all together -------------------------------------------------------------------------------
 
 

@@ -1,17 +1,21 @@
 """Tables of the engine on Parquet.
 
 Rows are appended under the run that wrote them and count once the run is committed, that is once
-its row is in ``runs``; a run that broke off leaves nothing that is read.  There is no update in
-place: the latest row of a key wins.
+its row in ``runs`` has a place in the order of commits; a run that broke off leaves its start and
+nothing else that is read.  There is no update in place: of keyed tables the latest row of a key
+wins, and ``voids`` names rows of earlier runs that a later one replaced.  Commits take turns, so
+that of two runs which took in the same document at once the second sees the first and withdraws.
 """
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Callable
-from dataclasses import dataclass
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.normalise import NORMALISER_VERSION
@@ -28,8 +32,13 @@ SCHEMAS = {
     "embeddings": "document_id string, chunking_version string, chunk_index int, embedding array<float>, dimension int, model_name string, model_version string",
     "models": "model_name string, model_version string, dimension int, is_active boolean",
     "stages": "document_id string, stage string, status string, error string, finished_at timestamp, duration_ms long",
-    "runs": "run_id string, run_type string, status string, processed long, duplicate long, failed long, normaliser_version string, code_version string, embedding_model string, embedding_model_version string, finished_at timestamp",
+    "runs": "run_id string, run_type string, status string, processed long, duplicate long, failed long, normaliser_version string, code_version string, embedding_model string, embedding_model_version string, started_at timestamp, finished_at timestamp, seq long",
+    "voids": "document_id string, table_name string, patterns array<string>, lo long, hi long",
 }
+#: What hangs on a document and goes with it.
+DEPENDENT = ("documents", "raw", "pages", "fields", "checks", "chunks", "embeddings", "stages")
+#: Rows up to which a table of runs, voids or ids is broadcast.
+SMALL = 1 << 20
 #: Rows of later runs replace those of earlier ones with the same key.
 KEYS = {"documents": ["document_id"], "models": ["model_name"], "stages": ["document_id", "stage"], "runs": ["run_id"]}
 
@@ -65,6 +74,42 @@ def outcome(error_code, duplicate):
     return F.when(error_code.isNotNull(), "failed").when(duplicate, "duplicate").otherwise("processed")
 
 
+def sent(df: DataFrame) -> DataFrame:
+    """Broadcast if small, otherwise joined as the optimiser sees fit."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def unvoided(rows: DataFrame, voids: DataFrame, name: Column | None = None) -> DataFrame:
+    """Rows (document_id, seq) without those of a void (document_id, patterns, lo, hi): its document's of seq lo to hi.
+
+    A void with patterns takes only rows whose ``name`` is like one of them.
+    """
+    v = voids.select(F.col("document_id").alias("_d"), F.col("patterns").alias("_p"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    gone = (F.col("document_id") == F.col("_d")) & F.col("seq").between(F.col("_lo"), F.col("_hi"))
+    if name is not None:
+        gone &= F.col("_p").isNull() | F.exists("_p", lambda p: F.like(name, p))
+    return rows.join(v, gone, "left_anti")
+
+
+@dataclass
+class Scratch:
+    """Writes tables of a run's own and reads them back."""
+
+    store: Store
+    run_id: str
+    paths: list[str] = field(default_factory=list)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.paths.append(self.store._path(f"work-{self.run_id}/{len(self.paths)}"))
+        df.write.parquet(self.paths[-1])
+        return df.sparkSession.read.schema(df.schema).parquet(self.paths[-1])
+
+    def clear(self) -> None:
+        """All but the last one are deleted."""
+        for path in self.paths[:-1]:
+            self.store._delete(path)
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -73,20 +118,53 @@ class Store:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _exists(self, table: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def scratch(self, run_id: str) -> Callable[[DataFrame], DataFrame]:
-        """Writes a table of the run's own and reads it back."""
-        count = itertools.count()
-
-        def keep(df: DataFrame) -> DataFrame:
-            path = self._path(f"work-{run_id}/{next(count)}")
-            df.write.parquet(path)
-            return self.spark.read.schema(df.schema).parquet(path)
+    def _file(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
-        return keep
+    def _exists(self, table: str) -> bool:
+        fs, path = self._file(self._path(table))
+        return fs.exists(path)
+
+    def _delete(self, path: str) -> None:
+        fs, at = self._file(path)
+        fs.delete(at, True)
+
+    def scratch(self, run_id: str) -> Scratch:
+        return Scratch(self, run_id)
+
+    def sweep(self, older_than_s: float = 7 * 86400) -> int:
+        """Deletes what runs that broke off have left in their own folders; returns how many folders."""
+        fs, root = self._file(self.root)
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(root, "work-*")) or []
+        old = [f.getPath() for f in found if time.time() - f.getModificationTime() / 1000 >= older_than_s]
+        for path in old:
+            fs.delete(path, True)
+        return len(old)
+
+    @contextmanager
+    def turn(self, stale_s: float = 3600.0) -> Iterator[int]:
+        """The place of the next commit; others wait until it is left.
+
+        Rests on a file that only one can create (HDFS, a local disk); one left behind for
+        ``stale_s`` seconds is taken away.
+        """
+        fs, lock = self._file(self._path("_lock"))
+        while True:
+            try:
+                fs.create(lock, False).close()
+                break
+            except Py4JJavaError as e:
+                if "AlreadyExists" not in str(e.java_exception):
+                    raise
+                if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale_s:
+                    fs.delete(lock, False)
+                time.sleep(0.2)
+        try:
+            last = self._committed().agg(F.max("seq")).first()[0]
+            yield 1 + (last or 0)
+        finally:
+            fs.delete(lock, False)
 
     def append(self, table: str, rows: DataFrame, run_id: str) -> None:
         if table not in SCHEMAS:
@@ -94,32 +172,68 @@ class Store:
         names = [f.split()[0] for f in SCHEMAS[table].split(", ")]
         if unknown := set(rows.columns) - set(names):
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
-        by = ["_run", "model_name", "model_version"] if table == "embeddings" else ["_run"]
-        rows.select(*names).withColumn("_run", F.lit(run_id)).write.mode("append").partitionBy(*by).parquet(self._path(table))
-
-    def read(self, table: str) -> DataFrame:
-        """Rows of committed runs, of keyed tables the latest a key."""
-        empty = self.spark.createDataFrame([], SCHEMAS[table])
-        if not self._exists(table) or (table != "runs" and not self._exists("runs")):
-            return empty
-        rows = self.spark.read.schema(f"{SCHEMAS[table]}, _run string").parquet(self._path(table))
+        # into the run's own folder, since writers of one folder clear each other's unfinished files
+        by = ["model_name", "model_version"] if table == "embeddings" else []
+        rows.select(*names).write.mode("append").partitionBy(*by).parquet(self._path(f"{table}/_run={run_id}"))
+
+    def _rows(self, table: str) -> DataFrame:
+        if not self._exists(table):
+            return self.spark.createDataFrame([], f"{SCHEMAS[table]}, _run string")
+        return self.spark.read.schema(f"{SCHEMAS[table]}, _run string").parquet(self._path(table))
+
+    def _committed(self) -> DataFrame:
+        return self._rows("runs").where("seq is not null").select(F.col("run_id").alias("_run"), "seq")
+
+    def read(self, table: str, ids: DataFrame | None = None) -> DataFrame:
+        """Rows of committed runs that nothing replaced, of keyed tables the latest a key.
+
+        With ``ids`` (document_id) only those of these documents, which are picked out first.
+        """
+        columns = [f.split()[0] for f in SCHEMAS[table].split(", ")]
+        rows = self._rows(table)
         if table == "runs":
-            return rows.drop("_run")
-        done = self.spark.read.schema(f"{SCHEMAS['runs']}, _run string").parquet(self._path("runs")).select(F.col("run_id").alias("_run"), F.col("finished_at").alias("_at"))
-        rows = rows.join(F.broadcast(done), "_run")  # one row a run
+            return latest(rows, KEYS[table], F.col("seq").desc_nulls_last()).select(*columns)
+        if ids is not None:
+            rows = rows.join(sent(ids.select("document_id").distinct()), "document_id", "left_semi")
+        rows = rows.join(sent(self._committed()), "_run")
+        if table in DEPENDENT and self._exists("voids"):
+            voids = self._rows("voids").where(F.col("table_name") == table).join(sent(self._committed()).drop("seq"), "_run")
+            if not voids.isEmpty():
+                rows = unvoided(rows, sent(voids), F.col("check_name") if table == "checks" else None)
         if table in KEYS:
-            rows = latest(rows, KEYS[table], F.col("_at").desc(), F.col("_run").desc())
-        return rows.select(*empty.columns)
+            rows = latest(rows, KEYS[table], F.col("seq").desc(), F.col("_run").desc())
+        return rows.select(*columns)
+
+    def begin(self, run_id: str, run_type: str) -> None:
+        """The run's first row; it stays the only one if the run breaks off."""
+        self._log(run_id, run_type, F.lit("running"), seq=None)
+
+    def commit(self, run_id: str, run_type: str, processed: int, duplicate: int, failed: int, model: tuple[str, str] | None = None, seq: int | None = None) -> None:
+        """The run's last row: from now on its rows count.  Takes a turn unless it is in one and gives its ``seq``."""
+        with nullcontext(seq) if seq else self.turn() as place:
+            self._log(run_id, run_type, run_status(F.col("processed"), F.col("duplicate"), F.col("failed")), place, (processed, duplicate, failed), model)
 
-    def commit(self, run_id: str, run_type: str, processed: int, duplicate: int, failed: int, model: tuple[str, str] | None = None) -> None:
-        """The run's row, written last: from now on its rows count."""
+    def _log(self, run_id: str, run_type: str, status: Column, seq: int | None, counts: tuple = (None, None, None), model: tuple[str, str] | None = None) -> None:
         if run_type not in RUN_TYPES:
             raise ValueError(f"run_type must be one of {RUN_TYPES}")
-        n = self.spark.createDataFrame([(run_id, run_type, processed, duplicate, failed)], "run_id string, run_type string, processed long, duplicate long, failed long")
+        row = self.spark.createDataFrame([(run_id, run_type, *counts, seq)], "run_id string, run_type string, processed long, duplicate long, failed long, seq long")
         name, version = model or (None, None)
         made = {"normaliser_version": NORMALISER_VERSION, "code_version": code_version(), "embedding_model": name, "embedding_model_version": version}
-        n = n.select("*", run_status(F.col("processed"), F.col("duplicate"), F.col("failed")).alias("status"), *(F.lit(v).cast("string").alias(k) for k, v in made.items()), F.current_timestamp().alias("finished_at"))
-        self.append("runs", n, run_id)
+        started, finished = (F.when(F.lit(seq).isNull() == first, F.current_timestamp()) for first in (True, False))
+        self.append("runs", row.select("*", status.alias("status"), *(F.lit(v).cast("string").alias(k) for k, v in made.items()), started.alias("started_at"), finished.alias("finished_at")), run_id)
+
+    def void(self, run_id: str, documents: DataFrame, tables: tuple[str, ...], lo: int, hi: int, patterns: tuple[str, ...] | None = None) -> None:
+        """Rows of the documents that runs of place lo to hi wrote do not count any more."""
+        named = F.array(*map(F.lit, patterns)) if patterns else F.lit(None).cast("array<string>")
+        rows = documents.select("document_id").distinct().select("document_id", F.explode(F.array(*map(F.lit, tables))).alias("table_name"), named.alias("patterns"), F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"))
+        self.append("voids", rows, run_id)
+
+    def forget_model(self, name: str, version: str) -> None:
+        """Deletes the vectors of one model version, which are partitions of their own."""
+        fs, root = self._file(self._path("embeddings"))
+        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(root, f"_run=*/model_name={name}/model_version={version}")) or []
+        for status in found:
+            fs.delete(status.getPath(), True)
 
 
 def delete_model_vectors(embeddings: DataFrame, name: str, version: str) -> DataFrame:

@@ -1,9 +1,12 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.operators.embed import DIMENSION, Model, hashing_embedder, register
-from pagemill.operators.search import InvalidRequest, Request, search
-from pagemill.plans.ingest import InvalidCountry, deidentified_view, document, ingest, quarantine_view, reembed
+from pagemill.operators.search import InvalidRequest, Request, UnknownModel, search
+from pagemill.plans.ingest import InvalidCountry, Rulepack, deidentified_view, document, ingest, quarantine_view, reembed
+from pagemill.plans.reprocess import reprocess
 from pagemill.plans.store import Store
 from pagemill.sources.exports import scan_folder
 from pagemill.streaming.folder import ingest_stream
@@ -139,6 +142,82 @@ def test_country_precedence(spark, tmp_path):
     assert row["country_code"] == "VN" and "envelope_country_code_invalid" in row["quality_flags"] and row["error_code"] is None
 
 
+def test_reprocess_replaces(spark, tmp_path):
+    """A rerun leaves one set of rows, of the new run, and touches no other document."""
+    store = Store(spark, f"file://{tmp_path}")
+    rows = {r["filename"]: r["document_id"] for r in ingest(store, files(spark, {n: CONTENTS[n] for n in ("mc.json", "receipt.json", "azure.json", "none.json")})).collect()}
+    count = lambda: {t: store.read(t).count() for t in ("documents", "pages", "fields", "checks", "chunks", "embeddings", "stages")}
+    before, fields = count(), sorted(map(str, store.read("fields").collect()))
+    ids = spark.createDataFrame([(rows["mc.json"],), (rows["azure.json"],), ("unknown",)], "document_id string")
+    again = reprocess(store, ids, ("extract", "quality")).collect()
+    assert len(again) == 2 and count() == before and sorted(map(str, store.read("fields").collect())) == fields
+    every = reprocess(store, store.read("documents").select("document_id")).collect()
+    assert len(every) == 4 and sorted(map(str, store.read("fields").collect())) == fields
+    assert {k: v for k, v in count().items() if k != "stages"} == {k: v for k, v in before.items() if k != "stages"}
+    assert {r["document_type"]: r["status"] for r in every} == {"medical_certificate": "embedded", "receipt": "embedded", "referral_letter": "embedded", None: "failed"}
+    # a pack that knows another word: the failed document gets a type, its check passes, the others lose theirs
+    other = Rulepack(keywords={"receipt": {"nothing of interest": 1}})
+    got = {r["document_id"]: r for r in reprocess(store, store.read("documents").select("document_id"), pack=other).collect()}
+    assert got[rows["none.json"]]["status"] == "embedded" and got[rows["none.json"]]["chunks"] == 1 and got[rows["none.json"]]["error_code"] is None
+    assert got[rows["mc.json"]]["error_code"] == "unsupported_document_type" and got[rows["mc.json"]]["quality_flags"] == ["document_type_supported"]
+    assert store.read("fields").select("document_id").distinct().count() == 1
+    assert {r["run_type"] for r in store.read("runs").collect()} == {"ingest", "renormalise"} and store.read("runs").where("started_at is null").count() == 4
+    with pytest.raises(ValueError, match="no stages"):
+        reprocess(store, ids, ("guess",))
+
+
+def test_two_runs_at_once(spark, tmp_path):
+    """Of two runs that take in the same files one withdraws; nothing counts twice."""
+    store = Store(spark, f"file://{tmp_path}")
+    names = ("mc.json", "receipt.json", "junk.txt")
+    with ThreadPoolExecutor(2) as pool:
+        both = [f.result().collect() for f in [pool.submit(ingest, store, files(spark, {n: CONTENTS[n] for n in names})) for _ in range(2)]]
+    assert sorted(sum(r["duplicate"] for r in rows) for rows in both) == [0, 3]
+    alone = Store(spark, f"file://{tmp_path}/alone")
+    ingest(alone, files(spark, {n: CONTENTS[n] for n in names}))
+    for t in ("documents", "raw", "pages", "fields", "checks", "chunks", "embeddings", "stages", "models"):
+        assert store.read(t).count() == alone.read(t).count(), t
+    found = search(Request("gastroenteritis", 50), *(store.read(t) for t in ("documents", "chunks", "embeddings", "models"))).collect()
+    assert len(found) == len({(r["document_id"], r["chunk_index"]) for r in found}) == store.read("chunks").count()
+
+
+def test_broken_runs_and_cleaning(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    rows = ingest(store, files(spark, {"mc.json": CONTENTS["mc.json"]}))
+    assert len(list(tmp_path.glob("work-*/*"))) == 1 and rows.count() == 1
+    store.begin("broken", "ingest")
+    assert {r["run_id"]: r["status"] for r in store.read("runs").collect()}["broken"] == "running"
+    assert store.sweep(3600) == 0 and store.sweep(0) == 1 and not list(tmp_path.glob("work-*"))
+    assert store.read("embeddings").count() == 1
+    store.forget_model("hashing-384", "1")
+    assert store.read("embeddings").count() == 0 and store.read("chunks").count() == 1
+    (tmp_path / "_lock").touch()
+    with store.turn(stale_s=0) as seq:
+        assert seq == 2
+    assert not (tmp_path / "_lock").exists()
+
+
+def test_documents_that_a_model_refuses(spark, tmp_path):
+    """Such a document fails as a whole and has no vectors."""
+    store = Store(spark, f"file://{tmp_path}")
+    rows = {r["filename"]: r for r in ingest(store, files(spark, {n: CONTENTS[n] for n in ("mc.json", "receipt.json")}), model=register(Model("picky", "1", DIMENSION, _picky))).collect()}
+    assert rows["receipt.json"]["error_code"] == "internal_server_error" and rows["mc.json"]["error_code"] is None
+    assert {r["document_id"] for r in store.read("embeddings").collect()} == {rows["mc.json"]["document_id"]}
+
+
+def test_search_joins_texts_last(spark, done):
+    store, _ = done
+    plan = search(Request("gst"), *(store.read(t) for t in ("documents", "chunks", "embeddings", "models")))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    at = next(i for i, line in enumerate(plan) if "GlobalLimit" in line)
+    end = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+    below = "".join(plan[at:end])
+    assert "embedding#" in below and "text#" not in below and "text#" in "".join(plan)
+    lost = store.read("models").withColumn("model_name", F.lit("absent"))
+    with pytest.raises(UnknownModel):
+        search(Request("gst"), *(store.read(t) for t in ("documents", "chunks", "embeddings")), lost)
+
+
 def test_unfinished_runs_do_not_count(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     store.append("checks", spark.createDataFrame([("d", 1, "x", True, "info", "{}")], "document_id string, page_number int, check_name string, passed boolean, severity string, details string"), "r1")
