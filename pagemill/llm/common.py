@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+import weakref
 from functools import lru_cache
 
 import numpy as np
@@ -14,15 +18,20 @@ from pyspark.sql import functions as F
 
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='pagemill-')}"
+    folder = tempfile.mkdtemp(prefix="pagemill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A new path in the folder that the cluster shares (``spark.checkpoint.dir``).
 
-    Only where the cluster names none, as in tests, a folder of this process is used.
+    Where the session names none, a folder of this process serves a local master; on a cluster,
+    whose executors would not see it, that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     return f"{(base or _own_folder()).rstrip('/')}/pagemill-{uuid.uuid4().hex}"
 
 
@@ -30,7 +39,21 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these tables; nothing may read them any more."""
+    for df in tables:
+        if path := _WRITTEN.pop(df, None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -30,7 +30,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = materialise(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = materialise(small.where("u <> v").distinct())
+        done, edges = edges, materialise(small.where("u <> v").distinct())
+        discard(done, large)
         after = _state(edges)
         if after == before:
             break

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table
+from .common import discard, materialise, read_table
 from .components import connected_components
 from .variants import CROWD, Near, across, deal, forest, majority
 
@@ -256,6 +256,7 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
     links.append(named.join(lead, "doc_id").where("id <> v").select(F.col("id").alias("u"), "v"))
     if not (links[2].isEmpty() and links[3].isEmpty()):
         found = materialise(connected_components(links[0].unionByName(links[1]).unionByName(links[2]).unionByName(links[3])))
+    discard(edges, wanted, texts, refused, placed)
     names = nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("c"))
     least = names.groupBy("c").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", F.col("id").alias("node")).join(names.select("node", "c").join(least, "c"), "node").select("doc_id", "component_id")
