@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import materialise, read_table, unused
+from pagemill.llm.common import discard, materialise, read_table, unused
 from pagemill.llm.decontaminate import find_contamination
 from pagemill.llm.packing import pack_documents
 from pagemill.llm.quality import fit_quality, score_quality, training_labels
@@ -71,5 +71,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        done, docs = docs, materialise(stage(spark, docs, sf_dir))
+        discard(done)
     return STAGES[-1][1](spark, docs, sf_dir)
