@@ -1,13 +1,15 @@
-"""Exact top-k search by cosine similarity."""
+"""Top-k search by cosine similarity: exact, or over an index of cells."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
@@ -73,43 +75,63 @@ def _best(which: np.ndarray, score: np.ndarray, key: np.ndarray, k: int) -> np.n
     return order[rank < k]
 
 
-def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, embedding: str = "embedding", block: int = 4096) -> DataFrame:
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; those of length zero become NaN and score nothing."""
+    size = np.sqrt((x * x).sum(1))
+    return x / np.where(size > 0, size, np.nan)[:, None]
+
+
+def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str, embedding: str = "embedding", block: int = 4096, cells: Cells | None = None) -> DataFrame:
     """The same for every row of ``queries`` (query_key, q), against all rows; keys are longs.
 
     Queries are taken in blocks of about ``block``, so that what is sent out does not grow with
     their number.  A task scores its rows by matrix products and keeps k a query: these alone are
     shuffled.  Which rows are the best is settled by sums in a fixed order, so equal vectors tie.
+    With ``cells`` a row (which has its ``cell``) is scored for the queries that look there.
     """
     blocks = max(1, -(-queries.count() // block))
 
     def scored(part: DataFrame) -> DataFrame:
         rows = part.select(query_key, "q").where("q is not null").collect()  # a block
-        names, q = np.array([r[0] for r in rows], np.int64), [np.array(r[1], np.float64) for r in rows]
-        q = np.array([x / n if (n := np.linalg.norm(x)) else x * np.nan for x in q])
+        names, q = np.array([r[0] for r in rows], np.int64), _unit(np.array([r[1] for r in rows] or np.zeros((0, 1)), np.float64))
+        looked = cells.probed(q) if cells is not None and len(rows) else None
+        source = vectors.select(F.col(key).cast("long").alias(key), embedding, *(["cell"] if cells is not None else []))
+        if looked is not None:  # reaches the scan of a table that is partitioned by cell
+            source = source.where(F.col("cell").isin(np.flatnonzero(looked.any(0)).tolist()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+
+            def add(x: np.ndarray, ids: np.ndarray, mine: np.ndarray) -> None:
+                nonlocal held
+                rough = np.nan_to_num(x @ q[mine].T, nan=-np.inf)
+                last = max(0, len(x) - k)
+                row, which = np.nonzero((rough >= np.partition(rough, last, axis=0)[last] - 1e-9) & np.isfinite(rough))
+                which = mine[which]
+                score = np.concatenate([(x[row[i : i + 65536]] * q[which[i : i + 65536]]).sum(1) for i in range(0, len(row), 65536)] or [np.zeros(0)])
+                held = [np.concatenate(z) for z in zip(held, (which, score, ids[row]), strict=True)]
+                best = _best(*held, k)
+                held = [z[best] for z in held]
+
             for batch in batches:
                 for a in range(0, len(batch), 2048):
                     part = batch.slice(a, 2048)
                     part = part.filter(pa.compute.is_valid(part.column(1)))
                     if not len(part) or not len(names):
                         continue
-                    x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), -1)
-                    size = np.sqrt((x * x).sum(1))
-                    x = x / np.where(size > 0, size, np.nan)[:, None]
-                    rough = np.nan_to_num(x @ q.T, nan=-np.inf)
-                    least = np.partition(rough, max(0, len(x) - k), axis=0)[max(0, len(x) - k)] - 1e-9
-                    row, which = np.nonzero((rough >= least) & np.isfinite(rough))
-                    score = np.concatenate([(x[row[i : i + 65536]] * q[which[i : i + 65536]]).sum(1) for i in range(0, len(row), 65536)] or [np.zeros(0)])
-                    ids = part.column(0).to_numpy(zero_copy_only=False)[row]
-                    held = [np.concatenate(z) for z in zip(held, (which, score, ids), strict=True)]
-                    best = _best(*held, k)
-                    held = [z[best] for z in held]
+                    x = _unit(part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), -1))
+                    ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    if looked is None:
+                        add(x, ids, np.arange(len(names)))
+                        continue
+                    cell = part.column(2).to_numpy(zero_copy_only=False)
+                    for c in np.unique(cell):
+                        if len(mine := np.flatnonzero(looked[:, c])):
+                            add(x[cell == c], ids[cell == c], mine)
             if len(held[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(names[held[0]]), pa.array(held[2].astype(np.int64)), pa.array(held[1])], [query_key, key, "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[held[0]]), pa.array(held[2]), pa.array(held[1])], [query_key, key, "score"])
 
-        return vectors.select(F.col(key).cast("long").alias(key), embedding).mapInArrow(run, f"{query_key} long, {key} long, score double")
+        return source.mapInArrow(run, f"{query_key} long, {key} long, score double")
 
     number = F.pmod(F.xxhash64(query_key), F.lit(blocks))
     found = reduce(DataFrame.unionByName, (scored(queries.where(number == i) if blocks > 1 else queries) for i in range(blocks)))
@@ -117,6 +139,66 @@ def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+@dataclass(frozen=True)
+class Cells:
+    """An index for approximate search: every vector lies in the cell of its nearest centre.
+
+    A query looks into the ``probes`` cells whose centres are nearest to it.
+    """
+
+    centres: np.ndarray
+    probes: int
+
+    def probed(self, q: np.ndarray) -> np.ndarray:
+        """(queries, cells): where each query looks."""
+        rank = np.argsort(np.argsort(-np.nan_to_num(q @ self.centres.T), axis=1, kind="stable"), axis=1, kind="stable")
+        return rank < self.probes
+
+    def assign(self, vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
+        """Every row with its ``cell``; write it partitioned by that, and searches read only the cells they probe."""
+        centres = self.centres
+
+        @F.pandas_udf("int")
+        def nearest_centre(v: pd.Series) -> pd.Series:
+            out = np.full(len(v), -1, np.int32)
+            there = v.notna().to_numpy()
+            if there.any():
+                out[there] = np.argmax(np.stack(v[there].to_list()).astype(np.float64) @ centres.T, axis=1)
+            return pd.Series(out)
+
+        return vectors.withColumn("cell", nearest_centre(F.col(embedding)))
+
+
+def fit_cells(vectors: DataFrame, k: int = 10, recall: float = 0.95, cells: int | None = None, sample: int = 20_000, embedding: str = "embedding") -> Cells:
+    """Centres and probes from at most ``sample`` vectors, chosen by hash.
+
+    Probes are the fewest with which the sample's own ``k`` nearest neighbours are found to the
+    ``recall`` asked for.  Every row is indexed by ``assign``; only this fit is bounded.
+    """
+    rows = vectors.where(F.col(embedding).isNotNull()).select(F.col(embedding).alias("v"), F.xxhash64(embedding).alias("h")).orderBy("h").limit(sample).collect()
+    x = _unit(np.array([r["v"] for r in rows] or np.zeros((0, 1)), np.float64))
+    x = x[~np.isnan(x).any(1)]
+    if not len(x):
+        return Cells(np.zeros((1, 1)), 1)
+    n = min(len(x), cells or max(1, round(math.sqrt(len(x)))))
+    rng = np.random.default_rng(0)
+    centres = x[rng.choice(len(x), n, replace=False)]
+    for _ in range(12):
+        own = np.argmax(x @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, x)
+        empty = ~np.any(sums, axis=1)
+        sums[empty] = centres[empty]
+        centres = np.nan_to_num(_unit(sums))
+    own = np.argmax(x @ centres.T, axis=1)
+    asked = rng.choice(len(x), min(len(x), 500), replace=False)
+    score = x[asked] @ x.T
+    best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+    rank = np.argsort(np.argsort(-(x[asked] @ centres.T), axis=1, kind="stable"), axis=1, kind="stable")
+    needed = np.sort(np.take_along_axis(rank, own[best], axis=1), axis=None)
+    return Cells(centres, 1 + int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]))
+
+
 class UnknownModel(LookupError):
     """The active model is not among those registered here."""
 

@@ -22,7 +22,7 @@ from ..operators.embed import HASHING, Model, activate, activate_if_none, embed,
 from ..operators.extract import Rule, extract_fields
 from ..operators.normalise import ENGINES, clamp, normalise
 from ..operators.quality import OWNED, deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
-from ..operators.search import nearest, nearest_each, search_vectors
+from ..operators.search import fit_cells, nearest, nearest_each, search_vectors
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, content_hash, normalise_country, parse_exports, receive_checks, resolve_country, safe_path
 from .store import insert_if_absent, latest_durations, outcome, run_status, unvoided
 
@@ -717,6 +717,15 @@ def search_multi(spark, sf_dir):
     return nearest_each(vectors, queries, _K, "vec_id", "query_id").select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query()
+def search_index(spark, sf_dir):
+    """``search_multi`` over an index of cells that holds every row; approximate."""
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    cells = fit_cells(vectors, k=_K)
+    return nearest_each(cells.assign(vectors), queries, _K, "vec_id", "query_id", cells=cells).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 @query("SELECT * FROM (VALUES ('hashing-384', '1', 384, false), ('other', '2', 384, true), ('third', '1', 384, false)) AS t(model_name, model_version, dimension, is_active)")
 def model_activate(spark, sf_dir):
     models = spark.createDataFrame([("other", "1", 128, False), ("third", "1", 384, False)], "model_name string, model_version string, dimension int, is_active boolean")
