@@ -1,6 +1,8 @@
+import bisect
 import zlib
 from collections import Counter
 
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -67,6 +69,25 @@ def test_query(spark, sf_dir):
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {k: (len(v) + 16, zlib.crc32(v)) for k, v in texts.items()}
 
 
+def test_query_against_single_keys_on_the_ring(spark, sf_dir):
+    """Every key walks the ring by itself, from the place of its own hash."""
+    ring, rows = Ring.build(40, 128), op6_ring_shards(spark, sf_dir).collect()
+    at = {r["doc_id"]: xxhash.xxh64_intdigest(r["doc_id"].to_bytes(8, "little", signed=True), 42) & ((1 << 63) - 1) for r in rows}
+    arcs = {}
+    for doc_id in sorted(at, key=at.get):
+        arcs.setdefault(bisect.bisect_left(ring.points.tolist(), at[doc_id]) % len(ring.points), []).append(doc_id)
+    where = brute({a: len(v) for a, v in arcs.items()}, ring, capacities(len(rows), 40, 1))
+    assert {r["doc_id"]: r["shard"] for r in rows} == {v[k]: where[a, k] for a, v in arcs.items() for k in range(len(v))}
+
+
+def test_movement_of_the_query(spark):
+    """At a load factor of 1, as the query has it, one more shard moves little more than its own share."""
+    table = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    a, b = ({r["doc_id"]: r["shard"] for r in assign_shards(table, n_shards=n).collect()} for n in (40, 41))
+    moved = sum(a[k] != b[k] for k in a) / len(a)
+    assert 1 / 41 - 1e-3 <= moved < 0.06
+
+
 def test_awkward_rows(spark):
     rows = assign_shards(docs(spark, AWKWARD), n_shards=3, order=("text",)).collect()
     assert len(rows) == len(AWKWARD)
