@@ -7,8 +7,9 @@ depend on order and paragraphs can be added to or taken from it without the rest
 The vector has two parts.  ``exact`` has 16 lanes modulo 2 ** 32 cut from the paragraph's
 SHA-512: equal multisets have equal sums, and unequal ones differ.  ``near`` has 64 lanes modulo
 2 ** 32, packed two to a long, that count the hash bits of the paragraph's overlapping word
-n-grams; the counts give a random projection of the n-gram multiset, and the angle between two
-projections says how alike two documents are.  Both parts add up, so edits are incremental in either.
+n-grams; the counts, with the number of n-grams, give a random projection of the n-gram multiset,
+and the angle between two projections says how alike two documents are.  All of it adds up, so
+edits are incremental, and all of it is in the published fingerprint.
 
 Everything here is an SQL expression; nothing runs outside the JVM.
 """
@@ -93,11 +94,26 @@ def removed(a: Column, b: Column) -> Column:
 
 
 def as_string(v: Column) -> Column:
-    """Lower-case hexadecimal: 8 digits for each exact lane, then 16 for each pair of near lanes."""
-    lanes = F.concat(F.transform(v["exact"], lambda x: F.lpad(F.hex(x), 8, "0")), F.transform(v["near"], lambda x: F.lpad(F.hex(x), 16, "0")))
+    """Lower-case hexadecimal of the whole vector: 8 digits for each exact lane, 16 for each pair of near lanes, 16 for the number of n-grams."""
+    lanes = F.concat(F.transform(v["exact"], lambda x: F.lpad(F.hex(x), 8, "0")), F.transform(F.array_append(v["near"], v["grams"]), lambda x: F.lpad(F.hex(x), 16, "0")))
     return F.lower(F.array_join(lanes, ""))
 
 
+def _packed(v: Column) -> Column:
+    return F.concat(v["exact"], F.array_append(v["near"], v["grams"]))
+
+
+def _unpacked(lanes: Column, at: int) -> Column:
+    """The vector of number ``at`` among packed ones."""
+    first = at * (EXACT_LANES + NEAR_WORDS + 1) + 1
+    return F.struct(F.slice(lanes, first, EXACT_LANES).alias("exact"), F.slice(lanes, first + EXACT_LANES, NEAR_WORDS).alias("near"), F.element_at(lanes, first + EXACT_LANES + NEAR_WORDS).alias("grams"))
+
+
+def open_line(text: Column) -> Column:
+    """What stands after the last line break."""
+    return F.substring_index(F.translate(text, "\r", "\n"), "\n", -1)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Cosine of the two projections, at least 0; 1 for equal vectors, 0 if just one is empty."""
 
@@ -140,7 +156,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Every document with its vector, its next document's and that of an edited text.
 
     The edited text has the last quarter of the code points replaced by the first as many of the
-    next document.  Rows of one doc_id follow the same document and precede it alike; if the next
+    next document; its vector is the text's, without the paragraphs from the cut on and with those
+    that stand there afterwards, so the text before is hashed once.  Rows of one doc_id follow the same document and precede it alike; if the next
     id has several texts the least counts.  A null doc_id comes first, null texts are empty, and a
     single document follows itself.  Columns other than doc_id and text are not read.
     """
@@ -148,17 +165,26 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     light = docs.select("doc_id", order.alias("k"), F.char_length(text_or_empty()).alias("n"))
     quarter = light.groupBy("k").agg(F.max(F.floor(F.col("n") / 4)).cast("int").alias("most"))
     links = following(light, "k").withColumnRenamed("k", "o").join(quarter.withColumnRenamed("k", "q"), F.col("o") == F.col("q")).select("o", "next", "most")
+    n = F.char_length("text")
+    cut = F.floor(n / 4).cast("int")
+    started = F.col("started")
+    texts = docs.select(order.alias("k"), text_or_empty().alias("text"))
+    texts = texts.withColumn("started", (n - cut - F.char_length(open_line(F.substring("text", F.lit(1), n - cut)))).cast("int"))
+    parts = F.struct(vector(F.substring("text", F.lit(1), started)).alias("a"), vector(F.substring("text", started + 1, n)).alias("b"))
+    # one array, since a struct's unread fields would be pruned on one side and the exchange not read twice
+    texts = texts.withColumn("vs", _let(parts, lambda p: F.concat(_packed(added(p["a"], p["b"])), _packed(p["b"]))))
     # dealt out once by key: both joins below read the same exchange, and only heads of texts move again
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(order.alias("k"), text_or_empty().alias("text")).withColumn("v", vector(F.col("text"))).repartition(parts, "k")
+    rows = texts.select("k", "text", "vs").repartition("k")
     heads = rows
     if not light.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        heads = rows.groupBy("k").agg(F.min(F.struct("text", "v")).alias("m")).select("k", "m.text", "m.v")
-    after = links.join(heads, F.col("next") == F.col("k")).select("o", F.expr("left(text, most)").alias("head"), F.col("v").alias("next_v"))
-    n = F.char_length("text")
-    cut = F.floor(n / 4).cast("int")
-    out = rows.join(after, F.col("k") == F.col("o")).select(F.nullif("k", F.lit(-(1 << 63))).alias("doc_id"), "text", "v", "next_v", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - cut), F.substring("head", F.lit(1), cut)).alias("edited"))
-    return out.withColumn("edited_v", vector(F.col("edited")))
+        heads = rows.groupBy("k").agg(F.min(F.struct("text", "vs")).alias("m")).select("k", "m.text", "m.vs")
+    after = links.join(heads, F.col("next") == F.col("k")).select("o", F.expr("left(text, most)").alias("head"), _unpacked(F.col("vs"), 0).alias("next_v"))
+    kept, head = F.substring("text", F.lit(1), n - cut), F.substring("head", F.lit(1), cut)
+    out = rows.join(after, F.col("k") == F.col("o")).select(
+        F.nullif("k", F.lit(-(1 << 63))).alias("doc_id"), "text", _unpacked(F.col("vs"), 0).alias("v"), _unpacked(F.col("vs"), 1).alias("ending"), "next_v",
+        n.cast("long").alias("n_chars"), F.concat(kept, head).alias("edited"), vector(F.concat(open_line(kept), head)).alias("new_ending"),
+    )
+    return out.withColumn("edited_v", added(removed(F.col("v"), F.col("ending")), F.col("new_ending")))
 
 
 def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,10 @@
 import hashlib
+import math
 import random
+import re
 
+import regex
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -24,6 +28,43 @@ def brute_exact(text):
     return "".join(f"{x:08x}" for x in lanes)
 
 
+BREAK = re.compile(r"[\r\n]+")
+WORDS = regex.compile(r"\s+|(?<=[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}])|(?<=\S{16})", regex.V1 | regex.ASCII)
+
+
+def brute_near(text):
+    """64 counts of hash bits over the three-word n-grams of each paragraph, and their number."""
+    lanes, grams = [0] * 64, 0
+    for p in BREAK.split(text or ""):
+        words = [w for w in WORDS.split(p.strip(" \t")) if w]
+        for i in range(max(1, len(words) - 2) if words else 0):
+            h = 42
+            for w in words[i : i + 3]:
+                h = xxhash.xxh64_intdigest(w.encode(), h)
+            grams += 1
+            lanes = [a + (h >> k & 1) for k, a in enumerate(lanes)]
+    return lanes, grams
+
+
+def from_string(fingerprint):
+    """The published fingerprint holds all that likeness needs."""
+    assert len(fingerprint) == 128 + 32 * 16 + 16
+    longs = [int(fingerprint[128 + 16 * i :][:16], 16) for i in range(33)]
+    lanes = [0] * 64
+    for i in range(32):
+        lanes[i % 8 + 8 * (i // 8)], lanes[i % 8 + 8 * (i // 8) + 32] = longs[i] & 0xFFFFFFFF, longs[i] >> 32
+    return lanes, longs[32]
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    (x, n), (y, m) = from_string(a), from_string(b)
+    x, y = [2 * c - n for c in x], [2 * c - m for c in y]
+    size = math.sqrt(sum(c * c for c in x)) * math.sqrt(sum(c * c for c in y))
+    return min(1.0, max(0.0, sum(p * q for p, q in zip(x, y, strict=True)) / size)) if size else 0.0
+
+
 def test_query_against_brute_force(spark, sf_dir):
     texts = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     got = {r["doc_id"]: r for r in op7_multiset_hash(spark, sf_dir).collect()}
@@ -36,6 +77,10 @@ def test_query_against_brute_force(spark, sf_dir):
         edited = text[: len(text) - k] + after[:k]
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["fingerprint"][:128] == brute_exact(text) and r["edited_fingerprint"][:128] == brute_exact(edited)
+        assert sorted(from_string(r["fingerprint"])[0]) == sorted(brute_near(text)[0]) and from_string(r["fingerprint"]) == brute_near(text)
+        assert from_string(r["edited_fingerprint"]) == brute_near(edited)
+        assert abs(r["near_edited"] - brute_likeness(r["fingerprint"], r["edited_fingerprint"])) < 1e-9
+        assert abs(r["near_next"] - brute_likeness(r["fingerprint"], by[after_id])) < 1e-9
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         assert (r["near_next"] == 1) == (by[doc_id] == by[after_id])
         better += r["near_edited"] > r["near_next"]
