@@ -217,3 +217,17 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"), n=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest([array_to_string(w[i : i + least(len(w), 10) - 1], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) AS k FROM b WHERE len(w) > 0),
+dw AS (SELECT doc_id, n, unnest([{{'i': i, 'k': array_to_string(w[i : i + n - 1], ' ')}} for i in range(1, len(w) - n + 2)]) AS x FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+h AS (SELECT dw.doc_id, dw.n, dw.x.i AS i, bw.item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.k = dw.x.k),
+p AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .decontaminate import op2_decontaminate
+from .decontaminate import OP2_SQL, op2_decontaminate
 from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
 from .pseudonyms import op3_pii
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLE = {"op5_warc": OP5_SQL}
+ORACLE = {"op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL}

@@ -5,8 +5,9 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagemill.llm.decontaminate import NgramSet, Words, find_contamination, op2_decontaminate
+from pagemill.llm.decontaminate import OP2_SQL, NgramSet, Words, find_contamination, op2_decontaminate
 
+from ..oracle import connection, differences
 from .fixtures import AWKWARD, docs
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -42,6 +43,11 @@ def test_query_against_brute_force(spark, sf_dir):
     assert any(r[5] for r in want)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    for folder in (sf_dir, sf_dir.replace("0.001", "0.01")):
+        assert differences(op2_decontaminate(spark, folder), connection(folder), OP2_SQL) is None
+
+
 ITEMS = [(1, "a b c d e f g h i j k l"), (2, "short item"), (3, None), (4, ""), (5, "b c d e f g h i j k"), (6, "a a a")]
 TEXTS = [(1, "x A b-c d e f g h i j k! y"), (2, "Short, ITEM short item"), (3, "a b c d e f g h i"), (4, "a a a a"), (5, None), (6, ""), (7, "a b c d e"), (8, "f g h i j k l"), (9, "SHORT éitem"), (10, "Z" * 100_000 + " short item")]
 

@@ -35,6 +35,28 @@ def test_flattened_trees_equal_a_walk():
     assert ((trees.score(x) > 0.5) == y).mean() > 0.97
 
 
+def test_split_is_the_best_of_all():
+    """One stump, against every threshold of every column."""
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        x, y = rng.integers(0, 12, (80, 3)).astype(float), rng.integers(0, 2, 80).astype(float)
+        if y.min() == y.max():
+            continue
+        trees, p = grow(x, y, n_trees=1, depth=1, rate=1.0, bins=64, shrink=1.0, least=1.0), y.mean()
+        g, h = p - y, np.full(80, p * (1 - p))
+        value = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
+        best = 0.0
+        for f in range(3):
+            for t in np.unique(x[:, f])[:-1]:
+                left = x[:, f] <= t
+                if min(h[left].sum(), h[~left].sum()) >= 1.0:
+                    best = max(best, value(left) + value(~left) - value(np.ones(80, bool)))
+        left = x[:, trees.feature[0, 0]] <= trees.threshold[0, 0]
+        if best > 1e-9:
+            assert abs(value(left) + value(~left) - value(np.ones(80, bool)) - best) < 1e-9
+            assert np.allclose(trees.leaf[0], [-g[r].sum() / (h[r].sum() + 1.0) for r in (left, ~left)])
+
+
 def test_constant_scores():
     assert grow(np.zeros((0, 3)), np.zeros(0)).score(np.zeros((2, 3))).tolist() == [0.5, 0.5]
     assert (grow(np.zeros((4, 3)), np.ones(4)).score(np.zeros((2, 3))) > 0.99).all()
