@@ -13,6 +13,8 @@ KEYWORDS: dict[str, dict[str, int]] = {
     "referral_letter": {"referral": 3, "referral letter": 2, "referring provider": 2, "kindly review": 1},
     "receipt": {"receipt": 3, "tax invoice": 3, "official receipt": 2, "gst": 1},
 }
+#: What is said of a document of none of the types.
+NO_TYPE = "no keyword found in the document text"
 
 
 def keyword_pattern(keyword: str) -> str:

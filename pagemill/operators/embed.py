@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.pii import mask_text
+
 DIMENSION = 384
 BATCH = 32
 
@@ -43,6 +47,21 @@ def hashing_embedder() -> Callable[[list[str]], np.ndarray]:
     return encode
 
 
+def resolve_snapshot(name: str, cache: str) -> tuple[str, str]:
+    """(folder, version) of a model's files: a folder as it stands, or the snapshot of a hub cache that its main branch names.
+
+    The version is the 40 hexadecimal digits of the commit, or ``unknown``.  Nothing is downloaded.
+    """
+    folder = Path(name)
+    if not folder.is_dir():
+        repo = Path(cache, "models--" + name.replace("/", "--"))
+        main = repo / "refs" / "main"
+        folder = repo / "snapshots" / (main.read_text().strip() if main.is_file() else "")
+        if not main.is_file() or not folder.is_dir():
+            raise LookupError(f"no files of the model {name!r}")
+    return str(folder), folder.name if re.fullmatch("[0-9a-f]{40}", folder.name) else "unknown"
+
+
 MODELS: dict[str, Model] = {}
 
 
@@ -70,7 +89,7 @@ def embed(chunks: DataFrame, model: Model = HASHING, text: str = "text") -> Data
     """Add ``embedding`` (null text: null), the model's name, version and dimension.
 
     Texts go to the model in batches of BATCH; a text that it cannot take gets a null embedding
-    and its reason in ``embed_error``, and the others of its batch are encoded one by one.
+    and its reason (type and text of the error, masked) in ``embed_error``, and the others of its batch are encoded one by one.
     """
     load, dimension = model.load, model.dimension
 
@@ -85,7 +104,7 @@ def embed(chunks: DataFrame, model: Model = HASHING, text: str = "text") -> Data
                     raise ValueError(f"expected vectors of {dimension}, got {got.shape[1:]}")
                 return [(v.tolist(), None) for v in got.astype(np.float32)]
             except Exception as e:  # noqa: BLE001  whatever a model raises concerns its texts only
-                return [x for t in texts for x in several([t])] if len(texts) > 1 else [(None, type(e).__name__)]
+                return [x for t in texts for x in several([t])] if len(texts) > 1 else [(None, mask_text(f"{type(e).__name__}: {e}")[:2000])]
 
         for texts in batches:
             out: list[tuple[list[float] | None, str | None]] = [(None, None)] * len(texts)

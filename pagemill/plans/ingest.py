@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunk import CHUNKING_VERSION, chunk_pages, without_chunks
-from ..operators.classify import KEYWORDS, classify_documents
+from ..operators.classify import KEYWORDS, NO_TYPE, classify_documents
 from ..operators.embed import CHUNK_KEY, HASHING, MODELS, Model, activate, activate_if_none, active_model, embed, missing_embeddings, upsert_model
 from ..operators.extract import RULES, extract_fields
 from ..operators.normalise import ENGINES, NORMALISER_VERSION, normalise
@@ -91,7 +91,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
 
     types = keep(loaded.join(classify_documents(pages, pack.keywords), "document_id", "left"))
     fields = keep(extract_fields(pages, types.where("document_type is not null"), pack.rules))
-    stages.append(_stage(types, "extract", F.when(F.col("document_type").isNull(), "no keyword found in the document text"), lap()))
+    stages.append(_stage(types, "extract", F.when(F.col("document_type").isNull(), NO_TYPE), lap()))
     typed = types.where("document_type is not null").select("document_id")
     mine = pages.join(typed, "document_id", "left_semi")
     checks = keep(receive_checks(parsed).unionByName(type_checks(types)).unionByName(page_checks(mine, pack.threshold)).unionByName(field_checks(fields)))
@@ -108,7 +108,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
 
     status = parsed.join(broken.withColumnRenamed("error", "normalise_error"), "document_id", "left").join(types.select("document_id", "document_type", F.lit(True).alias("loaded")), "document_id", "left").join(failed, "document_id", "left")
     code = F.coalesce("error_code", F.when(F.col("normalise_error").isNotNull(), "unsupported_ocr_format"), F.when(F.col("loaded") & F.col("document_type").isNull(), "unsupported_document_type"), F.when(F.col("embed_error").isNotNull(), "internal_server_error"))
-    message = F.substring(F.coalesce("error_message", "normalise_error", "embed_error", F.when(F.col("loaded") & F.col("document_type").isNull(), "no keyword found in the document text")), 1, 2000)
+    message = F.substring(F.coalesce("error_message", "normalise_error", "embed_error", F.when(F.col("loaded") & F.col("document_type").isNull(), NO_TYPE)), 1, 2000)
     digest = F.regexp_replace("content_hash", "^sha256:", "")
     documents = status.select(
         "document_id", "content_hash", F.col("filename").alias("upload_filename"), "size_bytes", "country_code", F.when(code.isNull(), "embedded").otherwise("failed").alias("status"), code.alias("error_code"), message.alias("error_message"), "document_type",
@@ -171,6 +171,11 @@ def document(store: Store, document_id: str) -> DataFrame:
     return out
 
 
+def embedded(store: Store) -> DataFrame:
+    """All embedded documents in the order in which they came."""
+    return store.read("documents").where("status = 'embedded'").orderBy("ingested_at", "document_id")
+
+
 def quarantine_view(store: Store) -> DataFrame:
     return quarantine(store.read("documents"), store.read("checks"))
 

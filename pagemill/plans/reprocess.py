@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunk import chunk_pages, without_chunks
-from ..operators.classify import classify_documents
+from ..operators.classify import NO_TYPE, classify_documents
 from ..operators.embed import HASHING, MODELS, Model, active_model, embed, missing_embeddings
 from ..operators.extract import extract_fields
 from ..operators.normalise import normalise
@@ -90,7 +90,7 @@ def _extract(work: Work) -> DataFrame:
     work.write("types", types, replace=False)
     work.write("fields", extract_fields(pages, types.where("document_type is not null"), work.pack.rules))
     work.write("checks", type_checks(types), OWNED["extract"])
-    return types.where("document_type is null").select("document_id", F.lit(ERRORS["extract"]).alias("error_code"), F.lit("no keyword found in the document text").alias("error_message"))
+    return types.where("document_type is null").select("document_id", F.lit(ERRORS["extract"]).alias("error_code"), F.lit(NO_TYPE).alias("error_message"))
 
 
 def _typed(work: Work) -> DataFrame:

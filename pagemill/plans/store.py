@@ -3,13 +3,16 @@
 Rows are appended under the run that wrote them and count once the run is committed, that is once
 its row in ``runs`` has a place in the order of commits; a run that broke off leaves its start and
 nothing else that is read.  There is no update in place: of keyed tables the latest row of a key
-wins, and ``voids`` names rows of earlier runs that a later one replaced.  Commits take turns, so
+wins, and ``voids`` names rows of earlier runs that a later one replaced; one without a document
+stands for all.  Commits take turns, so
 that of two runs which took in the same document at once the second sees the first and withdraws.
 """
 
 from __future__ import annotations
 
+import os
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.normalise import NORMALISER_VERSION
 from ..version import code_version
 
-RUN_TYPES = ("ingest", "reembed", "renormalise")
+RUN_TYPES = ("ingest", "reembed", "renormalise", "compact")
 SCHEMAS = {
     "documents": "document_id string, content_hash string, upload_filename string, size_bytes long, country_code string, status string, error_code string, error_message string, document_type string, source_sha256 string, source_filename string, source_mime_type string, ocr_engine string, ocr_engine_version string, ocr_processed_at string, raw_uri string, normalised_uri string, ingested_at timestamp",
     "raw": "document_id string, content binary",
@@ -152,10 +155,14 @@ class Store:
         fs, lock = self._file(self._path("_lock"))
         while True:
             try:
-                fs.create(lock, False).close()
+                if fs.getScheme() == "file":  # whose create looks first and makes the file afterwards
+                    os.makedirs(os.path.dirname(lock.toUri().getPath()), exist_ok=True)
+                    os.close(os.open(lock.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+                else:
+                    fs.create(lock, False).close()
                 break
-            except Py4JJavaError as e:
-                if "AlreadyExists" not in str(e.java_exception):
+            except (FileExistsError, Py4JJavaError) as e:
+                if isinstance(e, Py4JJavaError) and "AlreadyExists" not in str(e.java_exception):
                     raise
                 if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > stale_s:
                     fs.delete(lock, False)
@@ -198,7 +205,9 @@ class Store:
         rows = rows.join(sent(self._committed()), "_run")
         if table in DEPENDENT and self._exists("voids"):
             voids = self._rows("voids").where(F.col("table_name") == table).join(sent(self._committed()).drop("seq"), "_run")
-            if not voids.isEmpty():
+            floor, n = voids.agg(F.max(F.when(F.col("document_id").isNull(), F.col("hi"))), F.count("document_id")).first()
+            rows = rows if floor is None else rows.where(F.col("seq") > floor)
+            if n:
                 rows = unvoided(rows, sent(voids), F.col("check_name") if table == "checks" else None)
         if table in KEYS:
             rows = latest(rows, KEYS[table], F.col("seq").desc(), F.col("_run").desc())
@@ -228,6 +237,24 @@ class Store:
         rows = documents.select("document_id").distinct().select("document_id", F.explode(F.array(*map(F.lit, tables))).alias("table_name"), named.alias("patterns"), F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"))
         self.append("voids", rows, run_id)
 
+    def compact(self, table: str) -> None:
+        """Rewrites what counts of a table as the rows of one run, and deletes the folders of the runs before.
+
+        Readers see either; one that began before and is not done when the folders go has to begin anew.
+        """
+        if table not in DEPENDENT:
+            raise KeyError(table)
+        run_id = uuid.uuid4().hex
+        self.begin(run_id, "compact")
+        with self.turn() as seq:
+            old = [r["_run"] for r in self._committed().select("_run").collect()]
+            self.append(table, self.read(table), run_id)
+            void = self.spark.createDataFrame([(None, table, None, 0, seq - 1)], SCHEMAS["voids"])
+            self.append("voids", void, run_id)
+            self.commit(run_id, "compact", 0, 0, 0, seq=seq)
+        for run in old:
+            self._delete(self._path(f"{table}/_run={run}"))
+
     def forget_model(self, name: str, version: str) -> None:
         """Deletes the vectors of one model version, which are partitions of their own."""
         fs, root = self._file(self._path("embeddings"))

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.pii import mask_text
 from ..functions.text import strip
 
 # fixed values
@@ -189,6 +190,16 @@ def read_envelope(content: bytes, form_country: str | None) -> dict:
 ENVELOPE = ("source_sha256", "source_filename", "source_mime_type", "envelope_country", "ocr_engine", "ocr_engine_version", "ocr_processed_at", "raw_output", "error_code", "failed_check", "error_message", "country_warning")
 
 
+def _read(content: bytes | None, form_country: str | None) -> dict:
+    """``read_envelope``; whatever else goes wrong with a file is an error of that file alone."""
+    if not content:
+        return dict.fromkeys(ENVELOPE) | {"error_code": "file_missing"}
+    try:
+        return read_envelope(content, form_country)
+    except Exception as e:  # noqa: BLE001
+        return dict.fromkeys(ENVELOPE) | {"error_code": "internal_server_error", "failed_check": "file_json", "error_message": mask_text(f"{type(e).__name__}: {e}")[:2000]}
+
+
 def parse_exports(files: DataFrame, form_country: str | None = None) -> DataFrame:
     """Files (filename, content, and columns to keep) with the ENVELOPE columns instead of content.
 
@@ -199,7 +210,7 @@ def parse_exports(files: DataFrame, form_country: str | None = None) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [read_envelope(c, form_country) if (c := x.as_py()) else dict.fromkeys(ENVELOPE) | {"error_code": "file_missing"} for x in batch.column("content")]
+            rows = [_read(x.as_py(), form_country) for x in batch.column("content")]
             types = [pa.bool_() if c == "country_warning" else pa.string() for c in ENVELOPE]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array([r[c] for r in rows], t) for c, t in zip(ENVELOPE, types, strict=True))], [*keep, *ENVELOPE])
 

@@ -13,7 +13,7 @@ VALID = [
     (parse_date, "8 Mar 2026", "08/03/2026"), (parse_date, "8 March 2026", "08/03/2026"), (parse_date, "08-Sept-2026", "08/09/2026"), (parse_date, "Mar 8, 2026", "08/03/2026"), (parse_date, " 14/03/1988\t", "14/03/1988"), (parse_date, "29 feb 2024", "29/02/2024"),
     (parse_datetime, "02/09/2026 10:20", "02/09/2026 10:20"), (parse_datetime, "2/9/2026 9:05", "02/09/2026 09:05"), (parse_datetime, "2026-09-02T10:20:33", "02/09/2026 10:20"), (parse_datetime, "2 Sep 2026, 3:15 pm", "02/09/2026 15:15"), (parse_datetime, "02/09/2026 12:05 AM", "02/09/2026 00:05"), (parse_datetime, "2026-09-02 at 12:00 p.m.", "02/09/2026 12:00"),
     (parse_amount, "S$93.20", "9320"), (parse_amount, "SGD 1,200.00", "120000"), (parse_amount, "S$1,234.50", "123450"), (parse_amount, "$8.5", "850"), (parse_amount, "S$45", "4500"), (parse_amount, "850.00 SGD", "85000"), (parse_amount, "RM 12.30", "1230"), (parse_amount, "VND 1,200,000", "1200000"), (parse_amount, "7.70", "770"), (parse_amount, "usd 1 USD", "100"),
-    (parse_non_negative_int, " 007 ", "7"), (parse_non_negative_int, "0", "0"), (parse_bool, " Yes", "true"), (parse_bool, "0", "false"),
+    (parse_non_negative_int, " 007 ", "7"), (parse_non_negative_int, "٣٠", "30"), (parse_non_negative_int, "0", "0"), (parse_bool, " Yes", "true"), (parse_bool, "0", "false"),
 ]
 INVALID = [
     (parse_date, "31/02/2026", "not a calendar date"), (parse_date, "08/03/26", "two-digit year is ambiguous"), (parse_date, "13/13/2026", "not a calendar date"), (parse_date, "yesterday", "unrecognised date format"), (parse_date, "", "unrecognised date format"), (parse_date, "30 Feb 2026", "unrecognised date format"),

@@ -1,3 +1,4 @@
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators.embed import DIMENSION, Model, hashing_embedder, register
 from pagemill.operators.search import InvalidRequest, Request, UnknownModel, search
-from pagemill.plans.ingest import InvalidCountry, Rulepack, deidentified_view, document, ingest, quarantine_view, reembed
+from pagemill.plans.ingest import InvalidCountry, Rulepack, deidentified_view, document, embedded, ingest, quarantine_view, reembed
 from pagemill.plans.reprocess import reprocess
 from pagemill.plans.store import Store
 from pagemill.sources.exports import scan_folder
@@ -181,6 +182,22 @@ def test_two_runs_at_once(spark, tmp_path):
     assert len(found) == len({(r["document_id"], r["chunk_index"]) for r in found}) == store.read("chunks").count()
 
 
+def test_turns_exclude_each_other(spark, tmp_path):
+    store, inside, seen = Store(spark, f"file://{tmp_path}/s"), [], []
+
+    def enter(i):
+        for _ in range(4):
+            with store.turn():
+                inside.append(i)
+                seen.append(len(inside))
+                time.sleep(0.01)
+                inside.pop()
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(enter, range(4)))
+    assert seen == [1] * 16
+
+
 def test_broken_runs_and_cleaning(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     rows = ingest(store, files(spark, {"mc.json": CONTENTS["mc.json"]}))
@@ -189,11 +206,19 @@ def test_broken_runs_and_cleaning(spark, tmp_path):
     assert {r["run_id"]: r["status"] for r in store.read("runs").collect()}["broken"] == "running"
     assert store.sweep(3600) == 0 and store.sweep(0) == 1 and not list(tmp_path.glob("work-*"))
     assert store.read("embeddings").count() == 1
+    again = ingest(store, files(spark, {"receipt.json": CONTENTS["receipt.json"]}))
+    reprocess(store, again.select("document_id"), ("extract",))
+    tables = ("documents", "checks", "embeddings")
+    before = {t: sorted(map(str, store.read(t).collect())) for t in tables}
+    for t in tables:
+        store.compact(t)
+    assert {t: sorted(map(str, store.read(t).collect())) for t in tables} == before
+    assert all(len(list(tmp_path.glob(f"{t}/_run=*"))) == 1 for t in tables)
     store.forget_model("hashing-384", "1")
-    assert store.read("embeddings").count() == 0 and store.read("chunks").count() == 1
+    assert store.read("embeddings").count() == 0 and store.read("chunks").count() == 2
     (tmp_path / "_lock").touch()
     with store.turn(stale_s=0) as seq:
-        assert seq == 2
+        assert seq == 4 + len(tables)
     assert not (tmp_path / "_lock").exists()
 
 
@@ -203,6 +228,8 @@ def test_documents_that_a_model_refuses(spark, tmp_path):
     rows = {r["filename"]: r for r in ingest(store, files(spark, {n: CONTENTS[n] for n in ("mc.json", "receipt.json")}), model=register(Model("picky", "1", DIMENSION, _picky))).collect()}
     assert rows["receipt.json"]["error_code"] == "internal_server_error" and rows["mc.json"]["error_code"] is None
     assert {r["document_id"] for r in store.read("embeddings").collect()} == {rows["mc.json"]["document_id"]}
+    assert [r["document_id"] for r in embedded(store).collect()] == [rows["mc.json"]["document_id"]]
+    assert store.read("documents").where("status = 'failed'").first()["error_message"] == "RuntimeError: cannot"
 
 
 def test_search_joins_texts_last(spark, done):

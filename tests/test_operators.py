@@ -6,13 +6,33 @@ from pyspark.sql import functions as F
 
 from pagemill.operators.chunk import MAX_CHARS, chunk_pages
 from pagemill.operators.classify import classify
+from pagemill.operators.embed import resolve_snapshot
 from pagemill.operators.extract import extract_fields
 from pagemill.operators.normalise import normalise
+from pagemill.sources import exports
 from pagemill.sources.exports import parse_exports
 
 from .exports import MC, azure, envelope, files, tesseract, textract
 
 
+def test_model_snapshots(tmp_path):
+    commit = "0123456789abcdef" * 2 + "01234567"
+    repo = tmp_path / "models--org--name"
+    (repo / "snapshots" / commit).mkdir(parents=True)
+    (repo / "refs").mkdir()
+    (repo / "refs" / "main").write_text(commit + "\n")
+    assert resolve_snapshot("org/name", str(tmp_path)) == (str(repo / "snapshots" / commit), commit)
+    assert resolve_snapshot(str(tmp_path), "") == (str(tmp_path), "unknown")
+    with pytest.raises(LookupError):
+        resolve_snapshot("org/other", str(tmp_path))
+
+
+def test_unforeseen_errors_are_data(monkeypatch):
+    monkeypatch.setattr(exports, "read_envelope", lambda *_: 1 / 0)
+    row = exports._read(b"{}", None)
+    assert row["error_code"] == "internal_server_error" and row["error_message"] == "ZeroDivisionError: division by zero" and exports._read(b"", None)["error_code"] == "file_missing"
+
+
 def pages_of(spark, documents):
     rows = [(d, n, [(i, t, 0.1, i / 100, 0.1 + len(t) / 1000, i / 100 + 0.01) for i, t in enumerate(lines)]) for d, pages in documents.items() for n, lines in enumerate(pages, 1)]
     return spark.createDataFrame(rows, "document_id string, page_number int, lines array<struct<line_index:int,text:string,x0:double,y0:double,x1:double,y1:double>>")
