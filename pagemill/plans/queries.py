@@ -7,8 +7,12 @@ Queries read whole tables.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +28,7 @@ from ..operators.normalise import ENGINES, clamp, normalise
 from ..operators.quality import OWNED, deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
 from ..operators.search import fit_cells, nearest, nearest_each, search_vectors
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, content_hash, normalise_country, parse_exports, receive_checks, resolve_country, safe_path
-from .store import insert_if_absent, latest_durations, outcome, run_status, unvoided
+from .store import Scratch, Store, insert_if_absent, latest_durations, outcome, run_status, unvoided
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -604,8 +608,23 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(F.col("conv_id").alias("document_id"), "turn", (F.col("turn") % 2 + 1).cast("int").alias("page"), words.alias("words")).where(F.size("words") > 0)
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="pagemill-queries-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
+def _scratch(spark: SparkSession) -> Scratch:
+    """In the folder that the cluster shares; a local master without one takes a temporary folder."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.partition("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+    return Store(spark, base or _own_folder()).scratch(uuid.uuid4().hex)
+
+
 def _normalised(docs: DataFrame, engine: str) -> DataFrame:
-    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)), {engine: ENGINES[engine]}, lambda df: df)
+    pages, errors = normalise(docs.withColumn("ocr_engine", F.lit(engine)), {engine: ENGINES[engine]}, _scratch(docs.sparkSession))
     lines = pages.select("document_id", "page_number", "mean_confidence", F.explode("lines").alias("l")).select("document_id", "page_number", "l.line_index", "l.text", *(F.round(f"l.{c}", 6).alias(c) for c in ("x0", "y0", "x1", "y1", "confidence")), F.col("l.bbox_clamped").alias("bbox_clamped"), F.round("mean_confidence", 6).alias("mean_confidence"))
     wrong = errors.select("document_id", *(F.lit(None).cast(t).alias(c) for c, t in lines.dtypes[1:]))
     return lines.unionByName(wrong)
