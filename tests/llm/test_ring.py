@@ -6,6 +6,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from pagemill.llm.ring import Ring, assign_shards, capacities, op6_ring_shards, place
 
 from .fixtures import AWKWARD, docs
@@ -101,3 +103,26 @@ def test_limited_movement(spark):
     table = spark.range(4000).withColumnRenamed("id", "doc_id")
     a, b = ({r["doc_id"]: r["shard"] for r in assign_shards(table, n_shards=n, load_factor=1.25).collect()} for n in (10, 11))
     assert sum(a[k] != b[k] for k in a) < 0.3 * len(a)
+
+
+def test_hot_keys_are_ranked_in_parts(spark):
+    """A null key, one id with equal rows and one with unlike rows hold most of the table."""
+    n = F.col("id") % 10
+    key = F.when(n < 4, None).when(n < 6, F.lit(7)).when(n < 8, F.lit(-3)).otherwise(F.col("id"))
+    table = spark.range(6000).select(key.alias("doc_id"), F.when(n >= 6, F.col("id").cast("string")).alias("text"), F.lit(0).alias("_k_part"))
+    placed = assign_shards(table, n_shards=5, virtual_nodes=64, order=("text",))
+    rows = placed.collect()
+    check(rows, 5)
+    plain = lambda r: (r["doc_id"], r["text"])
+    assert Counter(map(plain, rows)) == Counter(map(plain, table.collect()))
+    # every key walks the ring by itself, equal keys side by side
+    ring = Ring.build(5, 64)
+    hashes = table.select("doc_id", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)).alias("at")).collect()
+    arcs = {}
+    for r in sorted(hashes, key=lambda r: r["at"]):
+        arcs.setdefault(bisect.bisect_left(ring.points.tolist(), r["at"]) % len(ring.points), []).append(r["doc_id"])
+    where = brute({a: len(v) for a, v in arcs.items()}, ring, capacities(len(rows), 5, 1))
+    want = Counter((v[k], where[a, k]) for a, v in arcs.items() for k in range(len(v)))
+    assert Counter((r["doc_id"], r["shard"]) for r in rows) == want
+    # the parts are written, so running again gives the same places
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, placed.collect()), key=repr)
