@@ -7,6 +7,7 @@ from .multiset import op7_multiset_hash
 from .packing import op1_best_fit_packing
 from .pseudonyms import op3_pii
 from .quality import op9_quality
+from .reputation import OP12_SQL, op12_url_reputation
 from .ring import op6_ring_shards
 from .secrets import op10_secrets
 from .simhash import op4_simhash
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op12_url_reputation": op12_url_reputation,
 }
 
-ORACLE = {"op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL}
+ORACLE = {"op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op12_url_reputation": OP12_SQL}
