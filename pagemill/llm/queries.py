@@ -12,6 +12,7 @@ from .ring import op6_ring_shards
 from .secrets import op10_secrets
 from .simhash import op4_simhash
 from .tokencount import op8_token_counts
+from .turns import op11_turn_repair
 from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_turn_repair": op11_turn_repair,
     "op12_url_reputation": op12_url_reputation,
 }
 
