@@ -43,9 +43,9 @@ def chunk_pages(pages: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
 
     Chunks do not cross pages; chunk_index counts them across the document.
     """
-    folded = pages.select("document_id", "page_number", "lines", F.posexplode(fold_lines(F.col("lines"), max_chars)).alias("pos", "c"))
-    part = F.slice("lines", F.col("c.first") + 1, F.col("c.last") - F.col("c.first") + 1)
-    cut = folded.select("document_id", "page_number", "pos", part.alias("part"))
+    # cut before they become rows, so that no chunk carries its whole page
+    parts = F.transform(fold_lines(F.col("lines"), max_chars), lambda c: F.slice("lines", c["first"] + 1, c["last"] - c["first"] + 1))
+    cut = pages.select("document_id", "page_number", F.posexplode(parts).alias("pos", "part"))
     order = Window.partitionBy("document_id").orderBy("page_number", "pos")
     text = F.array_join(F.transform("part", lambda x: x["text"]), "\n")
     cut = cut.select("document_id", (F.row_number().over(order) - 1).alias("chunk_index"), "page_number", text.alias("text"), F.transform("part", lambda x: x["line_index"]).alias("line_indexes"), union_box(F.col("part")).alias("box"))

@@ -7,12 +7,9 @@ Queries read whole tables.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +25,7 @@ from ..operators.normalise import ENGINES, clamp, normalise
 from ..operators.quality import OWNED, deidentified, failed_checks, field_checks, page_checks, quarantine, replace_owned, type_checks
 from ..operators.search import fit_cells, nearest, nearest_each, search_vectors
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, content_hash, normalise_country, parse_exports, receive_checks, resolve_country, safe_path
+from ..shared import shared_dir
 from .store import Scratch, Store, insert_if_absent, latest_durations, outcome, run_status, unvoided
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,9 +121,11 @@ def line_offsets(spark, sf_dir):
     return spans.select("doc_id", "s.line_index", "s.start", "s.end")
 
 
-_CHUNK_SQL = """
-WITH RECURSIVE d AS (
-  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
+def chunk_sql(source: str = "documents", before: str = "") -> str:
+    """Common tables up to ``c`` (doc_id, parts, lo, hi, text): the chunks of ``source`` (doc_id, text)."""
+    return f"""
+WITH RECURSIVE {before}d AS (
+  SELECT doc_id, string_split(text, chr(10)) AS parts FROM {source}
 ), walk AS (
   SELECT doc_id, parts, 1 AS i, 1 AS lo, length(parts[1]) AS n, NULL::INTEGER AS cut_lo, NULL::INTEGER AS cut_hi FROM d
   UNION ALL
@@ -141,6 +141,9 @@ WITH RECURSIVE d AS (
 """
 
 
+_CHUNK_SQL = chunk_sql()
+
+
 @query(_CHUNK_SQL + """
 SELECT doc_id AS document_id, (row_number() OVER (PARTITION BY doc_id ORDER BY lo, hi) - 1)::INTEGER AS chunk_index, sha256(text) AS text_sha256, length(text)::INTEGER AS char_count,
   (hi - lo + 1)::INTEGER AS n_lines, round((lo - 1) / 1000.0, 6)::DOUBLE AS x0, round((lo - 1) / 2000.0, 6)::DOUBLE AS y0,
@@ -212,7 +215,7 @@ def page_quality(spark, sf_dir):
 KEYWORD_PACK = {"german": {"und": 1, "der": 1, "das": 2}, "english": {"the": 1, "of the": 2, "with": 1}, "french": {"le": 1, "que": 1, "de la": 2}, "spanish": {"las": 2, "que": 1, "de": 1}}
 
 
-def _keyword_sql() -> str:
+def keyword_sql() -> str:
     edge = r"[^\p{L}\p{N}_]"
     rows = ", ".join(f"('{t}', '{k}', {w}, '(?is)^(.*?(?:^|{edge})){k.replace(' ', chr(92) + 's+')}(?:{edge}|$)')" for t, words in KEYWORD_PACK.items() for k, w in words.items())
     return f"""
@@ -224,7 +227,7 @@ WITH k(document_type, keyword, weight, pattern) AS (VALUES {rows}), h AS (
 SELECT d.doc_id, r.document_type, r.score, r.matched_keywords FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND n = 1"""
 
 
-@query(_keyword_sql())
+@query(keyword_sql())
 def keyword_classify(spark, sf_dir):
     found = table(spark, sf_dir, "documents").withColumn("c", classify(F.col("text"), KEYWORD_PACK))
     return found.select("doc_id", "c.document_type", "c.score", F.array_join("c.matched_keywords", ",").alias("matched_keywords"))
@@ -242,9 +245,11 @@ def first_match_span(spark, sf_dir):
     return found.select("doc_id", "m.start", "m.end", "m.value", F.array_join(F.transform(spans, lambda s: s["line_index"]), ",").alias("lines"))
 
 
-@query(r"""
-SELECT doc_id, sha256(regexp_replace(regexp_replace(regexp_replace(text, '\b[STFG][0-9]{7}[A-Z]\b', '[REDACTED]', 'g'), '(^|[^0-9])[0-9]{9,12}([^0-9]|$)', '\1[REDACTED]\2', 'g'), '(^|[^0-9])[0-9]{9,12}([^0-9]|$)', '\1[REDACTED]\2', 'g')) AS masked_sha256
-FROM documents""")
+#: Masking of texts without labelled values.
+MASKED = r"regexp_replace(regexp_replace(regexp_replace(text, '\b[STFG][0-9]{7}[A-Z]\b', '[REDACTED]', 'g'), '(^|[^0-9])[0-9]{9,12}([^0-9]|$)', '\1[REDACTED]\2', 'g'), '(^|[^0-9])[0-9]{9,12}([^0-9]|$)', '\1[REDACTED]\2', 'g')"
+
+
+@query(f"SELECT doc_id, sha256({MASKED}) AS masked_sha256 FROM documents")
 def mask_pii(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(mask(F.col("text")), 256).alias("masked_sha256"))
 
@@ -608,19 +613,8 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(F.col("conv_id").alias("document_id"), "turn", (F.col("turn") % 2 + 1).cast("int").alias("page"), words.alias("words")).where(F.size("words") > 0)
 
 
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="pagemill-queries-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"file://{folder}"
-
-
 def _scratch(spark: SparkSession) -> Scratch:
-    """In the folder that the cluster shares; a local master without one takes a temporary folder."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and not spark.sparkContext.master.partition("[")[0] == "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
-    return Store(spark, base or _own_folder()).scratch(uuid.uuid4().hex)
+    return Store(spark, shared_dir(spark)).scratch(uuid.uuid4().hex)
 
 
 def _normalised(docs: DataFrame, engine: str) -> DataFrame:
@@ -770,7 +764,7 @@ def embed_digest(spark, sf_dir):
 # --- all together -------------------------------------------------------------------------------
 
 
-@query(_CHUNK_SQL + ", " + _keyword_sql().replace("\nWITH ", "", 1).rsplit("\nSELECT", 1)[0] + f"""
+@query(_CHUNK_SQL + ", " + keyword_sql().replace("\nWITH ", "", 1).rsplit("\nSELECT", 1)[0] + f"""
 SELECT d.doc_id AS document_id, r.document_type, {_STATUS} AS status, coalesce(n.chunks, 0) AS chunks, coalesce(n.chars, 0) AS chars, coalesce(g.quality_flags, '') AS quality_flags
 FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND r.n = 1
 LEFT JOIN (SELECT doc_id, count(*) AS chunks, sum(length(text))::BIGINT AS chars FROM c GROUP BY doc_id) n ON n.doc_id = d.doc_id
