@@ -53,15 +53,46 @@ def join_lines(lines: Column) -> Column:
     return F.array_join(F.transform(lines, lambda x: x["text"]), "\n")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; what lambdas use directly is computed each time."""
+    return F.transform(F.array(value), body)[0]
+
+
+#: Values of a run.  Three levels of runs hold 16 million values.
+_RUN, _LEVELS = 64, 4
+
+
+def prefix_sums(values: Column, levels: int = _LEVELS) -> Column:
+    """Sum of the integers before each place.
+
+    An array grows by being copied, so sums are taken in runs of few values, the sums of runs in
+    runs again, and each run is moved by what stands before it.
+    """
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["before"], acc["sum"]).alias("before"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("before"))
+    run = lambda xs: F.aggregate(xs, zero, step)
+    values = F.transform(values, lambda x: x.cast("long"))
+    if levels == 1:
+        return run(values)["before"]
+
+    def moved(runs: Column) -> Column:
+        return F.flatten(F.zip_with(F.transform(runs, lambda r: r["before"]), prefix_sums(F.transform(runs, lambda r: r["sum"]), levels - 1), lambda xs, s: F.transform(xs, lambda x: x + s)))
+
+    last = lambda vs: F.greatest(F.lit(0), F.floor((F.size(vs) - 1) / _RUN).cast("int"))
+    return let(values, lambda vs: let(F.transform(F.sequence(F.lit(0), last(vs)), lambda i: run(F.slice(vs, i * _RUN + 1, _RUN))), moved))
+
+
 def with_offsets(lines: Column) -> Column:
     """array<struct<line_index, text, start, end>>: where each line lies in the joined text."""
 
-    def step(acc: Column, x: Column) -> Column:
-        end = acc["at"] + F.char_length(x["text"])
-        return F.struct((end + 1).alias("at"), F.array_append(acc["out"], F.struct(x["line_index"].alias("line_index"), x["text"].alias("text"), acc["at"].alias("start"), end.alias("end"))).alias("out"))
+    def placed(x: Column, start: Column) -> Column:
+        start = start.cast("int")
+        return F.struct(x["line_index"].alias("line_index"), x["text"].alias("text"), start.alias("start"), (start + F.char_length(x["text"])).alias("end"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<line_index:int,text:string,start:int,end:int>>").alias("out"))
-    return F.aggregate(lines, zero, step, lambda acc: acc["out"])
+    return F.zip_with(lines, prefix_sums(F.transform(lines, lambda x: F.char_length(x["text"]) + 1)), placed)
 
 
 def overlapping(spans: Column, start: Column, end: Column) -> Column:

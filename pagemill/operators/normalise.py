@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import let, strip
 from ..sources.exports import AZURE, TESSERACT, TEXTRACT, finite_number, plain_text
 
 NORMALISER_VERSION = "1.1.0"
@@ -123,29 +123,60 @@ def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     return Parts(sizes.drop("sized").select("*", F.lit("px").alias("size_unit"), F.lit(None).cast("string").alias("size_reason")), lines, reduce(DataFrame.unionByName, errors))
 
 
+#: Halving steps of a search among up to 2 ** 24 words of a page.
+_HALVES = tuple(1 << b for b in range(24, -1, -1))
+
+
+def _before(words: Column, offset: Column) -> Column:
+    """How many of the words, sorted by ``at``, begin before the offset."""
+    step = lambda n, s: F.when((n + s <= F.size(words)) & (F.get(words, n + s - 1)["at"] < offset), n + s).otherwise(n)
+    return F.aggregate(F.array(*map(F.lit, _HALVES)), F.lit(0), step)
+
+
+def _read_line(line: Column, words: Column) -> Column:
+    """text, polygon, extent of the first span, and mean and completeness of the confidences of the words in it."""
+    span = F.get(line["spans"], F.lit(0))
+
+    def measured(at: Column) -> Column:
+        return let(F.struct(at.alias("at"), _before(words, at["begin"]).alias("lo"), _before(words, at["begin"] + at["size"]).alias("hi")), judged)
+
+    def judged(found: Column) -> Column:
+        # added up in the order of the page's list
+        inside = F.array_sort(F.transform(F.slice(words, found["lo"] + 1, F.greatest(F.lit(0), found["hi"] - found["lo"])), lambda w: F.struct(w["i"].alias("i"), w["conf"].alias("conf"))))
+        mean = lambda ws: F.aggregate(ws, F.lit(0.0), lambda a, w: a + w["conf"]) / F.nullif(F.size(ws), F.lit(0))
+        return let(inside, lambda ws: F.struct(found["at"]["begin"].alias("begin"), found["at"]["size"].alias("size"), mean(ws).alias("mean"), F.exists(ws, lambda w: w["conf"].isNull()).alias("unsure")))
+
+    extent = F.struct(finite_number(span["offset"]).alias("begin"), finite_number(span["length"]).alias("size"))
+    return F.struct(plain_text(line["content"]).alias("text"), F.transform(line["polygon"], finite_number).alias("polygon"), let(extent, measured).alias("span"))
+
+
 def from_azure(docs: DataFrame, keep: Keep = _as_is) -> Parts:
-    """Lines with polygons; a line's confidence is the mean of the words that begin inside its first span."""
+    """Lines with polygons; a line's confidence is the mean of the words that begin inside its first span.
+
+    Words are sorted by their offset once a page and found by halving, so a line costs its own words
+    and a logarithm of the page's; they do not leave the page's row.
+    """
     span = "struct<offset:variant,length:variant>"
     page = f"struct<pageNumber:variant,width:variant,height:variant,unit:variant,lines:array<struct<content:variant,polygon:array<variant>,spans:array<{span}>>>,words:array<struct<confidence:variant,span:{span}>>>"
     pages = _list(docs, f"analyzeResult struct<pages:array<{page}>>", "j.analyzeResult.pages").select("document_id", "pos", "b.*")
     unit = F.element_at(F.create_map(*(F.lit(x) for kv in AZURE_UNITS.items() for x in kv)), plain_text(F.col("unit")))
     number = F.when(F.schema_of_variant("pageNumber") == "BIGINT", F.try_variant_get("pageNumber", "$", "int"))
-    words = F.transform("words", lambda w: F.struct(finite_number(w["span"]["offset"]).alias("at"), finite_number(w["confidence"]).alias("conf")))
-    pages = keep(pages.select("document_id", "pos", number.alias("page_number"), finite_number(F.col("width")).alias("width"), finite_number(F.col("height")).alias("height"), unit.alias("size_unit"), F.coalesce("lines", F.array()).alias("lines"), F.coalesce(words, F.array()).alias("words")))
-    lines = pages.select("document_id", "page_number", "width", "height", "words", F.posexplode("lines").alias("line_index", "l"))
-    first = F.get("l.spans", F.lit(0))
-    lines = lines.select("*", finite_number(first["offset"]).alias("begin"), finite_number(first["length"]).alias("size"), plain_text(F.col("l.content")).alias("text"), F.transform("l.polygon", finite_number).alias("polygon"))
-    inside = F.filter("words", lambda w: (w["at"] >= F.col("begin")) & (w["at"] < F.col("begin") + F.col("size")))
-    lines = keep(lines.withColumn("inside", inside))
-    mean = F.aggregate("inside", F.lit(0.0), lambda a, w: a + w["conf"]) / F.nullif(F.size("inside"), F.lit(0))
+    words = F.transform(F.coalesce("words", F.array()), lambda w, i: F.struct(finite_number(w["span"]["offset"]).alias("at"), i.alias("i"), finite_number(w["confidence"]).alias("conf")))
+    lost = lambda ws: F.exists(ws, lambda w: w["at"].isNull())
+    ordered = lambda ws: F.array_sort(F.filter(ws, lambda w: w["at"].isNotNull()))
+    lines = lambda ws: let(ordered(ws), lambda o: F.transform(F.coalesce("lines", F.array()), lambda x: _read_line(x, o)))
+    read = let(words, lambda ws: F.struct(lost(ws).alias("lost"), lines(ws).alias("lines")))
+    pages = pages.select("document_id", number.alias("page_number"), finite_number(F.col("width")).alias("width"), finite_number(F.col("height")).alias("height"), unit.alias("size_unit"), read.alias("r"))
+    pages = keep(pages.select("document_id", "page_number", "width", "height", "size_unit", "r.lost", "r.lines"))
+    lines = pages.select("document_id", "page_number", "width", "height", "lost", F.posexplode("lines").alias("line_index", "l")).select("document_id", "page_number", "width", "height", "lost", "line_index", "l.text", "l.polygon", "l.span.*")
     axis = lambda odd: F.filter("polygon", lambda v, i: i % 2 == odd)
-    shaped = lines.select("document_id", "page_number", "line_index", "text", *((f(axis(odd)) / F.nullif(F.col(s), F.lit(0.0))).alias(c) for c, f, odd, s in (("x0", F.array_min, 0, "width"), ("y0", F.array_min, 1, "height"), ("x1", F.array_max, 0, "width"), ("y1", F.array_max, 1, "height"))), mean.alias("confidence"), F.lit("mean_of_words").alias("confidence_source"))
+    shaped = lines.select("document_id", "page_number", "line_index", "text", *((f(axis(odd)) / F.nullif(F.col(s), F.lit(0.0))).alias(c) for c, f, odd, s in (("x0", F.array_min, 0, "width"), ("y0", F.array_min, 1, "height"), ("x1", F.array_max, 0, "width"), ("y1", F.array_max, 1, "height"))), F.col("mean").alias("confidence"), F.lit("mean_of_words").alias("confidence_source"))
     good = (F.size("polygon") >= 8) & (F.size("polygon") % 2 == 0) & ~F.exists("polygon", lambda v: v.isNull()) & F.col("text").isNotNull() & (F.col("begin") + F.col("size")).isNotNull()
     twice = pages.groupBy("document_id", "page_number").agg(F.count("*").alias("n"))
     errors = [
         _errors(pages, {"azure unit": F.col("size_unit").isNull(), "azure page": F.col("page_number").isNull() | (F.col("width") + F.col("height")).isNull()}),
         _errors(twice, {"azure twice": F.col("n") > 1}),
-        _errors(lines, {"azure line": ~good, "azure word": F.exists("words", lambda w: w["at"].isNull()) | F.exists("inside", lambda w: w["conf"].isNull())}),
+        _errors(lines, {"azure line": ~good, "azure word": F.col("lost") | F.col("unsure")}),
     ]
     return Parts(pages.select("document_id", "page_number", "width", "height", "size_unit", F.lit(None).cast("string").alias("size_reason")), shaped, reduce(DataFrame.unionByName, errors))
 

@@ -1,9 +1,11 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from pagemill.functions.text import with_offsets
 from pagemill.operators.chunk import MAX_CHARS, chunk_pages
 from pagemill.operators.classify import classify
 from pagemill.operators.embed import resolve_snapshot
@@ -193,3 +195,48 @@ def test_search_in_blocks(spark):
     want = sorted(score, key=lambda i: (-score[i], i))[:3]
     assert [i for q, _, i in whole if q == 0] == want == [r["id"] for r in nearest(vectors, rows[0][1], 3, ["id"]).collect()]
     assert vectors.select(cosine(F.col("embedding"), F.col("embedding")).alias("c")).where("abs(c - 1) > 1e-9").isEmpty()
+
+
+def test_offsets_of_long_pages(spark):
+    rng = random.Random(3)
+    pages = [[], ["", ""], *([("é😀 " * rng.randrange(4))[: rng.randrange(9)] for _ in range(n)] for n in (1, 63, 64, 65, 5000))]
+    df = spark.createDataFrame([(i, [(k, t) for k, t in enumerate(p)]) for i, p in enumerate(pages)], "id int, lines array<struct<line_index:int,text:string>>")
+    for i, spans in df.select("id", with_offsets(F.col("lines"))).collect():
+        at, want = 0, []
+        for k, t in enumerate(pages[i]):
+            want.append((k, t, at, at + len(t)))
+            at += len(t) + 1
+        assert [tuple(s) for s in spans] == want
+    whole = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: F.struct(i.alias("line_index"), F.lit("ten chars.").alias("text"))).alias("lines"))
+    began = time.monotonic()
+    assert whole.select(F.element_at(with_offsets(F.col("lines")), -1)["start"]).first()[0] == 99_999 * 11
+    assert time.monotonic() - began < 20
+
+
+def test_azure_words_in_lines(spark):
+    """Spans that overlap, nest or miss, words in any order, against the plain rule."""
+    rng = random.Random(4)
+    page = {"pageNumber": 1, "width": 1000, "height": 1000, "unit": "pixel"}
+    raws = {}
+    for d in range(30):
+        words = [{"confidence": rng.random(), "span": {"offset": rng.randrange(60), "length": 2}} for _ in range(rng.randrange(40))]
+        lines = [{"content": str(i), "polygon": [0, i, 9, i, 9, i + 1, 0, i + 1], "spans": [{"offset": rng.randrange(60), "length": rng.randrange(20)}, {"offset": 0, "length": 60}]} for i in range(5)]
+        raws[f"d{d}"] = {"analyzeResult": {"content": "", "pages": [page | {"words": words, "lines": lines}]}}
+    good, bad = normalised(spark, "azure-document-intelligence", raws)
+    assert not bad and set(good) == set(raws)
+    for d, raw in raws.items():
+        page = raw["analyzeResult"]["pages"][0]
+        for line, got in zip(page["lines"], good[d][1]["lines"], strict=True):
+            s = line["spans"][0]
+            inside = [w["confidence"] for w in page["words"] if s["offset"] <= w["span"]["offset"] < s["offset"] + s["length"]]
+            assert got["confidence"] == (sum(inside, 0.0) / len(inside) if inside else None)
+
+
+def test_a_page_of_many_words(spark):
+    words = [{"confidence": 0.5, "span": {"offset": 5 * i, "length": 4}} for i in range(20_000)]
+    lines = [{"content": "x", "polygon": [0, 0, 9, 0, 9, 9, 0, 9], "spans": [{"offset": 50 * j, "length": 50}]} for j in range(2000)]
+    raw = {"analyzeResult": {"content": "", "pages": [{"pageNumber": 1, "width": 10, "height": 10, "unit": "inch", "words": words, "lines": lines}]}}
+    began = time.monotonic()
+    good, bad = normalised(spark, "azure-document-intelligence", {"d": raw})
+    assert not bad and {x["confidence"] for x in good["d"][1]["lines"]} == {0.5} and len(good["d"][1]["lines"]) == 2000
+    assert time.monotonic() - began < 60
