@@ -140,8 +140,7 @@ def upsert_model(models: DataFrame, model: Model) -> DataFrame:
 
 def activate_if_none(models: DataFrame, name: str) -> DataFrame:
     """Activates ``name`` unless some model is active."""
-    any_active = models.agg(F.coalesce(F.bool_or("is_active"), F.lit(False)).alias("_any"))
-    return models.crossJoin(F.broadcast(any_active)).select("model_name", "model_version", "dimension", F.when(F.col("_any"), F.col("is_active")).otherwise(F.col("model_name") == name).alias("is_active"))
+    return models if models.agg(F.bool_or("is_active")).first()[0] else models.withColumn("is_active", F.col("model_name") == name)
 
 
 def activate(models: DataFrame, name: str) -> DataFrame:

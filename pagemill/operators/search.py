@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -139,100 +139,183 @@ def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+#: Cells at most, so that their centres can be sent out; up to FLAT they are fitted at once.
+MOST_CELLS, FLAT = 16_384, 128
+
+
 @dataclass(frozen=True)
 class Cells:
     """An index for approximate search: every vector lies in the cell of its nearest centre.
 
-    A query looks into the ``probes`` cells whose centres are nearest to it.
+    Many cells are held in places of similar ones: a vector's place is the nearest of ``tops``, its
+    cell the nearest of that place (``place`` of each centre).  A query looks into the ``probes`` cells
+    whose centres are nearest to it.
     """
 
     centres: np.ndarray
     probes: int
+    tops: np.ndarray | None = None
+    place: np.ndarray | None = None
+
+    def places(self) -> np.ndarray:
+        return np.arange(len(self.centres)) if self.place is None else self.place
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row."""
+        if self.tops is None:
+            return np.argmax(x @ self.centres.T, axis=1)
+        out, top = np.zeros(len(x), np.int64), np.argmax(x @ self.tops.T, axis=1)
+        for t in np.unique(top):
+            own, mine = np.flatnonzero(self.place == t), top == t
+            out[mine] = own[np.argmax(x[mine] @ self.centres[own].T, axis=1)] if len(own) else 0
+        return out
+
+    def order(self, q: np.ndarray) -> np.ndarray:
+        """All cells, the nearest first, for each query."""
+        return np.argsort(-np.nan_to_num(q @ self.centres.T), axis=1, kind="stable")
 
     def probed(self, q: np.ndarray) -> np.ndarray:
         """(queries, cells): where each query looks."""
-        rank = np.argsort(np.argsort(-np.nan_to_num(q @ self.centres.T), axis=1, kind="stable"), axis=1, kind="stable")
-        return rank < self.probes
+        return np.argsort(self.order(q), axis=1, kind="stable") < self.probes
 
     def assign(self, vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
-        """Every row with its ``cell``; write it partitioned by that, and searches read only the cells they probe."""
-        centres = self.centres
+        """Every row with its ``cell`` and ``place``, -1 for null vectors; written by place and sorted by cell, searches read only what they probe."""
+        cells, place = self, self.places()
 
-        @F.pandas_udf("int")
-        def nearest_centre(v: pd.Series) -> pd.Series:
-            out = np.full(len(v), -1, np.int32)
+        @F.pandas_udf("cell int, place int")
+        def nearest_centre(v: pd.Series) -> pd.DataFrame:
+            out = pd.DataFrame({"cell": np.full(len(v), -1, np.int32), "place": np.full(len(v), -1, np.int32)})
             there = v.notna().to_numpy()
             if there.any():
-                out[there] = np.argmax(np.stack(v[there].to_list()).astype(np.float64) @ centres.T, axis=1)
-            return pd.Series(out)
+                cell = cells.nearest(np.stack(v[there].to_list()).astype(np.float64))
+                out.loc[there, "cell"], out.loc[there, "place"] = cell, place[cell]
+            return out
+
+        return vectors.withColumn("_c", nearest_centre(F.col(embedding))).select(*(f"`{c}`" for c in vectors.columns if c not in ("cell", "place")), "_c.cell", "_c.place")
+
+
+def _means(x: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """Centres of length one of ``n`` groups of the rows."""
+    centres = x[rng.choice(len(x), n, replace=False)]
+    for _ in range(12):
+        own = np.argmax(x @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, x)
+        empty = ~np.any(sums, axis=1)
+        sums[empty] = centres[empty]
+        centres = np.nan_to_num(_unit(sums))
+    return centres
 
-        return vectors.withColumn("cell", nearest_centre(F.col(embedding)))
+
+def _within_places(vectors: DataFrame, tops: np.ndarray, wanted: int, embedding: str, sample: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Centres within each place, as many as its share of the rows asks for, from at most ``sample`` vectors of it chosen by hash."""
+    placed = Cells(tops, 1).assign(vectors.select(F.col(embedding).alias("v"), F.xxhash64(embedding).alias("h")), "v").where("place >= 0").select("v", "h", "place")
+    counts = placed.groupBy("place").agg(F.count("*").alias("n"))
+    share = {r["place"]: r["n"] for r in counts.collect()}  # a row a place
+    total = sum(share.values())
+    want = {p: max(1, round(wanted * n / total)) for p, n in share.items()}
+    few = placed.withColumn("r", F.row_number().over(Window.partitionBy("place").orderBy("h"))).where(F.col("r") <= sample)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        p = int(group["place"].iloc[0])
+        x = _unit(np.stack(group.sort_values(["h"], kind="stable")["v"].to_list()).astype(np.float64))
+        x = x[~np.isnan(x).any(1)]
+        c = _means(x, min(len(x), want[p]), np.random.default_rng(p)) if len(x) else np.zeros((0, tops.shape[1]))
+        return pd.DataFrame({"place": p, "centre": list(c)})
+
+    rows = few.groupBy("place").applyInPandas(fit, "place int, centre array<double>").orderBy("place", "centre").collect()  # at most MOST_CELLS or so
+    return np.array([r["centre"] for r in rows]), np.array([r["place"] for r in rows])
 
 
 def fit_cells(vectors: DataFrame, k: int = 10, recall: float = 0.95, cells: int | None = None, sample: int = 20_000, embedding: str = "embedding") -> Cells:
     """Centres and probes from at most ``sample`` vectors, chosen by hash.
 
-    Probes are the fewest with which the sample's own ``k`` nearest neighbours are found to the
-    ``recall`` asked for.  Every row is indexed by ``assign``; only this fit is bounded.
+    There are as many cells as the root of the number of vectors (``cells`` if given), MOST_CELLS at
+    most; beyond FLAT they are fitted within places, on a bounded sample of each.  Probes are the
+    fewest with which the sample's own ``k`` nearest neighbours are found to the ``recall`` asked
+    for.  Every row is indexed by ``assign``; only this fit is bounded.
     """
-    rows = vectors.where(F.col(embedding).isNotNull()).select(F.col(embedding).alias("v"), F.xxhash64(embedding).alias("h")).orderBy("h").limit(sample).collect()
+    there = vectors.where(F.col(embedding).isNotNull())
+    rows = there.select(F.col(embedding).alias("v"), F.xxhash64(embedding).alias("h")).orderBy("h").limit(sample).collect()
     x = _unit(np.array([r["v"] for r in rows] or np.zeros((0, 1)), np.float64))
     x = x[~np.isnan(x).any(1)]
     if not len(x):
         return Cells(np.zeros((1, 1)), 1)
-    n = min(len(x), cells or max(1, round(math.sqrt(len(x)))))
+    wanted = min(MOST_CELLS, cells or max(1, round(math.sqrt(there.count()))))
     rng = np.random.default_rng(0)
-    centres = x[rng.choice(len(x), n, replace=False)]
-    for _ in range(12):
-        own = np.argmax(x @ centres.T, axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, x)
-        empty = ~np.any(sums, axis=1)
-        sums[empty] = centres[empty]
-        centres = np.nan_to_num(_unit(sums))
-    own = np.argmax(x @ centres.T, axis=1)
+    if wanted <= FLAT:
+        found = Cells(_means(x, min(len(x), wanted), rng), 1)
+    else:
+        tops = _means(x, min(len(x), round(math.sqrt(wanted))), rng)
+        centres, place = _within_places(there, tops, wanted, embedding)
+        found = Cells(centres, 1, tops, place)
+    own = found.nearest(x)
     asked = rng.choice(len(x), min(len(x), 500), replace=False)
     score = x[asked] @ x.T
     best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-    rank = np.argsort(np.argsort(-(x[asked] @ centres.T), axis=1, kind="stable"), axis=1, kind="stable")
+    rank = np.argsort(found.order(x[asked]), axis=1, kind="stable")
     needed = np.sort(np.take_along_axis(rank, own[best], axis=1), axis=None)
-    return Cells(centres, 1 + int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]))
+    return replace(found, probes=1 + int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]))
 
 
 class UnknownModel(LookupError):
     """The active model is not among those registered here."""
 
 
+def best_vectors(query: list[float], k: int, documents: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """Keys and scores of the k best chunks of ``documents``, taken where the vectors lie; texts are not read."""
+    q = F.array(*(F.lit(float(x)) for x in query))
+    scored = embeddings.select(*CHUNK_KEY, cosine(F.col("embedding"), q).alias("score")).where("score is not null")
+    return scored.join(documents.select("document_id"), "document_id", "left_semi").orderBy(F.col("score").desc(), *CHUNK_KEY).limit(k)
+
+
+def with_texts(best: DataFrame, documents: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Document columns, chunk columns and score of a few chunks, the best first."""
+    return chunks.join(F.broadcast(best), CHUNK_KEY).join(documents, "document_id").orderBy(F.col("score").desc(), *CHUNK_KEY)
+
+
 def search_vectors(query: list[float], k: int, documents: DataFrame, chunks: DataFrame, embeddings: DataFrame) -> DataFrame:
     """The k best chunks of ``documents``: document columns, chunk columns and score.
 
-    Scores are taken where the vectors lie; what is joined with the documents' ids is the key and
-    the score, and only the k rows found meet their texts.
+    What is joined with the documents' ids is the key and the score, and only the k rows found meet
+    their texts.
     """
-    q = F.array(*(F.lit(float(x)) for x in query))
-    scored = embeddings.select(*CHUNK_KEY, cosine(F.col("embedding"), q).alias("score")).where("score is not null")
-    fit = scored.join(documents.select("document_id"), "document_id", "left_semi")
-    best = F.broadcast(fit.orderBy(F.col("score").desc(), *CHUNK_KEY).limit(k))  # k rows
-    return chunks.join(best, CHUNK_KEY).join(documents, "document_id").orderBy(F.col("score").desc(), *CHUNK_KEY)
+    return with_texts(best_vectors(query, k, documents, embeddings), documents, chunks)
+
+
+def fitting(request: Request, documents: DataFrame) -> DataFrame:
+    """(document_id, document_type) of the embedded documents that the filters let through."""
+    fit = documents.where(F.col("status") == "embedded")
+    if request.document_type:
+        fit = fit.where(F.col("document_type") == request.document_type)
+    if request.country_code:
+        fit = fit.where(F.col("country_code") == request.country_code)
+    return fit.select("document_id", "document_type")
+
+
+def searched_model(models: DataFrame) -> tuple[str, str] | None:
+    """Name and version of the active model, which must be registered."""
+    found = active_model(models)
+    if found and found[0] not in MODELS:
+        raise UnknownModel(f"the active model {found[0]!r} is not registered")
+    return found
+
+
+def answer(best: DataFrame, name: str) -> DataFrame:
+    return best.select("document_id", "chunk_index", "document_type", F.col("page_number").alias("page"), "score", "text", "x0", "y0", "x1", "y1", F.lit(name).alias("embedding_model"))
 
 
 def search(request: Request, documents: DataFrame, chunks: DataFrame, embeddings: DataFrame, models: DataFrame) -> DataFrame:
     """Best chunks of embedded documents for the active model; no active model, no rows.
 
     Filters hold before the top k is taken, and reach the scan of ``embeddings`` as partition
-    filters where it is partitioned by model.
+    filters where it is partitioned by model.  Every vector is scored; ``plans.index`` has a search
+    over cells.
     """
-    found = active_model(models)
+    found = searched_model(models)
     name, version = found or ("", "")
-    if found and name not in MODELS:
-        raise UnknownModel(f"the active model {name!r} is not registered")
-    fit = documents.where(F.col("status") == "embedded")
-    if request.document_type:
-        fit = fit.where(F.col("document_type") == request.document_type)
-    if request.country_code:
-        fit = fit.where(F.col("country_code") == request.country_code)
     current = F.col("chunking_version") == CHUNKING_VERSION
     vectors = embeddings.where((F.col("model_name") == name) & (F.col("model_version") == version) & current)
     query = encode([request.query], MODELS[name])[0] if found else [0.0]
-    best = search_vectors(query, request.top_k, fit.select("document_id", "document_type"), chunks.where(current), vectors if found else vectors.limit(0))
-    return best.select("document_id", "chunk_index", "document_type", F.col("page_number").alias("page"), "score", "text", "x0", "y0", "x1", "y1", F.lit(name).alias("embedding_model"))
+    best = search_vectors(query, request.top_k, fitting(request, documents), chunks.where(current), vectors if found else vectors.limit(0))
+    return answer(best, name)

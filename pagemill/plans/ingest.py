@@ -16,6 +16,7 @@ from ..operators.extract import RULES, extract_fields
 from ..operators.normalise import ENGINES, NORMALISER_VERSION, normalise
 from ..operators.quality import PAGE_CONFIDENCE, deidentified, failed_checks, field_checks, page_checks, quarantine, type_checks
 from ..sources.exports import content_hash, normalise_country, parse_exports, receive_checks, resolve_country
+from .index import placed
 from .store import DEPENDENT, Store, insert_if_absent, latest_durations, outcome
 
 
@@ -99,8 +100,7 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
 
     chunks = keep(chunk_pages(mine))
     stages.append(_stage(typed, "chunk", F.lit(None).cast("string"), lap()))
-    models = store.read("models")
-    active = active_model(models)
+    active = active_model(store.read("models"))
     model = model or (MODELS[active[0]] if active else HASHING)
     vectors = keep(embed(chunks, model))
     failed = vectors.where("embed_error is not null").groupBy("document_id").agg(F.first("embed_error").alias("embed_error"))
@@ -116,18 +116,19 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
         F.when(F.coalesce("loaded", F.lit(False)), F.concat(F.lit("file://data/normalised/"), digest, F.lit(f".v{NORMALISER_VERSION}.json"))).alias("normalised_uri"), F.current_timestamp().alias("ingested_at"),
     )
     documents = keep(documents)
-    for table, rows in (("pages", pages), ("fields", fields), ("checks", checks), ("chunks", chunks), ("embeddings", whole_vectors(vectors, failed))):
+    for table, rows in (("pages", pages), ("fields", fields), ("checks", checks), ("chunks", chunks), ("embeddings", placed(store, whole_vectors(vectors, failed), model))):
         store.append(table, rows, run_id)
     for rows in stages:
         store.append("stages", rows, run_id)
     store.append("documents", documents, run_id)
-    if not vectors.isEmpty():
-        store.append("models", activate_if_none(upsert_model(models, model), model.name), run_id)
+    embedded_any = not vectors.isEmpty()
     first = fresh.select("filename", F.lit(True).alias("first"))
     with store.turn() as seq:
         lost = keep(store.read("documents", fresh).select("document_id"))  # taken in by others since
         if not lost.isEmpty():
             store.void(run_id, lost, DEPENDENT, seq, seq)
+        if embedded_any:  # of the models as they are now, which no other run changes before this one is committed
+            store.append("models", activate_if_none(upsert_model(store.read("models"), model), model.name), run_id)
         mine = documents.select("content_hash", "document_id", "error_code").join(lost.withColumn("lost", F.lit(True)), "document_id", "left")
         every = named.select("filename", "content_hash").join(first, "filename", "left").join(known.withColumn("lost", F.lit(True)).unionByName(mine), "content_hash", "left")
         own = F.col("first").isNotNull() & F.col("lost").isNull()
@@ -192,16 +193,30 @@ def reembed(store: Store, model: Model) -> bool:
     documents = store.read("documents").where("status = 'embedded'").select("document_id")
     chunks = store.read("chunks")
     fresh = without_chunks(documents, chunks)
-    more = chunk_pages(store.read("pages").join(fresh, "document_id", "left_semi"))
+    more = keep(chunk_pages(store.read("pages").join(fresh, "document_id", "left_semi")))
     current = chunks.where(F.col("chunking_version") == CHUNKING_VERSION).join(documents, "document_id", "left_semi").unionByName(more)
     missing = missing_embeddings(current, store.read("embeddings"), model.name, model.version)
     vectors = keep(embed(missing, model))
     bad = keep(vectors.where("embed_error is not null").select("document_id").distinct())
     failed = bad.count()
     store.append("chunks", more, run_id)
-    store.append("embeddings", whole_vectors(vectors, bad), run_id)
-    models = upsert_model(store.read("models"), model)
-    store.append("models", models if failed else activate(models, model.name), run_id)
-    store.commit(run_id, "reembed", documents.count() - failed, 0, failed, (model.name, model.version))
+    done = keep(whole_vectors(vectors, bad))
+    store.append("embeddings", placed(store, done, model), run_id)
+    n = documents.count()
+    with store.turn() as seq:
+        # what other runs have written since counts, and not this run's rows
+        now = store.read("embeddings", done).where((F.col("model_name") == model.name) & (F.col("model_version") == model.version))
+        _withdraw(store, run_id, "embeddings", done, now, CHUNK_KEY, seq)
+        _withdraw(store, run_id, "chunks", more, store.read("chunks", more), CHUNK_KEY, seq)
+        models = upsert_model(store.read("models"), model)
+        store.append("models", models if failed else activate(models, model.name), run_id)
+        store.commit(run_id, "reembed", n - failed, 0, failed, (model.name, model.version), seq)
     keep.clear()
     return not failed
+
+
+def _withdraw(store: Store, run_id: str, table: str, mine: DataFrame, now: DataFrame, key: list[str], seq: int) -> None:
+    """Voids this run's rows of documents of which ``now`` has any of the same keys."""
+    lost = mine.select(*key).join(now.select(*key), key, "left_semi").select("document_id").distinct()
+    if not lost.isEmpty():
+        store.void(run_id, lost, (table,), seq, seq)

@@ -19,6 +19,7 @@ from ..operators.normalise import normalise
 from ..operators.quality import OWNED, field_checks, page_checks, type_checks
 from ..sources.exports import parse_exports
 from .ingest import Rulepack, describe, whole_vectors
+from .index import placed
 from .store import SCHEMAS, Scratch, Store
 
 
@@ -145,18 +146,18 @@ def reprocess(store: Store, ids: DataFrame, stages: tuple[str, ...] | None = Non
             times.append((name, failed, round((time.monotonic() - clock) * 1000)))
             failures += [] if failed is None else [failed.withColumn("at", F.lit(len(times)))]
     done = _outcome(work, stages, failures)
+    for table, rows in work.new.items():
+        if table in SCHEMAS:
+            store.append(table, placed(store, rows, work.model) if table == "embeddings" else rows, run_id)
+    for name, failed, ms in times:
+        error = documents.select("document_id") if failed is None else documents.select("document_id").join(failed.select("document_id", "error_message"), "document_id", "left")
+        why = F.lit(None).cast("string") if failed is None else F.col("error_message")
+        store.append("stages", error.select("document_id", F.lit(name).alias("stage"), F.when(why.isNull(), "succeeded").otherwise("failed").alias("status"), why.alias("error"), F.current_timestamp().alias("finished_at"), F.lit(ms).cast("long").alias("duration_ms")), run_id)
+    store.append("documents", done, run_id)
+    bad, n = done.where("status = 'failed'").count(), done.count()
     with store.turn() as seq:
         for table, owned in dict.fromkeys(work.replaced):
             store.void(run_id, documents, (table,), 0, seq - 1, owned)
-        for table, rows in work.new.items():
-            if table in SCHEMAS:
-                store.append(table, rows, run_id)
-        for name, failed, ms in times:
-            error = documents.select("document_id") if failed is None else documents.select("document_id").join(failed.select("document_id", "error_message"), "document_id", "left")
-            why = F.lit(None).cast("string") if failed is None else F.col("error_message")
-            store.append("stages", error.select("document_id", F.lit(name).alias("stage"), F.when(why.isNull(), "succeeded").otherwise("failed").alias("status"), why.alias("error"), F.current_timestamp().alias("finished_at"), F.lit(ms).cast("long").alias("duration_ms")), run_id)
-        store.append("documents", done, run_id)
-        bad, n = done.where("status = 'failed'").count(), done.count()
         store.commit(run_id, "renormalise", n - bad, 0, bad, (work.model.name, work.model.version), seq)
     out = keep(describe(store, documents))
     keep.clear()

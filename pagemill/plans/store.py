@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.normalise import NORMALISER_VERSION
 from ..version import code_version
 
-RUN_TYPES = ("ingest", "reembed", "renormalise", "compact")
+RUN_TYPES = ("ingest", "reembed", "renormalise", "compact", "index")
 SCHEMAS = {
     "documents": "document_id string, content_hash string, upload_filename string, size_bytes long, country_code string, status string, error_code string, error_message string, document_type string, source_sha256 string, source_filename string, source_mime_type string, ocr_engine string, ocr_engine_version string, ocr_processed_at string, raw_uri string, normalised_uri string, ingested_at timestamp",
     "raw": "document_id string, content binary",
@@ -32,7 +32,8 @@ SCHEMAS = {
     "fields": "document_id string, field_name string, value_type string, raw_value string, page_number int, line_indexes array<int>, validation_status string, normalised_value string, validation_message string",
     "checks": "document_id string, page_number int, check_name string, passed boolean, severity string, details string",
     "chunks": "document_id string, chunking_version string, chunk_index int, page_number int, text string, char_count int, line_indexes array<int>, x0 double, y0 double, x1 double, y1 double",
-    "embeddings": "document_id string, chunking_version string, chunk_index int, embedding array<float>, dimension int, model_name string, model_version string",
+    "embeddings": "document_id string, chunking_version string, chunk_index int, embedding array<float>, dimension int, model_name string, model_version string, centres string, place int, cell int",
+    "cells": "model_name string, model_version string, centres string, place int, cell int, centre array<float>, probes int",
     "models": "model_name string, model_version string, dimension int, is_active boolean",
     "stages": "document_id string, stage string, status string, error string, finished_at timestamp, duration_ms long",
     "runs": "run_id string, run_type string, status string, processed long, duplicate long, failed long, normaliser_version string, code_version string, embedding_model string, embedding_model_version string, started_at timestamp, finished_at timestamp, seq long",
@@ -40,10 +41,14 @@ SCHEMAS = {
 }
 #: What hangs on a document and goes with it.
 DEPENDENT = ("documents", "raw", "pages", "fields", "checks", "chunks", "embeddings", "stages")
+#: Folders within a run's rows.
+PARTITIONS = {"embeddings": ["model_name", "model_version", "centres", "place"], "cells": ["model_name", "model_version"]}
+#: ``centres`` of vectors that lie in no cell.
+UNPLACED = "none"
 #: Rows up to which a table of runs, voids or ids is broadcast.
 SMALL = 1 << 20
 #: Rows of later runs replace those of earlier ones with the same key.
-KEYS = {"documents": ["document_id"], "models": ["model_name"], "stages": ["document_id", "stage"], "runs": ["run_id"]}
+KEYS = {"documents": ["document_id"], "models": ["model_name"], "stages": ["document_id", "stage"], "runs": ["run_id"], "cells": ["model_name", "model_version"]}
 
 
 def latest(df: DataFrame, key: list[str], *order) -> DataFrame:
@@ -62,11 +67,6 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, key: str, *order) -> D
     return latest(new, [key], *order).join(existing.select(key), key, "left_anti")
 
 
-def replace_documents(existing: DataFrame, new: DataFrame, documents: DataFrame) -> DataFrame:
-    """``existing`` without the rows of ``documents``, with ``new``: a reload replaces what hangs on a document."""
-    return existing.join(documents.select("document_id").distinct(), "document_id", "left_anti").unionByName(new)
-
-
 def run_status(processed, duplicate, failed):
     """succeeded if nothing failed, failed if everything did, else partial."""
     return F.when(F.coalesce(failed, F.lit(0)) == 0, "succeeded").when(failed == failed + processed + duplicate, "failed").otherwise("partial")
@@ -94,6 +94,16 @@ def unvoided(rows: DataFrame, voids: DataFrame, name: Column | None = None) -> D
     return rows.join(v, gone, "left_anti")
 
 
+class LostTurn(RuntimeError):
+    """The turn was taken away, since its holder kept it too long; nothing was committed."""
+
+
+class Place(int):
+    """The place of a commit, and the word that its holder left in the turn's file."""
+
+    token: str
+
+
 @dataclass
 class Scratch:
     """Writes tables of a run's own and reads them back."""
@@ -133,6 +143,10 @@ class Store:
         fs, at = self._file(path)
         fs.delete(at, True)
 
+    @staticmethod
+    def new_name() -> str:
+        return uuid.uuid4().hex
+
     def scratch(self, run_id: str) -> Scratch:
         return Scratch(self, run_id)
 
@@ -146,20 +160,27 @@ class Store:
         return len(old)
 
     @contextmanager
-    def turn(self, stale_s: float = 3600.0) -> Iterator[int]:
+    def turn(self, stale_s: float = 3600.0) -> Iterator[Place]:
         """The place of the next commit; others wait until it is left.
 
-        Rests on a file that only one can create (HDFS, a local disk); one left behind for
-        ``stale_s`` seconds is taken away.
+        Rests on a file that only one can create (HDFS, a local disk) and that names its holder.  One
+        left behind for ``stale_s`` seconds is taken away; its holder, should it still run, cannot
+        commit any more and does not take away the turn of another.
         """
         fs, lock = self._file(self._path("_lock"))
+        token = uuid.uuid4().hex
         while True:
             try:
                 if fs.getScheme() == "file":  # whose create looks first and makes the file afterwards
-                    os.makedirs(os.path.dirname(lock.toUri().getPath()), exist_ok=True)
-                    os.close(os.open(lock.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+                    local = lock.toUri().getPath()
+                    os.makedirs(os.path.dirname(local), exist_ok=True)
+                    at = os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+                    os.write(at, token.encode())
+                    os.close(at)
                 else:
-                    fs.create(lock, False).close()
+                    out = fs.create(lock, False)
+                    out.write(token.encode())
+                    out.close()
                 break
             except (FileExistsError, Py4JJavaError) as e:
                 if isinstance(e, Py4JJavaError) and "AlreadyExists" not in str(e.java_exception):
@@ -168,10 +189,26 @@ class Store:
                     fs.delete(lock, False)
                 time.sleep(0.2)
         try:
-            last = self._committed().agg(F.max("seq")).first()[0]
-            yield 1 + (last or 0)
+            place = Place(1 + (self._last() or 0))
+            place.token = token
+            yield place
         finally:
-            fs.delete(lock, False)
+            if self._holder() == token:
+                fs.delete(lock, False)
+
+    def _holder(self) -> str | None:
+        """The word in the turn's file."""
+        fs, lock = self._file(self._path("_lock"))
+        if not fs.exists(lock):
+            return None
+        stream = fs.open(lock)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _last(self) -> int | None:
+        return self._committed().agg(F.max("seq")).first()[0]
 
     def append(self, table: str, rows: DataFrame, run_id: str) -> None:
         if table not in SCHEMAS:
@@ -180,8 +217,7 @@ class Store:
         if unknown := set(rows.columns) - set(names):
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
         # into the run's own folder, since writers of one folder clear each other's unfinished files
-        by = ["model_name", "model_version"] if table == "embeddings" else []
-        rows.select(*names).write.mode("append").partitionBy(*by).parquet(self._path(f"{table}/_run={run_id}"))
+        rows.select(*names).write.mode("append").partitionBy(*PARTITIONS.get(table, [])).parquet(self._path(f"{table}/_run={run_id}"))
 
     def _rows(self, table: str) -> DataFrame:
         if not self._exists(table):
@@ -209,7 +245,10 @@ class Store:
             rows = rows if floor is None else rows.where(F.col("seq") > floor)
             if n:
                 rows = unvoided(rows, sent(voids), F.col("check_name") if table == "checks" else None)
-        if table in KEYS:
+        if table == "cells":  # all rows of a model's latest fit
+            newest = rows.groupBy(*KEYS[table]).agg(F.max("seq").alias("seq"))
+            rows = rows.join(newest, [*KEYS[table], "seq"], "left_semi")
+        elif table in KEYS:
             rows = latest(rows, KEYS[table], F.col("seq").desc(), F.col("_run").desc())
         return rows.select(*columns)
 
@@ -220,12 +259,14 @@ class Store:
     def commit(self, run_id: str, run_type: str, processed: int, duplicate: int, failed: int, model: tuple[str, str] | None = None, seq: int | None = None) -> None:
         """The run's last row: from now on its rows count.  Takes a turn unless it is in one and gives its ``seq``."""
         with nullcontext(seq) if seq else self.turn() as place:
+            if isinstance(place, Place) and self._holder() != place.token:
+                raise LostTurn(f"{self.root}: another run has taken the turn of {run_id}")
             self._log(run_id, run_type, run_status(F.col("processed"), F.col("duplicate"), F.col("failed")), place, (processed, duplicate, failed), model)
 
     def _log(self, run_id: str, run_type: str, status: Column, seq: int | None, counts: tuple = (None, None, None), model: tuple[str, str] | None = None) -> None:
         if run_type not in RUN_TYPES:
             raise ValueError(f"run_type must be one of {RUN_TYPES}")
-        row = self.spark.createDataFrame([(run_id, run_type, *counts, seq)], "run_id string, run_type string, processed long, duplicate long, failed long, seq long")
+        row = self.spark.createDataFrame([(run_id, run_type, *counts, None if seq is None else int(seq))], "run_id string, run_type string, processed long, duplicate long, failed long, seq long")
         name, version = model or (None, None)
         made = {"normaliser_version": NORMALISER_VERSION, "code_version": code_version(), "embedding_model": name, "embedding_model_version": version}
         started, finished = (F.when(F.lit(seq).isNull() == first, F.current_timestamp()) for first in (True, False))
@@ -237,21 +278,29 @@ class Store:
         rows = documents.select("document_id").distinct().select("document_id", F.explode(F.array(*map(F.lit, tables))).alias("table_name"), named.alias("patterns"), F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"))
         self.append("voids", rows, run_id)
 
-    def compact(self, table: str) -> None:
-        """Rewrites what counts of a table as the rows of one run, and deletes the folders of the runs before.
+    def compact(self, table: str, change: Callable[[DataFrame], DataFrame] | None = None, before: Callable[[str], None] | None = None, run_type: str = "compact") -> None:
+        """Rewrites what counts of a table, with a ``change`` if any, as the rows of one run, and deletes the folders of the runs before.
 
-        Readers see either; one that began before and is not done when the folders go has to begin anew.
+        Rows are written first and committed in a short turn; if another run was committed meanwhile
+        they are written anew.  ``before`` may write other rows of the run.  Readers see either; one
+        that began before and is not done when the folders go has to begin anew.
         """
         if table not in DEPENDENT:
             raise KeyError(table)
-        run_id = uuid.uuid4().hex
-        self.begin(run_id, "compact")
-        with self.turn() as seq:
-            old = [r["_run"] for r in self._committed().select("_run").collect()]
-            self.append(table, self.read(table), run_id)
-            void = self.spark.createDataFrame([(None, table, None, 0, seq - 1)], SCHEMAS["voids"])
-            self.append("voids", void, run_id)
-            self.commit(run_id, "compact", 0, 0, 0, seq=seq)
+        while True:
+            run_id, last = uuid.uuid4().hex, self._last() or 0
+            self.begin(run_id, run_type)
+            old = [row["_run"] for row in self._rows(table).select("_run").distinct().join(sent(self._committed()), "_run").collect()]  # a name a run
+            rows = self.read(table)
+            self.append(table, change(rows) if change else rows, run_id)
+            if before:
+                before(run_id)
+            with self.turn() as seq:
+                if seq == last + 1:
+                    self.append("voids", self.spark.createDataFrame([(None, table, None, 0, last)], SCHEMAS["voids"]), run_id)
+                    self.commit(run_id, run_type, 0, 0, 0, seq=seq)
+                    break
+            self._delete(self._path(f"{table}/_run={run_id}"))
         for run in old:
             self._delete(self._path(f"{table}/_run={run}"))
 
@@ -261,8 +310,3 @@ class Store:
         found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(root, f"_run=*/model_name={name}/model_version={version}")) or []
         for status in found:
             fs.delete(status.getPath(), True)
-
-
-def delete_model_vectors(embeddings: DataFrame, name: str, version: str) -> DataFrame:
-    """Without the vectors of one model version; a partition of the table."""
-    return embeddings.where(~((F.col("model_name") == name) & (F.col("model_version") == version)))
