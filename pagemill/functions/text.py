@@ -58,8 +58,8 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-#: Values of a run.  Three levels of runs hold 16 million values.
-_RUN, _LEVELS = 64, 4
+#: Values of a run, and levels of runs.
+_RUN, _LEVELS = 64, 3
 
 
 def prefix_sums(values: Column, levels: int = _LEVELS) -> Column:

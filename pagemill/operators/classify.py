@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import first_match, join_lines
+from ..functions.text import first_match, join_lines, let
 
 # fixed values: type -> keyword -> weight
 KEYWORDS: dict[str, dict[str, int]] = {
@@ -17,31 +19,73 @@ KEYWORDS: dict[str, dict[str, int]] = {
 NO_TYPE = "no keyword found in the document text"
 
 
+#: Letters whose only partner in the other case is not their ``lower``: what patterns without case take as equal.
+_FOLDED = ("ſİıςµ", "siiσμ")
+
+
+def _folded(text: Column) -> Column:
+    return F.translate(F.lower(F.translate(text, *_FOLDED)), *_FOLDED)
+
+
+def _fold(text: str) -> str:
+    table = str.maketrans(*_FOLDED)
+    return text.translate(table).lower().translate(table)
+
+
 def keyword_pattern(keyword: str) -> str:
     """Whole words; white space of any length, line breaks too, between them."""
     return r"\b" + r"\s+".join(rf"\Q{w}\E" for w in keyword.split()) + r"\b"
 
 
-def _ranked(name: str, found: Column) -> Column:
-    score = F.aggregate(found, F.lit(0), lambda a, h: a + h["weight"])
-    first = F.array_min(F.transform(found, lambda h: h["at"]))
-    return F.struct((-score).alias("rank"), first.alias("first"), F.lit(name).alias("document_type"), F.array_sort(F.transform(found, lambda h: h["keyword"])).alias("matched_keywords"))
+def _grams(words: Column, n: int) -> Column:
+    """At the place of each word the ``n`` words from there on, or null beyond the end."""
+    return words if n == 1 else F.transform(words, lambda _, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
+
+
+def found_keywords(text: Column, keywords: list[str]) -> Column:
+    """array<struct<keyword, at>> of the keywords that occur, each once, with the number of words before it.
+
+    The text is cut into words once, in stretches that hold white space only between words, and its
+    word n-grams are met with the pack by hashing; so the cost does not grow with the pack but by its
+    reading.  Keywords with other characters than those of words are looked for by patterns.
+    """
+    plain = {" ".join(_fold(k).split()): k for k in keywords if re.fullmatch(r"\w+(\s+\w+)*", k.strip())}
+    odd = [k for k in keywords if k not in plain.values()]
+    lengths = sorted({len(k.split()) for k in plain}) or [1]
+    stretches = F.transform(F.split(_folded(text), r"(?U)[^\w\s]+"), lambda s: F.filter(F.split(s, r"(?U)\s+"), lambda w: w != ""))
+    grams = lambda ss: F.array(*(F.flatten(F.transform(ss, lambda ws: _grams(ws, n))) for n in lengths))  # noqa: B023, E731
+    pack = F.array(*map(F.lit, sorted(plain)))
+    spelt = F.create_map(*(F.lit(x) for kv in plain.items() for x in kv if kv[0] != kv[1]))
+    name = lambda k: F.coalesce(F.element_at(spelt, k), k) if any(a != b for a, b in plain.items()) else k
+    place = lambda gs, k: F.array_min(F.transform(gs, lambda g: F.nullif(F.array_position(g, k), F.lit(0)))) - 1
+    hits = let(stretches, lambda ss: let(grams(ss), lambda gs: F.transform(F.filter(F.array_intersect(F.flatten(gs), pack), lambda k: k.isNotNull()), lambda k: F.struct(name(k).alias("keyword"), place(gs, k).cast("long").alias("at"))))) if plain else None
+    ordinal = lambda m: F.size(F.regexp_extract_all(F.substring(text, F.lit(1), m["start"]), F.lit(r"(?U)(\w+)"), F.lit(1))).cast("long")
+    looked = [let(first_match(text, keyword_pattern(k)), lambda m: F.when(m.isNotNull(), F.struct(F.lit(k).alias("keyword"), ordinal(m).alias("at")))) for k in odd]  # noqa: B023
+    more = F.filter(F.array(*looked), lambda h: h.isNotNull()) if odd else None
+    return F.concat(*(x for x in (hits, more) if x is not None))
 
 
 def classify(text: Column, keywords: dict[str, dict[str, int]] = KEYWORDS) -> Column:
     """struct<document_type, score, matched_keywords>, null if no keyword occurs.
 
-    Each keyword counts once.  The largest sum of weights wins, then the earliest first match,
-    then the name.  Patterns are literals of one narrow projection, not a join.
+    Each keyword counts once, those within others too.  The largest sum of weights wins, then the
+    earliest first match, then the name.
     """
-    types = []
-    for name, words in keywords.items():
-        found = F.array(*(F.struct(F.lit(k).alias("keyword"), F.lit(w).alias("weight"), first_match(text, keyword_pattern(k))["start"].alias("at")) for k, w in words.items()))
-        found = F.filter(found, lambda h: h["at"].isNotNull())
-        types.append(F.transform(F.array(found), lambda f: _ranked(name, f))[0])  # noqa: B023
-    best = F.array_min(F.filter(F.array(*types), lambda t: t["rank"] < 0))
-    named = lambda b: F.struct(b["document_type"].alias("document_type"), (-b["rank"]).alias("score"), b["matched_keywords"].alias("matched_keywords"))
-    return F.transform(F.array(best), lambda b: F.when(b.isNotNull(), named(b)))[0]
+    of = {k: [(t, words[k]) for t, words in keywords.items() if k in words] for words in keywords.values() for k in words}
+    entry = lambda t, w: F.struct(F.lit(t).alias("type"), F.lit(w).alias("weight"))
+    pack = F.create_map(*(x for k, entries in of.items() for x in (F.lit(k), F.array(*(entry(*e) for e in entries)))))
+
+    def ranked(hits: Column, name: str) -> Column:
+        mine = F.filter(hits, lambda h: h["type"] == name)
+        return let(mine, lambda m: F.struct((-F.aggregate(m, F.lit(0), lambda a, h: a + h["weight"])).alias("rank"), F.array_min(F.transform(m, lambda h: h["at"])).alias("first"), F.lit(name).alias("document_type"), F.array_sort(F.transform(m, lambda h: h["keyword"])).alias("matched_keywords")))
+
+    def best(hits: Column) -> Column:
+        return F.array_min(F.filter(F.array(*(ranked(hits, t) for t in keywords)), lambda t: t["rank"] < 0))
+
+    typed = lambda h: F.transform(F.element_at(pack, h["keyword"]), lambda e: F.struct(h["keyword"].alias("keyword"), h["at"].alias("at"), e["type"].alias("type"), e["weight"].alias("weight")))
+    named = lambda b: F.when(b.isNotNull(), F.struct(b["document_type"].alias("document_type"), (-b["rank"]).alias("score"), b["matched_keywords"].alias("matched_keywords")))
+    hits = F.flatten(F.transform(found_keywords(text, list(of)), typed))
+    return let(let(hits, best), named)
 
 
 def document_texts(pages: DataFrame) -> DataFrame:

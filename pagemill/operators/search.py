@@ -87,7 +87,7 @@ def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query
     Queries are taken in blocks of about ``block``, so that what is sent out does not grow with
     their number.  A task scores its rows by matrix products and keeps k a query: these alone are
     shuffled.  Which rows are the best is settled by sums in a fixed order, so equal vectors tie.
-    With ``cells`` a row (which has its ``cell``) is scored for the queries that look there.
+    With ``cells`` a row (which has its ``cell``, and ``place``) is scored for the queries that look there.
     """
     blocks = max(1, -(-queries.count() // block))
 
@@ -95,9 +95,11 @@ def nearest_each(vectors: DataFrame, queries: DataFrame, k: int, key: str, query
         rows = part.select(query_key, "q").where("q is not null").collect()  # a block
         names, q = np.array([r[0] for r in rows], np.int64), _unit(np.array([r[1] for r in rows] or np.zeros((0, 1)), np.float64))
         looked = cells.probed(q) if cells is not None and len(rows) else None
-        source = vectors.select(F.col(key).cast("long").alias(key), embedding, *(["cell"] if cells is not None else []))
+        source = vectors.select(F.col(key).cast("long").alias(key), embedding, *(c for c in ("cell", "place") if cells is not None and c in vectors.columns))
         if looked is not None:  # reaches the scan of a table that is partitioned by cell
-            source = source.where(F.col("cell").isin(np.flatnonzero(looked.any(0)).tolist()))
+            found = np.flatnonzero(looked.any(0))
+            source = source.where(F.col("cell").isin(found.tolist()))
+            source = source.where(F.col("place").isin(np.unique(cells.places()[found]).tolist())) if "place" in source.columns else source
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]

@@ -732,18 +732,27 @@ def search_multi(spark, sf_dir):
 
 @query()
 def search_index(spark, sf_dir):
-    """``search_multi`` over an index of cells that holds every row; approximate."""
+    """``search_multi`` over a written index of cells that holds every row; approximate."""
     vectors = table(spark, sf_dir, "embeddings")
     queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    cells = fit_cells(vectors, k=_K)
-    return nearest_each(cells.assign(vectors), queries, _K, "vec_id", "query_id", cells=cells).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+    cells, path = fit_cells(vectors, k=_K), shared_dir(spark)
+    placed = cells.assign(vectors.select("vec_id", "embedding"))
+    placed.hint("rebalance", "place").sortWithinPartitions("place", "cell").write.partitionBy("place").parquet(path)
+    index = spark.read.schema(placed.schema).parquet(path)
+    return nearest_each(index, queries, _K, "vec_id", "query_id", cells=cells).select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
-@query("SELECT * FROM (VALUES ('hashing-384', '1', 384, false), ('other', '2', 384, true), ('third', '1', 384, false)) AS t(model_name, model_version, dimension, is_active)")
+@query("""
+WITH m AS (SELECT event_type AS model_name, max(event_id)::VARCHAR AS model_version, 384 AS dimension, bool_or(value > 1e9) AS is_active FROM events GROUP BY event_type),
+u AS (SELECT * FROM m WHERE model_name <> (SELECT min(event_type) FROM events) UNION ALL SELECT min(event_type), 'new', 384, false FROM events UNION ALL SELECT 'hashing-384', '1', 384, false)
+SELECT model_name, model_version, dimension, model_name = (SELECT max(event_type) FROM events) AS is_active FROM u""")
 def model_activate(spark, sf_dir):
-    models = spark.createDataFrame([("other", "1", 128, False), ("third", "1", 384, False)], "model_name string, model_version string, dimension int, is_active boolean")
-    models = upsert_model(upsert_model(models, Model("other", "2", 384, hashing_embedder)), HASHING)
-    return activate(activate_if_none(models, "third"), "other")
+    """Types of events as models: two are upserted, the last is activated as none is, and then for good."""
+    events = table(spark, sf_dir, "events")
+    models = events.groupBy(F.col("event_type").alias("model_name")).agg(F.max("event_id").cast("string").alias("model_version"), F.lit(384).alias("dimension"), F.bool_or(F.col("value") > 1e9).alias("is_active"))
+    first, last = events.agg(F.min("event_type"), F.max("event_type")).first()
+    models = upsert_model(upsert_model(models, Model(first, "new", 384, hashing_embedder)), HASHING)
+    return activate(activate_if_none(models, last), last)
 
 
 @query()
