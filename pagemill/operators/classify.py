@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,14 @@ def keyword_pattern(keyword: str) -> str:
     return r"\b" + r"\s+".join(rf"\Q{w}\E" for w in keyword.split()) + r"\b"
 
 
+_MAPS = 64
+
+
+def _constant(value, schema: str) -> Column:
+    """A value as one literal, whatever its size."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def _grams(words: Column, n: int) -> Column:
     """At the place of each word the ``n`` words from there on, or null beyond the end."""
     return words if n == 1 else F.transform(words, lambda _, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
@@ -54,9 +64,9 @@ def found_keywords(text: Column, keywords: list[str]) -> Column:
     lengths = sorted({len(k.split()) for k in plain}) or [1]
     stretches = F.transform(F.split(_folded(text), r"(?U)[^\w\s]+"), lambda s: F.filter(F.split(s, r"(?U)\s+"), lambda w: w != ""))
     grams = lambda ss: F.array(*(F.flatten(F.transform(ss, lambda ws: _grams(ws, n))) for n in lengths))  # noqa: B023, E731
-    pack = F.array(*map(F.lit, sorted(plain)))
-    spelt = F.create_map(*(F.lit(x) for kv in plain.items() for x in kv if kv[0] != kv[1]))
-    name = lambda k: F.coalesce(F.element_at(spelt, k), k) if any(a != b for a, b in plain.items()) else k
+    pack = _constant(sorted(plain), "array<string>")
+    spelt = {a: b for a, b in plain.items() if a != b}
+    name = lambda k: F.coalesce(F.element_at(_constant(spelt, "map<string,string>"), k), k) if spelt else k
     place = lambda gs, k: F.array_min(F.transform(gs, lambda g: F.nullif(F.array_position(g, k), F.lit(0)))) - 1
     hits = let(stretches, lambda ss: let(grams(ss), lambda gs: F.transform(F.filter(F.array_intersect(F.flatten(gs), pack), lambda k: k.isNotNull()), lambda k: F.struct(name(k).alias("keyword"), place(gs, k).cast("long").alias("at"))))) if plain else None
     ordinal = lambda m: F.size(F.regexp_extract_all(F.substring(text, F.lit(1), m["start"]), F.lit(r"(?U)(\w+)"), F.lit(1))).cast("long")
@@ -72,8 +82,12 @@ def classify(text: Column, keywords: dict[str, dict[str, int]] = KEYWORDS) -> Co
     earliest first match, then the name.
     """
     of = {k: [(t, words[k]) for t, words in keywords.items() if k in words] for words in keywords.values() for k in words}
-    entry = lambda t, w: F.struct(F.lit(t).alias("type"), F.lit(w).alias("weight"))
-    pack = F.create_map(*(x for k, entries in of.items() for x in (F.lit(k), F.array(*(entry(*e) for e in entries)))))
+    # a map is read from its beginning, so the pack is dealt over many
+    dealt: list[dict] = [{} for _ in range(_MAPS)]
+    for k, entries in of.items():
+        dealt[zlib.crc32(k.encode()) % _MAPS][k] = [{"type": t, "weight": w} for t, w in entries]
+    maps = _constant(dealt, "array<map<string,array<struct<type:string,weight:int>>>>")
+    pack = lambda k: F.element_at(F.get(maps, (F.crc32(k) % _MAPS).cast("int")), k)
 
     def ranked(hits: Column, name: str) -> Column:
         mine = F.filter(hits, lambda h: h["type"] == name)
@@ -82,7 +96,7 @@ def classify(text: Column, keywords: dict[str, dict[str, int]] = KEYWORDS) -> Co
     def best(hits: Column) -> Column:
         return F.array_min(F.filter(F.array(*(ranked(hits, t) for t in keywords)), lambda t: t["rank"] < 0))
 
-    typed = lambda h: F.transform(F.element_at(pack, h["keyword"]), lambda e: F.struct(h["keyword"].alias("keyword"), h["at"].alias("at"), e["type"].alias("type"), e["weight"].alias("weight")))
+    typed = lambda h: F.transform(pack(h["keyword"]), lambda e: F.struct(h["keyword"].alias("keyword"), h["at"].alias("at"), e["type"].alias("type"), e["weight"].alias("weight")))
     named = lambda b: F.when(b.isNotNull(), F.struct(b["document_type"].alias("document_type"), (-b["rank"]).alias("score"), b["matched_keywords"].alias("matched_keywords")))
     hits = F.flatten(F.transform(found_keywords(text, list(of)), typed))
     return let(let(hits, best), named)

@@ -5,9 +5,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import with_offsets
+from pagemill.functions.text import first_match, with_offsets
 from pagemill.operators.chunk import MAX_CHARS, chunk_pages
-from pagemill.operators.classify import classify
+from pagemill.operators.classify import classify, keyword_pattern
 from pagemill.operators.embed import resolve_snapshot
 from pagemill.operators.extract import extract_fields
 from pagemill.operators.normalise import normalise
@@ -240,3 +240,35 @@ def test_a_page_of_many_words(spark):
     good, bad = normalised(spark, "azure-document-intelligence", {"d": raw})
     assert not bad and {x["confidence"] for x in good["d"][1]["lines"]} == {0.5} and len(good["d"][1]["lines"]) == 2000
     assert time.monotonic() - began < 60
+
+
+def test_many_keywords_at_once(spark):
+    """Against a pattern a keyword: overlaps, phrases over line breaks, words of two alphabets, odd spellings."""
+    rng = random.Random(5)
+    words = ["gst", "GSTR", "tax", "Tax", "invoice", "квитанция", "КВИТАНЦИЯ", "чек", "c++", "no.", "ſick", "leave", "e-mail", "naïve", "2", "_x", "straße", "İd", "ΣΑΣ"]
+    packs = {f"t{t}": {" ".join(rng.choice(words).lower() for _ in range(rng.randrange(1, 4))): rng.randrange(1, 4) for _ in range(12)} for t in range(6)}
+    texts = ["", None, " ", *("".join(rng.choice(words) + rng.choice([" ", "\n", " \t\n ", ", ", "-", " "]) for _ in range(rng.randrange(30))) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    patterns = {k: first_match(F.col("text"), keyword_pattern(k))["start"].alias(k) for pack in packs.values() for k in pack}
+    places = df.select("id", F.array(*patterns.values()).alias("at")).collect()
+    got = {r["id"]: r["c"] for r in df.select("id", classify(F.col("text"), packs).alias("c")).collect()}
+    for r in places:
+        at = dict(zip(patterns, r["at"], strict=True))
+        ranked = sorted((-sum(w for k, w in pack.items() if at[k] is not None), min((at[k] for k in pack if at[k] is not None), default=0), t, sorted(k for k in pack if at[k] is not None)) for t, pack in packs.items())
+        if ranked[0][0] == 0:
+            assert got[r["id"]] is None
+        else:
+            assert tuple(got[r["id"]]) == (ranked[0][2], -ranked[0][0], ranked[0][3]), texts[r["id"]]
+
+
+def test_a_large_pack_costs_little_more(spark):
+    text = spark.range(300).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(2000)), lambda i: F.concat(F.lit("w"), (i * F.col("id") % 997).cast("string")))).alias("text"))
+    took = []
+    for n in (10, 1000):
+        pack = {"a": {f"w{i}": 1 for i in range(10)}, "b": {f"x{i} w{i + 1}": 1 for i in range(n - 10)}}
+        for _ in range(2):
+            began = time.monotonic()
+            text.select(classify(F.col("text"), pack)["score"].alias("s")).write.format("noop").mode("overwrite").save()
+            last = time.monotonic() - began
+        took.append(last)
+    assert took[1] < 3 * took[0] + 3, took
