@@ -12,7 +12,9 @@ fingerprint of as many bits as the number of texts and the similarity ask for: s
 the logarithm of the texts, so that a text meets about as many strangers in any corpus, and there
 are so many segments that a pair of just the similarity differs by more than one bit in all of
 them with a probability below ``missed``.  Fingerprints of few shingles are coarse; sets of at
-most ``FEW`` are met exactly, by their smallest hashes.
+most ``FEW`` are met exactly, by their rarest shingles: two sets of the similarity have one of the
+first few in common whatever order all sets are taken in, and in the order of frequency what many
+texts share comes last and is no key unless a text consists of it.
 
 Candidates are verified on the texts, in three rounds.  First the nearest candidate of every text,
 which connects most copies; then the other edges of the candidates' forests that still cross two
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,8 @@ _SURROGATE = 1 << 62
 FEW = 64
 #: Lanes of the fingerprint by which candidates are checked, and bits of the parity of a set's hashes.
 _LANES, _PARITY = 2, 1024
+#: Cells in which the shingles of small sets are counted, and the count up to which all are alike.
+_CELLS, _RARE = 1 << 20, 16
 _EPS = 1e-9
 
 
@@ -133,7 +138,7 @@ def candidate_bits(similarity: float) -> int:
 
 
 def described(texts: DataFrame, k: int, similarity: float, width: int, segments: int, seed: int) -> DataFrame:
-    """Every row with its set's name (id, check: 126 bits of its hash), size, sketch, segments and smallest hashes."""
+    """Every row with its set's name (id, check: 126 bits of its hash), size, sketch, segments and, if it is small, all hashes."""
     lanes = _LANES + -(-segments * width // 64)
     names = ["doc_id", "t1", "t2", "id", "check", "n", "sketch", "segs", "least"]
     weights = 1 << np.arange(width, dtype=np.int64)
@@ -156,13 +161,37 @@ def described(texts: DataFrame, k: int, similarity: float, width: int, segments:
                 sketches.append(np.concatenate((fp[:_LANES].view(np.int64), odd)))
                 bits = np.unpackbits(fp[_LANES:].view(np.uint8), bitorder="little")[: segments * width]
                 segs.append(bits.reshape(segments, width) @ weights if n > FEW else np.zeros(0, np.int64))
-                least.append(h[: n - math.ceil(similarity * n - _EPS) + 1].view(np.int64) if similarity * n <= FEW else np.zeros(0, np.int64))
+                least.append(h.view(np.int64) if similarity * n <= FEW else np.zeros(0, np.int64))
             arrays = [pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), pa.array(sizes, pa.int32()), lists(sketches, np.int64), lists(segs, np.int32), lists(least, np.int64)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names)
 
     return texts.mapInArrow(run, "doc_id long, t1 long, t2 long, id long, check long, n int, sketch array<long>, segs array<int>, least array<long>")
 
 
+def rarest(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``least`` of each small set cut to as many of its rarest hashes as sets of the similarity must share one of.
+
+    Shingles of all small sets are counted in a table of fixed size by some bits of their hash; any
+    order will do for exactness, so those of one cell may share a count.
+    """
+    cell = F.col("h").bitwiseAND(F.lit(_CELLS - 1)).cast("int")
+    counted = nodes.select(F.explode("least").alias("h")).groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).where(F.col("n") > _RARE).collect()  # at most _CELLS rows
+    table = np.zeros(_CELLS, np.int64)
+    table[[r["cell"] for r in counted]] = [r["n"] for r in counted]
+    sent = nodes.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("array<long>")
+    def first(least: pd.Series) -> pd.Series:
+        counts, out = sent.value, []
+        for h in least:
+            n = len(h)
+            keep = max(0, n - math.ceil(similarity * n - _EPS) + 1) if n else 0
+            out.append(h[np.lexsort((h, counts[h & (_CELLS - 1)]))[:keep]])
+        return pd.Series(out)
+
+    return nodes.withColumn("least", first("least"))
+
+
 def _sent(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
     """Broadcast if the table has at most so many rows, otherwise left to the optimiser."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -222,6 +251,7 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
         if nodes.where("lo <> hi").isEmpty():  # else two sets have one name: take others
             break
         seed += 1
+    nodes = rarest(nodes, similarity)
 
     few, many = Near(0, 0, similarity), Near(_LANES, candidate_bits(similarity), similarity)
     coarse = F.slice("sketch", 1, _LANES).alias("sketch")

@@ -1,12 +1,14 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pagemill.llm.components import connected_components
-from pagemill.llm.simhash import drop_near_duplicates, fingerprint, near_duplicate_components, near_links, op4_simhash
+from pagemill.llm.simhash import drop_near_duplicates, fingerprint, near_duplicate_components, near_links, op4_simhash, rarest, shingle_set
 from pagemill.llm.variants import Near, linked
 
 from .fixtures import AWKWARD, docs
@@ -178,3 +180,17 @@ def test_every_copy_at_the_least_similarity(spark, words):
     assert _kept(spark, pairs) == list(range(0, 300, 2))
     pairs = [t for k in range(0, 450, 3) for t in texts[k : k + 3 : 2]]
     assert _kept(spark, pairs) == list(range(300))
+
+
+def test_a_phrase_that_all_short_texts_share(spark):
+    """No key is a shingle of the phrase, so texts do not meet for it; kept rows equal brute force on a part."""
+    phrase = "all rights are reserved by the owner of this page"
+    made = lambda i: f"{phrase} " + " ".join(f"{w}{i}" for w in ("alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "mu", "nu", "xi", "pi", "rho", "tau", "phi", "chi", "psi", "om"))
+    rows = [(i, made(i)) for i in range(20_000)] + [(50_000 + i, made(i) + " more") for i in range(0, 20_000, 100)]
+    began = time.monotonic()
+    kept = {r["doc_id"] for r in drop_near_duplicates(docs(spark, rows)).select("doc_id").collect()}
+    assert kept == set(range(20_000))
+    assert time.monotonic() - began < 240
+    table = spark.createDataFrame([(i, sorted({xxhash.xxh64_intdigest(s) >> 1 for s in shingle_set(t, 5)})) for i, t in rows[:500]], "node long, least array<long>")
+    keys = rarest(table, 0.8).select(F.explode("least").alias("k")).groupBy("k").count()
+    assert keys.agg(F.max("count")).first()[0] <= 16
