@@ -6,15 +6,16 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.pii import mask_text
+from ..functions.pii import install_masking, mask_text
 
 DIMENSION = 384
 BATCH = 32
@@ -62,6 +63,45 @@ def resolve_snapshot(name: str, cache: str) -> tuple[str, str]:
     return str(folder), folder.name if re.fullmatch("[0-9a-f]{40}", folder.name) else "unknown"
 
 
+def word_vectors(folder: str, dimension: int) -> Callable[[list[str]], np.ndarray]:
+    """Mean of the vectors of a text's known words, from ``vocab.txt`` (a word a line) and ``vectors.npy`` (a row a word).
+
+    The vectors are mapped, not read, so workers of one machine share their pages.  A text without
+    known words points to the first axis.
+    """
+    place = {w: i for i, w in enumerate(Path(folder, "vocab.txt").read_text(encoding="utf-8").split("\n")) if w}
+    vectors = np.load(Path(folder, "vectors.npy"), mmap_mode="r")
+    if vectors.ndim != 2 or vectors.shape[1] != dimension or len(vectors) < len(place):
+        raise ValueError(f"{Path(folder).name} has vectors of {vectors.shape}, expected {len(place)} of {dimension}")
+
+    def encode(texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), dimension))
+        for row, text in enumerate(texts):
+            if found := [place[w] for w in re.findall(r"\w+", text.casefold()) if w in place]:
+                out[row] = vectors[found].sum(0)
+        size = np.linalg.norm(out, axis=1, keepdims=True)
+        out[size[:, 0] == 0, 0] = 1.0
+        return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+    return encode
+
+
+def _shipped(name: str, dimension: int) -> Callable[[list[str]], np.ndarray]:
+    return word_vectors(SparkFiles.get(name), dimension)
+
+
+def snapshot_model(spark: SparkSession, name: str, cache: str = "") -> Model:
+    """A model of word vectors from its snapshot (see ``resolve_snapshot``), registered under ``name``.
+
+    The folder is sent to every worker once; its version is that of the snapshot.
+    """
+    folder, version = resolve_snapshot(name, cache)
+    encode = word_vectors(folder, DIMENSION)  # an unfit folder is an error here, not in tasks
+    encode(["probe"])
+    spark.sparkContext.addFile(folder, recursive=True)
+    return register(Model(name, version, DIMENSION, partial(_shipped, Path(folder).name, DIMENSION)))
+
+
 MODELS: dict[str, Model] = {}
 
 
@@ -95,6 +135,7 @@ def embed(chunks: DataFrame, model: Model = HASHING, text: str = "text") -> Data
 
     @F.pandas_udf("embedding array<float>, embed_error string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        install_masking()  # what a model logs in this worker is masked as well
         encode = _loaded(load)
 
         def several(texts: list[str]) -> list[tuple[list[float] | None, str | None]]:

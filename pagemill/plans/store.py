@@ -45,6 +45,8 @@ DEPENDENT = ("documents", "raw", "pages", "fields", "checks", "chunks", "embeddi
 PARTITIONS = {"embeddings": ["model_name", "model_version", "centres", "place"], "cells": ["model_name", "model_version"]}
 #: ``centres`` of vectors that lie in no cell.
 UNPLACED = "none"
+#: Ids up to which a lookup names each of them, so that row groups without them are not read.
+FEW_IDS = 1000
 #: Rows up to which a table of runs, voids or ids is broadcast.
 SMALL = 1 << 20
 #: Rows of later runs replace those of earlier ones with the same key.
@@ -82,6 +84,11 @@ def sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
+def _of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    named = [r[0] for r in ids.limit(FEW_IDS + 1).collect()]
+    return rows.where(F.col("document_id").isin(named)) if len(named) <= FEW_IDS else rows.join(sent(ids), "document_id", "left_semi")
+
+
 def unvoided(rows: DataFrame, voids: DataFrame, name: Column | None = None) -> DataFrame:
     """Rows (document_id, seq) without those of a void (document_id, patterns, lo, hi): its document's of seq lo to hi.
 
@@ -217,7 +224,10 @@ class Store:
         if unknown := set(rows.columns) - set(names):
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
         # into the run's own folder, since writers of one folder clear each other's unfinished files
-        rows.select(*names).write.mode("append").partitionBy(*PARTITIONS.get(table, [])).parquet(self._path(f"{table}/_run={run_id}"))
+        rows = rows.select(*names)
+        if table in DEPENDENT and table not in PARTITIONS:  # row groups hold ranges of ids
+            rows = rows.sortWithinPartitions("document_id")
+        rows.write.mode("append").partitionBy(*PARTITIONS.get(table, [])).parquet(self._path(f"{table}/_run={run_id}"))
 
     def _rows(self, table: str) -> DataFrame:
         if not self._exists(table):
@@ -230,14 +240,15 @@ class Store:
     def read(self, table: str, ids: DataFrame | None = None) -> DataFrame:
         """Rows of committed runs that nothing replaced, of keyed tables the latest a key.
 
-        With ``ids`` (document_id) only those of these documents, which are picked out first.
+        With ``ids`` (document_id) only those of these documents, which are picked out first: few of
+        them as a filter that the scan takes, many as a join.
         """
         columns = [f.split()[0] for f in SCHEMAS[table].split(", ")]
         rows = self._rows(table)
         if table == "runs":
             return latest(rows, KEYS[table], F.col("seq").desc_nulls_last()).select(*columns)
         if ids is not None:
-            rows = rows.join(sent(ids.select("document_id").distinct()), "document_id", "left_semi")
+            rows = _of(rows, ids.select("document_id").distinct())
         rows = rows.join(sent(self._committed()), "_run")
         if table in DEPENDENT and self._exists("voids"):
             voids = self._rows("voids").where(F.col("table_name") == table).join(sent(self._committed()).drop("seq"), "_run")
@@ -281,7 +292,7 @@ class Store:
     def compact(self, table: str, change: Callable[[DataFrame], DataFrame] | None = None, before: Callable[[str], None] | None = None, run_type: str = "compact") -> None:
         """Rewrites what counts of a table, with a ``change`` if any, as the rows of one run, and deletes the folders of the runs before.
 
-        Rows are written first and committed in a short turn; if another run was committed meanwhile
+        Files hold ranges of ids.  Rows are written first and committed in a short turn; if another run was committed meanwhile
         they are written anew.  ``before`` may write other rows of the run.  Readers see either; one
         that began before and is not done when the folders go has to begin anew.
         """
@@ -292,7 +303,7 @@ class Store:
             self.begin(run_id, run_type)
             old = [row["_run"] for row in self._rows(table).select("_run").distinct().join(sent(self._committed()), "_run").collect()]  # a name a run
             rows = self.read(table)
-            self.append(table, change(rows) if change else rows, run_id)
+            self.append(table, change(rows) if change else rows.sortWithinPartitions("place", "cell") if table in PARTITIONS else rows.repartitionByRange("document_id"), run_id)
             if before:
                 before(run_id)
             with self.turn() as seq:

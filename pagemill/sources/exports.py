@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.pii import mask_text
+from ..functions.pii import install_masking, mask_text
 from ..functions.text import strip
 
 # fixed values
@@ -209,6 +209,7 @@ def parse_exports(files: DataFrame, form_country: str | None = None) -> DataFram
     keep = [c for c in files.columns if c != "content"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        install_masking()
         for batch in batches:
             rows = [_read(x.as_py(), form_country) for x in batch.column("content")]
             types = [pa.bool_() if c == "country_warning" else pa.string() for c in ENVELOPE]

@@ -129,3 +129,16 @@ def test_many_cells_are_fitted_within_places(spark):
     assert cells.tops is not None and FLAT < len(cells.centres) <= 3 * FLAT and cells.probes < len(cells.centres)
     got = {r["vec_id"]: (r["cell"], r["place"]) for r in cells.assign(vectors).collect()}
     assert got.pop(-1) == (-1, -1) and len(got) == 3000 and all(cells.place[c] == p for c, p in got.values())
+
+
+def test_one_id_is_a_filter_of_the_scan(spark, tmp_path):
+    store = filled(spark, tmp_path, [f"text {i}" for i in range(40)])
+    store.compact("chunks")
+    ids = spark.createDataFrame([("d0007",)], "document_id string")
+    one = store.read("chunks", ids)
+    assert [r["text"] for r in one.collect()] == ["text 7"]
+    pushed = one._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(document_id,d0007)" in pushed or "In(document_id" in pushed
+    assert one.select(F.input_file_name()).distinct().count() == 1
+    many = spark.range(2000).select(F.format_string("d%04d", "id").alias("document_id"))
+    assert store.read("chunks", many).count() == 40

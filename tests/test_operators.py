@@ -2,13 +2,14 @@ import json
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import first_match, with_offsets
 from pagemill.operators.chunk import MAX_CHARS, chunk_pages
 from pagemill.operators.classify import classify, keyword_pattern
-from pagemill.operators.embed import resolve_snapshot
+from pagemill.operators.embed import DIMENSION, MODELS, Model, embed, encode, resolve_snapshot, snapshot_model
 from pagemill.operators.extract import extract_fields
 from pagemill.operators.normalise import normalise
 from pagemill.sources import exports
@@ -272,3 +273,40 @@ def test_a_large_pack_costs_little_more(spark):
             last = time.monotonic() - began
         took.append(last)
     assert took[1] < 3 * took[0] + 3, took
+
+
+def test_word_vectors_from_a_snapshot(spark, tmp_path):
+    commit = "89abcdef01234567" * 2 + "89abcdef"
+    folder = tmp_path / "models--org--words" / "snapshots" / commit
+    folder.mkdir(parents=True)
+    (tmp_path / "models--org--words" / "refs").mkdir()
+    (tmp_path / "models--org--words" / "refs" / "main").write_text(commit)
+    (folder / "vocab.txt").write_text("tax\ninvoice\nsick")
+    np.save(folder / "vectors.npy", np.eye(3, DIMENSION, dtype=np.float32)[:, ::-1].copy())
+    model = snapshot_model(spark, "org/words", str(tmp_path))
+    assert model.version == commit and MODELS["org/words"] is model
+    rows = embed(spark.createDataFrame([("Tax, INVOICE",), ("nothing",), (None,)], "text string").coalesce(1), model).collect()
+    assert all(r["embed_error"] is None for r in rows) and rows[0]["model_version"] == commit
+    assert rows[0]["embedding"] == pytest.approx(encode(["tax invoice"], model)[0]) and rows[0]["embedding"][-2:] == pytest.approx([0.5**0.5] * 2)
+    assert rows[1]["embedding"][0] == 1 and rows[2]["embedding"] is None
+    np.save(folder / "vectors.npy", np.eye(3, 7))
+    with pytest.raises(ValueError, match="expected 3 of 384"):
+        snapshot_model(spark, "org/words", str(tmp_path))
+
+
+def _logs_masked():
+    import logging
+
+    handlers = logging.getLogger().handlers
+    masked = bool(handlers) and all(any(type(f).__name__ == "MaskingFilter" for f in h.filters) for h in handlers)
+
+    def encode(texts):
+        if not masked:
+            raise RuntimeError("this worker's log is not masked")
+        return np.eye(1, DIMENSION).repeat(len(texts), 0)
+
+    return encode
+
+
+def test_logs_of_workers_are_masked(spark):
+    assert [r["embed_error"] for r in embed(spark.createDataFrame([("a",)], "text string"), Model("logs", "1", DIMENSION, _logs_masked)).collect()] == [None]
