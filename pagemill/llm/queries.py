@@ -12,7 +12,7 @@ from .ring import op6_ring_shards
 from .secrets import op10_secrets
 from .simhash import op4_simhash
 from .tokencount import op8_token_counts
-from .turns import op11_turn_repair
+from .turns import OP11_SQL, op11_turn_repair
 from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
@@ -30,4 +30,4 @@ QUERIES = {
     "op12_url_reputation": op12_url_reputation,
 }
 
-ORACLE = {"op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op12_url_reputation": OP12_SQL}
+ORACLE = {"op2_decontaminate": OP2_SQL, "op5_warc": OP5_SQL, "op11_turn_repair": OP11_SQL, "op12_url_reputation": OP12_SQL}

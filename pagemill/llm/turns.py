@@ -405,3 +405,65 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = every.join(report, same(report), "left").join(digests, same(digests), "left")
     counts = (F.coalesce(report[c], F.lit(0)).cast("long").alias(c) for c in _REPORT[:-1])
     return joined.select(every["conv_id"], *counts, F.coalesce(report["audit"], F.lit("")).alias("audit"), F.coalesce(digests["sha256"], F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"))
+
+
+def _more(state: str, cost: str, letter: str, line: str = "''") -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {line}}} END"
+
+
+def _least_of(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}], 'ASC', 'NULLS LAST')[1]"
+
+
+def _closed(s0: str, s1: str, s2: str, s3: str) -> tuple[str, str]:
+    """States 2 and 3 with inserted messages."""
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    after_user = _least_of(s2, *(_more(s, str(INSERT), "I", user) for s in (s0, s1, s3)))
+    return after_user, _least_of(s3, *(_more(f"({w})", str(INSERT), "I", assistant) for w in (s2, *(_more(s, str(INSERT), "I", user) for s in (s0, s1)))))
+
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_OWN, _AS_USER, _AS_ASSISTANT = "chr(10) || role || ':' || text", "chr(10) || 'user:' || text", "chr(10) || 'assistant:' || text"
+
+
+def _kept(state: str, initial: str) -> str:
+    return f"CASE WHEN initial = '{initial}' AND NOT goes THEN {_more(state, 'extra', 'K', _OWN)} END"
+
+
+def _reroled(state: str, line: str) -> str:
+    return f"CASE WHEN NOT goes THEN {_more(state, f'extra + {REROLE}', 'R', line)} END"
+
+
+#: The same by a walk over the turns, which carries the cheapest way to each state.
+OP11_SQL = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), cased AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, [ord(c)::BIGINT for c in string_split(key, '')]),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS fate FROM keyed
+), broken AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM cased, range(CASE fate WHEN 3 THEN 2 ELSE 1 END) WHERE fate <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n, rtrim(text, {_SPACE}) AS ink, substr(role, 1, 1) AS initial FROM broken
+), judged AS (
+  SELECT *, ink = '' AS blank, ink <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial NOT IN ('su', 'ua', 'au') AS odd FROM numbered
+), faults AS (
+  SELECT *, blank OR again AS goes, NOT blank AND NOT again AND right(ink, 1) NOT IN ('.', '!', '?') AS truncated FROM judged
+), turns AS (
+  SELECT *, CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END AS extra FROM faults
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (odd) AS illegal FROM turns GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS n, {{'c': 0, 'a': '', 't': ''}} AS s0, NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR) AS s1, {{'c': {INSERT}, 'a': 'I', 't': chr(10) || 'user:'}} AS s2, {{'c': {2 * INSERT}, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS s3 FROM counts
+  UNION ALL
+  SELECT conv_id, n, s0, s1, {_closed('s0', 's1', 's2', 's3')[0]}, {_closed('s0', 's1', 's2', 's3')[1]} FROM (
+    SELECT w.conv_id, t.n, {_more('s0', str(DELETE), 'D')} AS s0, {_least_of(_more('s1', str(DELETE), 'D'), _kept('s0', 's'))} AS s1,
+      {_least_of(_more('s2', str(DELETE), 'D'), *(f(s, *a) for s in ('s0', 's1', 's3') for f, a in ((_kept, ('u',)), (_reroled, (_AS_USER,)))))} AS s2,
+      {_least_of(_more('s3', str(DELETE), 'D'), _kept('s2', 'a'), _reroled('s2', _AS_ASSISTANT))} AS s3
+    FROM walk w JOIN turns t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n + 1)
+), ended AS (
+  SELECT w.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, {_least_of('s0', 's3')} AS best FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.n
+)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM k.conv_id"""

@@ -1,8 +1,11 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
-from pagemill.llm.quality import FEATURES, fit_quality, grow, op9_quality, score_quality, statistics
+from pagemill.llm.quality import FEATURES, fit_quality, grow, op9_quality, score_quality, statistics, training_labels
 
 from .fixtures import AWKWARD, docs
 
@@ -89,3 +92,44 @@ def test_repeated_ids_are_one_row(spark):
     copies = docs(spark, [(7, "the same text again")] * 300 + [(8, "ok fine")])
     labels = spark.createDataFrame([(7, 1)] * 50 + [(7, 0), (8, 1)], "doc_id long, quality int")
     assert abs(fit_quality(copies, labels, n_trees=1).bias) < 1e-9
+
+
+def plain_statistics(text):
+    """The statistics as their names say, in plain Python."""
+    raw = (text or "").encode()
+    size, words = max(1, len(raw)), raw.split()
+    m = max(1, len(words))
+    share = lambda chars: sum(b in chars for b in raw) / size
+    letters = sum(chr(b).isascii() and chr(b).isalpha() for b in raw)
+    counts = Counter(raw)
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    k = max(1, len(lines))
+    pairs = list(zip(words, words[1:], strict=False))
+    return [
+        math.log1p(len(raw)), math.log1p(len(words)), sum(map(len, words)) / m, sum(65 <= b <= 90 for b in raw) / max(1, letters), share(b"0123456789"), share(b"!"), share(b"|"), share(b"#$%&*@^~+="), share(b"()[]{}<>\\/_"), share(b".,;:?"), share(b" \n\r\t"),
+        share(range(128, 256)), -sum(c / size * math.log2(c / size) for c in counts.values()), len(set(words)) / m, max(Counter(words).values(), default=0) / m, sum(a == b for a, b in pairs) / m, len(set(pairs)) / m, math.log1p(len(lines)), len(set(lines)) / k, math.log1p(size / k),
+        min(200, max(map(len, words), default=0)), share([*range(9), 9, *range(11, 32), 127]),
+    ]
+
+
+def test_query_against_plain_statistics_and_plain_walks(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    trees = fit_quality(documents.select("doc_id", "text"), training_labels(spark, sf_dir))
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+
+    def walked(x):
+        total = trees.bias
+        for feature, threshold, leaf in zip(trees.feature, trees.threshold, trees.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if x[feature[node]] > threshold[node] else 1)
+            total += leaf[node - len(feature)]
+        return 1 / (1 + math.exp(-total))
+
+    rows = op9_quality(spark, sf_dir).collect()
+    assert len(rows) == len(texts) == len({r["doc_id"] for r in rows})
+    for r in rows:
+        x = plain_statistics(texts[r["doc_id"]])
+        assert x == pytest.approx(statistics(texts[r["doc_id"]]), abs=1e-9)
+        score = walked(statistics(texts[r["doc_id"]]))
+        assert r["score"] == pytest.approx(score, abs=1e-9) and r["predicted"] == int(score >= 0.3) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)

@@ -7,7 +7,9 @@ from itertools import groupby
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagemill.llm.turns import ONE, cheapest, damage, message_digests, op11_turn_repair, power, product, repair_conversations, times, turn_matrix
+from pagemill.llm.turns import ONE, OP11_SQL, cheapest, damage, message_digests, op11_turn_repair, power, product, repair_conversations, times, turn_matrix
+
+from ..oracle import connection, differences
 
 TURNS = "conv_id long, turn long, role string, text string"
 FULL = re.compile(r"(s?(ua)+)?\Z")
@@ -152,3 +154,4 @@ def test_query(spark, sf_dir):
         none = (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
         assert {r[0]: tuple(r[1:]) for r in op11_turn_repair(spark, folder).collect()} == {c: want.get(c, none) for c in {r[0] for r in rows}}
         assert len(want) > 10
+        assert differences(op11_turn_repair(spark, folder), connection(folder), OP11_SQL) is None
