@@ -29,7 +29,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -176,20 +175,23 @@ def rarest(nodes: DataFrame, similarity: float) -> DataFrame:
     """
     cell = F.col("h").bitwiseAND(F.lit(_CELLS - 1)).cast("int")
     counted = nodes.select(F.explode("least").alias("h")).groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).where(F.col("n") > _RARE).collect()  # at most _CELLS rows
-    table = np.zeros(_CELLS, np.int64)
-    table[[r["cell"] for r in counted]] = [r["n"] for r in counted]
-    sent = nodes.sparkSession.sparkContext.broadcast(table)
+    table = np.zeros(_CELLS, np.int32)
+    table[[r["cell"] for r in counted]] = [min(r["n"], (1 << 31) - 1) for r in counted]
+    sent, at = nodes.sparkSession.sparkContext.broadcast(table), nodes.columns.index("least")
 
-    @F.pandas_udf("array<long>")
-    def first(least: pd.Series) -> pd.Series:
-        counts, out = sent.value, []
-        for h in least:
-            n = len(h)
-            keep = max(0, n - math.ceil(similarity * n - _EPS) + 1) if n else 0
-            out.append(h[np.lexsort((h, counts[h & (_CELLS - 1)]))[:keep]])
-        return pd.Series(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(at)
+            ends, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy(zero_copy_only=False)
+            n = np.diff(ends)
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, sent.value[flat & (_CELLS - 1)], row))
+            wanted = np.where(n > 0, n - np.ceil(similarity * n - _EPS).astype(np.int64) + 1, 0)
+            first = order[np.arange(len(flat)) - ends[row] < wanted[row]]
+            kept = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *wanted]).astype(np.int32)), pa.array(flat[first]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], kept, *batch.columns[at + 1 :]], batch.schema.names)
 
-    return nodes.withColumn("least", first("least"))
+    return nodes.mapInArrow(run, nodes.schema)
 
 
 def _sent(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
@@ -251,7 +253,8 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
         if nodes.where("lo <> hi").isEmpty():  # else two sets have one name: take others
             break
         seed += 1
-    nodes = rarest(nodes, similarity)
+    counted, nodes = nodes, materialise(rarest(nodes, similarity))
+    discard(counted)
 
     few, many = Near(0, 0, similarity), Near(_LANES, candidate_bits(similarity), similarity)
     coarse = F.slice("sketch", 1, _LANES).alias("sketch")
