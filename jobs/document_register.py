@@ -12,7 +12,7 @@ a content, in this batch by doc_id, is processed, all later ones are duplicates.
 
 A batch that breaks off is run again and replaces its own partitions; a run with nothing new writes
 nothing.  OUT and CP belong together: a new checkpoint over an old output is an error.  A row that
-repeats the id and text of another in its batch counts once; rows without a doc_id come first.
+repeats the id and content of another in its batch counts once; rows without a doc_id come first.
 """
 
 from __future__ import annotations
@@ -38,17 +38,20 @@ COLUMNS = ("doc_id", "lang", "content_hash", "first_id", "document_type", "error
 
 
 def judged(documents: DataFrame, earlier: DataFrame, keywords: dict) -> DataFrame:
-    """Rows of the register for ``documents`` (doc_id, text, lang), given the ``earlier`` ones."""
-    rows = documents.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["doc_id", "text"])
-    rows = rows.withColumn("content_hash", F.when(strip(F.col("text")) != "", content_hash(F.col("text"))))
+    """Rows of the register for ``documents`` (doc_id, text, lang), given the ``earlier`` ones.
+
+    Texts are hashed and classified where they are read; what is shuffled are ids, hashes and types.
+    """
+    full = strip(F.coalesce("text", F.lit(""))) != ""
+    rows = documents.select("doc_id", "lang", F.when(full, content_hash(F.col("text"))).alias("content_hash"), F.when(full, classify(F.col("text"), keywords)["document_type"]).alias("kind"))
+    rows = rows.dropDuplicates(["doc_id", "content_hash"])
     there = rows.where("content_hash is not null")
     known = earlier.where("content_hash is not null and outcome <> 'duplicate' and doc_id <=> first_id").join(sent(there.select("content_hash").distinct()), "content_hash", "left_semi")
     known = known.select("content_hash", "first_id", "document_type", "error_code").dropDuplicates(["content_hash"])
     fresh = insert_if_absent(there, known, "content_hash", F.col("doc_id").asc_nulls_first())
-    fresh = fresh.withColumn("document_type", classify(F.col("text"), keywords)["document_type"])
-    fresh = fresh.select("content_hash", F.col("doc_id").alias("first_id"), "document_type", F.when(F.col("document_type").isNull(), "unsupported_document_type").alias("error_code"))
+    fresh = fresh.select("content_hash", F.col("doc_id").alias("first_id"), F.col("kind").alias("document_type"), F.when(F.col("kind").isNull(), "unsupported_document_type").alias("error_code"))
     firsts = known.withColumn("old", F.lit(True)).unionByName(fresh.withColumn("old", F.lit(False)))
-    out = rows.drop("text").join(firsts, "content_hash", "left")
+    out = rows.drop("kind").join(firsts, "content_hash", "left")
     duplicate = F.col("content_hash").isNotNull() & (F.col("old") | ~F.col("doc_id").eqNullSafe(F.col("first_id")))
     out = out.withColumn("error_code", F.when(F.col("content_hash").isNull(), "file_missing").otherwise(F.col("error_code")))
     return out.select(*COLUMNS, outcome(F.col("error_code"), duplicate).alias("outcome"))

@@ -4,39 +4,24 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.chunk import CHUNKING_VERSION, chunk_pages, without_chunks
-from ..operators.classify import KEYWORDS, NO_TYPE, classify_documents
 from ..operators.embed import CHUNK_KEY, HASHING, MODELS, Model, activate, activate_if_none, active_model, embed, missing_embeddings, upsert_model
-from ..operators.extract import RULES, extract_fields
-from ..operators.normalise import ENGINES, NORMALISER_VERSION, normalise
-from ..operators.quality import PAGE_CONFIDENCE, deidentified, failed_checks, field_checks, page_checks, quarantine, type_checks
+from ..operators.normalise import NORMALISER_VERSION
+from ..operators.quality import deidentified, failed_checks, quarantine
 from ..sources.exports import content_hash, normalise_country, parse_exports, receive_checks, resolve_country
 from .index import placed
-from .store import DEPENDENT, Store, insert_if_absent, latest_durations, outcome
+from .stages import Ran, Rulepack, Work, first_failures, run_stages, whole_vectors
+from .store import DEPENDENT, SCHEMAS, Store, insert_if_absent, latest_durations, outcome
 
 
 class InvalidCountry(ValueError):
     """The form's country code is not two letters; nothing is ingested."""
 
 
-@dataclass(frozen=True)
-class Rulepack:
-    keywords: dict = None  # type: ignore[assignment]
-    rules: dict = None  # type: ignore[assignment]
-    engines: dict = None  # type: ignore[assignment]
-    threshold: float = PAGE_CONFIDENCE
-
-    def __post_init__(self):
-        for name, default in (("keywords", KEYWORDS), ("rules", RULES), ("engines", ENGINES)):
-            if getattr(self, name) is None:
-                object.__setattr__(self, name, default)
-
-
 def _country(store: Store, code: str | None) -> str | None:
     row = store.spark.createDataFrame([(code,)], "c string").select(normalise_country(F.col("c")).alias("n")).first()["n"]
     if row["invalid"]:
@@ -44,18 +29,14 @@ def _country(store: Store, code: str | None) -> str | None:
     return row["code"]
 
 
-def _stage(documents: DataFrame, name: str, error: Column, ms: int) -> DataFrame:
-    return documents.select("document_id", F.lit(name).alias("stage"), F.when(error.isNull(), "succeeded").otherwise("failed").alias("status"), error.alias("error"), F.current_timestamp().alias("finished_at"), F.lit(ms).cast("long").alias("duration_ms"))
-
-
 def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack: Rulepack | None = None, model: Model | None = None, run_type: str = "ingest") -> DataFrame:
     """Take in files (filename, content); returns one row a file, as ``describe`` gives it.
 
     Bytes that are known already, in the store or from an earlier file by name, are duplicates
     and write nothing; so are those that another run took in meanwhile, whose rows count and not
     this one's.  What is read of the store is what concerns these files.  A file that cannot be used becomes a failed document; it never fails the
-    run.  Every stage is one table-wide step; its result is written and read back by the stages after
-    it, which keeps plans short and lost executors harmless.
+    run.  Every stage of the registry is one table-wide step; its result is written and read back by the
+    stages after it, which keeps plans short and lost executors harmless.
     """
     pack, run_id = pack or Rulepack(), uuid.uuid4().hex
     country = _country(store, country_code)
@@ -63,12 +44,6 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     store.begin(run_id, run_type)
 
     clock = time.monotonic()
-
-    def lap() -> int:
-        nonlocal clock
-        before, clock = clock, time.monotonic()
-        return round((clock - before) * 1000)
-
     named = files.select("filename", "content", F.when(F.length("content") > 0, content_hash(F.col("content"))).alias("content_hash"))
     ids = keep(named.where("content_hash is not null").select(F.sha2("content_hash", 256).alias("document_id")).distinct())
     known = keep(store.read("documents", ids).select("content_hash", "document_id", "error_code"))
@@ -77,38 +52,16 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     store.append("raw", fresh.select("document_id", "content"), run_id)
     sized = fresh.withColumn("size_bytes", F.length("content").cast("long"))
     parsed = keep(parse_exports(sized, country).withColumn("country_code", resolve_country(F.lit(country), F.col("envelope_country"))))
-    stages = [_stage(parsed, "receive", F.col("error_message"), lap())]
-
-    accepted = parsed.where("error_code is null").select("document_id", "ocr_engine", "raw_output")
-    seen = {r[0] for r in accepted.select("ocr_engine").distinct().collect()}  # a few names
-    engines = {k: f for k, f in pack.engines.items() if k in seen} or dict([next(iter(pack.engines.items()))])
-    pages, broken = normalise(accepted, engines, keep)
-    pages, broken = keep(pages), keep(broken)
-    good = parsed.where("error_code is null")
-    normal = good.join(broken, "document_id", "left")
-    stages.append(_stage(normal, "normalise", F.col("error"), lap()))
-    loaded = good.join(broken, "document_id", "left_anti").select("document_id")
-    stages.append(_stage(loaded, "load", F.lit(None).cast("string"), lap()))
-
-    types = keep(loaded.join(classify_documents(pages, pack.keywords), "document_id", "left"))
-    fields = keep(extract_fields(pages, types.where("document_type is not null"), pack.rules))
-    stages.append(_stage(types, "extract", F.when(F.col("document_type").isNull(), NO_TYPE), lap()))
-    typed = types.where("document_type is not null").select("document_id")
-    mine = pages.join(typed, "document_id", "left_semi")
-    checks = keep(receive_checks(parsed).unionByName(type_checks(types)).unionByName(page_checks(mine, pack.threshold)).unionByName(field_checks(fields)))
-    stages.append(_stage(typed, "quality", F.lit(None).cast("string"), lap()))
-
-    chunks = keep(chunk_pages(mine))
-    stages.append(_stage(typed, "chunk", F.lit(None).cast("string"), lap()))
+    received = Ran("receive", parsed.select("document_id", "error_code", "error_message"), round((time.monotonic() - clock) * 1000))
     active = active_model(store.read("models"))
     model = model or (MODELS[active[0]] if active else HASHING)
-    vectors = keep(embed(chunks, model))
-    failed = vectors.where("embed_error is not null").groupBy("document_id").agg(F.first("embed_error").alias("embed_error"))
-    stages.append(_stage(typed.join(failed, "document_id", "left"), "embed", F.col("embed_error"), lap()))
+    alive = parsed.where("error_code is null").select("document_id")
+    work = Work(store, parsed, pack, model, keep, fresh=True, new={"parsed": parsed, "checks": receive_checks(parsed)}, alive=alive)
+    ran = [received, *run_stages(work)]
 
-    status = parsed.join(broken.withColumnRenamed("error", "normalise_error"), "document_id", "left").join(types.select("document_id", "document_type", F.lit(True).alias("loaded")), "document_id", "left").join(failed, "document_id", "left")
-    code = F.coalesce("error_code", F.when(F.col("normalise_error").isNotNull(), "unsupported_ocr_format"), F.when(F.col("loaded") & F.col("document_type").isNull(), "unsupported_document_type"), F.when(F.col("embed_error").isNotNull(), "internal_server_error"))
-    message = F.substring(F.coalesce("error_message", "normalise_error", "embed_error", F.when(F.col("loaded") & F.col("document_type").isNull(), NO_TYPE)), 1, 2000)
+    types = work.new["types"].select("document_id", "document_type", F.lit(True).alias("loaded"))
+    status = parsed.drop("error_code", "error_message").join(types, "document_id", "left").join(first_failures(ran), "document_id", "left")
+    code, message = F.col("now.error_code"), F.substring("now.error_message", 1, 2000)
     digest = F.regexp_replace("content_hash", "^sha256:", "")
     documents = status.select(
         "document_id", "content_hash", F.col("filename").alias("upload_filename"), "size_bytes", "country_code", F.when(code.isNull(), "embedded").otherwise("failed").alias("status"), code.alias("error_code"), message.alias("error_message"), "document_type",
@@ -116,12 +69,13 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
         F.when(F.coalesce("loaded", F.lit(False)), F.concat(F.lit("file://data/normalised/"), digest, F.lit(f".v{NORMALISER_VERSION}.json"))).alias("normalised_uri"), F.current_timestamp().alias("ingested_at"),
     )
     documents = keep(documents)
-    for table, rows in (("pages", pages), ("fields", fields), ("checks", checks), ("chunks", chunks), ("embeddings", placed(store, whole_vectors(vectors, failed), model))):
-        store.append(table, rows, run_id)
-    for rows in stages:
-        store.append("stages", rows, run_id)
+    for table, rows in work.new.items():
+        if table in SCHEMAS:
+            store.append(table, placed(store, rows, model) if table == "embeddings" else rows, run_id)
+    for done in ran:
+        store.append("stages", done.logged(), run_id)
     store.append("documents", documents, run_id)
-    embedded_any = not vectors.isEmpty()
+    embedded_any = not work.new["chunks"].isEmpty()
     first = fresh.select("filename", F.lit(True).alias("first"))
     with store.turn() as seq:
         lost = keep(store.read("documents", fresh).select("document_id"))  # taken in by others since
@@ -142,12 +96,6 @@ def ingest(store: Store, files: DataFrame, country_code: str | None = None, pack
     return out
 
 
-def whole_vectors(vectors: DataFrame, failed: DataFrame) -> DataFrame:
-    """Rows for ``embeddings`` of documents all of whose texts the model took."""
-    good = vectors.join(failed.select("document_id"), "document_id", "left_anti")
-    return good.select(*CHUNK_KEY, "embedding", "dimension", "model_name", "model_version")
-
-
 def describe(store: Store, ids: DataFrame | None = None) -> DataFrame:
     """One row a document (of ``ids``): status, counts of pages and chunks, names of failed checks, stage timings."""
     documents = store.read("documents", ids).select("document_id", "content_hash", "upload_filename", "document_type", "country_code", "status", "error_code")

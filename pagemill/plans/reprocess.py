@@ -1,125 +1,17 @@
-"""Stages that can be run again on stored documents, each replacing what it wrote before."""
+"""Stages run again on stored documents, each replacing what it wrote before."""
 
 from __future__ import annotations
 
-import time
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.chunk import chunk_pages, without_chunks
-from ..operators.classify import NO_TYPE, classify_documents
-from ..operators.embed import HASHING, MODELS, Model, active_model, embed, missing_embeddings
-from ..operators.extract import extract_fields
-from ..operators.normalise import normalise
-from ..operators.quality import OWNED, field_checks, page_checks, type_checks
-from ..sources.exports import parse_exports
-from .ingest import Rulepack, describe, whole_vectors
+from ..operators.embed import HASHING, MODELS, Model, active_model
 from .index import placed
-from .store import SCHEMAS, Scratch, Store
-
-
-@dataclass
-class Work:
-    """The documents of one rerun, what its stages have written so far and what that replaces."""
-
-    store: Store
-    documents: DataFrame
-    pack: Rulepack
-    model: Model
-    keep: Scratch
-    new: dict[str, DataFrame] = field(default_factory=dict)
-    replaced: list[tuple[str, tuple[str, ...] | None]] = field(default_factory=list)
-
-    def rows(self, table: str) -> DataFrame:
-        """What the table holds of these documents, as the stages so far leave it."""
-        mine = self.new.get(table)
-        if (table, None) in self.replaced:
-            return self.store.spark.createDataFrame([], SCHEMAS[table]) if mine is None else mine
-        stored = self.store.read(table, self.documents)
-        return stored if mine is None else stored.unionByName(mine, allowMissingColumns=True)
-
-    def write(self, table: str, rows: DataFrame, owned: tuple[str, ...] | None = None, replace: bool = True) -> None:
-        """``rows`` instead of the table's rows of these documents, or of those whose name is like one of ``owned``."""
-        rows = self.keep(rows)
-        self.new[table] = self.new[table].unionByName(rows) if table in self.new else rows
-        if replace:
-            self.replaced.append((table, owned))
-
-
-#: Takes the work, writes to it, and returns the documents that failed: document_id, error_code, error_message.
-Stage = Callable[[Work], DataFrame | None]
-STAGES: dict[str, Stage] = {}
-#: The error that each stage gives a document, and takes from it when it runs again.
-ERRORS = {"normalise": "unsupported_ocr_format", "extract": "unsupported_document_type", "embed": "internal_server_error"}
-
-
-def stage(name: str) -> Callable[[Stage], Stage]:
-    """Registers a stage; stages run in the order in which they are registered."""
-
-    def add(f: Stage) -> Stage:
-        STAGES[name] = f
-        return f
-
-    return add
-
-
-@stage("normalise")
-def _normalise(work: Work) -> DataFrame:
-    """Pages anew from the stored files; chunks and vectors of the old ones go with them."""
-    parsed = work.keep(parse_exports(work.rows("raw").select("document_id", "content")))
-    good = parsed.where("raw_output is not null").select("document_id", "ocr_engine", "raw_output")
-    seen = {r[0] for r in good.select("ocr_engine").distinct().collect()}  # a few names
-    engines = {k: f for k, f in work.pack.engines.items() if k in seen} or dict([next(iter(work.pack.engines.items()))])
-    pages, broken = normalise(good, engines, work.keep)
-    work.write("pages", pages)
-    for table in ("chunks", "embeddings"):
-        work.replaced.append((table, None))
-    return broken.select("document_id", F.lit(ERRORS["normalise"]).alias("error_code"), F.col("error").alias("error_message"))
-
-
-@stage("extract")
-def _extract(work: Work) -> DataFrame:
-    """Type and fields."""
-    pages = work.rows("pages")
-    loaded = pages.select("document_id").distinct()
-    types = work.keep(loaded.join(classify_documents(pages, work.pack.keywords), "document_id", "left"))
-    work.write("types", types, replace=False)
-    work.write("fields", extract_fields(pages, types.where("document_type is not null"), work.pack.rules))
-    work.write("checks", type_checks(types), OWNED["extract"])
-    return types.where("document_type is null").select("document_id", F.lit(ERRORS["extract"]).alias("error_code"), F.lit(NO_TYPE).alias("error_message"))
-
-
-def _typed(work: Work) -> DataFrame:
-    types = work.new.get("types", work.documents)
-    return types.where("document_type is not null").select("document_id")
-
-
-@stage("quality")
-def _quality(work: Work) -> None:
-    pages = work.rows("pages").join(_typed(work), "document_id", "left_semi")
-    work.write("checks", page_checks(pages, work.pack.threshold).unionByName(field_checks(work.rows("fields"))), OWNED["quality"])
-
-
-@stage("chunk")
-def _chunk(work: Work) -> None:
-    """Documents that have chunks of this version keep them."""
-    fresh = without_chunks(_typed(work), work.rows("chunks"))
-    work.write("chunks", chunk_pages(work.rows("pages").join(fresh, "document_id", "left_semi")), replace=False)
-
-
-@stage("embed")
-def _embed(work: Work) -> DataFrame:
-    """Vectors that are missing of the model."""
-    missing = missing_embeddings(work.rows("chunks"), work.rows("embeddings"), work.model.name, work.model.version)
-    vectors = work.keep(embed(missing, work.model))
-    failed = work.keep(vectors.where("embed_error is not null").groupBy("document_id").agg(F.first("embed_error").alias("error_message")))
-    work.write("embeddings", whole_vectors(vectors, failed), replace=False)
-    return failed.select("document_id", F.lit(ERRORS["embed"]).alias("error_code"), "error_message")
+from .ingest import describe
+from .stages import ERRORS, STAGES, Ran, Rulepack, Work, first_failures, run_stages
+from .store import SCHEMAS, Store
 
 
 def reprocess(store: Store, ids: DataFrame, stages: tuple[str, ...] | None = None, pack: Rulepack | None = None, model: Model | None = None) -> DataFrame:
@@ -137,22 +29,14 @@ def reprocess(store: Store, ids: DataFrame, stages: tuple[str, ...] | None = Non
     active = active_model(store.read("models"))
     documents = keep(store.read("documents", ids))
     work = Work(store, documents, pack or Rulepack(), model or (MODELS[active[0]] if active else HASHING), keep)
-    failures, times = [], []
-    for name, run in STAGES.items():
-        if name in stages:
-            clock = time.monotonic()
-            failed = run(work)
-            failed = failed if failed is None else keep(failed.withColumn("stage", F.lit(name)))
-            times.append((name, failed, round((time.monotonic() - clock) * 1000)))
-            failures += [] if failed is None else [failed.withColumn("at", F.lit(len(times)))]
-    done = _outcome(work, stages, failures)
+    work.alive = documents.select("document_id").join(work.rows("pages"), "document_id", "left_semi")
+    ran = run_stages(work, stages)
+    done = _outcome(work, stages, ran)
     for table, rows in work.new.items():
         if table in SCHEMAS:
             store.append(table, placed(store, rows, work.model) if table == "embeddings" else rows, run_id)
-    for name, failed, ms in times:
-        error = documents.select("document_id") if failed is None else documents.select("document_id").join(failed.select("document_id", "error_message"), "document_id", "left")
-        why = F.lit(None).cast("string") if failed is None else F.col("error_message")
-        store.append("stages", error.select("document_id", F.lit(name).alias("stage"), F.when(why.isNull(), "succeeded").otherwise("failed").alias("status"), why.alias("error"), F.current_timestamp().alias("finished_at"), F.lit(ms).cast("long").alias("duration_ms")), run_id)
+    for one in ran:
+        store.append("stages", one.logged(), run_id)
     store.append("documents", done, run_id)
     bad, n = done.where("status = 'failed'").count(), done.count()
     with store.turn() as seq:
@@ -164,17 +48,14 @@ def reprocess(store: Store, ids: DataFrame, stages: tuple[str, ...] | None = Non
     return out
 
 
-def _outcome(work: Work, stages: tuple[str, ...], failures: list[DataFrame]) -> DataFrame:
+def _outcome(work: Work, stages: tuple[str, ...], ran: list[Ran]) -> DataFrame:
     """The documents' rows after the stages: the first failure counts, earlier ones of these stages are forgotten."""
     out = work.documents
     if "types" in work.new:
         out = out.drop("document_type").join(work.new["types"].select("document_id", "document_type"), "document_id", "left")
     cleared = F.col("error_code").isNull() | F.col("error_code").isin(*(ERRORS[s] for s in stages if s in ERRORS))
-    if failures:
-        first = reduce(DataFrame.unionByName, failures).groupBy("document_id").agg(F.min_by(F.struct("error_code", "error_message"), "at").alias("now"))
-        out = out.join(first, "document_id", "left")
-    else:
-        out = out.withColumn("now", F.lit(None).cast("struct<error_code:string,error_message:string>"))
+    first = first_failures(ran)
+    out = out.withColumn("now", F.lit(None).cast("struct<error_code:string,error_message:string>")) if first is None else out.join(first, "document_id", "left")
     names = [f.split()[0] for f in SCHEMAS["documents"].split(", ")]
     status = F.when(F.col("now").isNotNull() | ~cleared, "failed").when(F.lit("embed" in stages) | (F.col("status") == "embedded"), "embedded").otherwise("extracted")
     code, message = (F.coalesce(f"now.{c}", F.when(~cleared, F.col(c))) for c in ("error_code", "error_message"))
