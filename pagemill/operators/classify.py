@@ -49,7 +49,7 @@ def _constant(value, schema: str) -> Column:
 
 def _grams(words: Column, n: int) -> Column:
     """At the place of each word the ``n`` words from there on, or null beyond the end."""
-    return words if n == 1 else F.transform(words, lambda _, i: F.when(i + n <= F.size(words), F.array_join(F.slice(words, i + 1, n), " ")))
+    return words if n == 1 else F.transform(words, lambda _, i: F.when(i + n <= F.size(words), F.concat_ws(" ", *(F.get(words, i + k) for k in range(n)))))
 
 
 def found_keywords(text: Column, keywords: list[str]) -> Column:
