@@ -170,7 +170,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     started = F.col("started")
     texts = docs.select(order.alias("k"), text_or_empty().alias("text"))
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < cores:  # a small table in few files: all cores are to hash
+    if docs.select(F.spark_partition_id().alias("p")).distinct().count() < cores:  # few row groups: all cores are to hash
         texts = texts.repartition(cores, "k")
     texts = texts.withColumn("started", (n - cut - F.char_length(open_line(F.substring("text", F.lit(1), n - cut)))).cast("int"))
     parts = F.struct(vector(F.substring("text", F.lit(1), started)).alias("a"), vector(F.substring("text", started + 1, n)).alias("b"))
