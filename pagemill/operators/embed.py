@@ -10,7 +10,7 @@ from functools import lru_cache, partial
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +34,19 @@ class Model:
 def hashing_embedder() -> Callable[[list[str]], np.ndarray]:
     """Words and pairs of words hashed to signed places; needs no files and always gives the same."""
 
+    hashed = partial(hashlib.blake2b, digest_size=8)
+
     def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), DIMENSION), np.float64)
-        for row, text in enumerate(texts):
-            words = text.casefold().split()
-            for term in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))] or [""]:
-                h = int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "big")
-                out[row, h % DIMENSION] += 1 if h >> 63 else -1
+        digests, sizes = [], []
+        for text in texts:
+            words = " ".join(text.casefold().split()).encode().split(b" ")  # no words: one empty term
+            terms = words + [b" ".join(pair) for pair in zip(words, words[1:], strict=False)]
+            digests += [hashed(term).digest() for term in terms]
+            sizes.append(len(terms))
+        h = np.frombuffer(b"".join(digests), ">u8").astype(np.uint64)
+        at = np.repeat(np.arange(len(texts)), sizes) * 2 * DIMENSION + (h >> np.uint64(63)).astype(np.int64) * DIMENSION + (h % np.uint64(DIMENSION)).astype(np.int64)
+        signed = np.bincount(at, minlength=len(texts) * 2 * DIMENSION).reshape(-1, 2, DIMENSION)
+        out = (signed[:, 1] - signed[:, 0]).astype(np.float64)
         size = np.linalg.norm(out, axis=1, keepdims=True)
         out[size[:, 0] == 0, 0] = 1.0  # opposite signs cancelled everything
         return out / np.linalg.norm(out, axis=1, keepdims=True)
@@ -133,27 +139,33 @@ def embed(chunks: DataFrame, model: Model = HASHING, text: str = "text") -> Data
     """
     load, dimension = model.load, model.dimension
 
-    @F.pandas_udf("embedding array<float>, embed_error string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("embedding array<float>, embed_error string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         install_masking()  # what a model logs in this worker is masked as well
         encode = _loaded(load)
 
-        def several(texts: list[str]) -> list[tuple[list[float] | None, str | None]]:
+        def several(texts: list[str]) -> list[tuple[np.ndarray | None, str | None]]:
             try:
                 got = np.asarray(encode(texts))
                 if got.shape != (len(texts), dimension):
                     raise ValueError(f"expected vectors of {dimension}, got {got.shape[1:]}")
-                return [(v.tolist(), None) for v in got.astype(np.float32)]
+                return [(v, None) for v in got.astype(np.float32)]
             except Exception as e:  # noqa: BLE001  whatever a model raises concerns its texts only
                 return [x for t in texts for x in several([t])] if len(texts) > 1 else [(None, mask_text(f"{type(e).__name__}: {e}")[:2000])]
 
         for texts in batches:
-            out: list[tuple[list[float] | None, str | None]] = [(None, None)] * len(texts)
-            there = [i for i, t in enumerate(texts) if t is not None]
-            for a in range(0, len(there), BATCH):
-                for i, x in zip(there[a : a + BATCH], several([texts.iloc[i] for i in there[a : a + BATCH]]), strict=True):
-                    out[i] = x
-            yield pd.DataFrame(out, columns=["embedding", "embed_error"])
+            errors: list[str | None] = [None] * len(texts)
+            vectors, there = np.zeros((len(texts), dimension), np.float32), np.zeros(len(texts), bool)
+            given = np.flatnonzero(texts.is_valid())
+            for a in range(0, len(given), BATCH):
+                some = given[a : a + BATCH]
+                for i, (v, errors[i]) in zip(some, several(texts.take(pa.array(some)).to_pylist()), strict=True):
+                    if v is not None:
+                        vectors[i], there[i] = v, True
+            # the values of the rows that have a vector lie one after the other
+            ends = pa.array(np.r_[0, np.cumsum(there) * dimension].astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(vectors[there].ravel()), mask=pa.array(~there))
+            yield pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], ["embedding", "embed_error"])
 
     found = chunks.withColumn("_e", run(F.col(text)))
     return found.select(*chunks.columns, "_e.embedding", "_e.embed_error", F.lit(model.name).alias("model_name"), F.lit(model.version).alias("model_version"), F.lit(dimension).alias("dimension"))
