@@ -6,8 +6,13 @@ only; ``FLAGS`` sets the JVM's engine to that.  Positions are code points.
 
 from __future__ import annotations
 
+import re
+import string
 import sys
 import unicodedata
+from functools import reduce
+from operator import and_
+from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,20 +38,45 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def required(pattern: str) -> list[str]:
+    """Characters that every match of a pattern holds, of those without case; a text without one needs no search."""
+
+    def of(parts) -> set[str]:
+        found: set[str] = set()
+        for kind, what in parts:
+            if kind is _parser.LITERAL and chr(what) in string.punctuation:
+                found.add(chr(what))
+            elif kind is _parser.SUBPATTERN:
+                found |= of(what[3])
+            elif kind in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and what[0]:
+                found |= of(what[2])
+        return found
+
+    try:
+        return sorted(of(_parser.parse(pattern.removeprefix(FLAGS))))
+    except re.error:  # Java's engine alone reads it
+        return []
+
+
 def first_match(text: Column, pattern: str, groups: int = 0) -> Column:
     """struct<start, end, value> of the leftmost match, or null; a pattern must not match nothing.
 
-    ``value`` is the first of ``groups`` groups that took part, else the whole match.  Splitting
-    once at the pattern gives the text before the match, and so its place in code points.
+    ``value`` is the first of ``groups`` groups that took part, else the whole match.  The engine
+    counts the characters before it in halves of UTF-16; where a text has characters of two halves,
+    splitting at the pattern, which is read anew each time, gives its place in code points.
     """
     pattern = FLAGS + pattern
 
     def placed(whole: Column) -> Column:
-        start = F.char_length(F.split(text, pattern, 2)[0])
+        start = F.when(text.rlike(r"[\x{10000}-\x{10FFFF}]"), F.char_length(F.split(text, pattern, 2)[0])).otherwise(F.regexp_instr(text, F.lit(pattern)) - 1)
         value = F.coalesce(*(F.nullif(F.regexp_extract(text, pattern, g), F.lit("")) for g in range(1, groups + 1)), whole)
         return F.when(whole != "", F.struct(start.alias("start"), (start + F.char_length(whole)).alias("end"), strip(value).alias("value")))
 
-    return F.transform(F.array(F.regexp_extract(text, pattern, 0)), placed)[0]
+    needed = required(pattern)
+    whole = F.regexp_extract(text, pattern, 0)
+    if needed:
+        whole = F.when(reduce(and_, (F.contains(text, F.lit(x)) for x in needed)), whole)
+    return F.transform(F.array(whole), placed)[0]
 
 
 def join_lines(lines: Column) -> Column:
@@ -82,7 +112,8 @@ def prefix_sums(values: Column, levels: int = _LEVELS) -> Column:
         return F.flatten(F.zip_with(F.transform(runs, lambda r: r["before"]), prefix_sums(F.transform(runs, lambda r: r["sum"]), levels - 1), lambda xs, s: F.transform(xs, lambda x: x + s)))
 
     last = lambda vs: F.greatest(F.lit(0), F.floor((F.size(vs) - 1) / _RUN).cast("int"))
-    return let(values, lambda vs: let(F.transform(F.sequence(F.lit(0), last(vs)), lambda i: run(F.slice(vs, i * _RUN + 1, _RUN))), moved))
+    long = lambda vs: let(F.transform(F.sequence(F.lit(0), last(vs)), lambda i: run(F.slice(vs, i * _RUN + 1, _RUN))), moved)
+    return let(values, lambda vs: F.when(F.size(vs) <= _RUN, run(vs)["before"]).otherwise(long(vs)))
 
 
 def with_offsets(lines: Column) -> Column:

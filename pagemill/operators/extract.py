@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import FLAGS, first_match, join_lines, overlapping, strip, with_offsets
+from ..functions.text import FLAGS, first_match, join_lines, let, overlapping, strip, with_offsets
 from ..functions.validate import validate_field
 
 # --- fixed values: value patterns -------------------------------------------------------------
@@ -92,27 +92,29 @@ RULES: dict[str, tuple[Rule, ...]] = {
 LETTERHEAD_FIELD = "provider_name"
 
 
-def page_matches(lines: Column, rules: tuple[Rule, ...]) -> Column:
-    """array<struct<field, value, line_indexes>> of the rules found on one page; all in one projection."""
+def page_matches(lines: Column, rules: tuple[Rule, ...], names: list[str]) -> Column:
+    """struct of a struct<value, line_indexes> or null for each of the ``names`` of fields; all in one projection."""
     text, spans = join_lines(lines), with_offsets(lines)
 
     def hit(page: Column, rule: Rule) -> Column:
         def located(m: Column) -> Column:
             at = F.transform(overlapping(page["spans"], m["start"], m["end"]), lambda s: s["line_index"])
-            return F.when(m.isNotNull(), F.struct(F.lit(rule.field).alias("field_name"), m["value"].alias("value"), at.alias("line_indexes")))
+            return F.when(m.isNotNull(), F.struct(m["value"].alias("value"), at.alias("line_indexes")))
 
-        return F.transform(F.array(first_match(page["text"], rule.pattern, rule.groups)), located)[0]
+        return let(first_match(page["text"], rule.pattern, rule.groups), located)
 
     def found(page: Column) -> Column:
-        return F.filter(F.array(*(hit(page, rule) for rule in rules)), lambda h: h.isNotNull())
+        hits = {rule.field: hit(page, rule) for rule in reversed(rules)}  # of two rules of a field the first counts
+        return F.struct(*(hits.get(name, F.lit(None).cast("struct<value:string,line_indexes:array<int>>")).alias(name) for name in names))
 
     return F.transform(F.array(F.struct(text.alias("text"), spans.alias("spans"))), found)[0]
 
 
 def _letterhead(lines: Column) -> Column:
-    """First line with text that does not name the network."""
-    fit = F.filter(lines, lambda x: (strip(x["text"]) != "") & ~x["text"].rlike(FLAGS + EXCLUDED_LINE))
-    return F.transform(F.slice(fit, 1, 1), lambda x: F.struct(F.lit(LETTERHEAD_FIELD).alias("field_name"), strip(x["text"]).alias("value"), F.array(x["line_index"]).alias("line_indexes")))
+    """First line with text that does not name the network; mostly one of the first few."""
+    fit = lambda some: F.get(F.filter(some, lambda x: (strip(x["text"]) != "") & ~x["text"].rlike(FLAGS + EXCLUDED_LINE)), F.lit(0))
+    line = F.coalesce(fit(F.slice(lines, 1, 3)), fit(lines))
+    return let(line, lambda x: F.when(x.isNotNull(), F.struct(strip(x["text"]).alias("value"), F.array(x["line_index"]).alias("line_indexes"))))
 
 
 def extract_fields(pages: DataFrame, types: DataFrame, rules: dict[str, tuple[Rule, ...]] = RULES) -> DataFrame:
@@ -125,14 +127,13 @@ def extract_fields(pages: DataFrame, types: DataFrame, rules: dict[str, tuple[Ru
     normalised_value and validation_message.
     """
     typed = pages.where(F.size("lines") > 0).join(types.select("document_id", "document_type"), "document_id").where(F.col("document_type").isin(*rules))
-    matches = None
+    names, matches = list(dict.fromkeys(rule.field for pack in rules.values() for rule in pack)), None
     for name, pack in rules.items():
-        found = page_matches(F.col("lines"), pack)
+        found = page_matches(F.col("lines"), pack, names)
         matches = F.when(F.col("document_type") == name, found) if matches is None else matches.when(F.col("document_type") == name, found)
-    per_page = typed.select("document_id", "document_type", "page_number", matches.alias("hits"), F.get(_letterhead(F.col("lines")), F.lit(0)).alias("head"))
+    per_page = typed.select("document_id", "document_type", "page_number", matches.alias("hits"), _letterhead(F.col("lines")).alias("head"))
     # the first page with a match counts: one struct a field, combined before the shuffle
-    names = list(dict.fromkeys(rule.field for pack in rules.values() for rule in pack))
-    hit = lambda field: F.get(F.filter("hits", lambda h: h["field_name"] == field), F.lit(0))
+    hit = lambda field: F.col("hits")[field]
     first = lambda h: F.struct("page_number", h["value"].alias("value"), h["line_indexes"].alias("line_indexes"))
     best = per_page.groupBy("document_id", "document_type").agg(
         F.min_by(F.when(F.col("head").isNotNull(), first(F.col("head"))), "page_number").alias("head"),
