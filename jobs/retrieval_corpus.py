@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.pii import mask
-from pagemill.functions.text import strip
 from pagemill.operators.chunk import chunk_pages
 from pagemill.operators.classify import classify
 from pagemill.operators.quality import quarantine
@@ -48,7 +47,7 @@ def classified(rows: DataFrame, keywords: dict) -> DataFrame:
 
     Types are found before copies are taken out, so that no texts are shuffled.
     """
-    light = rows.select("document_id", "lang", "content_hash", classify(F.col("text"), keywords)["document_type"].alias("document_type"), (strip(F.col("text")) != "").alias("has_text"))
+    light = rows.select("document_id", "lang", "content_hash", classify(F.col("text"), keywords)["document_type"].alias("document_type"), F.col("text").rlike(r"(?U)\S").alias("has_text"))
     one = latest(light, ["document_id"], "content_hash", F.col("lang").asc_nulls_first())
     return latest(one, ["content_hash"], "document_id")
 
@@ -80,7 +79,8 @@ def as_pages(documents: DataFrame) -> DataFrame:
 
 def chunked(rows: DataFrame, good: DataFrame, max_chars: int) -> DataFrame:
     """Chunks of the texts among ``rows`` of ``good`` documents (document_id, content_hash, lang, document_type)."""
-    texts = rows.select("document_id", "content_hash", "text").join(good, ["document_id", "content_hash"], "left_semi").dropDuplicates(["document_id"])
+    # the row of a doc_id that counts, so texts are dealt out by it once
+    texts = latest(rows.select("document_id", "content_hash", "text"), ["document_id"], "content_hash").join(good, "document_id", "left_semi")
     chunks = chunk_pages(as_pages(texts), max_chars).select("document_id", "chunk_index", "text", "char_count", F.size("line_indexes").alias("n_lines"))
     return chunks.join(good.select("document_id", "lang", "document_type"), "document_id")
 

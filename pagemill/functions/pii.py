@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import logging
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 MASK = "[REDACTED]"
 # fixed values: masked in this order; of labelled values the label stays
 _VALUE = r"""('[^']*'|"[^"]*"|[^\s,;]+)"""
@@ -16,15 +20,25 @@ LABELLED = (
     rf"(?i)(\bclaimant_[a-z_]+\b\s*[:=]\s*){_VALUE}",
 )
 BARE = (r"\b[STFG]\d{7}[A-Z]\b", r"(?<!\d)\d{9,12}(?!\d)")
+#: What every match of LABELLED has, in lower case, but for the letters whose partner is an ASCII i; what every match of BARE has.
+_LABELS, _OTHER_I, _DIGITS = ("birth", "dob", "d.ob", "do.b", "d.o.b", "claimant_"), "\u0130\u0131", r"(?U)\d{7}"
 
 
 def mask(text: Column) -> Column:
-    """Dates of birth and claimant values after their label, identity numbers, runs of 9 to 12 digits."""
-    for p in LABELLED:
-        text = F.regexp_replace(text, "(?U)" + p, "$1" + MASK)
-    for p in BARE:
-        text = F.regexp_replace(text, "(?U)" + p, MASK)
-    return text
+    """Dates of birth and claimant values after their label, identity numbers, runs of 9 to 12 digits.
+
+    A text without what such values have is not searched for them.
+    """
+
+    def replaced(t: Column, patterns: tuple[str, ...], by: str) -> Column:
+        return reduce(lambda c, p: F.regexp_replace(c, "(?U)" + p, by), patterns, t)
+
+    def labelled(t: Column) -> Column:
+        named = let(F.lower(t), lambda low: reduce(or_, (F.contains(low, F.lit(x)) for x in _LABELS)))
+        other = reduce(or_, (F.contains(t, F.lit(x)) for x in _OTHER_I))
+        return F.when(named | other, replaced(t, LABELLED, "$1" + MASK)).otherwise(t)
+
+    return let(let(text, labelled), lambda t: F.when(t.rlike(_DIGITS), replaced(t, BARE, MASK)).otherwise(t))
 
 
 def mask_text(text: str) -> str:

@@ -26,7 +26,8 @@ _FOLDED = ("ſİıςµ", "siiσμ")
 
 
 def _folded(text: Column) -> Column:
-    return F.translate(F.lower(F.translate(text, *_FOLDED)), *_FOLDED)
+    """``lower``, and letter by letter only where a text has one of those, or the sigma that becomes one."""
+    return F.when(text.rlike(f"[{_FOLDED[0]}Σ]"), F.translate(F.lower(F.translate(text, *_FOLDED)), *_FOLDED)).otherwise(F.lower(text))
 
 
 def _fold(text: str) -> str:
@@ -40,6 +41,8 @@ def keyword_pattern(keyword: str) -> str:
 
 
 _MAPS = 64
+#: Up to so many keywords are looked for one by one.
+_FEW = 64
 
 
 def _constant(value, schema: str) -> Column:
@@ -52,12 +55,31 @@ def _grams(words: Column, n: int) -> Column:
     return words if n == 1 else F.transform(words, lambda _, i: F.when(i + n <= F.size(words), F.concat_ws(" ", *(F.get(words, i + k) for k in range(n)))))
 
 
+def _searched(text: Column, plain: dict[str, str]) -> Column:
+    """The hits of few keywords, folded and by name: each is searched for in the text's words.
+
+    Every word stands after one blank there, and a mark as a word of its own where other characters
+    than white space lie between words.
+    """
+    spaced = F.concat(F.lit(" "), F.regexp_replace(_folded(text), r"(?U)[^\w\s]+", " \x01 "), F.lit(" "))
+    spaced = F.regexp_replace(spaced, r"(?U)\s{2,}|[^\S ]", " ")
+    times = lambda s, what: F.length(s) - F.length(F.replace(s, F.lit(what), F.lit("")))
+
+    def hit(words: Column, folded: str, name: str) -> Column:
+        before = lambda at: let(F.substring(words, F.lit(1), at - 1), lambda s: (times(s, " ") - times(s, "\x01")).cast("long"))
+        # most are absent, which is seen sooner by a letter than by the blank before it
+        return let(F.when(F.contains(words, F.lit(f"{folded} ")), F.instr(words, F.lit(f" {folded} "))), lambda at: F.when(at > 0, F.struct(F.lit(name).alias("keyword"), before(at).alias("at"))))
+
+    return let(spaced, lambda words: F.filter(F.array(*(hit(words, *k) for k in plain.items())), lambda h: h.isNotNull()))
+
+
 def found_keywords(text: Column, keywords: list[str]) -> Column:
     """array<struct<keyword, at>> of the keywords that occur, each once, with the number of words before it.
 
-    The text is cut into words once, in stretches that hold white space only between words, and its
-    word n-grams are met with the pack by hashing; so the cost does not grow with the pack but by its
-    reading.  Keywords with other characters than those of words are looked for by patterns.
+    Up to _FEW keywords are searched for in the text's words.  For more, the text is cut into words once,
+    in stretches that hold white space only between words, and its word n-grams are met with the pack by
+    hashing; so the cost does not grow with the pack but by its reading.  Keywords with other characters
+    than those of words are looked for by patterns.
     """
     plain = {" ".join(_fold(k).split()): k for k in keywords if re.fullmatch(r"\w+(\s+\w+)*", k.strip())}
     odd = [k for k in keywords if k not in plain.values()]
@@ -68,7 +90,7 @@ def found_keywords(text: Column, keywords: list[str]) -> Column:
     spelt = {a: b for a, b in plain.items() if a != b}
     name = lambda k: F.coalesce(F.element_at(_constant(spelt, "map<string,string>"), k), k) if spelt else k
     place = lambda gs, k: F.array_min(F.transform(gs, lambda g: F.nullif(F.array_position(g, k), F.lit(0)))) - 1
-    hits = let(stretches, lambda ss: let(grams(ss), lambda gs: F.transform(F.filter(F.array_intersect(F.flatten(gs), pack), lambda k: k.isNotNull()), lambda k: F.struct(name(k).alias("keyword"), place(gs, k).cast("long").alias("at"))))) if plain else None
+    hits = _searched(text, plain) if plain and len(plain) <= _FEW else let(stretches, lambda ss: let(grams(ss), lambda gs: F.transform(F.filter(F.array_intersect(F.flatten(gs), pack), lambda k: k.isNotNull()), lambda k: F.struct(name(k).alias("keyword"), place(gs, k).cast("long").alias("at"))))) if plain else None
     ordinal = lambda m: F.size(F.regexp_extract_all(F.substring(text, F.lit(1), m["start"]), F.lit(r"(?U)(\w+)"), F.lit(1))).cast("long")
     looked = [let(first_match(text, keyword_pattern(k)), lambda m: F.when(m.isNotNull(), F.struct(F.lit(k).alias("keyword"), ordinal(m).alias("at")))) for k in odd]  # noqa: B023
     more = F.filter(F.array(*looked), lambda h: h.isNotNull()) if odd else None
