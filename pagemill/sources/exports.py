@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def safe_path(uri: Column, prefix: str = "file://data/") -> Column:
 
 def finite_number(v: Column) -> Column:
     """A JSON number of a variant as a double; null for anything else, texts and booleans too."""
-    return F.when(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), F.try_variant_get(v, "$", "double"))
+    return F.when(F.substring(F.schema_of_variant(v), 1, 7).isin("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), F.try_variant_get(v, "$", "double"))
 
 
 def plain_text(v: Column) -> Column:
@@ -200,6 +201,22 @@ def _read(content: bytes | None, form_country: str | None) -> dict:
         return dict.fromkeys(ENVELOPE) | {"error_code": "internal_server_error", "failed_check": "file_json", "error_message": mask_text(f"{type(e).__name__}: {e}")[:2000]}
 
 
+#: So many bytes of files are read at a time, or one file.
+PART_BYTES = 1 << 20
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most PART_BYTES of content, or one row."""
+    start, held = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(batch.column("content")), 0).to_pylist()):
+        if i > start and held + size > PART_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def parse_exports(files: DataFrame, form_country: str | None = None) -> DataFrame:
     """Files (filename, content, and columns to keep) with the ENVELOPE columns instead of content.
 
@@ -210,10 +227,10 @@ def parse_exports(files: DataFrame, form_country: str | None = None) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         install_masking()
-        for batch in batches:
-            rows = [_read(x.as_py(), form_country) for x in batch.column("content")]
-            types = [pa.bool_() if c == "country_warning" else pa.string() for c in ENVELOPE]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *(pa.array([r[c] for r in rows], t) for c, t in zip(ENVELOPE, types, strict=True))], [*keep, *ENVELOPE])
+        types = [pa.bool_() if c == "country_warning" else pa.string() for c in ENVELOPE]
+        for some in (part for batch in batches for part in _parts(batch)):
+            rows = [_read(x.as_py(), form_country) for x in some.column("content")]
+            yield pa.RecordBatch.from_arrays([*(some.column(c) for c in keep), *(pa.array([r[c] for r in rows], t) for c, t in zip(ENVELOPE, types, strict=True))], [*keep, *ENVELOPE])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema if f.name != "content")
     return files.select(*keep, "content").mapInArrow(run, f"{kept}, " + ", ".join(f"{c} {'boolean' if c == 'country_warning' else 'string'}" for c in ENVELOPE))
