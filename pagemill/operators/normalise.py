@@ -65,7 +65,8 @@ def _as_is(df: DataFrame) -> DataFrame:
 
 
 def _list(df: DataFrame, schema: str, path: str) -> DataFrame:
-    return df.withColumn("j", F.from_json("raw_output", schema)).select("document_id", F.posexplode(path).alias("pos", "b"))
+    # a filter, as Spark infers it of an inner explode, would parse the JSON once more
+    return df.withColumn("j", F.from_json("raw_output", schema)).select("document_id", F.posexplode_outer(path).alias("pos", "b")).where("pos is not null")
 
 
 def from_textract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
@@ -96,15 +97,20 @@ def from_textract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
 
 
 def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
-    """Parallel arrays turned to rows; words of one (page, block, paragraph, line) are a line."""
+    """Parallel arrays turned to rows; words of one (page, block, paragraph, line) are a line.
+
+    A document whose arrays differ in length is one row without a position, so that JSON is parsed once.
+    """
     keys = ("page_num", "block_num", "par_num", "line_num")
     columns = ("level", "text", "conf", "left", "top", "width", "height", *keys)
     parsed = docs.withColumn("j", F.from_json("raw_output", ", ".join(f"`{c}` array<variant>" for c in columns))).select("document_id", *(F.col(f"j.{c}").alias(c) for c in columns))
     uneven = reduce(lambda a, b: a | b, (F.coalesce(F.size(c) != F.size("level"), F.lit(True)) for c in keys))
-    rows = parsed.where(~uneven).select("document_id", F.posexplode(F.arrays_zip(*columns)).alias("pos", "r")).select("document_id", "pos", "r.*")
+    # what is told of a document's arrays is told before they become rows, which else carry them
+    zipped = parsed.select("document_id", uneven.alias("uneven"), F.when(~uneven, F.arrays_zip(*columns)).alias("zipped"))
+    rows = zipped.select("document_id", "uneven", F.posexplode_outer("zipped").alias("pos", "r")).where("pos is not null or uneven").select("document_id", "uneven", "pos", "r.*")
     number = lambda c: finite_number(F.col(c))
     conf = F.coalesce(number("conf"), F.when(plain_text(F.col("conf")).rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"), F.trim(plain_text(F.col("conf"))).try_cast("double")))
-    rows = keep(rows.select("document_id", "pos", number("level").alias("level"), plain_text(F.col("text")).alias("text"), conf.alias("conf"), *(number(c).alias(c) for c in ("left", "top", "width", "height")), *(number(c).cast("long").alias(c) for c in keys)).where("level in (1, 5)"))
+    rows = keep(rows.select("document_id", "uneven", "pos", number("level").alias("level"), plain_text(F.col("text")).alias("text"), conf.alias("conf"), *(number(c).alias(c) for c in ("left", "top", "width", "height")), *(number(c).cast("long").alias(c) for c in keys)).where("level in (1, 5) or uneven"))
     sizes = rows.where("level = 1").groupBy("document_id", "page_num").agg(F.max_by(F.struct("width", "height"), "pos").alias("s")).select("document_id", F.col("page_num").cast("int").alias("page_number"), "s.width", "s.height", F.lit(True).alias("sized"))
     words = rows.where(F.col("level") == 5).withColumn("text", strip(F.col("text"))).where("text <> ''")
     grouped = words.groupBy("document_id", *keys).agg(
@@ -115,7 +121,7 @@ def from_tesseract(docs: DataFrame, keep: Keep = _as_is) -> Parts:
     placed = grouped.withColumn("page_number", F.col("page_num").cast("int")).join(sizes, ["document_id", "page_number"], "left")
     lines = placed.select("document_id", "page_number", (F.row_number().over(order) - 1).alias("line_index"), "text", *((F.col(c) / F.nullif(F.col(s), F.lit(0.0))).alias(c) for c, s in (("x0", "width"), ("y0", "height"), ("x1", "width"), ("y1", "height"))), "confidence", F.lit("mean_of_words").alias("confidence_source"))
     errors = [
-        _errors(parsed, {"tesseract lengths": uneven}),
+        _errors(rows, {"tesseract lengths": F.col("uneven")}),
         _errors(words, {"tesseract word": (F.col("left") + F.col("top") + F.col("width") + F.col("height") + F.col("conf")).isNull()}),
         _errors(placed, {"tesseract page": F.col("sized").isNull()}),
         _errors(sizes, {"tesseract size": (F.col("width") + F.col("height")).isNull()}),

@@ -1,11 +1,12 @@
 import logging
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.functions.pii import MASK, MaskingFilter, install_masking, mask, mask_text
-from pagemill.functions.text import first_match, overlapping, with_offsets
+from pagemill.functions.pii import BARE, LABELLED, MASK, MaskingFilter, install_masking, mask, mask_text
+from pagemill.functions.text import first_match, overlapping, required, with_offsets
 from pagemill.functions.validate import parse_amount, parse_bool, parse_date, parse_datetime, parse_non_negative_int, validate_field
 
 VALID = [
@@ -111,3 +112,35 @@ def test_code_version(tmp_path, monkeypatch):
     assert code_version(tmp_path) == "1.2"
     monkeypatch.setenv("PAGEMILL_VERSION", "9")
     assert code_version(tmp_path) == "9"
+
+
+def test_first_match_beside_characters_of_two_halves(spark):
+    """Places are code points wherever such characters stand; a text without what a pattern needs has no match."""
+    rows = spark.createDataFrame([("ab 12?",), ("\U0001f600b 12?",), ("12? \U0001f600",), ("12",), ("",), (None,)], "text string")
+    found = rows.select(first_match(F.col("text"), r"(\d+)\?", 1).alias("m")).collect()
+    assert [r["m"] and (r["m"]["start"], r["m"]["end"], r["m"]["value"]) for r in found] == [(3, 6, "12"), (3, 6, "12"), (0, 3, "12"), None, None, None]
+
+
+def test_required_characters():
+    assert required(r"([^\n]*\?)") == ["?"] and required(r"(?:a\.)+x(\(\d\))?") == ["."]
+    assert required(r"\?|b") == required(r"\?*") == required(r"(?!\?)a") == required(r"[?]?x") == []
+
+
+def test_a_pattern_of_quadratic_cost_is_not_tried_in_vain(spark):
+    """Long lines without the question mark that the pattern ends with."""
+    rows = spark.range(40).select(F.repeat(F.concat(F.lit("no question "), F.col("id").cast("string")), 15_000).alias("text"))
+    begun = time.monotonic()
+    assert rows.where(first_match(F.col("text"), r"([^\n]*\?)", 1).isNotNull()).count() == 0
+    assert time.monotonic() - begun < 20
+
+
+def test_masking_where_only_some_texts_have_values(spark):
+    """Every spelling that the rules take passes the search for what they have in common."""
+    texts = ["D.O.B 1.1.90", "do.b: x", "d.ob y", "DOB=z", "Birth  Date 1", "date of BİRTH: 2", "date of bırth: 2", "CLAIMANT_name: Q", "claımant_name: Q", "S1234567D", "S١234567D", "١" * 9, "1" * 13, "none", "", None]
+    want = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = F.col("text")
+    for p in LABELLED:
+        plain = F.regexp_replace(plain, "(?U)" + p, "$1[REDACTED]")
+    for p in BARE:
+        plain = F.regexp_replace(plain, "(?U)" + p, "[REDACTED]")
+    assert all(a == b for a, b in want.select(mask(F.col("text")), plain).collect())

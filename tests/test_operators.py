@@ -1,17 +1,20 @@
+import hashlib
 import json
 import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import first_match, with_offsets
 from pagemill.operators.chunk import MAX_CHARS, chunk_pages
-from pagemill.operators.classify import classify, keyword_pattern
-from pagemill.operators.embed import DIMENSION, MODELS, Model, embed, encode, resolve_snapshot, snapshot_model
+from pagemill.operators.classify import classify, found_keywords, keyword_pattern
+from pagemill.operators import embed as embed_module
+from pagemill.operators.embed import BATCH, DIMENSION, MODELS, Model, embed, encode, resolve_snapshot, snapshot_model
 from pagemill.operators.extract import extract_fields
-from pagemill.operators.normalise import normalise
+from pagemill.operators.normalise import ENGINES, normalise
 from pagemill.sources import exports
 from pagemill.sources.exports import parse_exports
 
@@ -310,3 +313,54 @@ def _logs_masked():
 
 def test_logs_of_workers_are_masked(spark):
     assert [r["embed_error"] for r in embed(spark.createDataFrame([("a",)], "text string"), Model("logs", "1", DIMENSION, _logs_masked)).collect()] == [None]
+
+
+def test_vectors_of_long_batches(spark):
+    """Null texts between others, more than a batch, and memory: vectors do not become Python's numbers."""
+    texts = [None if i % 7 == 3 else f"word{i} two" * (i % 3) for i in range(3 * BATCH + 5)]
+    rows = embed(spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)).collect()
+    want = dict(zip([i for i, t in enumerate(texts) if t is not None], encode([t for t in texts if t is not None]), strict=True))
+    assert all((r["embedding"] is None) == (r["text"] is None) and r["embed_error"] is None for r in rows)
+    assert all(np.allclose(r["embedding"], want[r["i"]], atol=1e-6) for r in rows if r["text"] is not None)
+    vectors = embed(spark.range(4000).select(F.col("id").cast("string").alias("text")).coalesce(1))
+    assert "ArrowEvalPython" in vectors._jdf.queryExecution().executedPlan().toString() and not hasattr(embed_module, "pd")
+
+
+def test_hashed_vector_is_that_of_its_terms():
+    """Term by term, as the model is defined."""
+    for text in ("", "\n", "a", "b a b A", "ä  ß\x1cx"):
+        want, words = np.zeros(DIMENSION), text.casefold().split()
+        for term in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))] or [""]:
+            h = int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "big")
+            want[h % DIMENSION] += 1 if h >> 63 else -1
+        assert np.allclose(encode([text])[0], want / np.linalg.norm(want))
+
+
+def test_files_are_read_in_parts():
+    """Slices by bytes: whole, in order, and none larger than its limit unless it is one file."""
+    sizes = [exports.PART_BYTES // 2, 3 * exports.PART_BYTES, 10, exports.PART_BYTES - 10, 1, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array([*(b"x" * n for n in sizes), None], pa.binary())], ["i", "content"])
+    parts = list(exports._parts(batch))
+    assert [p.column("i").to_pylist() for p in parts] == [[0], [1], [2, 3], [4, 5, 6]]
+    assert list(exports._parts(batch.slice(0, 0))) == []
+
+
+def test_json_is_parsed_in_one_place(spark):
+    """No filter below the explosion parses it again."""
+    df = spark.createDataFrame([("d", "tesseract", "{}")], "document_id string, ocr_engine string, raw_output string")
+    for engine, f in ENGINES.items():
+        kept = []
+        f(df, lambda x: kept.append(x) or x)
+        plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1, (engine, plan)
+
+
+def test_few_keywords_beside_marks_and_blanks(spark):
+    """The same by search and by hashing, which large packs use."""
+    few = {"a": {"of the": 2, "the": 1}, "b": {"end": 1}}
+    many = few | {"c": {f"zz{i}": 1 for i in range(200)}}
+    texts = ["of the end", "of, the", "of\n\tthe", " the  of", "OF THE", "often theend", "end\x01the", "the,of the. end", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", classify(F.col("text"), few).alias("a"), classify(F.col("text"), many).alias("b"), found_keywords(F.col("text"), ["of the", "end"]).alias("f")).collect():
+        assert r["a"] == r["b"], r
+        assert r["text"] != "the,of the. end" or {(h["keyword"], h["at"]) for h in r["f"]} == {("of the", 1), ("end", 3)}
