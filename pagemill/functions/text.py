@@ -38,6 +38,20 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+#: Words of ASCII with one blank between two: most values, and neither ``strip`` nor ``collapse`` changes them.
+PLAIN = r"\A[!-~]++(?: [!-~]++)*+\z"
+
+
+def stripped(c: Column) -> Column:
+    """``strip`` for many short values: one look at those that are plain. ``c`` is read more than once."""
+    return F.when(c.rlike(PLAIN), c).otherwise(strip(c))
+
+
+def collapsed(c: Column) -> Column:
+    """``collapse`` in the same way."""
+    return F.when(c.rlike(PLAIN), c).otherwise(collapse(c))
+
+
 def required(pattern: str) -> list[str]:
     """Characters that every match of a pattern holds, of those without case; a text without one needs no search."""
 
@@ -58,25 +72,35 @@ def required(pattern: str) -> list[str]:
         return []
 
 
+#: A match of up to so many characters is looked for in its text as it stands, to get its place.
+_SHORT = 1000
+
+
 def first_match(text: Column, pattern: str, groups: int = 0) -> Column:
     """struct<start, end, value> of the leftmost match, or null; a pattern must not match nothing.
 
-    ``value`` is the first of ``groups`` groups that took part, else the whole match.  The engine
-    counts the characters before it in halves of UTF-16; where a text has characters of two halves,
-    splitting at the pattern, which is read anew each time, gives its place in code points.
+    ``value`` is the first of ``groups`` groups that took part, else the whole match.  What matched
+    mostly stands in the text once, and that is its place.  Else the engine counts the characters
+    before it in halves of UTF-16; where a text has characters of two halves, splitting at the
+    pattern, which is read anew each time, gives its place in code points.
     """
     pattern = FLAGS + pattern
 
+    def searched() -> Column:
+        return F.when(text.rlike(r"[\x{10000}-\x{10FFFF}]"), F.char_length(F.split(text, pattern, 2)[0])).otherwise(F.regexp_instr(text, F.lit(pattern)) - 1)
+
     def placed(whole: Column) -> Column:
-        start = F.when(text.rlike(r"[\x{10000}-\x{10FFFF}]"), F.char_length(F.split(text, pattern, 2)[0])).otherwise(F.regexp_instr(text, F.lit(pattern)) - 1)
-        value = F.coalesce(*(F.nullif(F.regexp_extract(text, pattern, g), F.lit("")) for g in range(1, groups + 1)), whole)
-        return F.when(whole != "", F.struct(start.alias("start"), (start + F.char_length(whole)).alias("end"), strip(value).alias("value")))
+        once = let(F.position(whole, text), lambda at: F.when((at > 0) & (F.position(whole, text, at + 1) == 0), at - 1))
+        start = F.coalesce(F.when(F.char_length(whole) <= _SHORT, once), searched())
+        value = F.coalesce(*(let(F.regexp_extract(text, pattern, g), lambda part: F.when(part != "", part)) for g in range(1, groups + 1)), whole)
+        found = let(start, lambda at: F.struct(at.alias("start"), (at + F.char_length(whole)).alias("end"), let(value, stripped).alias("value")))
+        return F.when(whole != "", found)
 
     needed = required(pattern)
     whole = F.regexp_extract(text, pattern, 0)
     if needed:
         whole = F.when(reduce(and_, (F.contains(text, F.lit(x)) for x in needed)), whole)
-    return F.transform(F.array(whole), placed)[0]
+    return let(whole, placed)
 
 
 def join_lines(lines: Column) -> Column:
@@ -84,8 +108,12 @@ def join_lines(lines: Column) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once; what lambdas use directly is computed each time."""
-    return F.transform(F.array(value), body)[0]
+    """``body`` of a value that is computed once; what lambdas use directly is computed each time.
+
+    An aggregate over no elements, whose result is taken as it is; a transform of one element would be
+    copied, and its type be made out anew for each row.
+    """
+    return F.aggregate(F.array(), value, lambda acc, _: acc, body)
 
 
 #: Values of a run, and levels of runs.

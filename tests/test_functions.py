@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions.pii import BARE, LABELLED, MASK, MaskingFilter, install_masking, mask, mask_text
-from pagemill.functions.text import first_match, overlapping, required, with_offsets
+from pagemill.functions.text import collapse, collapsed, first_match, let, overlapping, required, strip, stripped, with_offsets
 from pagemill.functions.validate import parse_amount, parse_bool, parse_date, parse_datetime, parse_non_negative_int, validate_field
 
 VALID = [
@@ -144,3 +144,24 @@ def test_masking_where_only_some_texts_have_values(spark):
     for p in BARE:
         plain = F.regexp_replace(plain, "(?U)" + p, "[REDACTED]")
     assert all(a == b for a, b in want.select(mask(F.col("text")), plain).collect())
+
+
+def test_first_match_whose_text_stands_before_it(spark):
+    """Or after it, or is long: the place is the match's own."""
+    long = "Name: " + "y" * 1500
+    rows = spark.createDataFrame([("xName: A\nName: A",), ("Name: A\nName: A",), ("Name: aName: a",), (f"x{long}\n{long}\n{long}",), ("\U0001f600Name: A\nName: A",)], "text string")
+    found = rows.select(first_match(F.col("text"), r"^Name: (\w+)", 1).alias("m")).collect()
+    assert [(r["m"]["start"], r["m"]["end"]) for r in found] == [(9, 16), (0, 7), (0, 11), (1508, 3014), (9, 16)]
+
+
+def test_plain_values_are_not_changed(spark):
+    texts = ["", " ", "a", "a b", " a", "a ", "a  b", "a\tb", "a\n", "\na", "a\u00a0b", "\u3000a", "é", "é é ", "~!", "a \u2028", "x" * 5000, "x " * 3000, None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(strip(F.col("t")).alias("a"), stripped(F.col("t")).alias("b"), collapse(F.col("t")).alias("c"), collapsed(F.col("t")).alias("d"))
+    assert all((r["a"], r["c"]) == (r["b"], r["d"]) for r in rows.collect())
+
+
+def test_a_value_is_computed_once(spark):
+    """However often and deeply it is used, and null values are values."""
+    once = let(F.uuid(), lambda u: let(F.concat(u, F.lit("!")), lambda v: F.struct((v == F.concat(u, F.lit("!"))).alias("same"), (u == u).alias("it"))))
+    assert [tuple(r["x"]) for r in spark.range(5).select(once.alias("x")).collect()] == [(True, True)] * 5
+    assert spark.range(1).select(let(F.lit(None).cast("string"), lambda x: F.coalesce(x, F.lit("none")))).first()[0] == "none"

@@ -13,8 +13,9 @@ from pagemill.operators.chunk import MAX_CHARS, chunk_pages
 from pagemill.operators.classify import classify, found_keywords, keyword_pattern
 from pagemill.operators import embed as embed_module
 from pagemill.operators.embed import BATCH, DIMENSION, MODELS, Model, embed, encode, resolve_snapshot, snapshot_model
-from pagemill.operators.extract import extract_fields
+from pagemill.operators.extract import RULES, document_fields, extract_fields
 from pagemill.operators.normalise import ENGINES, normalise
+from pagemill.plans.queries import QUERIES
 from pagemill.sources import exports
 from pagemill.sources.exports import parse_exports
 
@@ -98,6 +99,25 @@ def test_labels_and_values(spark):
     assert len(fields(spark, "referral_letter", ["x"])) == 6
 
 
+def test_documents_with_their_pages_give_the_same_fields(spark):
+    """Pages in any number, empty ones among them, lines of labels and values in any order."""
+    rng = random.Random(4)
+    lines = ["Name:", "Patient Name: Lim", " Address : 1 Road", "Total: S$5", "Total Paid", "12 days", "period of 3 days", "MC Date: 1/2/2026", "[signed]", "no signature", "Provider: A  B", "FULLERTON Health", "", " ", "\U0001f600 x", "GST 9%: 1.20", "Name: \U0001f600", "xName: A", "Name: A", "2 days of sick leave"]
+    documents = {f"d{i}": [[rng.choice(lines) for _ in range(rng.randrange(0, 8))] for _ in range(rng.randrange(0, 4))] for i in range(150)}
+    pages = pages_of(spark, documents)
+    types = spark.createDataFrame([(d, [*RULES, "other"][i % 4]) for i, d in enumerate(documents)], "document_id string, document_type string")
+    names = ["document_id", "field_name", "value_type", "raw_value", "page_number", "line_indexes", "validation_status", "normalised_value", "validation_message"]
+    rows = lambda df: sorted(map(str, df.select(names).collect()))
+    whole = pages.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("page_number", "lines"))).alias("pages")).join(types, "document_id")
+    assert rows(document_fields(whole)) == rows(extract_fields(pages, types)) and document_fields(whole).select("document_type").distinct().count() == 3
+
+
+def test_rules_on_forms_are_one_pass(spark, sf_dir):
+    """Forms made of orders lie in rows of their own: nothing is joined, sorted or grouped, and the orders alone are dealt out."""
+    plan = QUERIES["rule_pack_fields"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == plan.count("Exchange") == 1 and not any(step in plan for step in ("Join", "Sort", "Aggregate "))
+
+
 def normalised(spark, engine, raws):
     docs = spark.createDataFrame([(k, engine, json.dumps(v)) for k, v in raws.items()], "document_id string, ocr_engine string, raw_output string")
     pages, errors = normalise(docs)
